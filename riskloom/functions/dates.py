@@ -19,13 +19,13 @@ def date_from_parts_coerce(y, m, d) -> Column:
     """Coercing: ``y-m-d`` text parsed leniently; an impossible date is NULL."""
     txt = F.concat_ws("-", _c(y).cast("bigint").cast("string"), _c(m).cast("bigint").cast("string"),
                       _c(d).cast("bigint").cast("string"))
-    return F.try_to_date(txt, F.lit("y-M-d"))
+    return F.try_to_date(txt, "y-M-d")
 
 
 def date_from_yyyymmdd(c, strict: bool = True) -> Column:
     """A ``yyyymmdd`` number (possibly a double from a matrix) as a date."""
     txt = _c(c).cast("bigint").cast("string")
-    return F.to_date(txt, "yyyyMMdd") if strict else F.try_to_date(txt, F.lit("yyyyMMdd"))
+    return F.to_date(txt, "yyyyMMdd") if strict else F.try_to_date(txt, "yyyyMMdd")
 
 
 def last_trading_day(c) -> Column:

@@ -35,9 +35,11 @@ def name_positional(df: DataFrame, names: Sequence[str] | str, values: str = "va
     n = len(names)
     arr = F.col(values)
     if check_length:
-        arr = F.when(F.size(arr) == n, arr).otherwise(
-            F.raise_error(F.concat(F.lit(f"matrix row width != {n}: "), F.size(arr).cast("string"))))
-        df = df.withColumn(values, arr)
+        # one predicate per row (raise_error yields NULL when it does not fire),
+        # so the element accesses below stay plain and codegen stays small
+        bad = F.when(F.size(arr) != n, F.raise_error(
+            F.concat(F.lit(f"matrix row width != {n}: "), F.size(arr).cast("string"))))
+        df = df.where(bad.isNull())
     return df.select(*keep, *[F.col(values)[i].alias(c) for i, c in enumerate(names)])
 
 
@@ -59,13 +61,14 @@ def reorder(df: DataFrame, columns: Sequence[str], rename: dict | None = None,
 # --------------------------------------------------------------------------
 # grids
 # --------------------------------------------------------------------------
-def melt_grid(grid: DataFrame, keep: Sequence[str], index: str, values: str,
+def melt_grid(grid: DataFrame, keep: Sequence, index: str, values: str,
               index_name: str, value_name: str) -> DataFrame:
     """Grid rows carrying an index vector (``index``) parallel to ``values``
     -> one row per cell: (*keep, index_name, value_name).  Empty rows give
     nothing; NULL cells are kept (filter them with C2)."""
-    return (grid.select(*keep, F.col(index), F.posexplode(values).alias("_pos", value_name))
-            .select(*keep, F.col(index)[F.col("_pos")].alias(index_name), value_name))
+    first = grid.select(*keep, F.col(index).alias("_idx"), F.posexplode(values).alias("_pos", value_name))
+    kept = [c for c in first.columns if c not in ("_idx", "_pos", value_name)]
+    return first.select(*kept, F.col("_idx")[F.col("_pos")].alias(index_name), value_name)
 
 
 def melt_wide(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str],
