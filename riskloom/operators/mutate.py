@@ -153,7 +153,8 @@ def guard_revision(log: DataFrame, day, days: int = REVISION_GUARD_DAYS) -> Data
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Reorder / widen / drop extras to the declared schema and fail on a
     NULL in a NOT NULL column."""
-    res = df.to(schema)
+    relaxed = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+    res = df.to(relaxed)
     for f in schema.fields:
         if not f.nullable:
             res = res.withColumn(f.name, F.when(F.col(f.name).isNull(), F.raise_error(
