@@ -414,16 +414,18 @@ def q_proj_website(spark, d):
 
 
 @register("manifest_missing", sql(
-    "WITH expected AS (SELECT e AS econ_id, concat('20240115_cali_20240201/Products/P2_Pd/pd60h_', "
-    "CAST(e AS VARCHAR), '.mat') AS path FROM unnest([" + ", ".join(str(e) for e in DAILY_ECONOMIES) + "]) AS u(e)), "
+    "WITH expected AS (SELECT name AS folder, e AS econ_id, concat(name, '/Products/P2_Pd/pd60h_', "
+    "CAST(e AS VARCHAR), '.mat') AS path FROM daily_folders, unnest([" + ", ".join(str(e) for e in DAILY_ECONOMIES)
+    + "]) AS u(e) WHERE substr(name, 1, 8) = '20240115'), "
     "present AS (SELECT DISTINCT CAST(company_id % 25 + 1 AS INT) AS econ_id FROM pd_raw "
     "WHERE data_date = DATE '2024-01-15') "
-    "SELECT path FROM expected WHERE econ_id NOT IN (SELECT econ_id FROM present)", "pd_raw"))
+    "SELECT folder, path FROM expected WHERE econ_id NOT IN (SELECT econ_id FROM present)", "pd_raw", "daily_folders"))
 def q_manifest_missing(spark, d):
     from riskloom.sources.files import expected_manifest, missing_files
-    exp = expected_manifest(spark, FILTER_DAY, "20240201", [("pd60h", "P2_Pd")], DAILY_ECONOMIES)
+    folders = fx.daily_folders(spark, d).where(F.substring("name", 1, 8) == f"{FILTER_DAY:%Y%m%d}")
+    exp = expected_manifest(folders.select(F.col("name").alias("folder")), [("pd60h", "P2_Pd")], DAILY_ECONOMIES)
     present = (flt.filter_day(fx.pd_raw(spark, d), FILTER_DAY).select(fx.econ_of().alias("econ_id")).distinct())
-    return missing_files(exp, present).select("path")
+    return missing_files(exp, present).select("folder", "path")
 
 
 _ = horizon_columns  # re-exported for the reshape catalogue

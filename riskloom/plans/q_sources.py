@@ -1 +1,254 @@
-"""placeholder"""
+"""Catalogue entries for sources and sinks (SURVEY A).  Each query lands
+files derived from the driver's tables in a fresh folder under the shared
+checkpoint root, then scans them back with the library's readers."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from riskloom import fixtures as fx
+from riskloom.fixtures import sql
+from riskloom.operators import mutate as mu
+from riskloom.operators import reshape as rs
+from riskloom.operators import windows as win
+from riskloom.plans.catalog import LATEST_SQL, register
+from riskloom.plans.q_reshape import as_csv_rows
+from riskloom.schemas import AS_CSV_COLS, DAILY_ECONOMIES, LAYOUTS, PD_COLS, PD_TABLE
+from riskloom.session import checkpoint_root, scratch_path
+from riskloom.sources import files as fl
+from riskloom.sources import readers as rd
+from riskloom.sources import sinks as sk
+from riskloom.sources.matrix import scan_matrix, write_matrix_shards
+
+
+def land_pd_shards(spark, d, prefix="pd60h_", junk=True):
+    """Write the daily PD matrix as per-economy .npy shards (plus a corrupt
+    shard and an unrelated file) and return the folder."""
+    out = scratch_path(spark, "shards")
+    write_matrix_shards(fx.pd_matrix_rows(spark, d), out, prefix)
+    if junk:
+        from riskloom.session import local_path
+        base = local_path(out)
+        if os.path.isdir(base):
+            with open(os.path.join(base, f"{prefix}999.corrupt.npy"), "wb") as fh:
+                fh.write(b"not a matrix")
+            with open(os.path.join(base, "readme.txt"), "wb") as fh:
+                fh.write(b"delivery notes")
+    return out
+
+
+def land_pdir_shards(spark, d, out):
+    from riskloom.plans.q_reshape import pdir_daily_named
+    rows = pdir_daily_named(spark, d)
+    rows = rows.select("econ_id", F.array("company_id", "yyyy", "mm", "dd", "pdir").alias("values"))
+    write_matrix_shards(rows, out, "pdirNum_")
+    return out
+
+
+# ---------------------------------------------------------------- A1 / A2 matrix scan
+@register("src_matrix_scan", sql(
+    "SELECT * REPLACE (CASE WHEN isnan(PD_60) THEN NULL ELSE PD_60 END AS PD_60) FROM pd_matrix_named",
+    "pd_matrix_named"))
+def q_src_matrix_scan(spark, d):
+    root = land_pd_shards(spark, d)
+    rows = scan_matrix(spark, root, "pd60h_*.npy")
+    rows = rows.withColumn("econ_id", fl.id_from_name("file_name").cast("int"))
+    return rs.name_positional(rows, "pd_daily", keep=["econ_id"])
+
+
+@register("src_matrix_errors")
+def q_src_matrix_errors(spark, d):
+    """Rows-only: every shard with its decode status (the corrupt one has an error)."""
+    root = land_pd_shards(spark, d)
+    rows = scan_matrix(spark, root, "pd60h_*.npy", keep_errors=True)
+    return rows.groupBy("file_name").agg(F.count("row").alias("n_rows"), F.max("error").alias("error"))
+
+
+# ---------------------------------------------------------------- A3 CSV
+AS_CSV_SCHEMA = T.StructType([T.StructField("Date", T.StringType()), T.StructField("U3_ID", T.LongType())]
+                             + [T.StructField(c, T.DoubleType()) for c in AS_CSV_COLS])
+AS_CSV_SQL = ("SELECT CAST(data_date AS VARCHAR) AS Date, company_id AS U3_ID, "
+              + ", ".join(f"PD_{12 * i} AS Y{i}" for i in range(1, 5))
+              + ", CASE WHEN PDIR IS NULL THEN NULL ELSE PD_60 END AS Y5 FROM pd_raw")
+
+
+@register("src_csv_scan", sql(AS_CSV_SQL, "pd_raw"))
+def q_src_csv_scan(spark, d):
+    root = scratch_path(spark, "as-csv")
+    rows = as_csv_rows(spark, d).withColumn("econ", fx.econ_of("U3_ID"))
+    rows.write.mode("overwrite").option("header", True).partitionBy("econ").csv(root)
+    from riskloom.session import local_path
+    empty_dir = os.path.join(local_path(root), "econ=0")
+    os.makedirs(empty_dir, exist_ok=True)
+    open(os.path.join(empty_dir, "AS_empty.csv"), "wb").close()
+    return rd.read_csv_shards(spark, root, AS_CSV_SCHEMA, glob="*.csv")
+
+
+# ---------------------------------------------------------------- A4 registry
+REGISTRY_SQL = (
+    "SELECT r_name AS Region, CAST(e.company_id AS VARCHAR) AS CompanyNumber, n_name AS Country, e.ticker AS Ticker, "
+    "e.ticker AS CompanyName, CASE WHEN e.end_date IS NULL THEN 'open' END AS Reason, NULL AS Remark, "
+    "CAST(e.start_date AS VARCHAR) AS StartDate, CAST(e.end_date AS VARCHAR) AS EndDate, NULL AS ErrorFoundDate, "
+    "NULL AS SQLQuery, NULL AS StopReason, NULL AS InternalRemarks FROM excluded_companies e "
+    "JOIN customer c ON c.c_custkey = e.company_id JOIN nation ON c_nationkey = n_nationkey "
+    "JOIN region ON n_regionkey = r_regionkey")
+
+
+def registry_sheet(spark, d):
+    from riskloom.plans.q_reshape import exclusion_sheet
+    sh = exclusion_sheet(spark, d)
+    return sh.select(
+        F.col("Region"), F.col("Company Number").cast("string").alias("c1"), F.col("country"), F.col("Ticker"),
+        F.col("Company Name"),
+        F.when(F.col("Stopped Excluding On (PD date)").isNull(), F.lit("open")).otherwise(F.lit(" nan ")).alias("r"),
+        F.lit("").alias("rm"), F.col("Excluded Since (PD date)").cast("string").alias("s"),
+        F.col("Stopped Excluding On (PD date)").cast("string").alias("e"), F.lit("NaT").alias("f"),
+        F.lit(None).cast("string").alias("q"), F.lit(None).cast("string").alias("sr"),
+        F.lit(" ").alias("ir"), F.col("`No.`").cast("string").alias("n"))
+
+
+@register("src_registry_scan", sql(REGISTRY_SQL, "excluded_companies"))
+def q_src_registry_scan(spark, d):
+    path = scratch_path(spark, "registry")
+    registry_sheet(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    return rd.read_registry(spark, path)
+
+
+# ---------------------------------------------------------------- A5 JSON
+USER_JSON_SCHEMA = T.StructType([
+    T.StructField("UserKey", T.LongType()), T.StructField("Email", T.StringType()),
+    T.StructField("Industry", T.StringType()), T.StructField("BudaAccess", T.StringType()),
+    T.StructField("Type", T.StringType()),
+])
+
+
+def land_users_json(spark, d):
+    path = scratch_path(spark, "users-json")
+    u = fx.users_flat(spark, d)
+    u.select(F.col("user_key").alias("UserKey"), F.col("email").alias("Email"), F.col("industry").alias("Industry"),
+             F.col("buda_access").alias("BudaAccess")).write.mode("overwrite").json(path)
+    return path
+
+
+@register("src_json_scan", sql(
+    "SELECT user_key AS UserKey, email AS Email, industry AS Industry, buda_access AS BudaAccess, "
+    "CAST(NULL AS VARCHAR) AS Type FROM users_flat", "users_flat"))
+def q_src_json_scan(spark, d):
+    return rd.read_json_records(spark, land_users_json(spark, d), USER_JSON_SCHEMA)
+
+
+# ---------------------------------------------------------------- A6 / A7 / A9 / A13 sinks
+@register("sink_parquet_chunked", sql(LATEST_SQL, "pd_raw"))
+def q_sink_parquet_chunked(spark, d):
+    path = scratch_path(spark, "chunked")
+    sk.write_parquet_chunked(win.latest_version(fx.pd_raw(spark, d)), path, target_mb=0.25)
+    return spark.read.parquet(path)
+
+
+QUARANTINE_SCHEMA = T.StructType([T.StructField(c, T.DoubleType()) for c in ["company_id", "yyyy", "mm", "dd"]]
+                                 + [T.StructField("reject_reason", T.StringType())])
+
+
+@register("sink_quarantine", sql(
+    "SELECT company_id, yyyy, mm, dd, 'missing_pd' AS reject_reason FROM pd_matrix_named WHERE "
+    + " OR ".join(f"isnan(PD_{i})" for i in range(1, 61)), "pd_matrix_named"))
+def q_sink_quarantine(spark, d):
+    path = scratch_path(spark, "rejects")
+    named = fx.pd_matrix_named(spark, d).select("company_id", "yyyy", "mm", "dd", *PD_COLS)
+    checks = {"missing_pd": F.lit(True)}
+    for c in PD_COLS:
+        checks["missing_pd"] = checks["missing_pd"] & F.col(c).isNotNull() & ~F.isnan(c)
+    _valid, rejected = sk.split_valid(named, checks)
+    sk.write_rejects(rejected.select("company_id", "yyyy", "mm", "dd", "reject_reason"), path)
+    return spark.read.schema(QUARANTINE_SCHEMA).option("header", True).csv(path)
+
+
+@register("sink_append", sql(
+    "SELECT * FROM pd_current UNION ALL SELECT l.* FROM (" + LATEST_SQL + ") l WHERE NOT EXISTS "
+    "(SELECT 1 FROM pd_current c WHERE c.company_id = l.company_id AND c.data_date = l.data_date)",
+    "pd_raw", "pd_current"))
+def q_sink_append(spark, d):
+    path = scratch_path(spark, "append")
+    cur = fx.pd_current(spark, d)
+    cur.write.mode("overwrite").parquet(path)
+    table = spark.read.parquet(path)
+    new_rows = mu.inserted_rows(table, fx.pd_raw(spark, d), ["company_id", "data_date"])
+    # the batch reads the table it appends to: materialise it first
+    checkpoint_root(spark)
+    sk.append(new_rows.checkpoint(eager=True), path)
+    return spark.read.parquet(path)
+
+
+@register("load_staged", sql(
+    f"SELECT data_date, company_id, calibration_date, operation_time, PDIR, {', '.join(PD_COLS)} FROM ({LATEST_SQL}) l",
+    "pd_raw"))
+def q_load_staged(spark, d):
+    stage = scratch_path(spark, "stage")
+    table = scratch_path(spark, "raw-table")
+    win.latest_version(fx.pd_raw(spark, d)).write.mode("overwrite").parquet(stage)
+    sk.append(rd.read_staged(spark, stage, PD_TABLE), table)
+    return spark.read.parquet(table)
+
+
+# ---------------------------------------------------------------- A8 parameterised SQL
+@register("src_sql_params", sql(
+    "SELECT company_id, data_date, PDIR FROM pd_raw WHERE data_date = DATE '2024-01-15' AND PDIR >= 10", "pd_raw"))
+def q_src_sql_params(spark, d):
+    return rd.sql_query(spark, "SELECT company_id, data_date, PDIR FROM {pd} WHERE data_date = :day AND PDIR >= :lvl",
+                        args={"day": dt.date(2024, 1, 15), "lvl": 10}, pd=fx.pd_raw(spark, d))
+
+
+# ---------------------------------------------------------------- A10-A12, A14 listings
+@register("manifest_expected", sql(
+    "SELECT name AS folder, p AS product, e AS econ_id, concat(name, '/Products/', s, '/', p, '_', CAST(e AS VARCHAR), "
+    "'.mat') AS path FROM daily_folders, (VALUES ('pd60h', 'P2_Pd'), ('pdirNum', 'P3_Pdir')) AS t(p, s), "
+    "unnest([" + ", ".join(str(e) for e in DAILY_ECONOMIES) + "]) AS u(e)", "daily_folders"))
+def q_manifest_expected(spark, d):
+    folders = fx.daily_folders(spark, d).select(F.col("name").alias("folder"))
+    return fl.expected_manifest(folders, [("pd60h", "P2_Pd"), ("pdirNum", "P3_Pdir")], DAILY_ECONOMIES)
+
+
+def _listing(spark, d):
+    root = land_pd_shards(spark, d)
+    land_pdir_shards(spark, d, root)
+    return fl.list_files(spark, root)
+
+
+ECON_SQL = "SELECT DISTINCT CAST(company_id % 25 + 1 AS BIGINT) AS econ_id FROM pd_raw"
+
+
+@register("files_listing", sql(
+    f"SELECT 'pd60h_' AS prefix, econ_id FROM ({ECON_SQL}) a UNION ALL SELECT 'pdirNum_', econ_id FROM ({ECON_SQL}) b "
+    "UNION ALL SELECT 'pd60h_', 999 UNION ALL SELECT 'readme.txt', NULL", "pd_raw"))
+def q_files_listing(spark, d):
+    ls = _listing(spark, d).where(F.col("length") > 0)
+    return ls.select(F.regexp_extract("file_name", r"^([A-Za-z0-9]+_|readme\.txt)", 1).alias("prefix"),
+                     fl.id_from_name("file_name").alias("econ_id")).distinct()
+
+
+@register("files_filter", sql(ECON_SQL, "pd_raw"))
+def q_files_filter(spark, d):
+    ls = fl.filter_pattern(fl.filter_prefix(_listing(spark, d), "pdirNum_"), r"^pdirNum_\d+\.p\d+\.npy$")
+    return ls.select(fl.id_from_name("file_name").alias("econ_id")).distinct()
+
+
+@register("files_extract_id", sql(
+    f"SELECT econ_id FROM ({ECON_SQL}) a UNION ALL SELECT 999", "pd_raw"))
+def q_files_extract_id(spark, d):
+    root = land_pd_shards(spark, d)
+    return fl.filter_prefix(fl.list_files(spark, root, "*.npy"), "pd60h_").select(
+        fl.id_from_name("file_name").alias("econ_id")).distinct()
+
+
+@register("catalog_calibration", sql(
+    "SELECT name AS folder, CAST(strptime(right(name, 8), '%Y%m%d') AS DATE) AS calibration_date FROM daily_folders "
+    "WHERE substr(name, 1, 8) = '20240115'", "daily_folders"))
+def q_catalog_calibration(spark, d):
+    return fl.calibration_lookup(fx.daily_folders(spark, d), dt.date(2024, 1, 15))
+
+
+_ = LAYOUTS

@@ -81,3 +81,37 @@ def is_local_fs(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_fs(path):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``riskloom`` importable in Python workers (``mapInPandas``
+    functions are pickled by reference): zip the package once per
+    SparkContext into the shared checkpoint folder and ``addPyFile`` it."""
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = scratch_path(spark, "pyfiles") + "/riskloom.zip"
+    from pyarrow import fs as pafs
+    if "://" in target and not target.startswith("file:"):
+        fs, p = pafs.FileSystem.from_uri(target)
+    else:
+        fs, p = pafs.LocalFileSystem(), os.path.abspath(local_path(target))
+    fs.create_dir(os.path.dirname(p), recursive=True)
+    with fs.open_output_stream(p) as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(id(sc))

@@ -54,24 +54,27 @@ def id_from_name(name: str | Column = "file_name") -> Column:
     (``pd60h_12.mat`` -> 12, ``pd60h_12.p3.npy`` -> 12)."""
     n = F.col(name) if isinstance(name, str) else name
     last = F.element_at(F.split(n, "_"), -1)
-    return F.try_cast(F.split(last, r"\.").getItem(0), "bigint") if hasattr(F, "try_cast") else \
-        F.split(last, r"\.").getItem(0).cast("bigint")
+    return F.split(last, r"\.").getItem(0).try_cast("bigint")
 
 
-def expected_manifest(spark: SparkSession, day: dt.date, calibration: str,
-                      products: Sequence[tuple[str, str]], econs: Sequence[int]) -> DataFrame:
-    """Expected file paths of one delivery: economies x products.  The
-    (tiny, fixed) combination list is built as one literal array."""
-    folder = f"{day:%Y%m%d}_cali_{calibration}"
-    entries = [F.struct(F.lit(int(e)).alias("econ_id"), F.lit(p).alias("product"),
-                        F.lit(f"{folder}/Products/{sub}/{p}_{int(e)}.mat").alias("path"))
-               for p, sub in products for e in econs]
-    return spark.range(1).select(F.explode(F.array(*entries)).alias("f")).select("f.*")
+def expected_manifest(folders: DataFrame, products: Sequence[tuple[str, str]], econs: Sequence[int],
+                      folder_col: str = "folder") -> DataFrame:
+    """Expected files of each delivery folder: one row per (folder, product,
+    economy).  The fixed product x economy list is one literal array, so
+    each folder fans out to a bounded, known number of rows."""
+    combos = [F.struct(F.lit(p).alias("product"), F.lit(sub).alias("subfolder"), F.lit(int(e)).alias("econ_id"))
+              for p, sub in products for e in econs]
+    x = folders.select(F.col(folder_col).alias("folder"), F.explode(F.array(*combos)).alias("f"))
+    return x.select("folder", "f.product", "f.econ_id",
+                    F.concat_ws("", F.col("folder"), F.lit("/Products/"), F.col("f.subfolder"), F.lit("/"),
+                                F.col("f.product"), F.lit("_"), F.col("f.econ_id").cast("string"),
+                                F.lit(".mat")).alias("path"))
 
 
-def missing_files(expected: DataFrame, present: DataFrame, key: str = "econ_id") -> DataFrame:
+def missing_files(expected: DataFrame, present: DataFrame, keys: Sequence[str] | str = "econ_id") -> DataFrame:
     """Expected entries with no present counterpart."""
-    return expected.join(present.select(key).distinct(), key, "left_anti")
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return expected.join(present.select(*keys).distinct(), keys, "left_anti")
 
 
 def calibration_lookup(folders: DataFrame, day: dt.date, name: str = "name") -> DataFrame:

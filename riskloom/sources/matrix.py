@@ -6,6 +6,8 @@ named variables, like a MATLAB file).  MATLAB / HDF5 codecs are not
 installed here; any ``decoder(bytes, variables) -> 2-D ndarray`` can be
 passed instead.  A file that fails to decode yields one row with ``error``
 set and no values, so a bad shard is reported and skipped, never fatal.
+NaN cells leave the decoder as NULL (Arrow's pandas conversion), which is
+the ingest rule: NaN means "missing" and must not reach aggregates.
 """
 
 from __future__ import annotations
@@ -81,6 +83,8 @@ def scan_matrix(spark: SparkSession, root: str, glob: str = "*", decoder: Decode
                 keep_errors: bool = False) -> DataFrame:
     """Rows of every matrix file under ``root`` matching ``glob``:
     (path, file_name, row, values array<double>[, error])."""
+    from riskloom.session import ship_package
+    ship_package(spark)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(root).select("path", "content"))
     rows = files.mapInPandas(_decode_batches(decoder, variables, transpose), MATRIX_SCHEMA)
@@ -132,7 +136,9 @@ def write_matrix_shards(rows: DataFrame, out_dir: str, prefix: str, key: str = "
     written next to the folder (``<out_dir>_manifest``) and returned as a
     DataFrame.  Deterministic names make a retried task overwrite its own
     output instead of duplicating it."""
+    from riskloom.session import ship_package
     spark = rows.sparkSession
+    ship_package(spark)
     src = rows.select(key, "values")
     if num_partitions:
         src = src.repartition(num_partitions, key)
