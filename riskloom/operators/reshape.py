@@ -136,7 +136,7 @@ def _stamp(calibration_date, operation_time):
     return _lit(cal, "date"), _lit(operation_time, "timestamp_ntz")
 
 
-def prep_pd_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL) -> DataFrame:
+def prep_pd_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     """pd60h rows -> (data_date, econ_id, company_id, calibration_date,
     operation_time, PD_1..PD_60); rows with any missing PD are dropped."""
     cal, op = _stamp(calibration_date, operation_time)
@@ -146,10 +146,10 @@ def prep_pd_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL
         _lit(econ_id, "int").alias("econ_id"),
         F.col("company_id").cast("bigint").alias("company_id"),
         cal.alias("calibration_date"), op.alias("operation_time"),
-        *[F.col(c) for c in PD_COLS])
+        *[F.col(c) for c in PD_COLS], *keep)
 
 
-def prep_pd_revision(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL) -> DataFrame:
+def prep_pd_revision(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     """Transposed revision rows (company_id x1000, yyyymmdd, PD_1..PD_60)."""
     cal, op = _stamp(calibration_date, operation_time)
     r = filter_any_missing(rows, PD_COLS)
@@ -158,10 +158,10 @@ def prep_pd_revision(rows: DataFrame, calibration_date, operation_time, econ_id=
         _lit(econ_id, "int").alias("econ_id"),
         (F.col("company_id") / 1000).cast("bigint").alias("company_id"),
         cal.alias("calibration_date"), op.alias("operation_time"),
-        *[F.col(c) for c in PD_COLS])
+        *[F.col(c) for c in PD_COLS], *keep)
 
 
-def prep_as_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL) -> DataFrame:
+def prep_as_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     cal, op = _stamp(calibration_date, operation_time)
     r = filter_any_missing(rows, AS_COLS)
     return r.select(
@@ -169,10 +169,10 @@ def prep_as_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL
         _lit(econ_id, "int").alias("econ_id"),
         F.col("company_id").cast("bigint").alias("company_id"),
         cal.alias("calibration_date"), op.alias("operation_time"),
-        *[F.col(c) for c in AS_COLS])
+        *[F.col(c) for c in AS_COLS], *keep)
 
 
-def prep_as_file(csv_rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL) -> DataFrame:
+def prep_as_file(csv_rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     """AS CSV rows (Date, U3_ID, Y1..Y5): no row is dropped; metrics keep
     NULL; ``Y1..Y5`` are the canonical ``cdsvalue1..5``."""
     cal, op = _stamp(calibration_date, operation_time)
@@ -181,10 +181,10 @@ def prep_as_file(csv_rows: DataFrame, calibration_date, operation_time, econ_id=
         _lit(econ_id, "int").alias("econ_id"),
         F.col("U3_ID").cast("bigint").alias("company_id"),
         cal.alias("calibration_date"), op.alias("operation_time"),
-        *[nan_to_null(F.col(y).cast("double")).alias(c) for y, c in zip(AS_CSV_COLS, AS_COLS)])
+        *[nan_to_null(F.col(y).cast("double")).alias(c) for y, c in zip(AS_CSV_COLS, AS_COLS)], *keep)
 
 
-def prep_pdir_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL) -> DataFrame:
+def prep_pdir_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     cal, op = _stamp(calibration_date, operation_time)
     r = filter_missing_value(rows, "pdir")
     return r.select(
@@ -192,10 +192,10 @@ def prep_pdir_daily(rows: DataFrame, calibration_date, operation_time, econ_id=A
         _lit(econ_id, "int").alias("econ_id"),
         F.col("company_id").cast("bigint").alias("company_id"),
         cal.alias("calibration_date"), op.alias("operation_time"),
-        F.col("pdir").cast("double").alias("pdir"))
+        F.col("pdir").cast("double").alias("pdir"), *keep)
 
 
-def prep_pdir_revision(cells: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL) -> DataFrame:
+def prep_pdir_revision(cells: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     """Melted revision grid (data_date yyyymmdd, company_id, pdir)."""
     cal, op = _stamp(calibration_date, operation_time)
     r = filter_missing_value(cells, "pdir")
@@ -204,14 +204,14 @@ def prep_pdir_revision(cells: DataFrame, calibration_date, operation_time, econ_
         _lit(econ_id, "int").alias("econ_id"),
         F.col("company_id").cast("bigint").alias("company_id"),
         cal.alias("calibration_date"), op.alias("operation_time"),
-        F.col("pdir").cast("double").alias("pdir"))
+        F.col("pdir").cast("double").alias("pdir"), *keep)
 
 
-def prep_pdir_historical(cells: DataFrame) -> DataFrame:
+def prep_pdir_historical(cells: DataFrame, keep=()) -> DataFrame:
     """Melted historical grid (date yyyymmdd, company_id x1000, pdir, econ_id)."""
     r = filter_missing_value(cells, "pdir")
     return r.select(
         date_from_yyyymmdd("date").alias("data_date"),
         F.col("econ_id").cast("int").alias("econ_id"),
         (F.col("company_id") / 1000).cast("bigint").alias("company_id"),
-        F.col("pdir").cast("double").alias("pdir"))
+        F.col("pdir").cast("double").alias("pdir"), *keep)

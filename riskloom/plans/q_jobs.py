@@ -1 +1,476 @@
-"""placeholder"""
+"""Catalogue entries for the jobs (SURVEY J) and the streaming ingest (K1).
+
+Each query lands a delivery derived from the driver's tables (matrix
+shards per economy and day, CSV / JSON / registry files) in a fresh folder
+under the checkpoint root, runs the job end to end, and returns the
+resulting table read back."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from riskloom import fixtures as fx
+from riskloom.fixtures import sql
+from riskloom.operators import mutate as mu
+from riskloom.operators import reshape as rs
+from riskloom.operators import windows as win
+from riskloom.plans import jobs
+from riskloom.plans.catalog import LATEST_SQL, OPERATION_TIME, register
+from riskloom.plans.q_reshape import rating_grid
+from riskloom.schemas import AS_COLS, PD_COLS, PD_TABLE, PDIR_TABLE, AS_TABLE, SIMPLE_HORIZONS
+from riskloom.session import scratch_path
+from riskloom.sources.matrix import write_matrix_shards
+
+OP_SQL = "TIMESTAMP '2024-02-02 06:00:00'"
+OLD_OP = dt.datetime(2024, 2, 1, 0, 0, 0)
+OLD_OP_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
+REV_OP = dt.datetime(2024, 2, 3, 0, 0, 0)
+REV_OP_SQL = "TIMESTAMP '2024-02-03 00:00:00'"
+DAY = dt.date(2024, 1, 15)
+RANGE = (dt.date(2024, 1, 15), dt.date(2024, 1, 19))
+NEW_DAY = dt.date(2024, 1, 22)
+CUTOFF = dt.date(2024, 1, 21)
+def _nan():
+    return F.lit(float("nan"))
+
+
+def _latest(spark, d):
+    return win.latest_version(fx.pd_raw(spark, d))
+
+
+def _pdir_schema(df):
+    return mu.enforce_schema(df, PDIR_TABLE)
+
+
+def _as_schema(df):
+    return mu.enforce_schema(df, AS_TABLE)
+
+
+def _folder(date_col, sub):
+    return F.concat(F.date_format(date_col, "yyyyMMdd"), F.lit(f"_cali_20240201/Products/{sub}"))
+
+
+def _ymd(date_col="data_date"):
+    return [F.year(date_col).cast("double"), F.month(date_col).cast("double"), F.dayofmonth(date_col).cast("double")]
+
+
+# ---------------------------------------------------------------- delivery landing
+def land_delivery(spark, d, products=("pd", "pdir", "as")):
+    """Daily delivery folders for every day of the data: PD (latest version
+    of each company/day, NaN horizon where the rating is missing), PDIR
+    (daily ratings) and AS shards, cut by economy."""
+    root = scratch_path(spark, "delivery")
+    lat = _latest(spark, d)
+    if "pd" in products:
+        pd60 = F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.col("PD_60"))
+        rows = lat.select(fx.econ_of().alias("econ_id"), _folder(F.col("data_date"), "P2_Pd").alias("folder"),
+                          F.array(F.col("company_id").cast("double"), *_ymd(), *[F.col(c) for c in PD_COLS[:-1]],
+                                  pd60).alias("values"))
+        write_matrix_shards(rows, root, "pd60h_", folder="folder")
+    if "pdir" in products:
+        rk = fx.rating_key(spark, d)
+        rows = rk.select(fx.econ_of().alias("econ_id"), _folder(F.col("data_date"), "P3_Pdir").alias("folder"),
+                         F.array(F.col("company_id").cast("double"), *_ymd(), F.col("pdir")).alias("values"))
+        write_matrix_shards(rows, root, "pdirNum_", folder="folder")
+    if "as" in products:
+        cds5 = F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.col("PD_60"))
+        rows = lat.select(fx.econ_of().alias("econ_id"), _folder(F.col("data_date"), "P7_As").alias("folder"),
+                          F.array(F.col("company_id").cast("double"), *_ymd(),
+                                  *[F.col(f"PD_{12 * i}") for i in range(1, 5)], cds5).alias("values"))
+        write_matrix_shards(rows, root, "as_", folder="folder")
+    return root
+
+
+# ---------------------------------------------------------------- J1
+@register("job_simple_load", sql(
+    "SELECT company_id AS comp_id, data_date AS date, "
+    + ", ".join(f"PD_{h} AS pd_{h}" for h in SIMPLE_HORIZONS) + " FROM pd_raw", "pd_raw"))
+def q_job_simple_load(spark, d):
+    root = scratch_path(spark, "simple-matrix")
+    raw = fx.pd_raw(spark, d)
+    rows = raw.select(fx.econ_of().alias("econ_id"),
+                      F.array(F.col("company_id").cast("double"), *_ymd(),
+                              *[F.col(f"PD_{h}") for h in SIMPLE_HORIZONS]).alias("values"))
+    write_matrix_shards(rows, root, "pd_")
+    return jobs.simple_load(spark, root, scratch_path(spark, "pd-daily-test"), "pd_*.npy")
+
+
+# ---------------------------------------------------------------- J2 / J5 / reconcile
+PD_DAY_SQL = (
+    f"SELECT l.data_date, l.company_id, DATE '2024-02-01' AS calibration_date, {OP_SQL} AS operation_time, "
+    f"r.pdir AS PDIR, {', '.join('l.' + c for c in PD_COLS)}, CAST(strftime(l.data_date, '%Y%m%d') AS INT) "
+    "AS current_trading_date, CAST(l.company_id % 25 + 1 AS INT) AS econ_id "
+    f"FROM ({LATEST_SQL}) l LEFT JOIN rating_key r ON l.company_id = r.company_id AND l.data_date = r.data_date "
+    "WHERE l.PDIR IS NOT NULL")
+
+
+@register("job_pd_day", sql(PD_DAY_SQL + " AND l.data_date = DATE '2024-01-15'", "pd_raw", "rating_key"))
+def q_job_pd_day(spark, d):
+    return jobs.pd_day(spark, land_delivery(spark, d, ("pd", "pdir")), DAY, OPERATION_TIME)
+
+
+@register("job_pdir_day", sql(
+    "SELECT r.data_date, r.company_id, r.pdir AS pdir_extracted FROM rating_key r WHERE r.data_date = "
+    f"DATE '2024-01-15' AND EXISTS (SELECT 1 FROM ({LATEST_SQL}) l WHERE l.company_id = r.company_id AND "
+    "l.data_date = r.data_date AND l.PDIR IS NOT NULL)", "pd_raw", "rating_key"))
+def q_job_pdir_day(spark, d):
+    root = land_delivery(spark, d, ("pd", "pdir"))
+    folders = jobs.folders_in_range(spark, root, DAY, DAY)
+    keys = jobs.pd_days(spark, root, folders, OPERATION_TIME).select("data_date", "company_id")
+    return jobs.pdir_days(spark, root, folders, OPERATION_TIME, keys)
+
+
+@register("job_pd_day_reconcile", sql(
+    f"WITH p AS ({PD_DAY_SQL} AND l.data_date = DATE '2024-01-15'), "
+    "r AS (SELECT * FROM rating_key WHERE data_date = DATE '2024-01-15') "
+    "SELECT (SELECT count(*) FROM p) AS n_left, (SELECT count(*) FROM r) AS n_right, "
+    "(SELECT count(*) FROM p) AS n_merged, (SELECT count(*) FROM p) - (SELECT count(*) FROM r) AS n_diff",
+    "pd_raw", "rating_key"))
+def q_job_pd_day_reconcile(spark, d):
+    return jobs.pd_day_reconcile(spark, land_delivery(spark, d, ("pd", "pdir")), DAY, OPERATION_TIME)
+
+
+# ---------------------------------------------------------------- J3 / J14
+PD_RANGE_SQL = (
+    "WITH cur AS (SELECT company_id, data_date, operation_time, PDIR, PD_12 FROM pd_current), "
+    f"new AS (SELECT l.company_id, l.data_date, {OP_SQL} AS operation_time, COALESCE(r.pdir, 0) AS PDIR, l.PD_12 "
+    f"FROM ({LATEST_SQL}) l LEFT JOIN rating_key r ON l.company_id = r.company_id AND l.data_date = r.data_date "
+    "WHERE l.PDIR IS NOT NULL AND l.data_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-19'), "
+    "tbl AS (SELECT * FROM cur UNION ALL SELECT * FROM new), "
+    "rk AS (SELECT * FROM tbl WHERE data_date >= DATE '2024-01-05' QUALIFY row_number() OVER "
+    "(PARTITION BY company_id, data_date ORDER BY operation_time DESC) = 1), "
+    "f AS (SELECT company_id, data_date, COALESCE(NULLIF(PDIR, 0), last_value(NULLIF(PDIR, 0) IGNORE NULLS) OVER "
+    "(PARTITION BY company_id ORDER BY data_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pdir_filled "
+    "FROM rk) SELECT t.company_id, t.data_date, t.operation_time, CASE WHEN f.pdir_filled IS NOT NULL AND "
+    "(t.PDIR IS NULL OR t.PDIR = 0) AND t.data_date >= DATE '2024-01-05' THEN f.pdir_filled ELSE t.PDIR END AS PDIR, "
+    "t.PD_12 FROM tbl t LEFT JOIN f ON t.company_id = f.company_id AND t.data_date = f.data_date")
+
+
+def _pd_table(spark, d):
+    table = scratch_path(spark, "pd-table")
+    mu.with_month(fx.pd_current(spark, d)).write.mode("overwrite").partitionBy("data_month").parquet(table)
+    return table
+
+
+@register("job_pd_range", sql(PD_RANGE_SQL, "pd_raw", "pd_current", "rating_key"))
+def q_job_pd_range(spark, d):
+    root = land_delivery(spark, d, ("pd", "pdir"))
+    res = jobs.pd_range(spark, root, RANGE[0], RANGE[1], OPERATION_TIME, _pd_table(spark, d),
+                        snapshot=scratch_path(spark, "pd-snapshot"))
+    return res.select("company_id", "data_date", "operation_time", "PDIR", "PD_12")
+
+
+@register("job_daily_run", sql(PD_RANGE_SQL, "pd_raw", "pd_current", "rating_key"))
+def q_job_daily_run(spark, d):
+    root = land_delivery(spark, d, ("pd", "pdir"))
+    # the economies this delivery must contain: every economy present in the data
+    econs = [r.econ_id for r in fx.pd_raw(spark, d).select(fx.econ_of().alias("econ_id")).distinct().collect()]
+    res = jobs.daily_run(spark, root, RANGE[0], RANGE[1], OPERATION_TIME, _pd_table(spark, d), sorted(econs),
+                         scratch_path(spark, "history-log"))
+    return res.select("company_id", "data_date", "operation_time", "PDIR", "PD_12")
+
+
+# ---------------------------------------------------------------- J4 / J6 backfills
+@register("job_pd_backfill", sql(
+    f"SELECT l.data_date, CAST(l.company_id % 25 + 1 AS INT) AS econ_id, l.company_id, DATE '2024-02-01' AS "
+    f"calibration_date, {OP_SQL} AS operation_time, r.pdir AS PDIR, {', '.join('l.' + c for c in PD_COLS)} "
+    f"FROM ({LATEST_SQL}) l LEFT JOIN rating_key r ON l.company_id = r.company_id AND l.data_date = r.data_date "
+    "WHERE l.PDIR IS NOT NULL", "pd_raw", "rating_key"))
+def q_job_pd_backfill(spark, d):
+    root = scratch_path(spark, "pd-history")
+    lat = _latest(spark, d)
+    pd60 = F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.col("PD_60"))
+    rows = lat.select(fx.econ_of().alias("econ_id"),
+                      F.array(F.col("company_id").cast("double"), *_ymd(), *[F.col(c) for c in PD_COLS[:-1]],
+                              pd60).alias("values"))
+    write_matrix_shards(rows, root, "pd60h_")
+    ratings = jobs.pdir_backfill(rating_grid(spark, d))
+    return jobs.pd_backfill(spark, root, ratings, "20240201", OPERATION_TIME, scratch_path(spark, "pd-backfill"))
+
+
+@register("job_pdir_backfill", sql(
+    "SELECT CAST(data_date AS DATE) AS data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, company_id, pdir "
+    "FROM rating_key", "rating_key"))
+def q_job_pdir_backfill(spark, d):
+    grids = scratch_path(spark, "rating-grids")
+    rating_grid(spark, d).write.mode("overwrite").parquet(grids)
+    return jobs.pdir_backfill(spark.read.parquet(grids), scratch_path(spark, "pdir-backfill"))
+
+
+# ---------------------------------------------------------------- J7 PDIR2
+PDIR_CUR_SQL = ("SELECT data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, company_id, DATE '2024-02-01' AS "
+                f"calibration_date, {OLD_OP_SQL} AS operation_time, pdir FROM rating_key "
+                "WHERE data_date < DATE '2024-01-21'")
+
+
+def _pdir_current(spark, d):
+    rk = fx.rating_key(spark, d).where(F.col("data_date") < F.lit(CUTOFF))
+    return rk.select("data_date", fx.econ_of().alias("econ_id"), "company_id",
+                     F.lit(fx.CALIBRATION).alias("calibration_date"),
+                     F.lit(OLD_OP).cast("timestamp_ntz").alias("operation_time"), "pdir").transform(_pdir_schema)
+
+
+@register("job_pdir2_day", sql(
+    f"{PDIR_CUR_SQL} UNION ALL SELECT data_date, CAST(company_id % 25 + 1 AS INT), company_id, DATE '2024-02-01', "
+    f"{OP_SQL}, pdir FROM rating_key WHERE data_date = DATE '2024-01-22'", "rating_key"))
+def q_job_pdir2_day(spark, d):
+    root = land_delivery(spark, d, ("pdir",))
+    latest = scratch_path(spark, "pdir2-latest")
+    _pdir_current(spark, d).write.mode("overwrite").parquet(latest)
+    folders = jobs.folders_in_range(spark, root, NEW_DAY, NEW_DAY)
+    rows = jobs.scan_product(spark, root, folders, jobs.PDIR_SUB, "pdirNum_*", "pdir_daily")
+    cal = F.to_date(F.substring("folder", -8, 8), "yyyyMMdd")
+    batch = rs.prep_pdir_daily(rows, cal, OPERATION_TIME, econ_id=F.col("econ_id")).transform(_pdir_schema)
+    return jobs.load_day_state(spark, batch, latest, scratch_path(spark, "pdir2-1d"),
+                               scratch_path(spark, "pdir2-log"), NEW_DAY, fx.CALIBRATION, OPERATION_TIME)
+
+
+REV_FROM = dt.date(2024, 1, 15)
+PDIR_REV_SQL = ("SELECT data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, company_id, DATE '2024-02-01' AS "
+                f"calibration_date, {REV_OP_SQL} AS operation_time, least(pdir + 1, 22) AS pdir FROM rating_key "
+                "WHERE data_date >= DATE '2024-01-15'")
+
+
+@register("job_pdir2_revision", sql(
+    f"WITH cur AS ({PDIR_CUR_SQL}), rev AS ({PDIR_REV_SQL}) SELECT * FROM cur WHERE NOT EXISTS (SELECT 1 FROM rev "
+    "WHERE rev.data_date = cur.data_date AND rev.company_id = cur.company_id) UNION ALL SELECT * FROM rev",
+    "rating_key"))
+def q_job_pdir2_revision(spark, d):
+    latest = scratch_path(spark, "pdir2-latest")
+    _pdir_current(spark, d).write.mode("overwrite").parquet(latest)
+    grid = rating_grid(spark, d)
+    revised = grid.withColumn("values", F.transform("values", lambda v: F.least(v + 1, F.lit(22.0))))
+    cells = rs.melt_grid(revised, ["econ_id", F.col("date_key").alias("data_date")], "firms", "values",
+                         "company_id", "pdir")
+    cells = cells.withColumn("company_id", F.col("company_id") / 1000)
+    batch = rs.prep_pdir_revision(cells, fx.CALIBRATION, REV_OP, econ_id=F.col("econ_id"))
+    batch = batch.where(F.col("data_date") >= F.lit(REV_FROM)).transform(_pdir_schema)
+    return jobs.revise_state(spark, batch, latest, scratch_path(spark, "pdir2-incremental"),
+                             scratch_path(spark, "pdir2-log"), scratch_path(spark, "pdir2-latest-v2"),
+                             daily_path=scratch_path(spark, "pdir2-1d"), day=REV_FROM)
+
+
+# ---------------------------------------------------------------- J8 / J9 / J10 AS
+AS_CUR_SQL = (f"SELECT data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, company_id, DATE '2024-02-01' AS "
+              f"calibration_date, {OLD_OP_SQL} AS operation_time, "
+              + ", ".join(f"PD_{12 * i} AS cdsvalue{i}" for i in range(1, 6))
+              + f" FROM ({LATEST_SQL}) l WHERE PDIR IS NOT NULL AND data_date < DATE '2024-01-21'")
+
+
+def _as_current(spark, d):
+    lat = _latest(spark, d).where(F.col("PDIR").isNotNull() & (F.col("data_date") < F.lit(CUTOFF)))
+    return lat.select("data_date", fx.econ_of().alias("econ_id"), "company_id",
+                      F.lit(fx.CALIBRATION).alias("calibration_date"),
+                      F.lit(OLD_OP).cast("timestamp_ntz").alias("operation_time"),
+                      *[F.col(f"PD_{12 * i}").alias(c) for i, c in enumerate(AS_COLS, 1)]).transform(_as_schema)
+
+
+@register("job_as_day", sql(
+    f"{AS_CUR_SQL} UNION ALL SELECT data_date, CAST(company_id % 25 + 1 AS INT), company_id, DATE '2024-02-01', "
+    f"{OP_SQL}, " + ", ".join(f"PD_{12 * i}" for i in range(1, 6))
+    + f" FROM ({LATEST_SQL}) l WHERE PDIR IS NOT NULL AND data_date = DATE '2024-01-22'", "pd_raw"))
+def q_job_as_day(spark, d):
+    root = land_delivery(spark, d, ("as",))
+    latest = scratch_path(spark, "as-latest")
+    _as_current(spark, d).write.mode("overwrite").parquet(latest)
+    folders = jobs.folders_in_range(spark, root, NEW_DAY, NEW_DAY)
+    batch = jobs.as_day_batch(spark, root, folders, OPERATION_TIME).transform(_as_schema)
+    return jobs.load_day_state(spark, batch, latest, scratch_path(spark, "as-1d"), scratch_path(spark, "as-log"),
+                               NEW_DAY, fx.CALIBRATION, OPERATION_TIME)
+
+
+def land_as_csv(spark, d, factor=2.0, since=REV_FROM):
+    """Revision CSV shards ``<root>/econ=<id>/*.csv`` (Date, U3_ID, Y1..Y5)."""
+    root = scratch_path(spark, "as-revision-csv")
+    lat = _latest(spark, d).where(F.col("data_date") >= F.lit(since))
+    rows = lat.select(F.col("data_date").cast("string").alias("Date"), F.col("company_id").alias("U3_ID"),
+                      *[(F.col(f"PD_{12 * i}") * factor).alias(f"Y{i}") for i in range(1, 5)],
+                      F.when(F.col("PDIR").isNull(), F.lit(None).cast("double"))
+                      .otherwise(F.col("PD_60") * factor).alias("Y5"),
+                      fx.econ_of().alias("econ"))
+    rows.write.mode("overwrite").option("header", True).partitionBy("econ").csv(root)
+    return root
+
+
+AS_REV_SQL = (f"SELECT data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, company_id, DATE '2024-02-01' AS "
+              f"calibration_date, {REV_OP_SQL} AS operation_time, "
+              + ", ".join(f"PD_{12 * i} * 2.0 AS cdsvalue{i}" for i in range(1, 5))
+              + ", CASE WHEN PDIR IS NULL THEN NULL ELSE PD_60 * 2.0 END AS cdsvalue5 "
+              f"FROM ({LATEST_SQL}) l WHERE data_date >= DATE '2024-01-15'")
+
+
+@register("job_as_revision", sql(
+    f"WITH cur AS ({AS_CUR_SQL}), rev AS ({AS_REV_SQL}) SELECT * FROM cur WHERE NOT EXISTS (SELECT 1 FROM rev "
+    "WHERE rev.data_date = cur.data_date AND rev.company_id = cur.company_id) UNION ALL SELECT * FROM rev",
+    "pd_raw", "operation_log"))
+def q_job_as_revision(spark, d):
+    latest = scratch_path(spark, "as-latest")
+    _as_current(spark, d).write.mode("overwrite").parquet(latest)
+    log = fx.operation_log(spark, d)
+    guard = mu.guard_revision(log, REV_FROM)
+    if guard.first()[0] == 1:
+        return spark.read.parquet(latest)
+    cal = jobs.revision_calibration(log, REV_FROM).first()[0]  # one scalar from the log
+    batch = jobs.as_file_batch(spark, land_as_csv(spark, d), cal, REV_OP).transform(_as_schema)
+    return jobs.revise_state(spark, batch, latest, scratch_path(spark, "as-incremental"),
+                             scratch_path(spark, "as-log"), scratch_path(spark, "as-latest-v2"),
+                             daily_path=scratch_path(spark, "as-1d"), day=REV_FROM)
+
+
+@register("job_as_backfill", sql(
+    f"SELECT data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, company_id, DATE '2024-02-01' AS calibration_date, "
+    f"{OP_SQL} AS operation_time, " + ", ".join(f"PD_{12 * i} AS cdsvalue{i}" for i in range(1, 5))
+    + ", CASE WHEN PDIR IS NULL THEN NULL ELSE PD_60 END AS cdsvalue5 FROM pd_raw", "pd_raw"))
+def q_job_as_backfill(spark, d):
+    root = scratch_path(spark, "as-history-csv")
+    raw = fx.pd_raw(spark, d)
+    raw.select(F.col("data_date").cast("string").alias("Date"), F.col("company_id").alias("U3_ID"),
+               *[F.col(f"PD_{12 * i}").alias(f"Y{i}") for i in range(1, 5)],
+               F.when(F.col("PDIR").isNull(), F.lit(None).cast("double")).otherwise(F.col("PD_60")).alias("Y5"),
+               fx.econ_of().alias("econ")).write.mode("overwrite").option("header", True).partitionBy("econ").csv(root)
+    return jobs.as_backfill(spark, root, scratch_path(spark, "as-backfill"), scratch_path(spark, "as-rejects"),
+                            fx.CALIBRATION, OPERATION_TIME)
+
+
+# ---------------------------------------------------------------- J11 / J12 credit events
+EVENTS_SQL = ("SELECT default_date, company_id, default_type, event_id, CAST(NULL AS VARCHAR) AS additional_comments "
+              "FROM credit_events_raw")
+
+
+def _event_values(ev, daily=False):
+    ds = F.date_format("default_date", "yyyyMMdd").cast("double")
+    vals = [F.col("company_id").cast("double"), ds, F.col("event_id").cast("double")]
+    if daily:
+        vals.append(F.lit(0.0))
+    vals += [F.col("default_type").cast("double"), ds, F.col("event_id").cast("double")]
+    return F.array(*vals)
+
+
+@register("job_events_full", sql(EVENTS_SQL, "credit_events_raw"))
+def q_job_events_full(spark, d):
+    root = scratch_path(spark, "events-history")
+    ev = fx.credit_events_raw(spark, d)
+    rows = ev.select((F.col("company_id") % 4 + 1).alias("region"), _event_values(ev).alias("values"))
+    write_matrix_shards(rows, root, "CreditEvent_", key="region")
+    return jobs.events_full(spark, root, scratch_path(spark, "events-table"))
+
+
+EV_FROM, EV_TO = dt.date(1995, 7, 1), dt.date(1998, 12, 31)
+EVENTS_DAILY_SQL = (
+    "WITH cur AS (SELECT default_date, company_id, default_type, event_id, CAST(NULL AS VARCHAR) AS "
+    "additional_comments FROM credit_events_raw WHERE default_date < DATE '1996-01-01'), "
+    "bat AS (SELECT DISTINCT default_date, company_id, default_type, event_id, CAST(NULL AS VARCHAR) AS "
+    "additional_comments FROM credit_events_raw WHERE CAST(date_trunc('month', default_date) AS DATE) BETWEEN "
+    "DATE '1995-07-01' AND DATE '1998-12-31' AND isodow(CAST(date_trunc('month', default_date) AS DATE)) <= 5) "
+    "SELECT * FROM cur WHERE NOT EXISTS (SELECT 1 FROM bat WHERE bat.company_id = cur.company_id AND "
+    "bat.default_date = cur.default_date AND bat.default_type = cur.default_type AND bat.event_id = cur.event_id) "
+    "UNION ALL SELECT * FROM bat")
+
+
+@register("job_events_daily", sql(EVENTS_DAILY_SQL, "credit_events_raw"))
+def q_job_events_daily(spark, d):
+    root = scratch_path(spark, "events-delivery")
+    ev = fx.credit_events_raw(spark, d)
+    folder = F.concat(F.date_format(F.trunc("default_date", "month"), "yyyyMMdd"),
+                      F.lit("_cali_20240201/Products/CompanyFlow"))
+    rows = ev.select((F.col("company_id") % 4 + 1).alias("region"), folder.alias("folder"),
+                     _event_values(ev, daily=True).alias("values"))
+    write_matrix_shards(rows, root, "NewCreditEvent_Region_", key="region", folder="folder")
+    table = scratch_path(spark, "events-table")
+    (ev.where(F.col("default_date") < F.lit(dt.date(1996, 1, 1)))
+     .select("default_date", "company_id", "default_type", "event_id",
+             F.lit(None).cast("string").alias("additional_comments"))
+     .write.mode("overwrite").parquet(table))
+    return jobs.events_daily(spark, root, EV_FROM, EV_TO, table, scratch_path(spark, "events-table-v2"))
+
+
+# ---------------------------------------------------------------- J13 exclusions
+EXCL_SINCE = dt.date(2024, 1, 10)
+
+
+@register("job_exclusions", sql(
+    "WITH cur AS (SELECT CAST(NULL AS VARCHAR) AS region, company_id, CAST(NULL AS BIGINT) AS country_id, ticker, "
+    "CAST(NULL AS VARCHAR) AS company_name, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS remark, "
+    "start_date, end_date, CAST(NULL AS DATE) AS error_found_date, CAST(NULL AS VARCHAR) AS sql_query, "
+    "CAST(NULL AS VARCHAR) AS stop_reason, CAST(NULL AS VARCHAR) AS internal_remarks FROM excluded_companies), "
+    "reg AS (SELECT r_name AS region, e.company_id, CAST(NULL AS BIGINT) AS country_id, e.ticker, "
+    "e.ticker AS company_name, CASE WHEN e.end_date IS NULL THEN 'open' END AS reason, 'updated' AS remark, "
+    "e.start_date, e.end_date, CAST(NULL AS DATE) AS error_found_date, CAST(NULL AS VARCHAR) AS sql_query, "
+    "CAST(NULL AS VARCHAR) AS stop_reason, CAST(NULL AS VARCHAR) AS internal_remarks FROM excluded_companies e "
+    "JOIN customer c ON c.c_custkey = e.company_id JOIN nation ON c_nationkey = n_nationkey "
+    "JOIN region ON n_regionkey = r_regionkey WHERE e.start_date >= DATE '2024-01-10' "
+    "OR e.end_date >= DATE '2024-01-10') "
+    "SELECT * FROM cur WHERE NOT EXISTS (SELECT 1 FROM reg WHERE reg.ticker = cur.ticker AND "
+    "reg.start_date = cur.start_date) UNION ALL SELECT * FROM reg", "excluded_companies"))
+def q_job_exclusions(spark, d):
+    from riskloom.plans.q_sources import registry_sheet
+    from riskloom.schemas import EXCLUDED_COMPANIES
+    reg_path = scratch_path(spark, "registry")
+    registry_sheet(spark, d).withColumn("rm", F.lit("updated")).write.mode("overwrite").option("header", True) \
+        .csv(reg_path)
+    table = scratch_path(spark, "exclusions")
+    ex = fx.excluded_companies(spark, d)
+    cur = ex.select(F.lit(None).cast("string").alias("region"), "company_id",
+                    F.lit(None).cast("bigint").alias("country_id"), "ticker",
+                    *[F.lit(None).cast("string").alias(c) for c in ("company_name", "reason", "remark")],
+                    "start_date", "end_date", F.lit(None).cast("date").alias("error_found_date"),
+                    *[F.lit(None).cast("string").alias(c) for c in ("sql_query", "stop_reason", "internal_remarks")])
+    cur.to(EXCLUDED_COMPANIES).write.mode("overwrite").parquet(table)
+    return jobs.exclusions_load(spark, reg_path, EXCL_SINCE, table, scratch_path(spark, "exclusions-v2"))
+
+
+# ---------------------------------------------------------------- J15 users
+def _user_sql():
+    from riskloom.schemas import USER_BOOL_FIELDS, USER_DEFAULTS, USER_JSON_FIELDS
+    given = {"Email": "email", "Industry": "industry"}
+    cols = []
+    for src, dst in USER_JSON_FIELDS.items():
+        if src == "BudaAccess":
+            cols.append(f"COALESCE(upper(buda_access) = 'Y', false) AS {dst}")
+        elif src in USER_BOOL_FIELDS:
+            cols.append(f"false AS {dst}")
+        elif src in given:
+            cols.append(f"{given[src]} AS {dst}")
+        elif dst in USER_DEFAULTS:
+            cols.append(f"'{USER_DEFAULTS[dst]}' AS {dst}")
+        else:
+            cols.append(f"CAST(NULL AS VARCHAR) AS {dst}")
+    cols += ["true AS dashboard_access", "CAST(NULL AS TIMESTAMP) AS last_login"]
+    return "SELECT " + ", ".join(cols) + " FROM users_flat"
+
+
+@register("job_user_load", sql(_user_sql(), "users_flat"))
+def q_job_user_load(spark, d):
+    from riskloom.plans.q_sources import USER_JSON_SCHEMA, land_users_json
+    from riskloom.sources.readers import read_json_records
+    users = read_json_records(spark, land_users_json(spark, d), USER_JSON_SCHEMA)
+    table = scratch_path(spark, "users")
+    jobs.user_load(spark, users.where(F.col("BudaAccess") == "Y"), table)   # users migrated earlier
+    res = jobs.user_load(spark, users, table)
+    return res.drop("id")
+
+
+# ---------------------------------------------------------------- K1 streaming ingest
+@register("stream_ingest_latest", sql(LATEST_SQL, "pd_raw"))
+def q_stream_ingest_latest(spark, d):
+    from riskloom.streaming.ingest import ingest_available, latest_view
+    src = scratch_path(spark, "landing")
+    raw = fx.pd_raw(spark, d)
+    # three deliveries, the middle one re-sent (a replayed file is a no-op)
+    parts = [raw.where(F.col("data_date") < F.lit(dt.date(2024, 1, 11))),
+             raw.where((F.col("data_date") >= F.lit(dt.date(2024, 1, 11)))
+                       & (F.col("data_date") < F.lit(dt.date(2024, 1, 21)))),
+             raw.where(F.col("data_date") >= F.lit(dt.date(2024, 1, 21)))]
+    table = scratch_path(spark, "stream-table")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    for p in parts:
+        p.write.mode("append").parquet(src)            # a new delivery lands
+        ingest_available(spark, src, raw.schema, table, ckpt)
+    parts[1].write.mode("append").parquet(src)         # the same delivery re-sent
+    ingest_available(spark, src, raw.schema, table, ckpt)
+    return latest_view(spark, table)
+
+
+_ = (PD_TABLE,)

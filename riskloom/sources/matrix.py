@@ -78,7 +78,7 @@ def _decode_batches(decoder: Decoder, variables, transpose: bool):
     return run
 
 
-def scan_matrix(spark: SparkSession, root: str, glob: str = "*", decoder: Decoder = decode_numpy,
+def scan_matrix(spark: SparkSession, root: str | Sequence[str], glob: str = "*", decoder: Decoder = decode_numpy,
                 variables: Sequence[str] | None = None, transpose: bool = False,
                 keep_errors: bool = False) -> DataFrame:
     """Rows of every matrix file under ``root`` matching ``glob``:
@@ -86,7 +86,8 @@ def scan_matrix(spark: SparkSession, root: str, glob: str = "*", decoder: Decode
     from riskloom.session import ship_package
     ship_package(spark)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(root).select("path", "content"))
+             .option("recursiveFileLookup", "true")
+             .load(list(root) if isinstance(root, (list, tuple)) else root).select("path", "content"))
     rows = files.mapInPandas(_decode_batches(decoder, variables, transpose), MATRIX_SCHEMA)
     rows = rows.withColumn("file_name", F.regexp_extract("path", r"([^/]+)$", 1))
     if not keep_errors:
@@ -102,7 +103,7 @@ def _filesystem(path: str):
     return pafs.FileSystem.from_uri(path)
 
 
-def _writer(out_dir: str, prefix: str, key: str):
+def _writer(out_dir: str, prefix: str, key: str, folder: str | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         ctx = TaskContext.get()
@@ -112,38 +113,43 @@ def _writer(out_dir: str, prefix: str, key: str):
             return
         pdf = pd.concat(frames, ignore_index=True)
         fs, base = _filesystem(out_dir)
-        fs.create_dir(base, recursive=True)
         out = []
-        for k, g in pdf.groupby(key, sort=True):
+        group_cols = [folder, key] if folder else [key]
+        for gk, g in pdf.groupby(group_cols, sort=True):
+            gk = gk if isinstance(gk, tuple) else (gk,)
+            sub = f"{base}/{gk[0]}" if folder else base
+            k = gk[-1]
+            fs.create_dir(sub, recursive=True)
             m = np.vstack(g["values"].to_numpy()) if len(g) else np.zeros((0, 0))
             name = f"{prefix}{int(k)}.p{part:05d}.npy"
-            tmp = f"{base}/.{name}.{uuid.uuid4().hex}.tmp"
+            tmp = f"{sub}/.{name}.{uuid.uuid4().hex}.tmp"
             buf = io.BytesIO()
             np.save(buf, m.astype("float64"), allow_pickle=False)
             with fs.open_output_stream(tmp) as fh:
                 fh.write(buf.getvalue())
-            fs.move(tmp, f"{base}/{name}")  # a retried task replaces its own file
-            out.append((f"{out_dir.rstrip('/')}/{name}", int(k), len(g)))
+            fs.move(tmp, f"{sub}/{name}")  # a retried task replaces its own file
+            rel = f"{gk[0]}/{name}" if folder else name
+            out.append((f"{out_dir.rstrip('/')}/{rel}", int(k), len(g)))
         yield pd.DataFrame(out, columns=["path", key, "n_rows"])
     return run
 
 
 def write_matrix_shards(rows: DataFrame, out_dir: str, prefix: str, key: str = "econ_id",
-                        num_partitions: int | None = None) -> DataFrame:
-    """Land (key, values) rows as ``{prefix}{key}.p{partition}.npy`` files,
-    one per key and task, so no file holds more than one partition's rows
-    even when one economy dominates.  The (path, key, n_rows) manifest is
-    written next to the folder (``<out_dir>_manifest``) and returned as a
-    DataFrame.  Deterministic names make a retried task overwrite its own
-    output instead of duplicating it."""
+                        num_partitions: int | None = None, folder: str | None = None) -> DataFrame:
+    """Land (key, values) rows as ``[<folder>/]{prefix}{key}.p{partition}.npy``
+    files, one per (folder, key) and task, so no file holds more than one
+    partition's rows even when one economy dominates.  The (path, key,
+    n_rows) manifest is written next to the folder (``<out_dir>_manifest``)
+    and returned as a DataFrame.  Deterministic names make a retried task
+    overwrite its own output instead of duplicating it."""
     from riskloom.session import ship_package
     spark = rows.sparkSession
     ship_package(spark)
-    src = rows.select(key, "values")
+    src = rows.select(*([folder] if folder else []), key, "values")
     if num_partitions:
         src = src.repartition(num_partitions, key)
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField(key, T.LongType()),
                            T.StructField("n_rows", T.LongType())])
     manifest_path = out_dir.rstrip("/") + "_manifest"
-    src.mapInPandas(_writer(out_dir, prefix, key), schema).write.mode("overwrite").parquet(manifest_path)
+    src.mapInPandas(_writer(out_dir, prefix, key, folder), schema).write.mode("overwrite").parquet(manifest_path)
     return spark.read.parquet(manifest_path)
