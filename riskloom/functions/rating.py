@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from riskloom.schemas import RATING_DEFAULT, RATING_LEVELS, RATING_THRESHOLDS
 
 
-def rating_grade(value: Column | str, round_dp: int | None = 12) -> Column:
+def rating_grade(value: Column | str, round_dp: int | None = None) -> Column:
     """Grade 22..1 of a mean PD: the level of the first (largest) threshold
     the value reaches; a missing value counts as 0.0, a value below every
     threshold gets the default grade.
 
-    ``round_dp`` rounds the value first so that a mean differing in the last
-    bit between engines cannot flip a grade at a boundary.
+    The value is graded exactly, as the reference does; ``round_dp`` can
+    round it first when two engines' means may differ in the last bit.
     """
     v = F.col(value) if isinstance(value, str) else value
     v = F.coalesce(F.nanvl(v, F.lit(None).cast("double")), F.lit(0.0))
@@ -27,7 +27,7 @@ def rating_grade(value: Column | str, round_dp: int | None = 12) -> Column:
     return expr.otherwise(F.lit(RATING_DEFAULT))
 
 
-def rating_grade_sql(value_sql: str, round_dp: int | None = 12) -> str:
+def rating_grade_sql(value_sql: str, round_dp: int | None = None) -> str:
     """The same rule as SQL text (used by the DuckDB oracle)."""
     v = f"coalesce(CASE WHEN isnan({value_sql}) THEN NULL ELSE {value_sql} END, 0.0)"
     if round_dp is not None:
