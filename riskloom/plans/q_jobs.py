@@ -165,8 +165,14 @@ def q_job_pd_range(spark, d):
 @register("job_daily_run", sql(PD_RANGE_SQL, "pd_raw", "pd_current", "rating_key"))
 def q_job_daily_run(spark, d):
     root = land_delivery(spark, d, ("pd", "pdir"))
-    # the economies this delivery must contain: every economy present in the data
-    econs = [r.econ_id for r in fx.pd_raw(spark, d).select(fx.econ_of().alias("econ_id")).distinct().collect()]
+    # the economies every delivery in range must contain: those delivering on each trading day
+    # (a list bounded by the number of economies)
+    lat = _latest(spark, d).where(F.col("PDIR").isNotNull()
+                                  & F.col("data_date").between(F.lit(RANGE[0]), F.lit(RANGE[1]))
+                                  & (F.weekday("data_date") < 5))
+    per_econ = lat.groupBy(fx.econ_of().alias("econ_id")).agg(F.countDistinct("data_date").alias("n"))
+    n_days = lat.select("data_date").distinct().count()
+    econs = [r.econ_id for r in per_econ.where(F.col("n") == n_days).select("econ_id").collect()]
     res = jobs.daily_run(spark, root, RANGE[0], RANGE[1], OPERATION_TIME, _pd_table(spark, d), sorted(econs),
                          scratch_path(spark, "history-log"))
     return res.select("company_id", "data_date", "operation_time", "PDIR", "PD_12")
