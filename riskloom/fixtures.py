@@ -40,16 +40,18 @@ def pdir_expr(event_type="event_type", event_id="event_id"):
             .otherwise((F.lit(1) + F.col(event_id) % 21).cast("double")))
 
 
+PD_RAW_EXPRS = (
+    ["user_id AS company_id", "CAST(ts AS DATE) AS data_date", "DATE'2024-02-01' AS calibration_date",
+     "ts AS operation_time",
+     "CASE WHEN event_type = 'error' THEN CAST(NULL AS DOUBLE) WHEN event_type = 'view' THEN 0.0D "
+     "ELSE CAST(1 + event_id % 21 AS DOUBLE) END AS PDIR"]
+    + [f"value * {i} / 3e4 AS {c}" for i, c in enumerate(PD_COLS, 1)]
+)
+
+
 def pd_raw(spark, sf_dir) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        F.col("user_id").alias("company_id"),
-        F.col("ts").cast("date").alias("data_date"),
-        F.lit(CALIBRATION).alias("calibration_date"),
-        F.col("ts").alias("operation_time"),
-        pdir_expr().alias("PDIR"),
-        *[(F.col("value") * i / F.lit(PD_SCALE)).alias(c) for i, c in enumerate(PD_COLS, 1)],
-    )
+    """One version row per event: the company's 60-horizon PD panel."""
+    return table(spark, sf_dir, "events").selectExpr(*PD_RAW_EXPRS)
 
 
 def pd_current(spark, sf_dir) -> DataFrame:
@@ -171,23 +173,18 @@ def pd_matrix_named(spark, sf_dir) -> DataFrame:
     """The daily pd60h matrix rows as the source delivers them: doubles only,
     date split into yyyy/mm/dd, NaN for a missing PD (PD_60 of rows whose
     rating is missing)."""
-    raw = pd_raw(spark, sf_dir)
-    nan = F.lit(float("nan"))
-    return raw.select(
-        econ_of().alias("econ_id"),
-        F.col("company_id").cast("double").alias("company_id"),
-        F.year("data_date").cast("double").alias("yyyy"),
-        F.month("data_date").cast("double").alias("mm"),
-        F.dayofmonth("data_date").cast("double").alias("dd"),
-        *[F.col(c) for c in PD_COLS[:-1]],
-        F.when(F.col("PDIR").isNull(), nan).otherwise(F.col(PD_COLS[-1])).alias(PD_COLS[-1]),
-    )
+    return pd_raw(spark, sf_dir).selectExpr(
+        "CAST(company_id % 25 + 1 AS INT) AS econ_id", "CAST(company_id AS DOUBLE) AS company_id",
+        "CAST(year(data_date) AS DOUBLE) AS yyyy", "CAST(month(data_date) AS DOUBLE) AS mm",
+        "CAST(day(data_date) AS DOUBLE) AS dd", *PD_COLS[:-1],
+        f"CASE WHEN PDIR IS NULL THEN CAST('NaN' AS DOUBLE) ELSE {PD_COLS[-1]} END AS {PD_COLS[-1]}")
 
 
 def pd_matrix_rows(spark, sf_dir) -> DataFrame:
     """Unnamed form of ``pd_matrix_named``: (econ_id, values array<double>)."""
     named = pd_matrix_named(spark, sf_dir)
-    return named.select("econ_id", F.array(*[c for c in named.columns if c != "econ_id"]).alias("values"))
+    cols = [c for c in named.columns if c != "econ_id"]
+    return named.selectExpr("econ_id", f"array({', '.join(cols)}) AS values")
 
 
 VIEWS = {

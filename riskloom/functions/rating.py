@@ -16,8 +16,9 @@ def rating_grade(value: Column | str, round_dp: int | None = None) -> Column:
     The value is graded exactly, as the reference does; ``round_dp`` can
     round it first when two engines' means may differ in the last bit.
     """
-    v = F.col(value) if isinstance(value, str) else value
-    v = F.coalesce(F.nanvl(v, F.lit(None).cast("double")), F.lit(0.0))
+    if isinstance(value, str):
+        return F.expr(rating_grade_sql("`" + value + "`", round_dp, spark_sql=True))
+    v = F.coalesce(F.nanvl(value, F.lit(None).cast("double")), F.lit(0.0))
     if round_dp is not None:
         v = F.round(v, round_dp)
     expr = None
@@ -27,10 +28,12 @@ def rating_grade(value: Column | str, round_dp: int | None = None) -> Column:
     return expr.otherwise(F.lit(RATING_DEFAULT))
 
 
-def rating_grade_sql(value_sql: str, round_dp: int | None = None) -> str:
-    """The same rule as SQL text (used by the DuckDB oracle)."""
-    v = f"coalesce(CASE WHEN isnan({value_sql}) THEN NULL ELSE {value_sql} END, 0.0)"
+def rating_grade_sql(value_sql: str, round_dp: int | None = None, spark_sql: bool = False) -> str:
+    """The same rule as SQL text (Spark SQL, or DuckDB for the oracle)."""
+    nan_free = f"CASE WHEN isnan({value_sql}) THEN NULL ELSE {value_sql} END"
+    v = f"coalesce({nan_free}, {'0.0D' if spark_sql else '0.0'})"
     if round_dp is not None:
         v = f"round({v}, {round_dp})"
-    whens = " ".join(f"WHEN {v} >= {t!r} THEN {lvl}" for t, lvl in zip(RATING_THRESHOLDS, RATING_LEVELS))
+    lit = (lambda t: f"{float(t)!r}D") if spark_sql else (lambda t: repr(t))
+    whens = " ".join(f"WHEN {v} >= {lit(t)} THEN {lvl}" for t, lvl in zip(RATING_THRESHOLDS, RATING_LEVELS))
     return f"(CASE {whens} ELSE {RATING_DEFAULT} END)"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions.expr import q
 from riskloom.schemas import ACTION_REVISION
 
 
@@ -54,11 +55,11 @@ def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     types = {f.name: f.dataType for f in df.schema.fields}
     aggs = []
     for c in cols:
-        miss = F.col(c).isNull()
+        miss = f"{q(c)} IS NULL"
         if isinstance(types[c], (T.DoubleType, T.FloatType)):
-            miss = miss | F.isnan(F.col(c))
-        aggs.append(F.count(F.when(miss, 1)).alias(c))
-    wide = df.agg(*aggs)
+            miss += f" OR isnan({q(c)})"
+        aggs.append(f"count(CASE WHEN {miss} THEN 1 END) AS {q(c)}")
+    wide = df.selectExpr(*aggs)
     return wide.unpivot([], cols, "column_name", "n_missing")
 
 

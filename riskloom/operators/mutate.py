@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions.expr import select_names
 from riskloom.operators.filters import filter_lookback
 from riskloom.operators.joins import update_from_join
 from riskloom.operators.windows import forward_fill_rating, latest_version
@@ -44,7 +45,7 @@ def dedupe_incoming(incoming: DataFrame, keys: Sequence[str], version: str | Non
 
 def replace_all(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """Delete everything, insert the batch."""
-    return incoming.select(*current.columns)
+    return select_names(incoming, current.columns)
 
 
 def delete_insert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
@@ -69,14 +70,14 @@ def delete_insert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     if min_date is not None:
         # rows matched but older than the guard are not deleted
         keep = keep.unionByName(hit.where(F.col(date_col) < F.lit(min_date)))
-    return keep.unionByName(incoming.select(*current.columns))
+    return keep.unionByName(select_names(incoming, current.columns))
 
 
 def insert_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
                   version: str | None = "operation_time") -> DataFrame:
     """Rows whose key exists are skipped; the batch is de-duplicated first."""
     keys = list(keys)
-    new = dedupe_incoming(incoming.select(*current.columns), keys, version)
+    new = dedupe_incoming(select_names(incoming, current.columns), keys, version)
     return current.unionByName(new.join(current.select(*keys), keys, "left_anti"))
 
 
@@ -84,7 +85,7 @@ def inserted_rows(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
                   version: str | None = "operation_time") -> DataFrame:
     """Only the rows insert-ignore would add (what an append writes)."""
     keys = list(keys)
-    new = dedupe_incoming(incoming.select(*current.columns), keys, version)
+    new = dedupe_incoming(select_names(incoming, current.columns), keys, version)
     return new.join(current.select(*keys), keys, "left_anti")
 
 
@@ -93,7 +94,7 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     """``INSERT ... ON DUPLICATE KEY UPDATE``: batch rows replace current rows
     with the same key, new keys are added."""
     keys = list(keys)
-    new = dedupe_incoming(incoming.select(*current.columns), keys, version)
+    new = dedupe_incoming(select_names(incoming, current.columns), keys, version)
     return current.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 

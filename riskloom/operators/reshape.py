@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.clean import nan_to_null
+from riskloom.functions.expr import q
 from riskloom.functions.dates import date_from_parts_coerce, date_from_yyyymmdd
 from riskloom.operators.filters import filter_any_missing, filter_missing_value
 from riskloom.schemas import (ALL_SENTINEL, AS_COLS, AS_CSV_COLS, EXCLUSION_FILL, LAYOUTS, OPEN_END_TEXT,
@@ -40,6 +41,8 @@ def name_positional(df: DataFrame, names: Sequence[str] | str, values: str = "va
         bad = F.when(F.size(arr) != n, F.raise_error(
             F.concat(F.lit(f"matrix row width != {n}: "), F.size(arr).cast("string"))))
         df = df.where(bad.isNull())
+    if all(isinstance(k, str) for k in keep):
+        return df.selectExpr(*[q(k) for k in keep], *[f"{q(values)}[{i}] AS {q(c)}" for i, c in enumerate(names)])
     return df.select(*keep, *[F.col(values)[i].alias(c) for i, c in enumerate(names)])
 
 
@@ -95,15 +98,11 @@ def transpose_grid(cells: DataFrame, keep: Sequence[str], row_key: str, col_key:
 # --------------------------------------------------------------------------
 def website_projection(panel: DataFrame, updated_at: dt.datetime | Column | None = None) -> DataFrame:
     upd = F.current_timestamp() if updated_at is None else _lit(updated_at)
-    return panel.select(
-        F.col("company_id").alias("CompanyID"),
-        F.col("data_date").alias("DTDate"),
-        F.col("data_date").alias("FSDate"),
-        *[F.col(f"PD_{h}").alias(f"DFT{i}") for i, h in enumerate(WEBSITE_HORIZONS, 1)],
-        F.col("region_id").alias("RegionFlag"),
-        F.lit(0).alias("Draft"),
-        upd.alias("Updated"),
-    )
+    return panel.selectExpr(
+        "company_id AS CompanyID", "data_date AS DTDate", "data_date AS FSDate",
+        *[f"PD_{h} AS DFT{i}" for i, h in enumerate(WEBSITE_HORIZONS, 1)],
+        "region_id AS RegionFlag", "0 AS Draft",
+    ).withColumn("Updated", upd)
 
 
 # --------------------------------------------------------------------------
@@ -136,75 +135,74 @@ def _stamp(calibration_date, operation_time):
     return _lit(cal, "date"), _lit(operation_time, "timestamp_ntz")
 
 
+def _prepared(r: DataFrame, specials: dict, metrics: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Computed key/stamp columns first, then the metrics and kept columns,
+    projected by name in one call."""
+    tmp = {f"__{k}": v for k, v in specials.items()}
+    r = r.withColumns(tmp)
+    return r.selectExpr(*[f"{q('__' + k)} AS {q(k)}" for k in specials], *[q(m) for m in metrics],
+                        *[q(k) for k in keep])
+
+
 def prep_pd_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     """pd60h rows -> (data_date, econ_id, company_id, calibration_date,
     operation_time, PD_1..PD_60); rows with any missing PD are dropped."""
     cal, op = _stamp(calibration_date, operation_time)
     r = filter_any_missing(rows, PD_COLS)
-    return r.select(
-        date_from_parts_coerce("yyyy", "mm", "dd").alias("data_date"),
-        _lit(econ_id, "int").alias("econ_id"),
-        F.col("company_id").cast("bigint").alias("company_id"),
-        cal.alias("calibration_date"), op.alias("operation_time"),
-        *[F.col(c) for c in PD_COLS], *keep)
+    return _prepared(r, {"data_date": date_from_parts_coerce("yyyy", "mm", "dd"),
+                         "econ_id": _lit(econ_id, "int"),
+                         "company_id": F.col("company_id").cast("bigint"),
+                         "calibration_date": cal, "operation_time": op}, PD_COLS, keep)
 
 
 def prep_pd_revision(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     """Transposed revision rows (company_id x1000, yyyymmdd, PD_1..PD_60)."""
     cal, op = _stamp(calibration_date, operation_time)
     r = filter_any_missing(rows, PD_COLS)
-    return r.select(
-        date_from_yyyymmdd("data_date").alias("data_date"),
-        _lit(econ_id, "int").alias("econ_id"),
-        (F.col("company_id") / 1000).cast("bigint").alias("company_id"),
-        cal.alias("calibration_date"), op.alias("operation_time"),
-        *[F.col(c) for c in PD_COLS], *keep)
+    return _prepared(r, {"data_date": date_from_yyyymmdd("data_date"),
+                         "econ_id": _lit(econ_id, "int"),
+                         "company_id": (F.col("company_id") / 1000).cast("bigint"),
+                         "calibration_date": cal, "operation_time": op}, PD_COLS, keep)
 
 
 def prep_as_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     cal, op = _stamp(calibration_date, operation_time)
     r = filter_any_missing(rows, AS_COLS)
-    return r.select(
-        date_from_parts_coerce("yyyy", "mm", "dd").alias("data_date"),
-        _lit(econ_id, "int").alias("econ_id"),
-        F.col("company_id").cast("bigint").alias("company_id"),
-        cal.alias("calibration_date"), op.alias("operation_time"),
-        *[F.col(c) for c in AS_COLS], *keep)
+    return _prepared(r, {"data_date": date_from_parts_coerce("yyyy", "mm", "dd"),
+                         "econ_id": _lit(econ_id, "int"),
+                         "company_id": F.col("company_id").cast("bigint"),
+                         "calibration_date": cal, "operation_time": op}, AS_COLS, keep)
 
 
 def prep_as_file(csv_rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     """AS CSV rows (Date, U3_ID, Y1..Y5): no row is dropped; metrics keep
     NULL; ``Y1..Y5`` are the canonical ``cdsvalue1..5``."""
     cal, op = _stamp(calibration_date, operation_time)
-    return csv_rows.select(
-        F.col("Date").cast("date").alias("data_date"),
-        _lit(econ_id, "int").alias("econ_id"),
-        F.col("U3_ID").cast("bigint").alias("company_id"),
-        cal.alias("calibration_date"), op.alias("operation_time"),
-        *[nan_to_null(F.col(y).cast("double")).alias(c) for y, c in zip(AS_CSV_COLS, AS_COLS)], *keep)
+    specials = {"data_date": F.col("Date").cast("date"), "econ_id": _lit(econ_id, "int"),
+                "company_id": F.col("U3_ID").cast("bigint"), "calibration_date": cal, "operation_time": op}
+    specials.update({c: nan_to_null(F.col(y).cast("double")) for y, c in zip(AS_CSV_COLS, AS_COLS)})
+    return _prepared(csv_rows, specials, [], keep)
 
 
 def prep_pdir_daily(rows: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     cal, op = _stamp(calibration_date, operation_time)
     r = filter_missing_value(rows, "pdir")
-    return r.select(
-        date_from_parts_coerce("yyyy", "mm", "dd").alias("data_date"),
-        _lit(econ_id, "int").alias("econ_id"),
-        F.col("company_id").cast("bigint").alias("company_id"),
-        cal.alias("calibration_date"), op.alias("operation_time"),
-        F.col("pdir").cast("double").alias("pdir"), *keep)
+    return _prepared(r, {"data_date": date_from_parts_coerce("yyyy", "mm", "dd"),
+                         "econ_id": _lit(econ_id, "int"),
+                         "company_id": F.col("company_id").cast("bigint"),
+                         "calibration_date": cal, "operation_time": op,
+                         "pdir": F.col("pdir").cast("double")}, [], keep)
 
 
 def prep_pdir_revision(cells: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL, keep=()) -> DataFrame:
     """Melted revision grid (data_date yyyymmdd, company_id, pdir)."""
     cal, op = _stamp(calibration_date, operation_time)
     r = filter_missing_value(cells, "pdir")
-    return r.select(
-        date_from_yyyymmdd("data_date").alias("data_date"),
-        _lit(econ_id, "int").alias("econ_id"),
-        F.col("company_id").cast("bigint").alias("company_id"),
-        cal.alias("calibration_date"), op.alias("operation_time"),
-        F.col("pdir").cast("double").alias("pdir"), *keep)
+    return _prepared(r, {"data_date": date_from_yyyymmdd("data_date"),
+                         "econ_id": _lit(econ_id, "int"),
+                         "company_id": F.col("company_id").cast("bigint"),
+                         "calibration_date": cal, "operation_time": op,
+                         "pdir": F.col("pdir").cast("double")}, [], keep)
 
 
 def prep_pdir_historical(cells: DataFrame, keep=()) -> DataFrame:

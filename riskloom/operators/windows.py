@@ -11,14 +11,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.clean import nan_to_null
+from riskloom.functions.expr import q
 from riskloom.functions.rating import rating_grade
 from riskloom.schemas import ROLLING_ROWS
 
 
-def _tiebreak(df: DataFrame, exclude: Sequence[str]) -> list:
-    return [F.col(c).desc_nulls_last() for c in df.columns if c not in exclude]
-
-
 def latest_version(df: DataFrame, keys: Sequence[str] = ("data_date", "company_id"),
                    version: str = "operation_time", tiebreak: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the highest ``version``.  Equal versions are broken
@@ -27,13 +24,10 @@ def latest_version(df: DataFrame, keys: Sequence[str] = ("data_date", "company_i
     ``row_number() == 1`` lets Spark insert a partial WindowGroupLimit before
     the shuffle, so a key with very many versions is cut down map-side."""
     keys = list(keys)
-    order = [F.col(version).desc_nulls_last()]
-    if tiebreak is None:
-        order += _tiebreak(df, keys + [version])
-    else:
-        order += [F.col(c).desc_nulls_last() for c in tiebreak]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    rest = [c for c in df.columns if c not in keys + [version]] if tiebreak is None else list(tiebreak)
+    order = ", ".join(f"{q(c)} DESC NULLS LAST" for c in [version] + rest)
+    rn = F.expr(f"row_number() OVER (PARTITION BY {', '.join(q(k) for k in keys)} ORDER BY {order})")
+    return df.withColumn("_rn", rn).where("_rn = 1").drop("_rn")
 
 
 def forward_fill_rating(df: DataFrame, rating: str = "PDIR", out: str = "pdir_filled",

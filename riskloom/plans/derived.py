@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.expr import select_names
 from riskloom.operators.filters import latest_n_dates
 from riskloom.operators.joins import anti_exclusion_interval, join_company_dim
 from riskloom.operators.reshape import website_projection
@@ -25,7 +26,7 @@ def panel_latest(pd_raw: DataFrame, companies: DataFrame) -> DataFrame:
     """Latest version per (data_date, company_id), joined to the mapping."""
     latest = latest_version(pd_raw, ("data_date", "company_id"), "operation_time")
     joined = join_company_dim(latest, companies, PANEL_DIM_COLS)
-    return joined.select("data_date", "company_id", *PANEL_DIM_COLS, "operation_time", "PDIR", *PD_COLS)
+    return select_names(joined, ["data_date", "company_id", *PANEL_DIM_COLS, "operation_time", "PDIR", *PD_COLS])
 
 
 def panel_2d(panel: DataFrame, n: int = 2) -> DataFrame:
