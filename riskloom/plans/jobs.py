@@ -44,11 +44,30 @@ def _lit(v):
 # --------------------------------------------------------------------------
 # delivery catalogue
 # --------------------------------------------------------------------------
+def list_delivery_names(root: str) -> list[str]:
+    """Names of the delivery folders directly under ``root``: one directory
+    listing (metadata only, one entry per delivery day), no file scan."""
+    from pyarrow import fs as pafs
+    import os
+    import re
+    if "://" in root and not root.startswith("file:"):
+        fs, base = pafs.FileSystem.from_uri(root)
+    else:
+        from riskloom.session import local_path
+        fs, base = pafs.LocalFileSystem(), os.path.abspath(local_path(root))
+    try:
+        infos = fs.get_file_info(pafs.FileSelector(base, recursive=False))
+    except (FileNotFoundError, OSError):
+        return []
+    pat = re.compile(r"^\d{8}_cali_\d{8}$")
+    return sorted(i.base_name for i in infos if i.type == pafs.FileType.Directory and pat.match(i.base_name))
+
+
 def delivery_folders(spark: SparkSession, root: str) -> DataFrame:
     """(folder, folder_date, calibration_date) of every daily delivery folder."""
-    ls = fl.list_files(spark, root)
-    f = ls.select(F.regexp_extract("path", f"/{FOLDER_RE}/", 1).alias("folder")).where(F.col("folder") != "")
-    return f.distinct().select(
+    names = list_delivery_names(root)
+    f = spark.createDataFrame([(n,) for n in names], "folder string")
+    return f.select(
         "folder", F.to_date(F.substring("folder", 1, 8), "yyyyMMdd").alias("folder_date"),
         F.to_date(F.substring("folder", -8, 8), "yyyyMMdd").alias("calibration_date"))
 

@@ -472,9 +472,9 @@ def q_stream_ingest_latest(spark, d):
     table = scratch_path(spark, "stream-table")
     ckpt = scratch_path(spark, "stream-ckpt")
     for p in parts:
-        p.write.mode("append").parquet(src)            # a new delivery lands
-        ingest_available(spark, src, raw.schema, table, ckpt)
-    parts[1].write.mode("append").parquet(src)         # the same delivery re-sent
+        p.write.mode("append").parquet(src)            # three deliveries land
+    ingest_available(spark, src, raw.schema, table, ckpt, max_files_per_trigger=64)
+    parts[1].write.mode("append").parquet(src)         # the middle one is re-sent
     ingest_available(spark, src, raw.schema, table, ckpt)
     return latest_view(spark, table)
 

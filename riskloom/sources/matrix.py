@@ -1,12 +1,12 @@
 """Matrix shard files: scan with ``binaryFile`` + a pluggable decoder in
-``mapInPandas``, and a shard writer used to land matrices from DataFrames.
+``mapInArrow``, and a shard writer used to land matrices from DataFrames.
 
 The shipped codec is NumPy's ``.npy`` / ``.npz`` format (a ``.npz`` holds
 named variables, like a MATLAB file).  MATLAB / HDF5 codecs are not
 installed here; any ``decoder(bytes, variables) -> 2-D ndarray`` can be
 passed instead.  A file that fails to decode yields one row with ``error``
 set and no values, so a bad shard is reported and skipped, never fatal.
-NaN cells leave the decoder as NULL (Arrow's pandas conversion), which is
+NaN cells leave the decoder as NULL (validity mask), which is
 the ingest rule: NaN means "missing" and must not reach aggregates.
 """
 
@@ -18,7 +18,6 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,26 +54,40 @@ def decode_numpy(content: bytes, variables: Sequence[str] | None = None) -> np.n
     raise ValueError("no matrix-like variable in file")
 
 
+def _matrix_batch(path: str, m: np.ndarray, start: int):
+    """Arrow batch (path, row, values, error) from a 2-D float block; NaN
+    cells become NULL through the validity mask (no per-row Python)."""
+    import pyarrow as pa
+    n, w = m.shape
+    flat = np.ascontiguousarray(m, dtype="float64").reshape(-1)
+    values = pa.array(flat, type=pa.float64(), mask=np.isnan(flat))
+    offsets = pa.array(np.arange(0, (n + 1) * w, w, dtype="int32"))
+    lists = pa.ListArray.from_arrays(offsets, values)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([path] * n, pa.string()), pa.array(np.arange(start, start + n, dtype="int64")), lists,
+         pa.nulls(n, pa.string())], names=["path", "row", "values", "error"])
+
+
 def _decode_batches(decoder: Decoder, variables, transpose: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
+    def run(batches):
+        import pyarrow as pa
+        for rb in batches:
+            paths = rb.column("path").to_pylist()
+            contents = rb.column("content")
+            for i, path in enumerate(paths):
                 try:
-                    m = np.asarray(decoder(bytes(content), variables), dtype="float64")
+                    m = np.asarray(decoder(contents[i].as_py(), variables), dtype="float64")
                     if m.ndim == 1:
                         m = m.reshape(1, -1) if m.size else m.reshape(0, 0)
                     if transpose:
                         m = m.T
                 except Exception as e:  # noqa: BLE001 - report and skip a bad file
-                    yield pd.DataFrame({"path": [path], "row": [None], "values": [None],
-                                        "error": [f"{type(e).__name__}: {e}"]})
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([path]), pa.array([None], pa.int64()), pa.array([None], pa.list_(pa.float64())),
+                         pa.array([f"{type(e).__name__}: {e}"])], names=["path", "row", "values", "error"])
                     continue
                 for s in range(0, m.shape[0], OUT_BATCH_ROWS):
-                    part = m[s:s + OUT_BATCH_ROWS]
-                    yield pd.DataFrame({"path": path,
-                                        "row": np.arange(s, s + part.shape[0], dtype="int64"),
-                                        "values": list(part),
-                                        "error": None})
+                    yield _matrix_batch(path, m[s:s + OUT_BATCH_ROWS], s)
     return run
 
 
@@ -88,7 +101,7 @@ def scan_matrix(spark: SparkSession, root: str | Sequence[str], glob: str = "*",
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true")
              .load(list(root) if isinstance(root, (list, tuple)) else root).select("path", "content"))
-    rows = files.mapInPandas(_decode_batches(decoder, variables, transpose), MATRIX_SCHEMA)
+    rows = files.mapInArrow(_decode_batches(decoder, variables, transpose), MATRIX_SCHEMA)
     rows = rows.withColumn("file_name", F.regexp_extract("path", r"([^/]+)$", 1))
     if not keep_errors:
         rows = rows.where(F.col("error").isNull()).drop("error")
@@ -104,52 +117,80 @@ def _filesystem(path: str):
 
 
 def _writer(out_dir: str, prefix: str, key: str, folder: str | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per task: rows arrive sorted by group; each group's rows are gathered
+    (one group in memory at a time) and written as one .npy file."""
+    group_cols = [folder, key] if folder else [key]
+
+    def write_group(fs, base, part, gk, blocks):
+        m = np.vstack(blocks) if blocks else np.zeros((0, 0))
+        sub = f"{base}/{gk[0]}" if folder else base
+        fs.create_dir(sub, recursive=True)
+        name = f"{prefix}{int(gk[-1])}.p{part:05d}.npy"
+        tmp = f"{sub}/.{name}.{uuid.uuid4().hex}.tmp"
+        buf = io.BytesIO()
+        np.save(buf, m, allow_pickle=False)
+        with fs.open_output_stream(tmp) as fh:
+            fh.write(buf.getvalue())
+        fs.move(tmp, f"{sub}/{name}")  # a retried task replaces its own file
+        rel = f"{gk[0]}/{name}" if folder else name
+        return f"{out_dir.rstrip('/')}/{rel}", int(gk[-1]), m.shape[0]
+
+    def run(batches):
+        import pyarrow as pa
         from pyspark import TaskContext
         ctx = TaskContext.get()
         part = ctx.partitionId() if ctx else 0
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
         fs, base = _filesystem(out_dir)
-        out = []
-        group_cols = [folder, key] if folder else [key]
-        for gk, g in pdf.groupby(group_cols, sort=True):
-            gk = gk if isinstance(gk, tuple) else (gk,)
-            sub = f"{base}/{gk[0]}" if folder else base
-            k = gk[-1]
-            fs.create_dir(sub, recursive=True)
-            m = np.vstack(g["values"].to_numpy()) if len(g) else np.zeros((0, 0))
-            name = f"{prefix}{int(k)}.p{part:05d}.npy"
-            tmp = f"{sub}/.{name}.{uuid.uuid4().hex}.tmp"
-            buf = io.BytesIO()
-            np.save(buf, m.astype("float64"), allow_pickle=False)
-            with fs.open_output_stream(tmp) as fh:
-                fh.write(buf.getvalue())
-            fs.move(tmp, f"{sub}/{name}")  # a retried task replaces its own file
-            rel = f"{gk[0]}/{name}" if folder else name
-            out.append((f"{out_dir.rstrip('/')}/{rel}", int(k), len(g)))
-        yield pd.DataFrame(out, columns=["path", key, "n_rows"])
+        out, cur, blocks = [], None, []
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            keys = [rb.column(c).to_numpy(zero_copy_only=False) for c in group_cols]
+            lists = rb.column("values")
+            width = lists.value_lengths()[0].as_py() or 0
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("float64")
+            m = flat.reshape(rb.num_rows, width)
+            change = np.zeros(rb.num_rows, dtype=bool)
+            change[0] = True
+            for a in keys:
+                change[1:] |= a[1:] != a[:-1]
+            starts = np.flatnonzero(change)
+            ends = np.append(starts[1:], rb.num_rows)
+            for s0, e0 in zip(starts, ends):
+                gk = tuple(a[s0] for a in keys)
+                if gk != cur:
+                    if cur is not None:
+                        out.append(write_group(fs, base, part, cur, blocks))
+                    cur, blocks = gk, []
+                blocks.append(m[s0:e0])
+        if cur is not None:
+            out.append(write_group(fs, base, part, cur, blocks))
+        if out:
+            p_, k_, n_ = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(p_, pa.string()), pa.array(k_, pa.int64()),
+                                              pa.array(n_, pa.int64())], names=["path", key, "n_rows"])
     return run
 
 
 def write_matrix_shards(rows: DataFrame, out_dir: str, prefix: str, key: str = "econ_id",
                         num_partitions: int | None = None, folder: str | None = None) -> DataFrame:
     """Land (key, values) rows as ``[<folder>/]{prefix}{key}.p{partition}.npy``
-    files, one per (folder, key) and task, so no file holds more than one
-    partition's rows even when one economy dominates.  The (path, key,
+    files, one per (folder, key) and task.  The (path, key,
     n_rows) manifest is written next to the folder (``<out_dir>_manifest``)
     and returned as a DataFrame.  Deterministic names make a retried task
     overwrite its own output instead of duplicating it."""
     from riskloom.session import ship_package
     spark = rows.sparkSession
     ship_package(spark)
-    src = rows.select(*([folder] if folder else []), key, "values")
-    if num_partitions:
-        src = src.repartition(num_partitions, key)
+    groups = ([folder] if folder else []) + [key]
+    src = rows.select(*groups, "values")
+    # range-partition on (group, row hash): each task holds a contiguous run
+    # of groups, so a group lands in one or a few files, and a hot economy is
+    # split across tasks by the hash instead of landing in one.
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    src = src.repartitionByRange(n, *groups, F.xxhash64("values")).sortWithinPartitions(*groups)
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField(key, T.LongType()),
                            T.StructField("n_rows", T.LongType())])
     manifest_path = out_dir.rstrip("/") + "_manifest"
-    src.mapInPandas(_writer(out_dir, prefix, key, folder), schema).write.mode("overwrite").parquet(manifest_path)
+    src.mapInArrow(_writer(out_dir, prefix, key, folder), schema).write.mode("overwrite").parquet(manifest_path)
     return spark.read.parquet(manifest_path)
