@@ -16,10 +16,13 @@ def date_from_parts(y, m, d) -> Column:
 
 
 def date_from_parts_coerce(y, m, d) -> Column:
-    """Coercing: ``y-m-d`` text parsed leniently; an impossible date is NULL."""
-    txt = F.concat_ws("-", _c(y).cast("bigint").cast("string"), _c(m).cast("bigint").cast("string"),
-                      _c(d).cast("bigint").cast("string"))
-    return F.try_to_date(txt, "y-M-d")
+    """Coercing: an impossible date (month 13, 30 February, ...) is NULL.
+    Validated arithmetically (no text parsing); ``make_date`` only runs on
+    valid parts, so ANSI mode never raises here."""
+    yi, mi, di = (_c(x).try_cast("int") for x in (y, m, d))
+    last = F.dayofmonth(F.last_day(F.make_date(yi, mi, F.lit(1))))
+    valid = yi.between(1, 9999) & mi.between(1, 12) & (di >= 1) & (di <= last)
+    return F.when(valid, F.make_date(yi, mi, di))
 
 
 def date_from_yyyymmdd(c, strict: bool = True) -> Column:

@@ -308,8 +308,7 @@ PREP_PD_DAILY_SQL = (
 
 @register("prep_pd_daily", sql(PREP_PD_DAILY_SQL, "pd_matrix_named"))
 def q_prep_pd_daily(spark, d):
-    rows = rs.name_positional(fx.pd_matrix_rows(spark, d), "pd_daily", keep=["econ_id"])
-    return rs.prep_pd_daily(rows, CALIBRATION, OPERATION_TIME, econ_id=F.col("econ_id"))
+    return rs.prep_pd_daily(fx.pd_matrix_named(spark, d), CALIBRATION, OPERATION_TIME, econ_id=F.col("econ_id"))
 
 
 @register("prep_pd_revision", sql(

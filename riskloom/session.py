@@ -27,6 +27,9 @@ DEFAULT_CONF = {
     # 60-horizon rows with per-column NULL/NaN predicates make constraint
     # propagation grow combinatorially in the optimizer; filters are explicit.
     "spark.sql.constraintPropagation.enabled": "false",
+    # A whole-stage method above 8000 bytes of bytecode is never JIT-compiled
+    # by HotSpot; for wide (65-column) stages let Spark split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -50,6 +53,7 @@ def apply_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     spark.conf.set("spark.sql.codegen.maxFields", "400")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
