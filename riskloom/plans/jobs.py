@@ -72,17 +72,26 @@ def delivery_folders(spark: SparkSession, root: str) -> DataFrame:
         F.to_date(F.substring("folder", -8, 8), "yyyyMMdd").alias("calibration_date"))
 
 
+def _as_date(v) -> dt.date:
+    return v if isinstance(v, dt.date) and not isinstance(v, dt.datetime) else \
+        (v.date() if isinstance(v, dt.datetime) else dt.date.fromisoformat(str(v)))
+
+
 def folders_in_range(spark: SparkSession, root: str, start, end) -> DataFrame:
-    """The delivery folder of each trading day in ``[start, end]``; a day
-    with two folders fails the job, a day without one is skipped."""
-    days = flt.trading_calendar(spark, start, end, "folder_date")
-    hits = delivery_folders(spark, root).join(days, "folder_date", "inner")
-    n = F.count(F.lit(1)).over(Window.partitionBy("folder_date"))
-    return (hits.withColumn("_n", n)
-            .withColumn("folder", F.when(F.col("_n") == 1, F.col("folder")).otherwise(
-                F.raise_error(F.concat(F.lit("more than one calibration folder for "),
-                                       F.col("folder_date").cast("string")))))
-            .drop("_n"))
+    """The delivery folder of each trading day (Mon-Fri) in ``[start, end]``;
+    a day with two folders fails the job, a day without one is skipped.
+    Selected from the directory listing (metadata, one name per day)."""
+    lo, hi = _as_date(start), _as_date(end)
+    by_day: dict[dt.date, list[str]] = {}
+    for n in list_delivery_names(root):
+        day = dt.datetime.strptime(n[:8], "%Y%m%d").date()
+        if lo <= day <= hi and day.weekday() < 5:
+            by_day.setdefault(day, []).append(n)
+    dup = {d: v for d, v in by_day.items() if len(v) > 1}
+    if dup:
+        raise ValueError(f"more than one calibration folder for {sorted(dup)[0]}: {dup[sorted(dup)[0]]}")
+    rows = [(v[0], d, dt.datetime.strptime(v[0][-8:], "%Y%m%d").date()) for d, v in sorted(by_day.items())]
+    return spark.createDataFrame(rows, "folder string, folder_date date, calibration_date date")
 
 
 def _paths(root: str, folders: DataFrame, sub: str) -> list[str]:

@@ -20,7 +20,7 @@ from riskloom.plans import jobs
 from riskloom.plans.catalog import LATEST_SQL, OPERATION_TIME, register
 from riskloom.plans.q_reshape import rating_grid
 from riskloom.schemas import AS_COLS, PD_COLS, PD_TABLE, PDIR_TABLE, AS_TABLE, SIMPLE_HORIZONS
-from riskloom.session import scratch_path
+from riskloom.session import landed_fixture, scratch_path
 from riskloom.sources.matrix import write_matrix_shards
 
 OP_SQL = "TIMESTAMP '2024-02-02 06:00:00'"
@@ -60,8 +60,13 @@ def _ymd(date_col="data_date"):
 def land_delivery(spark, d, products=("pd", "pdir", "as")):
     """Daily delivery folders for every day of the data: PD (latest version
     of each company/day, NaN horizon where the rating is missing), PDIR
-    (daily ratings) and AS shards, cut by economy."""
-    root = scratch_path(spark, "delivery")
+    (daily ratings) and AS shards, cut by economy.  Landed once per source
+    tables (immutable input) and reused."""
+    return landed_fixture(spark, "delivery-" + "-".join(products), d,
+                          lambda root: _write_delivery(spark, d, root, products))
+
+
+def _write_delivery(spark, d, root, products):
     lat = _latest(spark, d)
     if "pd" in products:
         pd60 = F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.col("PD_60"))
@@ -80,7 +85,6 @@ def land_delivery(spark, d, products=("pd", "pdir", "as")):
                           F.array(F.col("company_id").cast("double"), *_ymd(),
                                   *[F.col(f"PD_{12 * i}") for i in range(1, 5)], cds5).alias("values"))
         write_matrix_shards(rows, root, "as_", folder="folder")
-    return root
 
 
 # ---------------------------------------------------------------- J1
@@ -464,18 +468,15 @@ def q_stream_ingest_latest(spark, d):
     from riskloom.streaming.ingest import ingest_available, latest_view
     src = scratch_path(spark, "landing")
     raw = fx.pd_raw(spark, d)
-    # three deliveries, the middle one re-sent (a replayed file is a no-op)
-    parts = [raw.where(F.col("data_date") < F.lit(dt.date(2024, 1, 11))),
-             raw.where((F.col("data_date") >= F.lit(dt.date(2024, 1, 11)))
-                       & (F.col("data_date") < F.lit(dt.date(2024, 1, 21)))),
-             raw.where(F.col("data_date") >= F.lit(dt.date(2024, 1, 21)))]
+    # three deliveries (by data day) land in one write; the middle one is re-sent later
+    delivery = (F.when(F.col("data_date") < F.lit(dt.date(2024, 1, 11)), F.lit(0))
+                .when(F.col("data_date") < F.lit(dt.date(2024, 1, 21)), F.lit(1)).otherwise(F.lit(2)))
+    raw.withColumn("delivery", delivery).write.partitionBy("delivery").parquet(src)
     table = scratch_path(spark, "stream-table")
     ckpt = scratch_path(spark, "stream-ckpt")
-    for p in parts:
-        p.write.mode("append").parquet(src)            # three deliveries land
-    ingest_available(spark, src, raw.schema, table, ckpt, max_files_per_trigger=64)
-    parts[1].write.mode("append").parquet(src)         # the middle one is re-sent
-    ingest_available(spark, src, raw.schema, table, ckpt)
+    ingest_available(spark, f"{src}/delivery=*", raw.schema, table, ckpt, max_files_per_trigger=64)
+    (spark.read.parquet(f"{src}/delivery=1").write.parquet(f"{src}/delivery=9"))   # the re-sent delivery
+    ingest_available(spark, f"{src}/delivery=*", raw.schema, table, ckpt)
     return latest_view(spark, table)
 
 

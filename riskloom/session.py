@@ -124,3 +124,41 @@ def ship_package(spark: SparkSession) -> None:
         fh.write(buf.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(id(sc))
+
+
+FIXTURE_VERSION = "1"
+
+
+def landed_fixture(spark: SparkSession, name: str, sf_dir: str, build) -> str:
+    """Folder of an immutable test input derived from the tables in
+    ``sf_dir``, landed once under the shared checkpoint root by
+    ``build(path)`` and reused while the source tables are unchanged
+    (the key covers their paths, sizes and modification times)."""
+    import hashlib
+    from pyarrow import fs as pafs
+
+    src = local_path(sf_dir)
+    stats = []
+    if os.path.isdir(src):
+        for f in sorted(os.listdir(src)):
+            st = os.stat(os.path.join(src, f))
+            stats.append(f"{f}:{st.st_size}:{int(st.st_mtime)}")
+    key = hashlib.sha1("|".join([name, os.path.abspath(src), FIXTURE_VERSION, *stats]).encode()).hexdigest()[:16]
+    path = f"{checkpoint_root(spark)}/riskloom/fixtures/{name}-{key}"
+    if "://" in path and not path.startswith("file:"):
+        fs, p = pafs.FileSystem.from_uri(path)
+    else:
+        fs, p = pafs.LocalFileSystem(), os.path.abspath(local_path(path))
+    if fs.get_file_info(p + "/_LANDED").type == pafs.FileType.File:
+        return path
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+    build(tmp)
+    _, tp = (fs, os.path.abspath(local_path(tmp))) if isinstance(fs, pafs.LocalFileSystem) else pafs.FileSystem.from_uri(tmp)
+    with fs.open_output_stream(tp + "/_LANDED") as fh:
+        fh.write(b"")
+    try:
+        fs.move(tp, p)
+    except OSError:
+        if fs.get_file_info(p + "/_LANDED").type != pafs.FileType.File:
+            raise
+    return path

@@ -176,7 +176,7 @@ def write_matrix_shards(rows: DataFrame, out_dir: str, prefix: str, key: str = "
                         num_partitions: int | None = None, folder: str | None = None) -> DataFrame:
     """Land (key, values) rows as ``[<folder>/]{prefix}{key}.p{partition}.npy``
     files, one per (folder, key) and task.  The (path, key,
-    n_rows) manifest is written next to the folder (``<out_dir>_manifest``)
+    n_rows) manifest is written to ``<out_dir>/_manifest`` (hidden from scans)
     and returned as a DataFrame.  Deterministic names make a retried task
     overwrite its own output instead of duplicating it."""
     from riskloom.session import ship_package
@@ -191,6 +191,6 @@ def write_matrix_shards(rows: DataFrame, out_dir: str, prefix: str, key: str = "
     src = src.repartitionByRange(n, *groups, F.xxhash64("values")).sortWithinPartitions(*groups)
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField(key, T.LongType()),
                            T.StructField("n_rows", T.LongType())])
-    manifest_path = out_dir.rstrip("/") + "_manifest"
+    manifest_path = out_dir.rstrip("/") + "/_manifest"   # "_" paths are hidden from Spark scans
     src.mapInArrow(_writer(out_dir, prefix, key, folder), schema).write.mode("overwrite").parquet(manifest_path)
     return spark.read.parquet(manifest_path)

@@ -33,7 +33,9 @@ def upsert_versions(table: str, keys: Sequence[str] = tuple(PD_KEYS)):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         if not _table_exists(spark, table):
-            batch.limit(0).write.mode("append").parquet(table)
+            new = mu.dedupe_incoming(batch, list(keys), version=None)
+            new.write.mode("append").parquet(table)
+            return
         current = spark.read.parquet(table)
         new = mu.inserted_rows(current, batch.select(*current.columns), list(keys), version=None)
         # appending while reading the table is safe: the scan's file list is
