@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,7 +47,7 @@ def trading_days_of(df: DataFrame, date_col: str = "data_date") -> DataFrame:
 
 
 def filter_ids_semi(df: DataFrame, ids: DataFrame, key: str = "company_id") -> DataFrame:
-    return df.join(ids.select(key), key, "left_semi")
+    return df.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def filter_day(df: DataFrame, day, date_col: str = "data_date") -> DataFrame:

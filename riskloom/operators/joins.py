@@ -59,16 +59,17 @@ def diff_keys_both(a: DataFrame, b: DataFrame,
                    keys: Sequence[str] = ("company_id", "data_date")) -> DataFrame:
     """Keys only in ``a`` (side ``left_only``) and only in ``b`` (``right_only``)."""
     keys = list(keys)
-    ka, kb = a.select(*keys), b.select(*keys)
-    left = ka.join(kb, keys, "left_anti").distinct().withColumn("side", F.lit("left_only"))
-    right = kb.join(ka, keys, "left_anti").distinct().withColumn("side", F.lit("right_only"))
+    # distinct first: partial aggregation shrinks repeated (hot) keys map-side
+    ka, kb = a.select(*keys).distinct(), b.select(*keys).distinct()
+    left = ka.join(kb, keys, "left_anti").withColumn("side", F.lit("left_only"))
+    right = kb.join(ka, keys, "left_anti").withColumn("side", F.lit("right_only"))
     return left.unionByName(right)
 
 
 def anti_not_loaded(incoming: DataFrame, loaded: DataFrame,
                     keys: Sequence[str] = ("company_id", "data_date")) -> DataFrame:
     """Incoming rows whose key is not loaded yet."""
-    return incoming.join(loaded.select(*keys), list(keys), "left_anti")
+    return incoming.join(loaded.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def anti_new_users(users: DataFrame, existing: DataFrame, key: str = "email") -> DataFrame:
@@ -88,16 +89,23 @@ def update_from_join(main: DataFrame, filled: DataFrame, target: str = "PDIR",
                      keys: Sequence[str] = ("company_id", "data_date"),
                      since: dt.date | Column | None = None) -> DataFrame:
     """``UPDATE main SET target = filled WHERE keys match AND (target IS NULL
-    OR target = 0) [AND data_date >= since]`` as a left join + CASE."""
+    OR target = 0) [AND data_date >= since]`` as a left join + CASE.
+
+    With ``since``, rows dated before it cannot change: only the recent
+    slice is joined (and shuffled); the rest is unioned back untouched."""
     keys = list(keys)
     f = filled.select(*keys, F.col(filled_col).alias("_fill"))
-    j = main.join(f, keys, "left")
     cond = F.col("_fill").isNotNull() & (F.col(target).isNull() | (F.col(target) == 0))
-    if since is not None:
+    if since is None:
+        recent, old = main, None
+    else:
         since_col = since if isinstance(since, Column) else F.lit(since)
-        cond = cond & (F.col("data_date") >= since_col)
-    return (j.withColumn(target, F.when(cond, F.col("_fill")).otherwise(F.col(target)))
-            .drop("_fill").select(*main.columns))
+        recent = main.where(F.col("data_date") >= since_col)
+        old = main.where(~(F.col("data_date") >= since_col) | F.col("data_date").isNull())
+    j = recent.join(f, keys, "left")
+    upd = (j.withColumn(target, F.when(cond, F.col("_fill")).otherwise(F.col(target)))
+           .drop("_fill").select(*main.columns))
+    return upd if old is None else old.unionByName(upd)
 
 
 def join_event_enriched(events: DataFrame, codes: DataFrame, companies: DataFrame) -> DataFrame:

@@ -28,14 +28,6 @@ def _lit(v):
     return v if isinstance(v, Column) else F.lit(v)
 
 
-def _key_cond(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
-    cond = None
-    for k in keys:
-        c = a[k].eqNullSafe(b[k]) if null_safe else a[k] == b[k]
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def dedupe_incoming(incoming: DataFrame, keys: Sequence[str], version: str | None = "operation_time") -> DataFrame:
     """One incoming row per key (highest version, deterministic ties)."""
     if version and version in incoming.columns:

@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom.functions.expr import select_names
 from riskloom.operators.filters import latest_n_dates

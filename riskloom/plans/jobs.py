@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.clean import clean_all, parse_bool
@@ -26,7 +26,7 @@ from riskloom.operators import joins as jn
 from riskloom.operators import mutate as mu
 from riskloom.operators import reshape as rs
 from riskloom.operators import windows as win
-from riskloom.schemas import (ACTION_DAILY, AS_COLS, CREDIT_EVENT_KEYS, FILL_LOOKBACK_DAYS, PD_COLS,
+from riskloom.schemas import (ACTION_DAILY, CREDIT_EVENT_KEYS, FILL_LOOKBACK_DAYS, PD_COLS,
                               SIMPLE_HORIZONS, USER_BOOL_FIELDS, USER_DEFAULTS, USER_JSON_FIELDS)
 from riskloom.sources import files as fl
 from riskloom.sources import readers as rd
@@ -446,5 +446,3 @@ def user_load(spark: SparkSession, users_json: DataFrame, table: str) -> DataFra
     sk.append(rows.select(F.expr("uuid()").alias("id"), *rows.columns), table)
     return spark.read.parquet(table)
 
-
-_ = (AS_COLS, Sequence)

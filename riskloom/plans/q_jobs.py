@@ -19,7 +19,7 @@ from riskloom.operators import windows as win
 from riskloom.plans import jobs
 from riskloom.plans.catalog import LATEST_SQL, OPERATION_TIME, register
 from riskloom.plans.q_reshape import rating_grid
-from riskloom.schemas import AS_COLS, PD_COLS, PD_TABLE, PDIR_TABLE, AS_TABLE, SIMPLE_HORIZONS
+from riskloom.schemas import AS_COLS, AS_TABLE, PD_COLS, PDIR_TABLE, SIMPLE_HORIZONS
 from riskloom.session import landed_fixture, scratch_path
 from riskloom.sources.matrix import write_matrix_shards
 
@@ -479,5 +479,3 @@ def q_stream_ingest_latest(spark, d):
     ingest_available(spark, f"{src}/delivery=*", raw.schema, table, ckpt)
     return latest_view(spark, table)
 
-
-_ = (PD_TABLE,)

@@ -14,7 +14,6 @@ from riskloom.operators import aggregates as agg
 from riskloom.operators import filters as flt
 from riskloom.operators import joins as jn
 from riskloom.operators import windows as win
-from riskloom.operators.reshape import horizon_columns
 from riskloom.plans import derived
 from riskloom.plans.catalog import AS_OF, LATEST_SQL, LOOKBACK_AS_OF, UPDATED_AT, pd_list, register
 from riskloom.schemas import DAILY_ECONOMIES, PD_COLS, WEBSITE_HORIZONS
@@ -427,5 +426,3 @@ def q_manifest_missing(spark, d):
     present = (flt.filter_day(fx.pd_raw(spark, d), FILTER_DAY).select(fx.econ_of().alias("econ_id")).distinct())
     return missing_files(exp, present).select("folder", "path")
 
-
-_ = horizon_columns  # re-exported for the reshape catalogue

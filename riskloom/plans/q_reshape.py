@@ -3,8 +3,6 @@ per-product prepare layouts (SURVEY B)."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from riskloom import fixtures as fx
@@ -14,8 +12,8 @@ from riskloom.functions import dates as dts
 from riskloom.functions.rating import rating_grade, rating_grade_sql
 from riskloom.operators import reshape as rs
 from riskloom.operators import windows as win
-from riskloom.plans.catalog import CALIBRATION, LATEST_SQL, OPERATION_TIME, pd_list, register
-from riskloom.schemas import AS_COLS, COMPANY_DEFAULTS, LAYOUTS, OPEN_END_TEXT, PD_COLS, SIMPLE_HORIZONS
+from riskloom.plans.catalog import CALIBRATION, LATEST_SQL, OPERATION_TIME, register
+from riskloom.schemas import AS_COLS, COMPANY_DEFAULTS, OPEN_END_TEXT, PD_COLS, SIMPLE_HORIZONS
 
 OP_SQL = "TIMESTAMP '2024-02-02 06:00:00'"
 
@@ -366,5 +364,3 @@ def q_prep_pdir_historical(spark, d):
                          "company_id", "pdir")
     return rs.prep_pdir_historical(cells)
 
-
-_ = (LAYOUTS, pd_list)

@@ -17,7 +17,7 @@ from riskloom.operators import reshape as rs
 from riskloom.operators import windows as win
 from riskloom.plans.catalog import LATEST_SQL, register
 from riskloom.plans.q_reshape import as_csv_rows
-from riskloom.schemas import AS_CSV_COLS, DAILY_ECONOMIES, LAYOUTS, PD_COLS, PD_TABLE
+from riskloom.schemas import AS_CSV_COLS, DAILY_ECONOMIES, PD_COLS, PD_TABLE
 from riskloom.session import checkpoint_root, scratch_path
 from riskloom.sources import files as fl
 from riskloom.sources import readers as rd
@@ -250,5 +250,3 @@ def q_files_extract_id(spark, d):
 def q_catalog_calibration(spark, d):
     return fl.calibration_lookup(fx.daily_folders(spark, d), dt.date(2024, 1, 15))
 
-
-_ = LAYOUTS

@@ -30,6 +30,8 @@ DEFAULT_CONF = {
     # A whole-stage method above 8000 bytes of bytecode is never JIT-compiled
     # by HotSpot; for wide (65-column) stages let Spark split instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # reliable checkpoints are removed by Spark once their DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 import io
 import os
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession

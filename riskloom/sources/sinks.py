@@ -78,6 +78,6 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str] = ("data
     min/max statistics of each file skip most row groups for date / company
     predicates.  Month (not day) partitions keep the folder count low."""
     res = df.withColumn(partition_col, F.date_format(F.col(date_col), "yyyy-MM"))
-    n = num_partitions or res.sparkSession.sparkContext.defaultParallelism
+    n = num_partitions or int(res.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     res = res.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
     res.write.mode("overwrite").partitionBy(partition_col).parquet(path)
