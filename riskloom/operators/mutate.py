@@ -29,10 +29,11 @@ def _lit(v):
 
 
 def dedupe_incoming(incoming: DataFrame, keys: Sequence[str], version: str | None = "operation_time") -> DataFrame:
-    """One incoming row per key (highest version, deterministic ties)."""
+    """One incoming row per key (highest version; equal versions broken by
+    the whole row, so a batch with repeated keys dedupes deterministically)."""
     if version and version in incoming.columns:
-        return latest_version(incoming, keys, version)
-    return latest_version(incoming, keys, version=incoming.columns[-1])
+        return latest_version(incoming, keys, version, tiebreak="all")
+    return latest_version(incoming, keys, version=incoming.columns[-1], tiebreak="all")
 
 
 def replace_all(current: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -159,6 +160,18 @@ def with_month(df: DataFrame, date_col: str = "data_date", name: str = "data_mon
     return df.withColumn(name, F.date_format(F.col(date_col), "yyyy-MM"))
 
 
+def read_touched(spark: SparkSession, path: str, batch: DataFrame, part_col: str = "data_month",
+                 date_col: str = "data_date") -> DataFrame:
+    """The part of a table a batch can touch: when the table is partitioned
+    by month, only the batch's months are read (partition pruning; the month
+    list is bounded by the calendar), otherwise the whole table."""
+    table = spark.read.parquet(path)
+    if part_col not in table.columns or date_col not in batch.columns:
+        return table
+    months = [r[0] for r in batch.select(F.date_format(date_col, "yyyy-MM")).distinct().collect()]
+    return table.where(F.col(part_col).isin(months))
+
+
 def commit_partitions(df: DataFrame, path: str, partition_cols: Sequence[str] = ("data_month",),
                       cut_lineage: bool = True) -> None:
     """Replace only the partitions present in ``df`` (dynamic overwrite).

@@ -17,14 +17,22 @@ from riskloom.schemas import ROLLING_ROWS
 
 
 def latest_version(df: DataFrame, keys: Sequence[str] = ("data_date", "company_id"),
-                   version: str = "operation_time", tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the highest ``version``.  Equal versions are broken
-    by the remaining columns (descending) so the result is deterministic.
+                   version: str = "operation_time", tiebreak: Sequence[str] | str = ()) -> DataFrame:
+    """One row per key: the highest ``version``.
+
+    The versioned tables declare (key, version) unique, so the version alone
+    orders them and only the key, version and downstream columns travel
+    through the shuffle (column pruning stays intact).  For inputs that can
+    tie, ``tiebreak`` lists extra order columns (descending); ``"all"`` uses
+    every remaining column.
 
     ``row_number() == 1`` lets Spark insert a partial WindowGroupLimit before
     the shuffle, so a key with very many versions is cut down map-side."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys + [version]] if tiebreak is None else list(tiebreak)
+    if tiebreak == "all":
+        rest = [c for c in df.columns if c not in keys + [version]]
+    else:
+        rest = [c for c in tiebreak if c != version]
     order = ", ".join(f"{q(c)} DESC NULLS LAST" for c in [version] + rest)
     rn = F.expr(f"row_number() OVER (PARTITION BY {', '.join(q(k) for k in keys)} ORDER BY {order})")
     return df.withColumn("_rn", rn).where("_rn = 1").drop("_rn")
@@ -58,7 +66,9 @@ def implied_rating(df: DataFrame, value: str = "PD_12", out: str = "pdir_implied
 
 
 def keep_last(df: DataFrame, keys: Sequence[str] = ("company_id", "data_date"),
-              order: str = "current_trading_date") -> DataFrame:
-    """Of each key keep the row that sorts last by ``order``; ties are broken
-    by the other columns so reruns give the same row."""
-    return latest_version(df, keys, order)
+              order: str = "current_trading_date",
+              tiebreak: Sequence[str] | str = ("operation_time",)) -> DataFrame:
+    """Of each key keep the row that sorts last by ``order``; ties (two
+    deliveries of one trading day) are broken by ``tiebreak`` so reruns give
+    the same row."""
+    return latest_version(df, keys, order, tiebreak)

@@ -250,11 +250,14 @@ def load_day_state(spark: SparkSession, batch: DataFrame, latest_path: str, dail
             return spark.read.parquet(latest_path)
     batch.write.mode("overwrite").parquet(daily_path)                       # I1
     day_rows = spark.read.parquet(daily_path)
-    current = spark.read.parquet(latest_path)
+    current = mu.read_touched(spark, latest_path, day_rows)                  # pruned to the day's month
+    parts = ["data_month"] if "data_month" in current.columns else []
+    if parts:
+        day_rows = mu.with_month(day_rows)
     new_rows = mu.inserted_rows(current, day_rows, keys)                     # I3
-    from riskloom.session import checkpoint_root
-    checkpoint_root(spark)
-    sk.append(new_rows.checkpoint(eager=True), latest_path)
+    # appending while reading the table is safe: the scan's file list is fixed
+    # when the job is planned and new files commit at job end
+    sk.append(new_rows, latest_path, partition_cols=parts)
     log = mu.operation_log_daily(spark, day, calibration_date, operation_time, ACTION_DAILY)
     sk.append(log, log_path)                                                  # I7 last: a crash re-runs
     return spark.read.parquet(latest_path)

@@ -32,15 +32,18 @@ def upsert_versions(table: str, keys: Sequence[str] = tuple(PD_KEYS)):
     """foreachBatch function: append the versions the table lacks."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        if not _table_exists(spark, table):
-            new = mu.dedupe_incoming(batch, list(keys), version=None)
-            new.write.mode("append").parquet(table)
-            return
-        current = spark.read.parquet(table)
-        new = mu.inserted_rows(current, batch.select(*current.columns), list(keys), version=None)
-        # appending while reading the table is safe: the scan's file list is
-        # fixed when the batch is planned and new files commit at job end
-        new.write.mode("append").parquet(table)
+        batch = mu.with_month(batch).persist()
+        try:
+            if not _table_exists(spark, table):
+                new = mu.dedupe_incoming(batch, list(keys), version=None)
+            else:
+                current = mu.read_touched(spark, table, batch)        # only the batch's months
+                new = mu.inserted_rows(current, batch.select(*current.columns), list(keys), version=None)
+            # appending while reading the table is safe: the scan's file list is
+            # fixed when the batch is planned and new files commit at job end
+            new.write.mode("append").partitionBy("data_month").parquet(table)
+        finally:
+            batch.unpersist()
     return run
 
 
@@ -59,4 +62,4 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: T.StructType,
 
 def latest_view(spark: SparkSession, table: str, keys: Sequence[str] = ("data_date", "company_id"),
                 version: str = "operation_time") -> DataFrame:
-    return latest_version(spark.read.parquet(table), keys, version)
+    return latest_version(spark.read.parquet(table).drop("data_month"), keys, version)
