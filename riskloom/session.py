@@ -116,11 +116,7 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     target = scratch_path(spark, "pyfiles") + "/riskloom.zip"
-    from pyarrow import fs as pafs
-    if "://" in target and not target.startswith("file:"):
-        fs, p = pafs.FileSystem.from_uri(target)
-    else:
-        fs, p = pafs.LocalFileSystem(), os.path.abspath(local_path(target))
+    fs, p = _fs_path(target)
     fs.create_dir(os.path.dirname(p), recursive=True)
     with fs.open_output_stream(p) as fh:
         fh.write(buf.getvalue())
@@ -131,6 +127,14 @@ def ship_package(spark: SparkSession) -> None:
 FIXTURE_VERSION = "1"
 
 
+def _fs_path(path: str):
+    """pyarrow filesystem and path for a local, HDFS or object-store location."""
+    from pyarrow import fs as pafs
+    if "://" in path and not path.startswith("file:"):
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), os.path.abspath(local_path(path))
+
+
 def landed_fixture(spark: SparkSession, name: str, sf_dir: str, build) -> str:
     """Folder of an immutable test input derived from the tables in
     ``sf_dir``, landed once under the shared checkpoint root by
@@ -147,19 +151,16 @@ def landed_fixture(spark: SparkSession, name: str, sf_dir: str, build) -> str:
             stats.append(f"{f}:{st.st_size}:{int(st.st_mtime)}")
     key = hashlib.sha1("|".join([name, os.path.abspath(src), FIXTURE_VERSION, *stats]).encode()).hexdigest()[:16]
     path = f"{checkpoint_root(spark)}/riskloom/fixtures/{name}-{key}"
-    if "://" in path and not path.startswith("file:"):
-        fs, p = pafs.FileSystem.from_uri(path)
-    else:
-        fs, p = pafs.LocalFileSystem(), os.path.abspath(local_path(path))
+    fs, p = _fs_path(path)
     if fs.get_file_info(p + "/_LANDED").type == pafs.FileType.File:
         return path
     tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-    build(tmp)
-    _, tp = (fs, os.path.abspath(local_path(tmp))) if isinstance(fs, pafs.LocalFileSystem) else pafs.FileSystem.from_uri(tmp)
+    build(tmp)                                   # a failed build leaves only the temp folder
+    _, tp = _fs_path(tmp)
     with fs.open_output_stream(tp + "/_LANDED") as fh:
         fh.write(b"")
     try:
-        fs.move(tp, p)
+        fs.move(tp, p)                           # publish; a concurrent winner is fine
     except OSError:
         if fs.get_file_info(p + "/_LANDED").type != pafs.FileType.File:
             raise
