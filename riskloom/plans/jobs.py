@@ -401,10 +401,22 @@ def exclusions_load(spark: SparkSession, registry: str, since, table: str, out:
 # --------------------------------------------------------------------------
 # J14 daily run, J15 user load
 # --------------------------------------------------------------------------
+def last_trading_day(d: dt.date) -> dt.date:
+    """Saturday/Sunday -> the Friday before (driver-side scalar, as B24)."""
+    return d - dt.timedelta(days=max(0, d.weekday() - 4))
+
+
 def daily_run(spark: SparkSession, root: str, start, end, operation_time, table: str, econs: Sequence[int],
-              log_path: str) -> DataFrame:
-    """Completeness of every delivery in range (C9, raises on a gap) -> PD
-    range (J3) -> history row (I7)."""
+              log_path: str, registry: str | None = None, exclusions: tuple[str, str] | None = None,
+              events: tuple[str, str, str] | None = None) -> DataFrame:
+    """The daily run: completeness of every delivery in range (C9, raises on
+    a gap) -> exclusions (J13) and credit events (J12) when given -> PD range
+    (J3) -> one history row (date_int, source folder, operation_date).
+    ``start``/``end`` default to the last trading day before today."""
+    if end is None:
+        end = last_trading_day(dt.date.today() - dt.timedelta(days=1))
+    if start is None:
+        start = end
     folders = folders_in_range(spark, root, start, end)
     expected = fl.expected_manifest(folders, [("pd60h", PD_SUB)], econs)
     present = fl.list_files(spark, root, "pd60h_*").select(
@@ -414,10 +426,15 @@ def daily_run(spark: SparkSession, root: str, start, end, operation_time, table:
     gap = missing.select("path").limit(20).collect()   # the error message lists up to 20 paths
     if gap:
         raise RuntimeError(f"missing delivery files: {[r.path for r in gap]}")
+    if registry and exclusions:
+        exclusions_load(spark, registry, start, exclusions[0], exclusions[1])
+    if events:
+        events_daily(spark, events[0], start, end, events[1], events[2])
     res = pd_range(spark, root, start, end, operation_time, table)
-    log = mu.operation_log_daily(spark, end, F.current_date(), operation_time, "update_history").withColumn(
-        "data_start_date", _lit(start).cast("date"))
-    sk.append(log, log_path)
+    history = folders.where(F.col("folder_date") == _lit(_as_date(end)).cast("date")).select(
+        F.substring("folder", 1, 8).cast("int").alias("date_int"), F.col("folder").alias("source"),
+        _lit(operation_time).cast("timestamp_ntz").alias("operation_date"))
+    sk.append(history, log_path)                       # written last: a crashed run is simply re-run
     return res
 
 

@@ -51,3 +51,26 @@ def test_forward_fill_table_rewrites_only_lookback_months(spark):
     jobs.forward_fill_table(spark, table, dt.date(2024, 1, 15))
     got = {(r.data_month, r.data_date.day): r.PDIR for r in spark.read.parquet(table).collect()}
     assert got == {("2023-11", 10): 0.0, ("2024-01", 10): 5.0, ("2024-01", 12): 5.0}
+
+
+def test_daily_run_full_composition(spark):
+    from pyspark.sql import functions as F
+    from riskloom import fixtures as fx
+    from riskloom.plans import q_jobs
+    from tests.conftest import SF_SMALL
+    d = SF_SMALL
+    root = q_jobs.land_delivery(spark, d, ("pd", "pdir"))
+    econs = [r.e for r in fx.pd_raw(spark, d).where(F.col("data_date") == F.lit(dt.date(2024, 1, 16)))
+             .select(fx.econ_of().alias("e")).distinct().collect()]
+    reg, excl = q_jobs.land_exclusions(spark, d)
+    ev_root, ev_table = q_jobs.land_events_daily(spark, d)
+    log = scratch_path(spark, "history")
+    excl_out, ev_out = scratch_path(spark, "excl-v2"), scratch_path(spark, "ev-v2")
+    res = jobs.daily_run(spark, root, dt.date(2024, 1, 16), dt.date(2024, 1, 16), dt.datetime(2024, 2, 2, 6),
+                         q_jobs._pd_table(spark, d), sorted(econs), log, registry=reg, exclusions=(excl, excl_out),
+                         events=(ev_root, ev_table, ev_out))
+    assert res.where(F.col("operation_time") == F.lit(dt.datetime(2024, 2, 2, 6))).count() > 0
+    assert spark.read.parquet(excl_out).where("remark = 'updated'").count() > 0
+    assert spark.read.parquet(ev_out).count() >= spark.read.parquet(ev_table).count()
+    h = spark.read.parquet(log).collect()
+    assert len(h) == 1 and h[0].date_int == 20240116 and h[0].source == "20240116_cali_20240201"
