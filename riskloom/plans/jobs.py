@@ -171,11 +171,14 @@ def pd_day_reconcile(spark: SparkSession, root: str, day, operation_time) -> Dat
 
 
 def pd_range(spark: SparkSession, root: str, start, end, operation_time, table: str,
-             snapshot: str | None = None, fill_first: bool = False) -> DataFrame:
+             snapshot: str | None = None, fill_first: bool = False,
+             refresh: tuple[DataFrame, DataFrame, str] | None = None) -> DataFrame:
     """All trading days in range in one scan -> keep the last delivery of
     each (company, day) -> snapshot Parquet -> PDIR missing = 0 -> insert
-    into the versioned table -> forward fill over the look-back.
-    ``fill_first`` keeps the reference's order (fill before insert)."""
+    into the versioned table -> forward fill over the look-back -> derived
+    tables refreshed from the table when ``refresh = (companies, exclusions,
+    out_dir)`` is given (I10).  ``fill_first`` keeps the reference's order
+    (fill before insert)."""
     folders = folders_in_range(spark, root, start, end)
     merged = win.keep_last(pd_days(spark, root, folders, operation_time))
     rows = merged.select("data_date", "company_id", "calibration_date", "operation_time", "PDIR", *PD_COLS)
@@ -188,6 +191,10 @@ def pd_range(spark: SparkSession, root: str, start, end, operation_time, table:
     sk.append(mu.with_month(rows), table, partition_cols=["data_month"])
     if not fill_first:
         forward_fill_table(spark, table, start)
+    if refresh is not None:
+        from riskloom.plans.derived import refresh_derived
+        companies, exclusions, out_dir = refresh
+        refresh_derived(spark, spark.read.parquet(table).drop("data_month"), companies, exclusions, out_dir)
     return spark.read.parquet(table)
 
 
@@ -408,7 +415,8 @@ def last_trading_day(d: dt.date) -> dt.date:
 
 def daily_run(spark: SparkSession, root: str, start, end, operation_time, table: str, econs: Sequence[int],
               log_path: str, registry: str | None = None, exclusions: tuple[str, str] | None = None,
-              events: tuple[str, str, str] | None = None) -> DataFrame:
+              events: tuple[str, str, str] | None = None,
+              refresh: tuple[DataFrame, DataFrame, str] | None = None) -> DataFrame:
     """The daily run: completeness of every delivery in range (C9, raises on
     a gap) -> exclusions (J13) and credit events (J12) when given -> PD range
     (J3) -> one history row (date_int, source folder, operation_date).
@@ -430,7 +438,7 @@ def daily_run(spark: SparkSession, root: str, start, end, operation_time, table:
         exclusions_load(spark, registry, start, exclusions[0], exclusions[1])
     if events:
         events_daily(spark, events[0], start, end, events[1], events[2])
-    res = pd_range(spark, root, start, end, operation_time, table)
+    res = pd_range(spark, root, start, end, operation_time, table, refresh=refresh)
     history = folders.where(F.col("folder_date") == _lit(_as_date(end)).cast("date")).select(
         F.substring("folder", 1, 8).cast("int").alias("date_int"), F.col("folder").alias("source"),
         _lit(operation_time).cast("timestamp_ntz").alias("operation_date"))

@@ -66,9 +66,12 @@ def test_daily_run_full_composition(spark):
     ev_root, ev_table = q_jobs.land_events_daily(spark, d)
     log = scratch_path(spark, "history")
     excl_out, ev_out = scratch_path(spark, "excl-v2"), scratch_path(spark, "ev-v2")
+    derived_out = scratch_path(spark, "derived")
     res = jobs.daily_run(spark, root, dt.date(2024, 1, 16), dt.date(2024, 1, 16), dt.datetime(2024, 2, 2, 6),
                          q_jobs._pd_table(spark, d), sorted(econs), log, registry=reg, exclusions=(excl, excl_out),
-                         events=(ev_root, ev_table, ev_out))
+                         events=(ev_root, ev_table, ev_out),
+                         refresh=(fx.companies_mapping_info(spark, d), fx.excluded_companies(spark, d), derived_out))
+    assert spark.read.parquet(derived_out + "/website").count() > 0
     assert res.where(F.col("operation_time") == F.lit(dt.datetime(2024, 2, 2, 6))).count() > 0
     assert spark.read.parquet(excl_out).where("remark = 'updated'").count() > 0
     assert spark.read.parquet(ev_out).count() >= spark.read.parquet(ev_table).count()
