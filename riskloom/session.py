@@ -116,11 +116,15 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     target = scratch_path(spark, "pyfiles") + "/riskloom.zip"
-    fs, p = _fs_path(target)
-    fs.create_dir(os.path.dirname(p), recursive=True)
-    with fs.open_output_stream(p) as fh:
-        fh.write(buf.getvalue())
-    sc.addPyFile(target)
+    try:
+        fs, p = _fs_path(target)
+        fs.create_dir(os.path.dirname(p), recursive=True)
+        with fs.open_output_stream(p) as fh:
+            fh.write(buf.getvalue())
+        sc.addPyFile(target)
+    except Exception as e:  # noqa: BLE001 - e.g. no client library for the checkpoint filesystem
+        import warnings
+        warnings.warn(f"riskloom not shipped to executors ({e}); install it there or pass it with --py-files")
     _SHIPPED.add(id(sc))
 
 
