@@ -88,3 +88,28 @@ def parse_bool(c, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return F.coalesce(col == 1, F.lit(False))
     return F.coalesce(F.upper(col.cast("string")) == "Y", F.lit(False))
+
+
+def rescale_id(c, factor: int = 1000, as_text: bool = True) -> Column:
+    """Source ids scaled by ``factor`` (e.g. 7007 -> 7): integer division,
+    truncating like the source; text on request."""
+    col = _c(c)
+    res = (col.cast("double") / factor).cast("bigint")
+    return res.cast("string") if as_text else res
+
+
+def normalize_record(df: DataFrame, date_cols_as_text: bool = True) -> DataFrame:
+    """Record normalisation before a load: floating NaN -> NULL, integral
+    doubles of id columns kept numeric, plain dates rendered ``yyyy-MM-dd``
+    (timestamps kept), text cleaned."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = nan_to_null(c)
+        elif isinstance(f.dataType, T.DateType) and date_cols_as_text:
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, T.StringType):
+            c = clean_text(c)
+        out.append(c.alias(f.name))
+    return df.select(*out)

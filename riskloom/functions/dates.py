@@ -43,3 +43,11 @@ def relative_date(c, days: int) -> Column:
 
 def is_weekday(c) -> Column:
     return F.weekday(_c(c)) < 5
+
+
+DATE_STYLES = {"iso": "yyyy-MM-dd", "compact": "yyyyMMdd"}
+
+
+def format_date(c, style: str = "iso") -> Column:
+    """Date as text: ``iso`` = 2024-01-31, ``compact`` = 20240131."""
+    return F.date_format(_c(c), DATE_STYLES.get(style, style))

@@ -128,6 +128,13 @@ def prep_exclusions(sheet: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # B26 per-product preparation of named matrix rows
 # --------------------------------------------------------------------------
+def stamp(df: DataFrame, calibration_date, operation_time, econ_id=ALL_SENTINEL) -> DataFrame:
+    """Load stamps: the calibration date (``yyyymmdd`` text or date), one
+    operation time for the whole run, and the economy (``-99`` = all)."""
+    cal, op = _stamp(calibration_date, operation_time)
+    return df.withColumns({"econ_id": _lit(econ_id, "int"), "calibration_date": cal, "operation_time": op})
+
+
 def _stamp(calibration_date, operation_time):
     cal = calibration_date
     if isinstance(cal, str) and len(cal) == 8 and cal.isdigit():

@@ -113,14 +113,14 @@ def q_date_from_int(spark, d):
     "AS compact_date FROM pd_raw", "pd_raw"))
 def q_date_format(spark, d):
     return (fx.pd_raw(spark, d).select("data_date").distinct()
-            .select("data_date", F.date_format("data_date", "yyyy-MM-dd").alias("iso_date"),
-                    F.date_format("data_date", "yyyyMMdd").alias("compact_date")))
+            .select("data_date", dts.format_date("data_date", "iso").alias("iso_date"),
+                    dts.format_date("data_date", "compact").alias("compact_date")))
 
 
 register("id_rescale", sql(
     "SELECT event_id, CAST(raw_company_id // 1000 AS VARCHAR) AS company_id FROM ymd_parts", "ymd_parts"))(
     lambda spark, d: fx.ymd_parts(spark, d).select(
-        "event_id", F.expr("cast(raw_company_id div 1000 as string)").alias("company_id")))
+        "event_id", cl.rescale_id("raw_company_id", 1000).alias("company_id")))
 
 
 @register("cast_columns", sql(
@@ -138,10 +138,9 @@ def q_cast_columns(spark, d):
     f"SELECT data_date, -99 AS econ_id, company_id, DATE '2024-02-01' AS calibration_date, {OP_SQL} AS "
     f"operation_time FROM ({LATEST_SQL}) l", "pd_raw"))
 def q_stamp_load(spark, d):
-    from riskloom.operators.reshape import _stamp
-    cal, op = _stamp(CALIBRATION, OPERATION_TIME)
-    return _latest(spark, d).select("data_date", F.lit(-99).alias("econ_id"), "company_id",
-                                    cal.alias("calibration_date"), op.alias("operation_time"))
+    keys = _latest(spark, d).select("data_date", "company_id")
+    return rs.stamp(keys, CALIBRATION, OPERATION_TIME).select(
+        "data_date", "econ_id", "company_id", "calibration_date", "operation_time")
 
 
 # ---------------------------------------------------------------- B11-B14 cleaning
@@ -157,9 +156,9 @@ register("clean_cells", sql(
     "FROM pd_matrix_named", "pd_matrix_named"))
 def q_normalize_record(spark, d):
     m = fx.pd_matrix_named(spark, d)
-    return m.select(F.col("company_id").cast("bigint").alias("company_id"),
-                    F.date_format(dts.date_from_parts("yyyy", "mm", "dd"), "yyyy-MM-dd").alias("data_date"),
-                    cl.nan_to_null("PD_60").alias("PD_60"))
+    rec = m.select(F.col("company_id").cast("bigint").alias("company_id"),
+                   dts.date_from_parts("yyyy", "mm", "dd").alias("data_date"), "PD_60")
+    return cl.normalize_record(rec)
 
 
 @register("fill_sentinels", sql(
