@@ -66,3 +66,14 @@ def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
+
+
+def require_unique(df: DataFrame, keys: Sequence[str], what: str = "input") -> DataFrame:
+    """Pass ``df`` through, failing the query if a key occurs twice.  The
+    count is a window over the same keys the following join shuffles on, so
+    it adds a sort but no extra exchange."""
+    from pyspark.sql import Window
+    cols = df.columns
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    bad = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"duplicate key in {what}: {', '.join(keys)}")))
+    return df.withColumn("_n", n).where(bad.isNull()).select(*cols)

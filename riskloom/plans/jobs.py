@@ -27,7 +27,8 @@ from riskloom.operators import mutate as mu
 from riskloom.operators import reshape as rs
 from riskloom.operators import windows as win
 from riskloom.schemas import (ACTION_DAILY, CREDIT_EVENT_KEYS, FILL_LOOKBACK_DAYS, PD_COLS,
-                              SIMPLE_HORIZONS, USER_BOOL_FIELDS, USER_DEFAULTS, USER_JSON_FIELDS)
+                              SIMPLE_HORIZONS, USER_BOOL_FIELDS, USER_DEFAULTS, USER_JSON_FIELDS,
+                              USER_TIME_FIELDS)
 from riskloom.sources import files as fl
 from riskloom.sources import readers as rd
 from riskloom.sources import sinks as sk
@@ -131,13 +132,17 @@ def simple_load(spark: SparkSession, matrix_root: str, table: str, glob: str = "
 # PDIR day, PD day, PD range
 # --------------------------------------------------------------------------
 def pdir_days(spark: SparkSession, root: str, folders: DataFrame, operation_time,
-              pd_keys: DataFrame | None = None) -> DataFrame:
+              pd_keys: DataFrame | None = None, check_unique: bool = True) -> DataFrame:
     """Daily ratings of the folders: (data_date, company_id, pdir_extracted),
-    the rating's own date kept; restricted to the PD keys when given (D3)."""
+    the rating's own date kept; restricted to the PD keys when given (D3).
+    A repeated (date, company) rating fails the job instead of multiplying
+    PD rows in the join."""
     rows = scan_product(spark, root, folders, PDIR_SUB, "pdirNum_*", "pdir_daily")
     cal = F.to_date(F.substring("folder", -8, 8), "yyyyMMdd")
     prepared = rs.prep_pdir_daily(rows, cal, operation_time, econ_id=F.col("econ_id"))
     out = prepared.select("data_date", "company_id", F.col("pdir").alias("pdir_extracted"))
+    if check_unique:
+        out = agg.require_unique(out, ["data_date", "company_id"], "daily ratings")
     if pd_keys is not None:
         out = out.join(pd_keys.select("data_date", "company_id").distinct(), ["data_date", "company_id"], "inner")
     return out
@@ -446,9 +451,10 @@ def daily_run(spark: SparkSession, root: str, start, end, operation_time, table:
     return res
 
 
-def user_rows(users_json: DataFrame) -> DataFrame:
+def user_rows(users_json: DataFrame, null_literal: str | None = None) -> DataFrame:
     """JSON user records -> table rows: booleans parsed, text kept (NULL
-    stays NULL), TYPE / STATUS defaults when absent, dashboard access on."""
+    stays NULL, or becomes ``null_literal`` when a target needs a text
+    marker), TYPE / STATUS defaults when absent, dashboard access on."""
     cols = []
     for src, dst in USER_JSON_FIELDS.items():
         if src not in users_json.columns:
@@ -460,6 +466,8 @@ def user_rows(users_json: DataFrame) -> DataFrame:
             c = parse_bool(c, dtype)
         elif dst in USER_DEFAULTS:
             c = F.coalesce(c.cast("string"), F.lit(USER_DEFAULTS[dst]))
+        elif null_literal is not None and src not in USER_TIME_FIELDS:
+            c = F.coalesce(c.cast("string"), F.lit(null_literal))
         cols.append(c.alias(dst))
     return users_json.select(*cols, F.lit(True).alias("dashboard_access"),
                              F.lit(None).cast("timestamp_ntz").alias("last_login"))

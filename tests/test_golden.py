@@ -159,3 +159,21 @@ def test_scratch_is_under_checkpoint_dir(spark):
     root = checkpoint_root(spark)
     assert scratch_path(spark, "x").startswith(root) and root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert not os.path.exists(scratch_path(spark, "x"))
+
+
+def test_repeated_rating_key_fails_instead_of_multiplying(spark):
+    from riskloom.operators.aggregates import require_unique
+    ok = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 1))], "company_id long, data_date date")
+    assert require_unique(ok, ["data_date", "company_id"]).count() == 2
+    dup = ok.unionByName(ok.limit(1))
+    with pytest.raises(Exception):
+        require_unique(dup, ["data_date", "company_id"]).collect()
+
+
+def test_user_rows_defaults_and_null_literal(spark):
+    from riskloom.plans.jobs import user_rows
+    u = spark.createDataFrame([("a@x.org", None, "Y", None)], "Email string, Phone string, BudaAccess string, Type string")
+    r = user_rows(u).first()
+    assert r.phone is None and r.type == "REGULAR" and r.status == "UNACTIVATED" and r.buda_access is True
+    r2 = user_rows(u, null_literal="NULL").first()
+    assert r2.phone == "NULL" and r2.type == "REGULAR" and r2.created is None
