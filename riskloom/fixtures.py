@@ -11,6 +11,7 @@ decide *which* rows play which role, they never cut the input.
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,18 @@ AS_OF = dt.date(2024, 1, 30)
 PD_SCALE = 3e4
 
 
+_READERS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver test table.  The tables are read-only, so the reader
+    DataFrame (file listing + footer schema) is kept per session and path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per_session = _READERS.setdefault(spark, {})
+    df = per_session.get(path)
+    if df is None:
+        df = per_session[path] = spark.read.parquet(path)
+    return df
 
 
 # --------------------------------------------------------------------------
