@@ -77,8 +77,8 @@ def companies_mapping_info(spark, sf_dir) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     return (c.where(F.col("c_custkey") % 7 != 0)
-            .join(n, c.c_nationkey == n.n_nationkey)
-            .join(r, n.n_regionkey == r.r_regionkey)
+            .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("c_custkey").alias("company_id"),
                     F.col("c_name").alias("company_name"),
                     F.col("n_nationkey").cast("bigint").alias("domicile_id"),

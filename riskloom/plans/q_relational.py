@@ -290,7 +290,7 @@ def q_join_region_default(spark, d):
                  .join(fx.companies_mapping_info(spark, d).select("company_id", "domicile_id"), "company_id", "left"))
     n = fx.table(spark, d, "nation")
     r = fx.table(spark, d, "region")
-    regions = n.join(r, n.n_regionkey == r.r_regionkey).select(
+    regions = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").cast("bigint").alias("domicile_id"),
         F.col("r_regionkey").cast("bigint").alias("region_id"), F.col("r_name").alias("region"))
     return jn.join_region_default(companies, regions).select("company_id", "domicile_id", "region_id", "region")

@@ -256,11 +256,10 @@ EXCL_SHEET_SQL = (
 def exclusion_sheet(spark, d):
     """The exclusion spreadsheet as delivered (typed cells, blanks as NULL)."""
     ex = fx.excluded_companies(spark, d)
-    c = fx.table(spark, d, "customer")
-    n = fx.table(spark, d, "nation")
-    r = fx.table(spark, d, "region")
-    j = (ex.join(c, ex.company_id == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
-         .join(r, n.n_regionkey == r.r_regionkey))
+    c = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_nationkey").alias("nat"))
+    n = fx.table(spark, d, "nation").select(F.col("n_nationkey").alias("nat"), "n_name", F.col("n_regionkey").alias("reg"))
+    r = fx.table(spark, d, "region").select(F.col("r_regionkey").alias("reg"), "r_name")
+    j = ex.join(c, "company_id").join(n, "nat").join(r, "reg")
     return j.select(F.col("r_name").alias("Region"), F.col("company_id").alias("Company Number"),
                     F.col("n_name").alias("country"), F.col("ticker").alias("Ticker"),
                     F.col("ticker").alias("Company Name"), F.col("start_date").alias("Excluded Since (PD date)"),
