@@ -77,6 +77,8 @@ def _decode_batches(decoder: Decoder, variables, transpose: bool):
             for i, path in enumerate(paths):
                 try:
                     m = np.asarray(decoder(contents[i].as_py(), variables), dtype="float64")
+                    if m.ndim > 2:
+                        raise ValueError(f"expected a matrix, got shape {m.shape}")
                     if m.ndim == 1:
                         m = m.reshape(1, -1) if m.size else m.reshape(0, 0)
                     if transpose:

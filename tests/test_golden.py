@@ -113,12 +113,14 @@ def test_matrix_scan_reports_corrupt_file_and_reads_npz(spark, tmp_path):
     np.save(tmp_path / "pd60h_1.npy", np.array([[1.0, 2.0], [3.0, float("nan")]]))
     np.savez(tmp_path / "grid_2.npz", other=np.zeros((2, 2, 2)), pdirNum=np.array([[5.0, 6.0]]))
     (tmp_path / "pd60h_3.npy").write_bytes(b"broken")
+    np.save(tmp_path / "pd60h_4.npy", np.zeros((2, 2, 2)))
     rows = scan_matrix(spark, str(tmp_path), "*", variables=["pdirnum", "pdirNum"], keep_errors=True).collect()
     by = {(r.file_name, r.row): r for r in rows}
     assert by[("pd60h_1.npy", 1)]["values"] == [3.0, None]        # NaN -> NULL at ingest
     assert by[("grid_2.npz", 0)]["values"] == [5.0, 6.0]           # named variable, fallback spelling
-    bad = [r for r in rows if r.file_name == "pd60h_3.npy"]
-    assert len(bad) == 1 and bad[0].error and bad[0]["values"] is None
+    for name in ("pd60h_3.npy", "pd60h_4.npy"):
+        bad = [r for r in rows if r.file_name == name]
+        assert len(bad) == 1 and bad[0].error and bad[0]["values"] is None
 
 
 def test_csv_scan_tolerates_empty_file(spark, tmp_path):
