@@ -110,16 +110,20 @@ def forward_fill_update(main: DataFrame, as_of, days: int = FILL_LOOKBACK_DAYS,
     return update_from_join(main, filled, target=rating, since=since)
 
 
+def operation_log_columns(data_date, calibration_date, operation_time, action: str = ACTION_DAILY) -> list:
+    """Columns of a daily log row (econ and company are 'all')."""
+    return [_lit(data_date).cast("date").alias("data_start_date"),
+            _lit(data_date).cast("date").alias("data_end_date"),
+            F.lit(ALL_SENTINEL).alias("econ_id"), F.lit(ALL_SENTINEL).cast("bigint").alias("company_id"),
+            _lit(calibration_date).cast("date").alias("calibration_date"),
+            _lit(operation_time).cast("timestamp_ntz").alias("operation_time"),
+            F.lit(action).alias("operation_action")]
+
+
 def operation_log_daily(spark: SparkSession, data_date, calibration_date, operation_time,
                         action: str = ACTION_DAILY) -> DataFrame:
-    """The one log row of a daily load (econ and company are 'all')."""
-    return spark.range(1).select(
-        _lit(data_date).cast("date").alias("data_start_date"),
-        _lit(data_date).cast("date").alias("data_end_date"),
-        F.lit(ALL_SENTINEL).alias("econ_id"), F.lit(ALL_SENTINEL).cast("bigint").alias("company_id"),
-        _lit(calibration_date).cast("date").alias("calibration_date"),
-        _lit(operation_time).cast("timestamp_ntz").alias("operation_time"),
-        F.lit(action).alias("operation_action"))
+    """The one log row of a daily load."""
+    return spark.range(1).select(*operation_log_columns(data_date, calibration_date, operation_time, action))
 
 
 def operation_log_revision(batch: DataFrame) -> DataFrame:

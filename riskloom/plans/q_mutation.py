@@ -98,10 +98,9 @@ def q_log_operations(spark, d):
 
 
 def _daily_log_if_loaded(spark, loaded, day):
-    """The daily log row, emitted only when the day actually loaded rows."""
-    row = mu.operation_log_daily(spark, day, fx.CALIBRATION, OPERATION_TIME)
-    flag = loaded.where(F.col("n") > 0).select(F.lit(1).alias("_one"))
-    return row.withColumn("_one", F.lit(1)).join(flag, "_one", "left_semi").drop("_one")
+    """The daily log row, emitted only when the day actually loaded rows:
+    a projection of the one-row count, so no join is needed."""
+    return loaded.where(F.col("n") > 0).select(*mu.operation_log_columns(day, fx.CALIBRATION, OPERATION_TIME))
 
 
 register("guard_daily", sql(
