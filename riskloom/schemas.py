@@ -102,7 +102,8 @@ DAILY_ECONOMIES = sorted([
 ])
 
 # --------------------------------------------------------------------------
-# Positional layouts of unnamed source matrices.
+# Positional column names of the unnamed source matrices and
+# sheets (they must match the order in which the source writes them).
 # --------------------------------------------------------------------------
 LAYOUTS = {
     "simple_pd": ["comp_id", "yyyy", "mm", "dd",
@@ -203,7 +204,8 @@ USER_TABLE = T.StructType([
     _f("buda_popup_disable", T.BooleanType()), _f("last_login", T.TimestampNTZType()),
 ])
 
-# Source JSON keys of a user record, mapped to table columns.
+# The source's JSON keys of a user record (they must match the
+# input files), mapped to table columns.
 USER_JSON_FIELDS = {
     "Email": "email", "FirstName": "first_name", "LastName": "last_name", "Company": "company",
     "Designation": "designation", "Department": "department", "Industry": "industry",
