@@ -77,3 +77,21 @@ def test_daily_run_full_composition(spark):
     assert spark.read.parquet(ev_out).count() >= spark.read.parquet(ev_table).count()
     h = spark.read.parquet(log).collect()
     assert len(h) == 1 and h[0].date_int == 20240116 and h[0].source == "20240116_cali_20240201"
+
+
+def test_cli_pd_range_and_refresh(spark):
+    from riskloom import cli
+    from riskloom import fixtures as fx
+    from riskloom.plans import q_jobs
+    from tests.conftest import SF_SMALL
+    root = q_jobs.land_delivery(spark, SF_SMALL, ("pd", "pdir"))
+    table = q_jobs._pd_table(spark, SF_SMALL)
+    before = spark.read.parquet(table).count()
+    cli.main(["pd-range", "--root", root, "--table", table, "--start", "2024-01-15", "--end", "2024-01-19"])
+    assert spark.read.parquet(table).count() > before
+    comp, excl, out = (scratch_path(spark, n) for n in ("companies", "exclusions", "derived"))
+    fx.companies_mapping_info(spark, SF_SMALL).write.parquet(comp)
+    fx.excluded_companies(spark, SF_SMALL).write.parquet(excl)
+    cli.main(["refresh", "--table", table, "--companies", comp, "--exclusions", excl, "--out", out,
+              "--as-of", "2024-01-30"])
+    assert spark.read.parquet(out + "/website").count() > 0
