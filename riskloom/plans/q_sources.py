@@ -5,7 +5,6 @@ checkpoint root, then scans them back with the library's readers."""
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,27 +17,30 @@ from riskloom.operators import windows as win
 from riskloom.plans.catalog import LATEST_SQL, register
 from riskloom.plans.q_reshape import as_csv_rows
 from riskloom.schemas import AS_CSV_COLS, DAILY_ECONOMIES, PD_COLS, PD_TABLE
-from riskloom.session import checkpoint_root, scratch_path
+from riskloom.session import _fs_path, checkpoint_root, landed_fixture, scratch_path
 from riskloom.sources import files as fl
 from riskloom.sources import readers as rd
 from riskloom.sources import sinks as sk
 from riskloom.sources.matrix import scan_matrix, write_matrix_shards
 
 
-def land_pd_shards(spark, d, prefix="pd60h_", junk=True):
-    """Write the daily PD matrix as per-economy .npy shards (plus a corrupt
-    shard and an unrelated file) and return the folder."""
-    out = scratch_path(spark, "shards")
-    write_matrix_shards(fx.pd_matrix_rows(spark, d), out, prefix)
-    if junk:
-        from riskloom.session import local_path
-        base = local_path(out)
-        if os.path.isdir(base):
-            with open(os.path.join(base, f"{prefix}999.corrupt.npy"), "wb") as fh:
-                fh.write(b"not a matrix")
-            with open(os.path.join(base, "readme.txt"), "wb") as fh:
-                fh.write(b"delivery notes")
-    return out
+def land_pd_shards(spark, d, with_pdir=False):
+    """The daily PD matrix as per-economy .npy shards plus a corrupt shard
+    and an unrelated file (and, with ``with_pdir``, the rating shards).
+    Landed once per source-table state (immutable input) and reused."""
+    name = "pd-pdir-shards" if with_pdir else "pd-shards"
+    return landed_fixture(spark, name, d, lambda out: _write_pd_shards(spark, d, out, with_pdir))
+
+
+def _write_pd_shards(spark, d, out, with_pdir):
+    write_matrix_shards(fx.pd_matrix_rows(spark, d), out, "pd60h_")
+    fs, base = _fs_path(out)
+    with fs.open_output_stream(f"{base}/pd60h_999.corrupt.npy") as fh:
+        fh.write(b"not a matrix")
+    with fs.open_output_stream(f"{base}/readme.txt") as fh:
+        fh.write(b"delivery notes")
+    if with_pdir:
+        land_pdir_shards(spark, d, out)
 
 
 def land_pdir_shards(spark, d, out):
@@ -81,10 +83,10 @@ def q_src_csv_scan(spark, d):
     root = scratch_path(spark, "as-csv")
     rows = as_csv_rows(spark, d).withColumn("econ", fx.econ_of("U3_ID"))
     rows.write.mode("overwrite").option("header", True).partitionBy("econ").csv(root)
-    from riskloom.session import local_path
-    empty_dir = os.path.join(local_path(root), "econ=0")
-    os.makedirs(empty_dir, exist_ok=True)
-    open(os.path.join(empty_dir, "AS_empty.csv"), "wb").close()
+    fs, base = _fs_path(root)                       # plus an empty shard of another economy
+    fs.create_dir(f"{base}/econ=0", recursive=True)
+    with fs.open_output_stream(f"{base}/econ=0/AS_empty.csv"):
+        pass
     return rd.read_csv_shards(spark, root, AS_CSV_SCHEMA, glob="*.csv")
 
 
@@ -213,9 +215,7 @@ def q_manifest_expected(spark, d):
 
 
 def _listing(spark, d):
-    root = land_pd_shards(spark, d)
-    land_pdir_shards(spark, d, root)
-    return fl.list_files(spark, root)
+    return fl.list_files(spark, land_pd_shards(spark, d, with_pdir=True))
 
 
 ECON_SQL = "SELECT DISTINCT CAST(company_id % 25 + 1 AS BIGINT) AS econ_id FROM pd_raw"
