@@ -48,14 +48,12 @@ def _lit(v):
 def list_delivery_names(root: str) -> list[str]:
     """Names of the delivery folders directly under ``root``: one directory
     listing (metadata only, one entry per delivery day), no file scan."""
-    from pyarrow import fs as pafs
-    import os
     import re
-    if "://" in root and not root.startswith("file:"):
-        fs, base = pafs.FileSystem.from_uri(root)
-    else:
-        from riskloom.session import local_path
-        fs, base = pafs.LocalFileSystem(), os.path.abspath(local_path(root))
+
+    from pyarrow import fs as pafs
+
+    from riskloom.session import _fs_path
+    fs, base = _fs_path(root)
     try:
         infos = fs.get_file_info(pafs.FileSelector(base, recursive=False))
     except (FileNotFoundError, OSError):

@@ -13,7 +13,6 @@ the ingest rule: NaN means "missing" and must not reach aggregates.
 from __future__ import annotations
 
 import io
-import os
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -112,10 +111,8 @@ def scan_matrix(spark: SparkSession, root: str | Sequence[str], glob: str = "*",
 
 def _filesystem(path: str):
     """pyarrow filesystem + path for local, HDFS or object-store folders."""
-    from pyarrow import fs as pafs
-    if "://" not in path:
-        return pafs.LocalFileSystem(), os.path.abspath(path)
-    return pafs.FileSystem.from_uri(path)
+    from riskloom.session import _fs_path
+    return _fs_path(path)
 
 
 def _writer(out_dir: str, prefix: str, key: str, folder: str | None):
