@@ -23,11 +23,11 @@ def revision_span(df: DataFrame,
 
 
 def dates_per_company(df: DataFrame, key: str = "company_id", date_col: str = "data_date") -> DataFrame:
-    """company -> sorted distinct dates.  Distinct (company, date) pairs are
-    reduced first, so a group holds at most one entry per calendar day."""
-    pairs = df.select(key, date_col).distinct()
-    return pairs.groupBy(key).agg(F.sort_array(F.collect_list(date_col)).alias("dates"),
-                                  F.count(F.lit(1)).alias("n_dates"))
+    """company -> sorted distinct dates, in one shuffle: the partial
+    ``collect_set`` de-duplicates map-side, and a group holds at most one
+    entry per calendar day whatever the number of versions."""
+    g = df.groupBy(key).agg(F.sort_array(F.collect_set(date_col)).alias("dates"))
+    return g.withColumn("n_dates", F.size("dates").cast("bigint"))
 
 
 def reconcile(left: DataFrame, right: DataFrame, merged: DataFrame) -> DataFrame:
