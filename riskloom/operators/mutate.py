@@ -46,23 +46,20 @@ def delete_insert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
                   date_col: str | None = None) -> DataFrame:
     """Delete current rows whose key is in the batch, then insert the batch.
     SQL equality by default (a NULL key never matches); ``min_date`` keeps
-    the reference's guard that only deletes rows dated on/after it."""
+    the reference's guard that only deletes rows dated on/after it.  One
+    pass over the current table: a left join against the batch's distinct
+    keys flags the rows to delete."""
     keys = list(keys)
-    k = incoming.select(*keys).distinct()
-    if null_safe:
-        ks = k.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
-        cond = None
-        for c in keys:
-            e = current[c].eqNullSafe(ks[f"_k_{c}"])
-            cond = e if cond is None else cond & e
-        hit = current.join(ks, cond, "left_semi")
-        keep = current.join(ks, cond, "left_anti")
-    else:
-        hit = current.join(k, keys, "left_semi")
-        keep = current.join(k, keys, "left_anti")
+    k = incoming.select(*[F.col(c).alias(f"_k_{c}") for c in keys]).distinct().withColumn("_hit", F.lit(True))
+    cond = None
+    for c in keys:
+        e = current[c].eqNullSafe(k[f"_k_{c}"]) if null_safe else current[c] == k[f"_k_{c}"]
+        cond = e if cond is None else cond & e
+    flagged = current.join(k, cond, "left")
+    delete = F.col("_hit").isNotNull()
     if min_date is not None:
-        # rows matched but older than the guard are not deleted
-        keep = keep.unionByName(hit.where(F.col(date_col) < F.lit(min_date)))
+        delete = delete & (F.col(date_col) >= F.lit(min_date))
+    keep = flagged.where(~F.coalesce(delete, F.lit(False))).select(*[current[c] for c in current.columns])
     return keep.unionByName(select_names(incoming, current.columns))
 
 
