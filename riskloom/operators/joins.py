@@ -59,11 +59,14 @@ def diff_keys_both(a: DataFrame, b: DataFrame,
                    keys: Sequence[str] = ("company_id", "data_date")) -> DataFrame:
     """Keys only in ``a`` (side ``left_only``) and only in ``b`` (``right_only``)."""
     keys = list(keys)
-    # distinct first: partial aggregation shrinks repeated (hot) keys map-side
-    ka, kb = a.select(*keys).distinct(), b.select(*keys).distinct()
-    left = ka.join(kb, keys, "left_anti").withColumn("side", F.lit("left_only"))
-    right = kb.join(ka, keys, "left_anti").withColumn("side", F.lit("right_only"))
-    return left.unionByName(right)
+    # distinct first (partial aggregation shrinks repeated keys map-side), then
+    # one full outer join on the already hash-partitioned key sets
+    ka = a.select(*keys).distinct().withColumn("_in_a", F.lit(True))
+    kb = b.select(*keys).distinct().withColumn("_in_b", F.lit(True))
+    j = ka.join(kb, keys, "full_outer")
+    return (j.where(F.col("_in_a").isNull() | F.col("_in_b").isNull())
+            .select(*keys, F.when(F.col("_in_b").isNull(), F.lit("left_only")).otherwise(F.lit("right_only"))
+                    .alias("side")))
 
 
 def anti_not_loaded(incoming: DataFrame, loaded: DataFrame,
