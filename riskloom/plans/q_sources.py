@@ -93,9 +93,11 @@ def q_src_csv_scan(spark, d):
 # ---------------------------------------------------------------- A4 registry
 REGISTRY_SQL = (
     "SELECT r_name AS Region, CAST(e.company_id AS VARCHAR) AS CompanyNumber, n_name AS Country, e.ticker AS Ticker, "
-    "e.ticker AS CompanyName, CASE WHEN e.end_date IS NULL THEN 'open' END AS Reason, NULL AS Remark, "
-    "CAST(e.start_date AS VARCHAR) AS StartDate, CAST(e.end_date AS VARCHAR) AS EndDate, NULL AS ErrorFoundDate, "
-    "NULL AS SQLQuery, NULL AS StopReason, NULL AS InternalRemarks FROM excluded_companies e "
+    "e.ticker AS CompanyName, CASE WHEN e.end_date IS NULL THEN 'open' END AS Reason, "
+    "CAST(NULL AS VARCHAR) AS Remark, CAST(e.start_date AS VARCHAR) AS StartDate, "
+    "CAST(e.end_date AS VARCHAR) AS EndDate, CAST(NULL AS VARCHAR) AS ErrorFoundDate, "
+    "CAST(NULL AS VARCHAR) AS SQLQuery, CAST(NULL AS VARCHAR) AS StopReason, "
+    "CAST(NULL AS VARCHAR) AS InternalRemarks FROM excluded_companies e "
     "JOIN customer c ON c.c_custkey = e.company_id JOIN nation ON c_nationkey = n_nationkey "
     "JOIN region ON n_regionkey = r_regionkey")
 
