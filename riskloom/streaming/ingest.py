@@ -32,21 +32,16 @@ def upsert_versions(table: str, keys: Sequence[str] = tuple(PD_KEYS)):
     """foreachBatch function: append the versions the table lacks."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch = mu.with_month(batch).persist()
-        try:
-            # the key includes the version (operation_time): rows sharing it are the
-            # same version, so a hash de-duplication (partial aggregation) suffices
-            fresh = batch.dropDuplicates(list(keys))
-            if not _table_exists(spark, table):
-                new = fresh
-            else:
-                current = mu.read_touched(spark, table, batch)        # only the batch's months
-                new = fresh.select(*current.columns).join(current.select(*keys), list(keys), "left_anti")
-            # appending while reading the table is safe: the scan's file list is
-            # fixed when the batch is planned and new files commit at job end
-            new.write.mode("append").partitionBy("data_month").parquet(table)
-        finally:
-            batch.unpersist()
+        batch = mu.with_month(batch)
+        # the key includes the version (operation_time): rows sharing it are the
+        # same version, so a hash de-duplication (partial aggregation) suffices
+        fresh = batch.dropDuplicates(list(keys))
+        if _table_exists(spark, table):
+            current = mu.read_touched(spark, table, batch)            # only the batch's months
+            fresh = fresh.select(*current.columns).join(current.select(*keys), list(keys), "left_anti")
+        # appending while reading the table is safe: the scan's file list is
+        # fixed when the batch is planned and new files commit at job end
+        fresh.write.mode("append").partitionBy("data_month").parquet(table)
     return run
 
 
