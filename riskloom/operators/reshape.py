@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.clean import nan_to_null
+from riskloom.functions.clean import nan_to_null, rescale_id
 from riskloom.functions.expr import q
 from riskloom.functions.dates import date_from_parts_coerce, date_from_yyyymmdd
 from riskloom.operators.filters import filter_any_missing, filter_missing_value
@@ -168,7 +168,7 @@ def prep_pd_revision(rows: DataFrame, calibration_date, operation_time, econ_id=
     r = filter_any_missing(rows, PD_COLS)
     return _prepared(r, {"data_date": date_from_yyyymmdd("data_date"),
                          "econ_id": _lit(econ_id, "int"),
-                         "company_id": (F.col("company_id") / 1000).cast("bigint"),
+                         "company_id": rescale_id("company_id", 1000, as_text=False),
                          "calibration_date": cal, "operation_time": op}, PD_COLS, keep)
 
 
@@ -218,5 +218,5 @@ def prep_pdir_historical(cells: DataFrame, keep=()) -> DataFrame:
     return r.select(
         date_from_yyyymmdd("date").alias("data_date"),
         F.col("econ_id").cast("int").alias("econ_id"),
-        (F.col("company_id") / 1000).cast("bigint").alias("company_id"),
+        rescale_id("company_id", 1000, as_text=False).alias("company_id"),
         F.col("pdir").cast("double").alias("pdir"), *keep)
