@@ -26,9 +26,12 @@ def date_from_parts_coerce(y, m, d) -> Column:
 
 
 def date_from_yyyymmdd(c, strict: bool = True) -> Column:
-    """A ``yyyymmdd`` number (possibly a double from a matrix) as a date."""
-    txt = _c(c).cast("bigint").cast("string")
-    return F.to_date(txt, "yyyyMMdd") if strict else F.try_to_date(txt, "yyyyMMdd")
+    """A ``yyyymmdd`` number (possibly a double from a matrix) as a date,
+    split arithmetically (no text round trip).  Strict: an impossible date
+    fails the query (ANSI); otherwise it is NULL."""
+    n = _c(c).cast("bigint")
+    y, m, d = (n / 10000).cast("int"), ((n / 100).cast("bigint") % 100).cast("int"), (n % 100).cast("int")
+    return F.make_date(y, m, d) if strict else date_from_parts_coerce(y, m, d)
 
 
 def last_trading_day(c) -> Column:

@@ -179,3 +179,14 @@ def test_user_rows_defaults_and_null_literal(spark):
     assert r.phone is None and r.type == "REGULAR" and r.status == "UNACTIVATED" and r.buda_access is True
     r2 = user_rows(u, null_literal="NULL").first()
     assert r2.phone == "NULL" and r2.type == "REGULAR" and r2.created is None
+
+
+def test_yyyymmdd_numbers(spark):
+    from riskloom.functions.dates import date_from_yyyymmdd
+    df = spark.createDataFrame([(20240131.0,), (19991231.0,), (None,)], "x double")
+    got = [r.d for r in df.select(date_from_yyyymmdd("x").alias("d")).collect()]
+    assert got == [D(2024, 1, 31), D(1999, 12, 31), None]
+    bad = spark.createDataFrame([(20240230.0,)], "x double")
+    assert bad.select(date_from_yyyymmdd("x", strict=False).alias("d")).first().d is None
+    with pytest.raises(Exception):
+        bad.select(date_from_yyyymmdd("x").alias("d")).collect()
