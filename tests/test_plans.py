@@ -59,3 +59,12 @@ def test_broadcast_only_below_a_proven_bound(spark):
         assert "BroadcastHashJoin" not in plan(refused)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_bench_headline_queries_are_registered():
+    import os
+    import bench
+    import __spark_entry__ as E
+    qs = E.queries()
+    assert set(bench.HEADLINE) <= set(qs)
+    assert os.path.isdir(E.SMOKE_DIR)
