@@ -8,6 +8,7 @@ local tests, a folder under the system temp dir is configured once.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -64,6 +65,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = tempfile.mkdtemp(prefix="riskloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -94,7 +98,7 @@ def ensure_dir(path: str) -> None:
         os.makedirs(local_path(path), exist_ok=True)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -105,7 +109,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
@@ -116,16 +120,12 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     target = scratch_path(spark, "pyfiles") + "/riskloom.zip"
-    try:
-        fs, p = _fs_path(target)
-        fs.create_dir(os.path.dirname(p), recursive=True)
-        with fs.open_output_stream(p) as fh:
-            fh.write(buf.getvalue())
-        sc.addPyFile(target)
-    except Exception as e:  # noqa: BLE001 - e.g. no client library for the checkpoint filesystem
-        import warnings
-        warnings.warn(f"riskloom not shipped to executors ({e}); install it there or pass it with --py-files")
-    _SHIPPED.add(id(sc))
+    fs, p = _fs_path(target)
+    fs.create_dir(os.path.dirname(p), recursive=True)
+    with fs.open_output_stream(p) as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
 
 
 FIXTURE_VERSION = "1"
