@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.session import scratch_path, ship_package
 
@@ -37,3 +37,30 @@ def text_or_empty(col: str) -> Column:
 def crc_mod(id_col: str, m: int) -> Column:
     """crc32 of the id's decimal text, modulo ``m`` (a null id counts as '')."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(m))
+
+
+#: Rows handed to a worker function at once.
+ROWS = 512
+
+
+def with_computed(df: DataFrame, fields: list[tuple[str, str]], compute) -> DataFrame:
+    """``df`` with columns computed in the workers, replacing columns of the
+    same names.  ``compute()`` is called once per task and returns a
+    function from an Arrow record batch of ``df`` to the list of new arrays."""
+    on_workers(df.sparkSession)
+    new = [name for name, _ in fields]
+    keep = [c for c in df.columns if c not in new]
+    schema = T.StructType([df.schema[c] for c in keep])
+    for name, kind in fields:
+        schema = schema.add(name, kind)
+    at = [df.columns.index(c) for c in keep]
+
+    def run(batches):
+        import pyarrow as pa
+        step = compute()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in at] + step(part), names=keep + new)
+
+    return df.mapInArrow(run, schema)

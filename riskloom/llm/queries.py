@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import exact_dedup, source_mix
+from riskloom.llm import (byte_bpe, chat_format, exact_dedup, fingerprints, language_id, source_mix, toxicity,
+                          wordpiece)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_weighted_fingerprints": fingerprints.op1_weighted_fingerprints,
+        "op2_toxicity": toxicity.op2_toxicity,
+        "op3_byte_bpe": byte_bpe.op3_byte_bpe,
         "op4_source_mix": source_mix.op4_source_mix,
+        "op6_wordpiece_counts": wordpiece.op6_wordpiece_counts,
+        "op7_chat_format": chat_format.op7_chat_format,
+        "op9_language_id": language_id.op9_language_id,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
 

@@ -83,12 +83,13 @@ def stretches(off: np.ndarray, limit: int = STRETCH) -> Iterator[tuple[int, int]
         lo = min(hi, n)
 
 
-def row_words(raw: np.ndarray, off: np.ndarray, lo: int, hi: int, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, byte lengths, words per row) for rows lo..hi; a row longer than
-    a stretch is hashed piece by piece, cut at white space."""
+def row_words(raw: np.ndarray, off: np.ndarray, lo: int, hi: int,
+              fold: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, byte lengths, words per row) for rows lo..hi, bytes first mapped
+    by ``fold``; a row longer than a stretch is hashed piece by piece, cut at white space."""
     if off[hi] - off[lo] <= STRETCH or hi > lo + 1:
         data = raw[off[lo]:off[hi]]
-        hashes, starts, size = _hash_words(LOWER[data] if lower else data, off[lo:hi + 1] - off[lo])
+        hashes, starts, size = _hash_words(data if fold is None else fold[data], off[lo:hi + 1] - off[lo])
         per_row = np.diff(np.searchsorted(starts, off[lo:hi + 1] - off[lo]))
         return hashes, size, per_row
     found, at, end = [], int(off[lo]), int(off[hi])
@@ -104,7 +105,7 @@ def row_words(raw: np.ndarray, off: np.ndarray, lo: int, hi: int, lower: bool) -
             to = min(to + STRETCH, end)
             width += STRETCH
         data = raw[at:to]
-        found.append(_hash_words(LOWER[data] if lower else data, np.zeros(0, np.int64)))
+        found.append(_hash_words(data if fold is None else fold[data], np.zeros(0, np.int64)))
         at = to
     hashes = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.uint64)
     size = np.concatenate([f[2] for f in found]) if found else np.zeros(0, np.int64)
