@@ -1,24 +1,33 @@
 """Toxicity by class-conditional Kneser-Ney language models.
 
-One word bigram model per class (toxic, ordinary).  With c(h, w) the class's
-bigram counts, D the discount and N(w) the number of distinct words before w:
+Each class (toxic, ordinary) has a word model from continuation counts, here
+the number N(w) of distinct texts that hold word w, so that a word repeated in
+one text weighs once.  With the class's discount D
 
-    P(w | h) = max(c(h, w) - D, 0) / c(h) + rest(h) * P(w)
-    P(w)     = max(N(w) - D, 0) / N + rest * P_shared(w)
-    P_shared = the same continuation counts over both classes together, plus one
+    P(w) = max(N(w) - D, 0) / N + rest * P_shared(w)
 
-so an expression that is rare in a class falls back on counts that both share.
-A text's evidence is its log-likelihood ratio per word; a logistic curve in the
-evidence, fitted on rows that are not counted, turns it into a score.
+where P_shared has the counts of both classes together, plus one: expressions
+that are rare in a class fall back on counts that both share.  Bigrams are
+shared, too, and scaled to the class (marginal adaptation of a bigram model):
+
+    P(w | h) = P_shared(w | h) * P(w) / P_shared(w) / Z(h)
+    Z(h)     = sum over w of P_shared(w | h) * P(w) / P_shared(w)
+
+A text's evidence is the log-likelihood ratio of the two models per word.  The
+shared bigrams cancel but for Z, which takes out what a class's share of a
+language or topic would add to every word.  A logistic curve in the evidence,
+fitted on rows that are not counted, turns it into a score.
 
 Words are white-space separated after A-Z is lowered and other ASCII than
-letters and digits is blanked; a word is known by one of SLOTS hash slots.
+letters and digits is blanked; a word is known by one of SLOTS hash slots, as
+the word before it by one of CONTEXTS.  The discount grows with the class: it
+is the DISCOUNT-th power of the number of toxic texts, for the ordinary class
+times its share of counts, so both classes hold a word back alike.
 
-Counting covers every labelled row of the learning split, in Spark.  What the
-scorers get is bounded: arrays over the slots, and the bigrams that make up
-more than 1/PAIRS of their class's words - fewer than 2 * PAIRS of them
-whatever the input; rarer bigrams are priced by the backoff.  The curve is
-fitted on at most CALIBRATION rows, those of smallest id hash.
+Counting covers every labelled row of the learning split, Z every document,
+both in Spark; the models that scorers get are arrays over the slots, whose
+size the data do not change.  The curve is fitted on at most CALIBRATION rows,
+those of smallest id hash.
 
 Cases: a null or empty text has evidence 0 and the score that belongs to it; a
 text counts as toxic if any of its label rows says so, null labels say nothing;
@@ -34,13 +43,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import crc_mod, on_workers, staged, table, with_computed
+from riskloom.llm.common import crc_mod, on_workers, table, with_computed
 from riskloom.llm.textops import buffers, row_words, stretches
 
-SLOT_BITS, DISCOUNT = 18, 0.75
-SLOTS, PAIRS, CALIBRATION = 1 << SLOT_BITS, 1 << 19, 20_000
-#: Words whose bigrams a task combines before it passes them on.
-TOGETHER = 1 << 21
+SLOTS, CONTEXTS, DISCOUNT, CALIBRATION = 1 << 20, 1 << 16, 0.4, 20_000
+#: Pseudo-count of the shared word distribution after every context.
+PRIOR = 5
+#: Z is summed in whole numbers of this part, so that reruns agree.
+UNIT = 1 << 12
 #: predicted = 1 from this score on.
 THRESHOLD = 0.3
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -58,111 +68,97 @@ def slots_of(raw: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.nda
     return out, starts
 
 
-def bigram_counts(rows: DataFrame) -> DataFrame:
-    """(text, toxic) -> pair (previous slot * SLOTS + slot), toxic and ordinary counts; a row for each pair."""
+def _slot_sums(rows: DataFrame, values: list[str], slots: int, compute) -> DataFrame:
+    """slot, sums of ``values``: compute(batch) yields (slot of each addend, values as arrays); each task adds up its own."""
     on_workers(rows.sparkSession)
-
-    def counted(found):
-        (a, n), (b, m) = (np.unique(np.concatenate(f), return_counts=True) for f in found)
-        both = np.union1d(a, b)
-        counts = np.zeros((2, len(both)), np.int64)
-        counts[0, np.searchsorted(both, a)] = n
-        counts[1, np.searchsorted(both, b)] = m
-        for at in range(0, len(both), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(x[at:at + (1 << 16)]) for x in (both, counts[1], counts[0])],
-                                             names=["pair", "toxic", "ordinary"])
+    names = ["slot"] + values
 
     def run(batches):
-        none = np.zeros(0, np.int64)
-        found, size = ([none], [none]), 0
+        sums = np.zeros((slots, len(values)), np.int64)
         for batch in batches:
-            raw, off = buffers(batch.column(0))
-            toxic = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), bool)
-            for lo, hi in stretches(off):
-                slots, starts = slots_of(raw, off, lo, hi)
-                pairs = slots[:-1] * SLOTS + slots[1:]
-                real = np.ones(len(slots), bool)
-                real[starts[:-1]] = False
-                of = np.repeat(toxic[lo:hi], np.diff(starts))[1:]
-                for k in (0, 1):
-                    found[k].append(pairs[real[1:] & (of == bool(k))])
-                size += len(pairs)
-                if size >= TOGETHER:
-                    yield from counted(found)
-                    found, size = ([none], [none]), 0
-        yield from counted(found)
-
-    parts = rows.select("text", F.col("toxic").cast("boolean")).mapInArrow(run, "pair long, toxic long, ordinary long")
-    return parts.groupBy("pair").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-
-
-def _by_slot(found: DataFrame) -> np.ndarray:
-    """A small table (slot, values...) as an array over the slots; it has a row for each of SLOTS slots at most."""
+            for at, addends in compute(batch):
+                for k, x in enumerate(addends):
+                    sums[:, k] += np.rint(np.bincount(at, x, slots)).astype(np.int64)
+        found = np.flatnonzero(sums.any(axis=1))
+        for at in range(0, len(found), 1 << 16):
+            rows = found[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows)] + [pa.array(sums[rows, k]) for k in range(len(values))], names=names)
+
+    parts = rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return parts.groupBy("slot").agg(*[F.sum(v).alias(v) for v in values])
+
+
+def _by_slot(found: DataFrame, slots: int) -> np.ndarray:
+    """A table of slot sums as an array; it has one row for each slot at most."""
     data = found.toArrow()
-    out = np.zeros((SLOTS, data.num_columns - 1))
+    out = np.zeros((slots, data.num_columns - 1))
     for k in range(1, data.num_columns):
         out[data.column(0).to_numpy(), k - 1] = data.column(k).to_numpy()
     return out
 
 
-def fit_models(counts: DataFrame) -> dict | None:
-    """Log-likelihood ratios: by bigram where the model keeps it, else by previous word and word."""
-    kinds = ("toxic", "ordinary")
-    total = dict(zip(kinds, counts.agg(*[F.coalesce(F.sum(k), F.lit(0)) for k in kinds]).first()))
-    if not all(total.values()):
+def text_counts(rows: DataFrame) -> DataFrame:
+    """(text, toxic) -> slot, toxic, ordinary: texts of each class that hold it; slot 0 has all of them."""
+    def compute(batch):
+        raw, off = buffers(batch.column(0))
+        toxic = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), bool)
+        for lo, hi in stretches(off):
+            slots, starts = slots_of(raw, off, lo, hi)
+            held = np.unique(np.repeat(np.arange(lo, hi), np.diff(starts)) * SLOTS + slots)
+            of = toxic[held // SLOTS]
+            yield held % SLOTS, (of, ~of)
+
+    return _slot_sums(rows.select("text", F.col("toxic").cast("boolean")), ["toxic", "ordinary"], SLOTS, compute)
+
+
+def context_of(slots: np.ndarray) -> np.ndarray:
+    return slots & (CONTEXTS - 1)
+
+
+def context_ratios(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
+    """slot (of the word before), n, and the sums over the words after it of the
+    classes' ratios to the shared model, in units of 1/UNIT; over all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+
+    def compute(batch):
+        raw, off = buffers(batch.column(0))
+        for lo, hi in stretches(off):
+            slots, starts = slots_of(raw, off, lo, hi)
+            last, word = context_of(slots[:-1]), slots[1:]
+            real = word > 0
+            after = shared.value[word[real]]
+            yield last[real], (np.ones(len(after)), *(np.rint(after[:, k] * UNIT) for k in (0, 1)))
+
+    return _slot_sums(docs.select("text"), ["n", "toxic", "ordinary"], CONTEXTS, compute)
+
+
+def fit_models(rows: DataFrame, docs: DataFrame) -> dict | None:
+    """The word's log-likelihood ratio and the context's share of it, by slot; None if a class has no rows."""
+    counts = _by_slot(text_counts(rows), SLOTS)
+    texts, counts[0] = counts[0].copy(), 0
+    total = counts.sum(0)
+    if not total.all():
         return None
-    last, word = F.shiftright("pair", SLOT_BITS), F.col("pair").bitwiseAND(SLOTS - 1)
-    before = _by_slot(counts.groupBy(word).agg(*[F.sum((F.col(k) > 0).cast("long")) for k in kinds], F.count(F.lit(1))))
-    after = _by_slot(counts.groupBy(last).agg(*[F.sum(k) for k in kinds]))
-    often = [F.col(k) * PAIRS > total[k] for k in kinds]
-    kept = counts.where(often[0] | often[1]).toArrow()                   # fewer than 2 * PAIRS rows
-    pairs = kept["pair"].to_numpy()
-    order = np.argsort(pairs)
-    pairs = pairs[order]
-    h, w = pairs >> SLOT_BITS, pairs & (SLOTS - 1)
-    shared = (before[:, 2] + 1) / (before[:, 2].sum() + SLOTS)
-    ratio, by_last, by_word = np.zeros(len(pairs)), np.zeros(SLOTS), np.zeros(SLOTS)
-    for col, (kind, sign) in enumerate(zip(kinds, (1, -1))):
-        n = before[:, col]
-        low = np.maximum(n - DISCOUNT, 0) / n.sum()
-        low += (1 - low.sum()) * shared
-        c = kept[kind].to_numpy()[order].astype(np.float64)
-        high = np.maximum(c - DISCOUNT, 0) / np.maximum(after[h, col], 1)
-        rest = np.maximum(1 - np.bincount(h, high, SLOTS), 1e-6)
-        ratio += sign * np.log(high + rest[h] * low[w])
-        by_last += sign * np.log(rest)
-        by_word += sign * np.log(low)
-    return {"pairs": pairs, "ratio": ratio.astype(np.float32), "last": by_last.astype(np.float32), "word": by_word.astype(np.float32)}
-
-
-class Evidence:
-    """(log-likelihood ratio per word, words) of texts."""
-
-    def __init__(self, model: dict):
-        self.model = model
-        self.maybe = np.zeros(1 << 22, bool)              # spares most absent bigrams the search
-        self.maybe[self._short(model["pairs"])] = True
-
-    @staticmethod
-    def _short(pairs: np.ndarray) -> np.ndarray:
-        return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)
-
-    def rows(self, raw: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-        m = self.model
-        slots, starts = slots_of(raw, off, lo, hi)
-        value = np.zeros(len(slots))
-        if len(slots) > 1:
-            last, word = slots[:-1], slots[1:]
-            value[1:] = m["last"][last] + m["word"][word]
-            pairs = last * SLOTS + word
-            look = np.flatnonzero(self.maybe[self._short(pairs)])
-            if len(look) and len(m["pairs"]):
-                at = np.minimum(np.searchsorted(m["pairs"], pairs[look]), len(m["pairs"]) - 1)
-                hit = m["pairs"][at] == pairs[look]
-                value[look[hit] + 1] = m["ratio"][at[hit]]
-            value[starts[:-1]] = 0
-        words = np.diff(starts) - 1
-        return np.add.reduceat(value, starts[:-1]) / np.maximum(words, 1), words
+    shared = (counts.sum(1) + 1) / (counts.sum() + SLOTS)
+    ratios = np.empty((SLOTS, 2), np.float32)
+    for k in (0, 1):
+        discount = texts[0] ** DISCOUNT * max(1.0, total[k] / total[0])
+        own = np.maximum(counts[:, k] - discount, 0) / total[k]
+        ratios[:, k] = (own + (1 - own.sum()) * shared) / shared
+    ratios = np.maximum(ratios, 1e-6)
+    after = _by_slot(context_ratios(docs, ratios), CONTEXTS)
+    z = (after[:, 1:] / UNIT + PRIOR) / (after[:, :1] + PRIOR)
+    return {"word": np.log(ratios[:, 0] / ratios[:, 1]), "context": np.log(z[:, 0] / z[:, 1]).astype(np.float32)}
+
+
+def evidence_of(model: dict, raw: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """(log-likelihood ratio per word, words) of rows lo..hi."""
+    slots, starts = slots_of(raw, off, lo, hi)
+    value = model["word"][slots].astype(np.float64)
+    value[1:] -= model["context"][context_of(slots[:-1])]
+    value[starts[:-1]] = 0
+    words = np.diff(starts) - 1
+    return np.add.reduceat(value, starts[:-1]) / np.maximum(words, 1), words
 
 
 def evidence(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
@@ -171,11 +167,9 @@ def evidence(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     column = df.columns.index(text_col)
 
     def compute():
-        scorer = Evidence(shared.value)
-
         def step(part):
             raw, off = buffers(part.column(column))
-            found = [scorer.rows(raw, off, lo, hi) for lo, hi in stretches(off)]
+            found = [evidence_of(shared.value, raw, off, lo, hi) for lo, hi in stretches(off)]
             return [pa.array(np.concatenate([f[0] for f in found]), pa.float64()),
                     pa.array(np.concatenate([f[1] for f in found]), pa.int64())]
 
@@ -208,8 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> dict:
     """Models and curve from the rows that meet ``learn``: four fifths of them
     (by a hash of the id) are counted, the curve is fitted on the others."""
     mine = F.pmod(F.xxhash64("doc_id"), F.lit(5))
-    counts = staged(bigram_counts(labelled(docs, labels, learn & (mine != 0))), "bigrams")
-    model = fit_models(counts)
+    model = fit_models(labelled(docs, labels, learn & (mine != 0)), docs)
     if model is None:
         rate = labels.where(learn).agg(F.avg("toxic")).first()[0] or 0.0
         return {"rate": float(rate)}
