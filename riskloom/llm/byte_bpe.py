@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from riskloom.llm.common import table, with_computed
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-LONG, RUN, KEPT, CACHED = 1 << 20, 1 << 16, 64, 400_000
+LONG, RUN, KEPT, CACHED = 1 << 20, 1 << 16, 64, 1_500_000
 _NONE = 1 << 62
 
 
