@@ -56,17 +56,16 @@ class Sampler:
         self.r, self.ln_c = gamma.astype(np.float32), np.log(gamma).astype(np.float32)
         self.seeds = mix64(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         self.samples = samples
-        self.keys = np.zeros(0, np.uint64)
-        self.rows = np.zeros((0, samples), np.float32)
+        self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.rows = np.empty((CACHED, samples), np.float32)
 
     def draw(self, terms: np.ndarray, ln_weight: np.ndarray) -> np.ndarray:
         out = np.empty((len(terms), self.samples), np.float32)
         for lo in range(0, len(terms), AT_ONCE):
             bits = mix64(terms[lo:lo + AT_ONCE, None] ^ self.seeds[None, :])
-            low = np.uint64(_STEPS - 1)
-            r = self.r[(bits & low).astype(np.int64)]
-            ln_c = self.ln_c[((bits >> np.uint64(16)) & low).astype(np.int64)]
-            b = (((bits >> np.uint64(32)) & low).astype(np.float32) + np.float32(0.5)) / np.float32(_STEPS)
+            bits = bits.view(np.uint16).reshape(*bits.shape, 4)      # three draws of 16 bits
+            r, ln_c = self.r.take(bits[..., 0]), self.ln_c.take(bits[..., 1])
+            b = (bits[..., 2].astype(np.float32) + np.float32(0.5)) / np.float32(_STEPS)
             t = np.floor(ln_weight[lo:lo + AT_ONCE, None].astype(np.float32) / r + b)
             out[lo:lo + AT_ONCE] = ln_c - r * (t - b) - r
         return out
@@ -77,13 +76,16 @@ class Sampler:
         out = np.empty((len(keys), self.samples), np.float32)
         at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
         known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        out[known] = self.rows[at[known]]
+        out[known] = self.rows[self.places[at[known]]]
         new = np.flatnonzero(~known)
         out[new] = self.draw(terms[new], np.log(weight[new]))
         keep = new[uses[new] > 1][:CACHED - len(self.keys)]
         if len(keep):
-            order = np.argsort(all_keys := np.concatenate((self.keys, keys[keep])))
-            self.keys, self.rows = all_keys[order], np.concatenate((self.rows, out[keep]))[order]
+            places = np.arange(len(self.keys), len(self.keys) + len(keep))
+            self.rows[places] = out[keep]
+            self.keys, self.places = np.concatenate((self.keys, keys[keep])), np.concatenate((self.places, places))
+            order = np.argsort(self.keys)
+            self.keys, self.places = self.keys[order], self.places[order]
         return out
 
     def _distinct(self, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,11 +116,11 @@ class Sampler:
             for at in range(0, len(row), BLOCK):
                 part = slice(at, at + BLOCK)
                 samples, place = self._distinct(term[part], weight[part])
-                for k in range(0, len(place), AT_ONCE):
-                    rows = row[part][k:k + AT_ONCE]
-                    starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-                    least = np.minimum.reduceat(samples[place[k:k + AT_ONCE]], starts, axis=0)
-                    out[rows[starts]] = np.minimum(out[rows[starts]], least)
+                starts = np.flatnonzero(np.concatenate(([True], row[part][1:] != row[part][:-1])))
+                for a, b in zip(starts, np.append(starts[1:], len(place))):
+                    for k in range(a, b, AT_ONCE):
+                        own = out[row[at + a]]
+                        np.minimum(own, samples.take(place[k:min(k + AT_ONCE, b)], axis=0).min(axis=0), out=own)
         return out
 
 
@@ -213,15 +215,18 @@ def compare_with_edit(docs: DataFrame) -> DataFrame:
         texts = [text.encode() for _, text, _ in rows]
         follow = [k + 1 if k + 1 < len(rows) and rows[k + 1][1] is rows[k][2] else -1 for k in range(len(rows))]
         alone = [k for k, f in enumerate(follow) if f < 0]
-        found = digits(sampler().fingerprints(texts + edits + [rows[k][2].encode() for k in alone]))
         n = len(rows)
+        # a text beside its edit: they share most terms
+        found = digits(sampler().fingerprints([t for pair in zip(texts, edits) for t in pair] + [rows[k][2].encode() for k in alone]))
+        own, edited = found[:2 * n:2], found[1:2 * n:2]
+        after = np.concatenate((own, found[2 * n:]))
         follow = np.array(follow)
-        follow[alone] = 2 * n + np.arange(len(alone))
+        follow[alone] = n + np.arange(len(alone))
         return pa.RecordBatch.from_arrays([
             pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int64()),
-            pa.array([hashlib.sha256(e).hexdigest() for e in edits]), pa.array([f.tobytes().hex() for f in found[:n]]),
-            pa.array([f.tobytes().hex() for f in found[n:2 * n]]), pa.array(likeness(found[:n], found[n:2 * n])),
-            pa.array(likeness(found[:n], found[follow]))], names=names)
+            pa.array([hashlib.sha256(e).hexdigest() for e in edits]), pa.array([f.tobytes().hex() for f in own]),
+            pa.array([f.tobytes().hex() for f in edited]), pa.array(likeness(own, edited)),
+            pa.array(likeness(own, after[follow]))], names=names)
 
     def run(batches):
         held, size, last = [], 0, None        # last: (part, doc_id, text), whose next row hasn't come yet
