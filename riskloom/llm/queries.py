@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import (byte_bpe, chat_format, exact_dedup, fingerprints, language_id, source_mix, toxicity,
+from riskloom.llm import (byte_bpe, chat_format, exact_dedup, fingerprints, language_id, ngram_join, pii, source_mix, toxicity,
                           wordpiece)
 
 
@@ -16,8 +16,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_byte_bpe": byte_bpe.op3_byte_bpe,
         "op4_source_mix": source_mix.op4_source_mix,
+        "op5_ngram_jaccard": ngram_join.op5_ngram_jaccard,
         "op6_wordpiece_counts": wordpiece.op6_wordpiece_counts,
         "op7_chat_format": chat_format.op7_chat_format,
+        "op8_pii": pii.op8_pii,
         "op9_language_id": language_id.op9_language_id,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     }
