@@ -21,9 +21,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch at most: texts can be long, and a batch is held several times on its way.
+BATCH_BYTES = 4 << 20
+
+
 def on_workers(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers."""
+    """Make this package importable in the Python workers, and keep the
+    session's Arrow batches to BATCH_BYTES."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from riskloom.llm import (byte_bpe, chat_format, exact_dedup, fingerprints, language_id, ngram_join, pii, source_mix, toxicity,
                           wordpiece)
 
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": pii.op8_pii,
         "op9_language_id": language_id.op9_language_id,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
