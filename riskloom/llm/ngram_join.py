@@ -8,6 +8,8 @@ tokens of a set of n.  Several orders are used, each rare tokens first: by the
 logarithm of a token's count in a count sketch of all documents, then by a hash
 of its own.  Candidates share a prefix token under the first order; the other
 orders' prefixes are intersected before the pair is verified on its full sets.
+Before the sets travel at all, their histograms by leading hash bits must allow
+the overlap (an upper bound, so no link is lost).
 
 No token's documents are paired with each other wholesale:
 
@@ -180,19 +182,41 @@ def postings(docs: DataFrame, levels, salts, text_col: str = "text") -> DataFram
     return docs.select(text_col).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
+def histogram(tokens: np.ndarray) -> bytes:
+    """Tokens counted by the leading bits of their hash, about a bin for each; a byte a bin."""
+    bits = min(16, max(6, int(len(tokens)).bit_length()))
+    bins = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(bins, 255).astype(np.uint8).tobytes()
+
+
+def most_common(a: bytes, b: bytes) -> int | None:
+    """An upper bound of the tokens two sets share, from their histograms; None if a bin is full."""
+    x, y = (np.frombuffer(h, np.uint8).astype(np.int64) for h in (a, b))
+    if (x == 255).any() or (y == 255).any():
+        return None
+    n = min(len(x), len(y))
+    return int(np.minimum(x.reshape(n, -1).sum(1), y.reshape(n, -1).sum(1)).sum())
+
+
 def full_sets(texts: DataFrame, levels) -> DataFrame:
-    """(text) -> (node, tokens, others): the sorted set, and the places in it of the other orders' prefixes."""
+    """(text) -> (node, n, bins, tokens, others): a set's histogram, the sorted set, and the places in it of the other orders' prefixes."""
     on_workers(texts.sparkSession)
 
     def run(batches):
         for batch in batches:
             for _, sets in _sets(batch.column(0)):
                 others = [np.concatenate([prefix(s, levels.value, k) for k in range(1, ORDERS)]).astype(np.uint32).tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array([_class(s) for s in sets], pa.int64()),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(others, pa.binary())],
-                                                 names=["node", "tokens", "others"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_class(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([histogram(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
+                     pa.array(others, pa.binary())], names=["node", "n", "bins", "tokens", "others"])
+
+    return texts.mapInArrow(run, "node long, n long, bins binary, tokens binary, others binary")
 
-    return texts.mapInArrow(run, "node long, tokens binary, others binary")
+
+def may_link(n: int, bins: bytes, m: int, others: bytes, percent: int = PERCENT) -> bool:
+    common = most_common(bins, others)
+    return common is None or 100 * common >= percent * (n + m - common)
 
 
 def similar(a: tuple[bytes, bytes], b: tuple[bytes, bytes], percent: int = PERCENT) -> bool:
@@ -206,19 +230,25 @@ def similar(a: tuple[bytes, bytes], b: tuple[bytes, bytes], percent: int = PERCE
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
+def _filtered(pairs: DataFrame, sets: DataFrame, columns: list[str], test) -> DataFrame:
+    """The pairs (a, b) for which ``test`` holds of both sets' ``columns``."""
     def side(name):
-        return sets.select(F.col("node").alias(name), F.col("tokens").alias(f"tokens_{name}"), F.col("others").alias(f"others_{name}"))
+        return sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def run(batches):
         for batch in batches:
             a, b, *rest = (c.to_pylist() for c in batch.columns)
-            keep = [similar((r[0], r[1]), (r[2], r[3])) for r in zip(*rest)]
+            keep = [test(r[:len(columns)], r[len(columns):]) for r in zip(*rest)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(c, keep) if k], pa.int64()) for c in (a, b)], names=["a", "b"])
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.select("a", "b", "tokens_a", "others_a", "tokens_b", "others_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", *[f"{c}_{s}" for s in "ab" for c in columns]).mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link: first by histograms, which are small, then by the sets themselves."""
+    pairs = _filtered(pairs, sets, ["n", "bins"], lambda x, y: may_link(*x, *y))
+    return _filtered(pairs, sets, ["tokens", "others"], similar)
 
 
 def _fits() -> Column:
@@ -302,7 +332,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     firsts = rows.join(nodes, rows["cls"] == nodes["node"], "left_semi").groupBy("cls").agg(F.min("id").alias("id")).select("id").distinct()
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = own.join(firsts.hint("shuffle_hash"), "id", "left_semi").unionByName(own.where("id is null")).select("text")
-    sets = staged(full_sets(texts, levels).join(nodes, "node", "left_semi").dropDuplicates(["node"]), "full")
+    sets = staged(full_sets(texts, levels), "full")
 
     parts = spark.createDataFrame([], "node long, part long")
     parts = _merged(parts, verified(star_pairs(posts), sets), 0)
