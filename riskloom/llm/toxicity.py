@@ -13,8 +13,8 @@ shared, too, and scaled to the class (marginal adaptation of a bigram model):
     P(w | h) = P_shared(w | h) * P(w) / P_shared(w) / Z(h)
     Z(h)     = sum over w of P_shared(w | h) * P(w) / P_shared(w)
 
-A text's evidence is the log-likelihood ratio of the two models per word.  The
-shared bigrams cancel but for Z, which takes out what a class's share of a
+A text's evidence is the log-likelihood ratio of the two models per bigram, each
+distinct bigram once, as in the counts.  The shared bigrams cancel but for Z, which takes out what a class's share of a
 language or topic would add to every word.  A logistic curve in the evidence,
 fitted on rows that are not counted, turns it into a score.
 
@@ -152,17 +152,19 @@ def fit_models(rows: DataFrame, docs: DataFrame) -> dict | None:
 
 
 def evidence_of(model: dict, raw: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-    """(log-likelihood ratio per word, words) of rows lo..hi."""
+    """(log-likelihood ratio per distinct bigram, distinct bigrams) of rows lo..hi."""
     slots, starts = slots_of(raw, off, lo, hi)
-    value = model["word"][slots].astype(np.float64)
-    value[1:] -= model["context"][context_of(slots[:-1])]
-    value[starts[:-1]] = 0
-    words = np.diff(starts) - 1
-    return np.add.reduceat(value, starts[:-1]) / np.maximum(words, 1), words
+    row = np.repeat(np.arange(hi - lo), np.diff(starts))
+    keys = (row[1:] * CONTEXTS + context_of(slots[:-1])) * SLOTS + slots[1:]
+    keys = np.unique(keys[slots[1:] > 0])
+    row, word = keys // (CONTEXTS * SLOTS), keys % SLOTS
+    value = model["word"][word].astype(np.float64) - model["context"][keys // SLOTS % CONTEXTS]
+    n = np.bincount(row, minlength=hi - lo)
+    return np.bincount(row, value, hi - lo) / np.maximum(n, 1), n
 
 
 def evidence(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """``df`` with evidence (double) and n_words (long)."""
+    """``df`` with evidence (double) and n_bigrams (long)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     column = df.columns.index(text_col)
 
@@ -175,7 +177,7 @@ def evidence(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
 
         return step
 
-    return with_computed(df, [("evidence", "double"), ("n_words", "long")], compute)
+    return with_computed(df, [("evidence", "double"), ("n_bigrams", "long")], compute)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
