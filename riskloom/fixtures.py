@@ -85,7 +85,11 @@ def companies_mapping_info(spark, sf_dir) -> DataFrame:
                     F.col("n_name").alias("country_domicile"),
                     F.col("r_regionkey").cast("bigint").alias("region_id"),
                     F.col("r_name").alias("region"),
-                    F.col("c_mktsegment").alias("industry_sector")))
+                    F.col("c_mktsegment").alias("industry_sector"),
+                    F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
+                    F.length("c_mktsegment").cast("bigint").alias("industry_sector_id"),
+                    (F.col("c_custkey") % 11).cast("bigint").alias("industry_group_id"),
+                    (F.col("c_custkey") % 37).cast("bigint").alias("industry_subgroup_id")))
 
 
 def excluded_companies(spark, sf_dir) -> DataFrame:
@@ -239,7 +243,9 @@ VIEW_SQL = {
     "companies_mapping_info": (
         "SELECT c_custkey AS company_id, c_name AS company_name, CAST(n_nationkey AS BIGINT) AS domicile_id, "
         "n_name AS country_domicile, CAST(r_regionkey AS BIGINT) AS region_id, r_name AS region, "
-        "c_mktsegment AS industry_sector FROM customer JOIN nation ON c_nationkey = n_nationkey "
+        "c_mktsegment AS industry_sector, 'T' || c_custkey AS ticker, length(c_mktsegment) AS industry_sector_id, "
+        "c_custkey % 11 AS industry_group_id, c_custkey % 37 AS industry_subgroup_id "
+        "FROM customer JOIN nation ON c_nationkey = n_nationkey "
         "JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 7 <> 0"
     ),
     "excluded_companies": (

@@ -41,11 +41,6 @@ def trading_calendar(spark: SparkSession, start, end, name: str = "data_date") -
             .where(F.weekday(name) < 5))
 
 
-def trading_days_of(df: DataFrame, date_col: str = "data_date") -> DataFrame:
-    """Weekday rows of ``df`` (the calendar restricted to a panel)."""
-    return df.where(F.weekday(date_col) < 5)
-
-
 def filter_ids_semi(df: DataFrame, ids: DataFrame, key: str = "company_id") -> DataFrame:
     return df.join(ids.select(key).distinct(), key, "left_semi")
 

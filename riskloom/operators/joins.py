@@ -1,8 +1,7 @@
 """Joins: dimension lookups, rating joins, interval exclusion, key
 differences.  Join strategy is left to Catalyst/AQE, whose broadcast
 decision is itself size-checked (static estimate, then the real shuffle
-size at runtime) with sort-merge as the fallback.  Where a side is hinted
-explicitly, ``broadcast_if_bounded`` proves its row bound first."""
+size at runtime) with sort-merge as the fallback; nothing is hinted."""
 
 from __future__ import annotations
 
@@ -14,16 +13,6 @@ from pyspark.sql import functions as F
 
 from riskloom.schemas import COMPANY_DEFAULTS
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked with
-    a bounded count); otherwise return it unchanged for a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_company_dim(panel: DataFrame, companies: DataFrame,
                      dim_cols: Sequence[str] = ("company_name", "domicile_id", "region_id",
                                                 "industry_sector")) -> DataFrame:

@@ -19,7 +19,7 @@ from riskloom.operators.filters import filter_lookback
 from riskloom.operators.joins import update_from_join
 from riskloom.operators.windows import forward_fill_rating, latest_version
 from riskloom.schemas import (ACTION_DAILY, ACTION_REVISION, ALL_SENTINEL, FILL_LOOKBACK_DAYS,
-                              OPERATION_LOG, REVISION_GUARD_DAYS)
+                              REVISION_GUARD_DAYS)
 from riskloom.operators.aggregates import exists_flag, revision_span
 from riskloom.session import checkpoint_root
 
@@ -192,7 +192,3 @@ def truncate_table(spark: SparkSession, path: str) -> None:
     """Empty a Parquet table but keep its schema."""
     schema = spark.read.parquet(path).schema
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-
-
-def empty_log(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], OPERATION_LOG)

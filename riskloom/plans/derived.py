@@ -17,8 +17,10 @@ from riskloom.operators.joins import anti_exclusion_interval, join_company_dim
 from riskloom.operators.reshape import website_projection
 from riskloom.operators.windows import latest_version
 from riskloom.schemas import PD_COLS
+from riskloom.sources.sinks import write_clustered
 
-PANEL_DIM_COLS = ("company_name", "domicile_id", "region_id", "industry_sector")
+PANEL_DIM_COLS = ("company_name", "ticker", "domicile_id", "region_id", "industry_sector_id", "industry_sector",
+                  "industry_group_id", "industry_subgroup_id")
 
 
 def panel_latest(pd_raw: DataFrame, companies: DataFrame) -> DataFrame:
@@ -44,8 +46,8 @@ def refresh_derived(spark: SparkSession, pd_raw: DataFrame, companies: DataFrame
     written once and its downstream tables read the written copy, so the
     window + join run once and lineage is cut at the table boundary."""
     paths = {k: f"{out_dir}/{k}" for k in ("panel", "panel_2d", "website")}
-    panel_latest(pd_raw, companies).write.mode("overwrite").parquet(paths["panel"])
-    panel = spark.read.parquet(paths["panel"])
+    write_clustered(panel_latest(pd_raw, companies), paths["panel"])
+    panel = spark.read.parquet(paths["panel"]).drop("data_month")
     panel_2d(panel).write.mode("overwrite").parquet(paths["panel_2d"])
     website(panel, exclusions, as_of, updated_at).write.mode("overwrite").parquet(paths["website"])
     return paths

@@ -26,13 +26,14 @@ from riskloom.operators import joins as jn
 from riskloom.operators import mutate as mu
 from riskloom.operators import reshape as rs
 from riskloom.operators import windows as win
-from riskloom.schemas import (ACTION_DAILY, CREDIT_EVENT_KEYS, FILL_LOOKBACK_DAYS, PD_COLS,
+from riskloom.schemas import (ACTION_DAILY, CREDIT_EVENT_KEYS, FILL_LOOKBACK_DAYS, PD_COLS, PD_KEYS,
                               SIMPLE_HORIZONS, USER_BOOL_FIELDS, USER_DEFAULTS, USER_JSON_FIELDS,
                               USER_TIME_FIELDS)
 from riskloom.sources import files as fl
 from riskloom.sources import readers as rd
 from riskloom.sources import sinks as sk
 from riskloom.sources.matrix import scan_matrix
+from riskloom.sources.readers import table_exists
 
 FOLDER_RE = r"(\d{8}_cali_\d{8})"
 PD_SUB, PDIR_SUB, AS_SUB = "P2_Pd", "P3_Pdir", "P7_As"
@@ -78,8 +79,8 @@ def _as_date(v) -> dt.date:
 
 def folders_in_range(spark: SparkSession, root: str, start, end) -> DataFrame:
     """The delivery folder of each trading day (Mon-Fri) in ``[start, end]``;
-    a day with two folders fails the job, a day without one is skipped.
-    Selected from the directory listing (metadata, one name per day)."""
+    a day with two folders or none fails the job.  Selected from the
+    directory listing (metadata, one name per day)."""
     lo, hi = _as_date(start), _as_date(end)
     by_day: dict[dt.date, list[str]] = {}
     for n in list_delivery_names(root):
@@ -89,6 +90,10 @@ def folders_in_range(spark: SparkSession, root: str, start, end) -> DataFrame:
     dup = {d: v for d, v in by_day.items() if len(v) > 1}
     if dup:
         raise ValueError(f"more than one calibration folder for {sorted(dup)[0]}: {dup[sorted(dup)[0]]}")
+    days = [lo + dt.timedelta(days=k) for k in range((hi - lo).days + 1)]
+    absent = [str(d) for d in days if d.weekday() < 5 and d not in by_day]
+    if absent:
+        raise FileNotFoundError(f"no delivery folder for {absent} under {root}")
     rows = [(v[0], d, dt.datetime.strptime(v[0][-8:], "%Y%m%d").date()) for d, v in sorted(by_day.items())]
     return spark.createDataFrame(rows, "folder string, folder_date date, calibration_date date")
 
@@ -99,6 +104,14 @@ def _paths(root: str, folders: DataFrame, sub: str) -> list[str]:
     return [f"{root.rstrip('/')}/{r.folder}/Products/{sub}" for r in folders.select("folder").collect()]
 
 
+def read_shards(spark: SparkSession, root, glob: str) -> DataFrame:
+    """``scan_matrix`` for the jobs: an unreadable shard fails the job with its
+    path and error instead of leaving its rows out."""
+    rows = scan_matrix(spark, root, glob, keep_errors=True)
+    stop = F.raise_error(F.concat_ws(" ", F.lit("unreadable shard"), "path", "error")).cast("array<double>")
+    return rows.withColumn("values", F.when(F.col("error").isNull(), F.col("values")).otherwise(stop)).drop("error")
+
+
 def scan_product(spark: SparkSession, root: str, folders: DataFrame, sub: str, glob: str,
                  layout: str | Sequence[str]) -> DataFrame:
     """Named matrix rows of one product over the given delivery folders,
@@ -107,7 +120,7 @@ def scan_product(spark: SparkSession, root: str, folders: DataFrame, sub: str, g
     if not paths:
         names = rs.LAYOUTS[layout] if isinstance(layout, str) else list(layout)
         return spark.createDataFrame([], ", ".join(["folder string", "econ_id int"] + [f"`{n}` double" for n in names]))
-    rows = scan_matrix(spark, paths, glob)
+    rows = read_shards(spark, paths, glob)
     rows = rows.select(F.regexp_extract("path", f"/{FOLDER_RE}/", 1).alias("folder"),
                        fl.id_from_name("file_name").cast("int").alias("econ_id"), "values")
     return rs.name_positional(rows, layout, keep=["folder", "econ_id"])
@@ -118,7 +131,7 @@ def scan_product(spark: SparkSession, root: str, folders: DataFrame, sub: str, g
 # --------------------------------------------------------------------------
 def simple_load(spark: SparkSession, matrix_root: str, table: str, glob: str = "*.npy") -> DataFrame:
     """Matrix -> (comp_id, date, 8 horizons) appended to the test table."""
-    rows = rs.name_positional(scan_matrix(spark, matrix_root, glob), "simple_pd")
+    rows = rs.name_positional(read_shards(spark, matrix_root, glob), "simple_pd")
     out = rows.select(F.col("comp_id").cast("bigint").alias("comp_id"),
                       date_from_parts("yyyy", "mm", "dd").alias("date"),
                       *[F.col(f"pd_{h}") for h in SIMPLE_HORIZONS])
@@ -146,17 +159,23 @@ def pdir_days(spark: SparkSession, root: str, folders: DataFrame, operation_time
     return out
 
 
-def pd_days(spark: SparkSession, root: str, folders: DataFrame, operation_time) -> DataFrame:
-    """PD rows of the folders, rated: data_date is the requested (folder)
-    day, ``current_trading_date`` the folder's yyyymmdd; rows missing any
-    horizon are dropped; PDIR from the day's rating matrix (left join)."""
+def unrated_days(spark: SparkSession, root: str, folders: DataFrame, operation_time) -> DataFrame:
+    """PD rows of the folders: data_date is the requested (folder) day,
+    ``current_trading_date`` the folder's yyyymmdd; rows missing any horizon
+    are dropped."""
     rows = scan_product(spark, root, folders, PD_SUB, "pd60h_*", "pd_daily")
     cal = F.to_date(F.substring("folder", -8, 8), "yyyyMMdd")
     prepared = rs.prep_pd_daily(rows, cal, operation_time, econ_id=F.col("econ_id"), keep=["folder"])
-    prepared = (prepared.withColumn("data_date", F.to_date(F.substring("folder", 1, 8), "yyyyMMdd"))
-                .withColumn("current_trading_date", F.substring("folder", 1, 8).cast("int")).drop("folder"))
-    ratings = pdir_days(spark, root, folders, operation_time, prepared)
-    joined = jn.join_rating(prepared, ratings, "left").withColumnRenamed("pdir_extracted", "PDIR")
+    return (prepared.withColumn("data_date", F.to_date(F.substring("folder", 1, 8), "yyyyMMdd"))
+            .withColumn("current_trading_date", F.substring("folder", 1, 8).cast("int")).drop("folder"))
+
+
+def pd_days(spark: SparkSession, root: str, folders: DataFrame, operation_time, check_unique: bool = True) -> DataFrame:
+    """PD rows of the folders, PDIR from the day's rating matrix (left join):
+    one scan for each product."""
+    ratings = pdir_days(spark, root, folders, operation_time, check_unique=check_unique)
+    rows = unrated_days(spark, root, folders, operation_time)
+    joined = jn.join_rating(rows, ratings, "left").withColumnRenamed("pdir_extracted", "PDIR")
     return joined.select("data_date", "company_id", "calibration_date", "operation_time", "PDIR", *PD_COLS,
                          "current_trading_date", "econ_id")
 
@@ -166,19 +185,21 @@ def pd_day(spark: SparkSession, root: str, day, operation_time) -> DataFrame:
 
 
 def pd_day_reconcile(spark: SparkSession, root: str, day, operation_time) -> DataFrame:
-    """E4 report of one PD day: PD rows, rating rows, merged rows, difference."""
+    """E4 report of one PD day: PD rows before the join, rating rows, merged
+    rows, difference.  A repeated rating key shows as more merged rows."""
     folders = folders_in_range(spark, root, day, day)
-    rows = pd_days(spark, root, folders, operation_time)
-    ratings = pdir_days(spark, root, folders, operation_time)
-    return agg.reconcile(rows, ratings, rows)
+    rows = unrated_days(spark, root, folders, operation_time)
+    ratings = pdir_days(spark, root, folders, operation_time, check_unique=False)
+    merged = jn.join_rating(rows, ratings, "left")
+    return agg.reconcile(rows, ratings, merged)
 
 
 def pd_range(spark: SparkSession, root: str, start, end, operation_time, table: str,
              snapshot: str | None = None, fill_first: bool = False,
              refresh: tuple[DataFrame, DataFrame, str] | None = None) -> DataFrame:
     """All trading days in range in one scan -> keep the last delivery of
-    each (company, day) -> snapshot Parquet -> PDIR missing = 0 -> insert
-    into the versioned table -> forward fill over the look-back -> derived
+    each (company, day) -> snapshot Parquet -> PDIR missing = 0 -> insert the
+    versions that the versioned table lacks -> forward fill over the look-back -> derived
     tables refreshed from the table when ``refresh = (companies, exclusions,
     out_dir)`` is given (I10).  ``fill_first`` keeps the reference's order
     (fill before insert)."""
@@ -191,7 +212,9 @@ def pd_range(spark: SparkSession, root: str, start, end, operation_time, table:
     rows = rows.withColumn("PDIR", F.coalesce(F.col("PDIR"), F.lit(0.0)))
     if fill_first:
         forward_fill_table(spark, table, start)
-    sk.append(mu.with_month(rows), table, partition_cols=["data_month"])
+    rows = mu.with_month(rows)
+    # insert-ignore on the version key: a run that is repeated adds nothing
+    sk.append(mu.inserted_rows(mu.read_touched(spark, table, rows), rows, PD_KEYS), table, partition_cols=["data_month"])
     if not fill_first:
         forward_fill_table(spark, table, start)
     if refresh is not None:
@@ -204,10 +227,8 @@ def pd_range(spark: SparkSession, root: str, start, end, operation_time, table:
 def forward_fill_table(spark: SparkSession, table: str, as_of, days: int = FILL_LOOKBACK_DAYS) -> None:
     """I6 on the month-partitioned table: only the months the look-back
     reaches are recomputed and replaced."""
-    state = spark.read.parquet(table)
-    since = F.date_sub(_lit(as_of), days)
-    months = state.where(F.col("data_date") >= since).select("data_month").distinct()
-    touched = state.join(months, "data_month", "left_semi")
+    first = _as_date(as_of) - dt.timedelta(days=days)
+    touched = spark.read.parquet(table).where(F.col("data_month") >= f"{first:%Y-%m}")    # prunes partitions when planned
     new = mu.forward_fill_update(touched.drop("data_month"), as_of, days)
     mu.commit_partitions(mu.with_month(new), table)
 
@@ -231,15 +252,14 @@ def pd_backfill(spark: SparkSession, matrix_root: str, ratings: DataFrame, calib
     """Historical PD shards (daily 64-column layout) of every economy in one
     scan, optionally restricted to a batch of economies (semi join), rated
     from the historical PDIR table and written as size-bounded Parquet."""
-    rows = scan_matrix(spark, matrix_root, "pd60h_*")
+    rows = read_shards(spark, matrix_root, "pd60h_*")
     rows = rows.withColumn("econ_id", fl.id_from_name("file_name").cast("int"))
     if econs is not None:
         rows = flt.filter_ids_semi(rows, econs, "econ_id")
     named = rs.name_positional(rows, "pd_daily", keep=["econ_id"])
     prepared = rs.prep_pd_daily(named, calibration_date, operation_time, econ_id=F.col("econ_id"))
     r = ratings.select("data_date", "company_id", F.col("pdir").alias("PDIR"))
-    rated = jn.join_rating(prepared, r.join(prepared.select("data_date", "company_id"),
-                                            ["data_date", "company_id"], "left_semi"), "left")
+    rated = jn.join_rating(prepared, r, "left")
     res = rated.select("data_date", "econ_id", "company_id", "calibration_date", "operation_time", "PDIR", *PD_COLS)
     sk.write_parquet_chunked(res, out)
     return spark.read.parquet(out)
@@ -298,11 +318,8 @@ def revise_state(spark: SparkSession, batch: DataFrame, latest_path: str, histor
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+    """Whether there is a table at ``path``; any other trouble with reading it is raised."""
+    return table_exists(spark, path)
 
 
 def as_day_batch(spark: SparkSession, root: str, folders: DataFrame, operation_time) -> DataFrame:
@@ -363,7 +380,7 @@ def events_full(spark: SparkSession, root: str, table: str,
     paths = [r.path for r in files.select("path").collect()]  # file manifest
     if not paths:
         return spark.read.parquet(table) if _exists(spark, table) else None
-    rows = scan_matrix(spark, paths, "*")
+    rows = read_shards(spark, paths, "*")
     events = credit_event_rows(rows, "credit_events_hist")
     events.orderBy("default_date", "company_id", "default_type", "event_id").write.mode("overwrite").parquet(table)
     return spark.read.parquet(table)
@@ -371,14 +388,14 @@ def events_full(spark: SparkSession, root: str, table: str,
 
 def events_daily(spark: SparkSession, root: str, start, end, table: str, out: str,
                  min_date: dt.date | None = None) -> DataFrame:
-    """Region event shards of the delivery folders in ``[start, end]`` ->
-    delete the batch's keys from the table, insert the batch (I2)."""
-    days = flt.trading_calendar(spark, start, end, "folder_date")
-    folders = delivery_folders(spark, root).join(days, "folder_date", "left_semi")
+    """Region event shards of the delivery folders in ``[start, end]``, every
+    calendar day of it (events arrive on weekends, too) -> delete the batch's
+    keys from the table, insert the batch (I2)."""
+    folders = delivery_folders(spark, root).where(F.col("folder_date").between(_lit(start), _lit(end)))
     paths = _paths(root, folders, "CompanyFlow")
     current = spark.read.parquet(table)
     if paths:
-        rows = scan_matrix(spark, paths, "NewCreditEvent_Region_*")
+        rows = read_shards(spark, paths, "NewCreditEvent_Region_*")
         batch = credit_event_rows(rows, "credit_events_daily").distinct()
     else:
         batch = current.limit(0)
@@ -395,7 +412,7 @@ def exclusions_load(spark: SparkSession, registry: str, since, table: str, out:
     reg = rd.read_registry(spark, registry)
     typed = reg.select(
         F.col("Region").alias("region"), F.col("CompanyNumber").cast("bigint").alias("company_id"),
-        F.lit(None).cast("bigint").alias("country_id"), F.col("Ticker").alias("ticker"),
+        F.col("Country").try_cast("bigint").alias("country_id"), F.col("Ticker").alias("ticker"),
         F.col("CompanyName").alias("company_name"), F.col("Reason").alias("reason"),
         F.col("Remark").alias("remark"), F.col("StartDate").cast("date").alias("start_date"),
         F.col("EndDate").cast("date").alias("end_date"), F.col("ErrorFoundDate").cast("date").alias("error_found_date"),
@@ -422,7 +439,7 @@ def daily_run(spark: SparkSession, root: str, start, end, operation_time, table:
               refresh: tuple[DataFrame, DataFrame, str] | None = None) -> DataFrame:
     """The daily run: completeness of every delivery in range (C9, raises on
     a gap) -> exclusions (J13) and credit events (J12) when given -> PD range
-    (J3) -> one history row (date_int, source folder, operation_date).
+    (J3), derived tables refreshed with the exclusions just loaded -> one history row (date_int, source folder, operation_date).
     ``start``/``end`` default to the last trading day before today."""
     if end is None:
         end = last_trading_day(dt.date.today() - dt.timedelta(days=1))
@@ -434,11 +451,16 @@ def daily_run(spark: SparkSession, root: str, start, end, operation_time, table:
         F.regexp_extract("path", f"/{FOLDER_RE}/", 1).alias("folder"),
         fl.id_from_name("file_name").cast("int").alias("econ_id"))
     missing = fl.missing_files(expected, present, ["folder", "econ_id"])
-    gap = missing.select("path").limit(20).collect()   # the error message lists up to 20 paths
+    gap = missing.select("path").orderBy("path").collect()   # a manifest: days in range x economies at most
     if gap:
         raise RuntimeError(f"missing delivery files: {[r.path for r in gap]}")
+    if _exists(spark, log_path) and spark.read.parquet(log_path).where(
+            F.col("date_int") == int(f"{_as_date(end):%Y%m%d}")).limit(1).count():
+        return spark.read.parquet(table)               # this day's run is complete
     if registry and exclusions:
-        exclusions_load(spark, registry, start, exclusions[0], exclusions[1])
+        current = exclusions_load(spark, registry, start, exclusions[0], exclusions[1])
+        if refresh is not None:                        # the derived tables see the exclusions just loaded
+            refresh = (refresh[0], current, refresh[2])
     if events:
         events_daily(spark, events[0], start, end, events[1], events[2])
     res = pd_range(spark, root, start, end, operation_time, table, refresh=refresh)

@@ -373,7 +373,7 @@ EVENTS_DAILY_SQL = (
     "additional_comments FROM credit_events_raw WHERE default_date < DATE '1996-01-01'), "
     "bat AS (SELECT DISTINCT default_date, company_id, default_type, event_id, CAST(NULL AS VARCHAR) AS "
     "additional_comments FROM credit_events_raw WHERE CAST(date_trunc('month', default_date) AS DATE) BETWEEN "
-    "DATE '1995-07-01' AND DATE '1998-12-31' AND isodow(CAST(date_trunc('month', default_date) AS DATE)) <= 5) "
+    "DATE '1995-07-01' AND DATE '1998-12-31') "
     "SELECT * FROM cur WHERE NOT EXISTS (SELECT 1 FROM bat WHERE bat.company_id = cur.company_id AND "
     "bat.default_date = cur.default_date AND bat.default_type = cur.default_type AND bat.event_id = cur.event_id) "
     "UNION ALL SELECT * FROM bat")
@@ -492,3 +492,13 @@ def q_stream_ingest_latest(spark, d):
     ingest_available(spark, f"{src}/delivery=*", raw.schema, table, ckpt)
     return latest_view(spark, table)
 
+
+
+# ---------------------------------------------------------------- runs that are repeated
+@register("job_pd_range_rerun", sql(PD_RANGE_SQL, "pd_raw", "pd_current", "rating_key"))
+def q_job_pd_range_rerun(spark, d):
+    """The range loaded twice: the second run adds nothing."""
+    root, table = land_delivery(spark, d, ("pd", "pdir")), _pd_table(spark, d)
+    jobs.pd_range(spark, root, RANGE[0], RANGE[1], OPERATION_TIME, table)
+    res = jobs.pd_range(spark, root, RANGE[0], RANGE[1], OPERATION_TIME, table)
+    return res.select("company_id", "data_date", "operation_time", "PDIR", "PD_12")

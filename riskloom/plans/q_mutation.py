@@ -31,8 +31,14 @@ def _incoming(spark, d):
     return fx.pd_raw(spark, d).where(F.col("data_date") >= F.lit(BATCH_FROM))
 
 
-register("mut_replace", sql(LATEST_SQL, "pd_raw", "pd_current"))(
-    lambda spark, d: mu.replace_all(fx.pd_current(spark, d), win.latest_version(fx.pd_raw(spark, d))))
+@register("mut_replace", sql(LATEST_SQL, "pd_raw", "pd_current"))
+def q_replace(spark, d):
+    """A written table whose rows are all replaced by the batch."""
+    path = scratch_path(spark, "replace")
+    fx.pd_current(spark, d).write.parquet(path)
+    current = spark.read.parquet(path)
+    mu.replace_all(current, win.latest_version(fx.pd_raw(spark, d))).write.mode("overwrite").parquet(path)
+    return spark.read.schema(current.schema).parquet(path)
 
 
 @register("mut_delete_insert", sql(
@@ -122,12 +128,18 @@ def q_guard_revision(spark, d):
     return mu.guard_revision(log, GUARD_DAY)
 
 
-@register("mut_truncate", sql("SELECT * FROM pd_current WHERE false", "pd_raw", "pd_current"))
+@register("mut_truncate", sql(
+    "SELECT count(*) AS n_before, CAST(0 AS BIGINT) AS n_after, CAST(65 AS BIGINT) AS n_columns FROM pd_current",
+    "pd_raw", "pd_current"))
 def q_truncate(spark, d):
+    """Rows before and after, and the columns that stay."""
     path = scratch_path(spark, "truncate")
-    fx.pd_current(spark, d).write.mode("overwrite").parquet(path)
+    fx.pd_current(spark, d).write.parquet(path)
+    before = spark.read.parquet(path).count()
     mu.truncate_table(spark, path)
-    return spark.read.parquet(path)
+    after = spark.read.parquet(path)
+    return after.agg(F.lit(before).cast("bigint").alias("n_before"), F.count(F.lit(1)).alias("n_after"),
+                     F.lit(len(after.columns)).cast("bigint").alias("n_columns"))
 
 
 register("enforce_schema", sql(

@@ -13,6 +13,7 @@ from riskloom.functions.rating import rating_grade, rating_grade_sql
 from riskloom.operators import reshape as rs
 from riskloom.operators import windows as win
 from riskloom.plans.catalog import CALIBRATION, LATEST_SQL, OPERATION_TIME, register
+from riskloom.session import scratch_path
 from riskloom.schemas import AS_COLS, COMPANY_DEFAULTS, OPEN_END_TEXT, PD_COLS, SIMPLE_HORIZONS
 
 OP_SQL = "TIMESTAMP '2024-02-02 06:00:00'"
@@ -83,10 +84,14 @@ register("proj_reorder", sql(
 
 # ---------------------------------------------------------------- B4-B10 dates, ids, casts, stamps
 @register("date_assemble", sql(
-    "SELECT event_id, make_date(yyyy, mm, dd) AS data_date FROM ymd_parts WHERE dd <= 28", "ymd_parts"))
+    "SELECT company_id, CAST(operation_time AS DATE) AS data_date, count(*) AS n_rows FROM pd_raw GROUP BY ALL", "pd_raw"))
 def q_date_assemble(spark, d):
-    p = fx.ymd_parts(spark, d).where(F.col("dd") <= 28)
-    return p.select("event_id", dts.date_from_parts("yyyy", "mm", "dd").alias("data_date"))
+    """The parts of every row's real date, put together again."""
+    p = fx.pd_raw(spark, d).select("company_id", F.year("operation_time").cast("double").alias("yyyy"),
+                                   F.month("operation_time").cast("double").alias("mm"),
+                                   F.dayofmonth("operation_time").cast("double").alias("dd"))
+    return (p.select("company_id", dts.date_from_parts("yyyy", "mm", "dd").alias("data_date"))
+            .groupBy("company_id", "data_date").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 @register("date_assemble_coerce", sql(
@@ -238,10 +243,17 @@ def q_parse_bool(spark, d):
                     cl.parse_bool(F.col("user_key") % 2, T.LongType()).alias("odd_flag"))
 
 
-@register("surrogate_id")
+@register("surrogate_id", sql(
+    "SELECT count(*) AS n_rows, count(*) AS n_ids, count(*) AS n_uuid, count(DISTINCT user_key) AS n_users FROM users_flat",
+    "users_flat"))
 def q_surrogate_id(spark, d):
-    """Rows-only: uuid() is random by design; materialise once before reuse."""
-    return fx.users_flat(spark, d).select(F.expr("uuid()").alias("id"), "user_key", "email")
+    """Ids are random, so what is compared is that they are UUIDs and distinct;
+    they are written once, then read."""
+    path = scratch_path(spark, "surrogate")
+    fx.users_flat(spark, d).select(F.expr("uuid()").alias("id"), "user_key", "email").write.parquet(path)
+    uuid = F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"),
+                                        F.count(F.when(uuid, 1)).alias("n_uuid"), F.countDistinct("user_key").alias("n_users"))
 
 
 EXCL_SHEET_SQL = (

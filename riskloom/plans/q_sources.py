@@ -62,12 +62,30 @@ def q_src_matrix_scan(spark, d):
     return rs.name_positional(rows, "pd_daily", keep=["econ_id"])
 
 
-@register("src_matrix_errors")
+@register("src_matrix_errors", sql(
+    "SELECT econ_id, count(*) AS n_rows, false AS failed FROM pd_matrix_named GROUP BY econ_id "
+    "UNION ALL SELECT 999, 0, true", "pd_matrix_named"))
 def q_src_matrix_errors(spark, d):
-    """Rows-only: every shard with its decode status (the corrupt one has an error)."""
+    """Rows of each economy's shards and whether one failed to decode (the corrupt one does)."""
     root = land_pd_shards(spark, d)
     rows = scan_matrix(spark, root, "pd60h_*.npy", keep_errors=True)
-    return rows.groupBy("file_name").agg(F.count("row").alias("n_rows"), F.max("error").alias("error"))
+    econ = fl.id_from_name("file_name").cast("int").alias("econ_id")
+    return rows.groupBy(econ).agg(F.count("row").alias("n_rows"), F.max(F.col("error").isNotNull()).alias("failed"))
+
+
+@register("src_matrix_variables", sql(
+    "SELECT company_id, data_date, PD_1, PD_12 FROM pd_raw", "pd_raw"))
+def q_src_matrix_variables(spark, d):
+    """A2: archives of two named variables, of which the scan takes one."""
+    root = scratch_path(spark, "named-variables")
+    rows = fx.pd_raw(spark, d).select(fx.econ_of().alias("econ_id"), F.array(
+        F.col("company_id").cast("double"), F.year("data_date").cast("double"), F.month("data_date").cast("double"),
+        F.dayofmonth("data_date").cast("double"), "PD_1", "PD_12").alias("values"))
+    write_matrix_shards(rows, root, "archive_", variables=("pd", "unused"))
+    v = scan_matrix(spark, root, "archive_*", variables=["pd"]).select("values")
+    day = F.make_date(F.col("values")[1].cast("int"), F.col("values")[2].cast("int"), F.col("values")[3].cast("int"))
+    return v.select(F.col("values")[0].cast("bigint").alias("company_id"), day.alias("data_date"),
+                    F.col("values")[4].alias("PD_1"), F.col("values")[5].alias("PD_12"))
 
 
 # ---------------------------------------------------------------- A3 CSV

@@ -41,7 +41,6 @@ SIMPLE_HORIZONS = [1, 3, 6, 12, 24, 36, 48, 60]
 ALL_SENTINEL = -99
 EXCLUSION_FILL = "-1"
 OPEN_END_TEXT = "9999-12-31 00:00:00"
-UNSET_TIME_TEXT = "9999-12-31 00:00:00"
 
 # Text cells treated as missing (compared after trim, case-insensitive).
 NULL_LIKE_TEXT = ["nan", "nat", ""]
@@ -71,7 +70,6 @@ USER_DEFAULTS = {
 # Operation-log actions.
 ACTION_DAILY = "daily_insertion"
 ACTION_REVISION = "revision"
-ACTION_UPDATE_HISTORY = "update_history"
 
 # Default day offsets for relative target dates.
 OFFSET_DAILY = 2
@@ -80,18 +78,6 @@ OFFSET_UPLOAD = 1
 REVISION_GUARD_DAYS = 15
 FILL_LOOKBACK_DAYS = 10
 
-# Product file prefixes (shard filter) and folders.
-PRODUCT_PREFIX = {
-    "pd": "pd60h_",
-    "pdir": "pdirNum_",
-    "as": "as_",
-    "as_csv": "AS_",
-    "pd_revision": "pd_",
-    "rating_grid": "result",
-}
-PRODUCT_FOLDER = {"pd60h": "P2_Pd", "pdirNum": "P3_Pdir", "as": "P7_As"}
-CREDIT_EVENT_FILE_PATTERN = r"^CreditEvent_\d+\.mat$"
-
 # Economies expected in a complete daily delivery.
 DAILY_ECONOMIES = sorted([
     1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 17, 18, 19, 20, 22, 15, 16, 26,
@@ -141,14 +127,12 @@ AS_TABLE = T.StructType(
      _f("operation_time", T.TimestampNTZType())]
     + [_f(c, T.DoubleType()) for c in AS_COLS]
 )
-AS_KEYS = ["data_date", "company_id"]
 
 PDIR_TABLE = T.StructType([
     _f("data_date", T.DateType(), False), _f("econ_id", T.IntegerType()),
     _f("company_id", T.LongType(), False), _f("calibration_date", T.DateType()),
     _f("operation_time", T.TimestampNTZType()), _f("pdir", T.DoubleType()),
 ])
-PDIR_KEYS = ["data_date", "company_id"]
 
 OPERATION_LOG = T.StructType([
     _f("data_start_date", T.DateType()), _f("data_end_date", T.DateType()),
@@ -167,7 +151,6 @@ COMPANY_MAPPING = T.StructType([
     _f("industry_group", T.StringType()), _f("industry_subgroup_id", T.LongType()),
     _f("industry_subgroup", T.StringType()), _f("remark", T.StringType()),
 ])
-COMPANY_KEYS = ["company_id"]
 
 EXCLUDED_COMPANIES = T.StructType([
     _f("region", T.StringType()), _f("company_id", T.LongType()), _f("country_id", T.LongType()),

@@ -20,7 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # 65-column panels exceed the default of 100 fields only in wide joins;
     # keep whole-stage codegen for them.
@@ -53,7 +52,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def apply_conf(spark: SparkSession) -> None:
     """Pin the settings results depend on (time zone) on an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     spark.conf.set("spark.sql.codegen.maxFields", "400")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
@@ -93,11 +91,6 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-def ensure_dir(path: str) -> None:
-    if is_local_fs(path):
-        os.makedirs(local_path(path), exist_ok=True)
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -89,8 +89,3 @@ def calibration_lookup(folders: DataFrame, day: dt.date, name: str = "name") ->
                                F.col("n").cast("string"))))
     return one.select(checked.alias("folder")).select(
         "folder", F.to_date(F.substring("folder", -8, 8), "yyyyMMdd").alias("calibration_date"))
-
-
-def revision_folders(folders: DataFrame, name: str = "name") -> DataFrame:
-    """Revision folders are exactly the 8-character date names."""
-    return folders.where((F.length(name) == 8) & (F.substring(F.col(name), 1, 1) < "9"))

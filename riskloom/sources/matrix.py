@@ -115,7 +115,7 @@ def _filesystem(path: str):
     return _fs_path(path)
 
 
-def _writer(out_dir: str, prefix: str, key: str, folder: str | None):
+def _writer(out_dir: str, prefix: str, key: str, folder: str | None, variables: Sequence[str] = ()):
     """Per task: rows arrive sorted by group; each group's rows are gathered
     (one group in memory at a time) and written as one .npy file."""
     group_cols = [folder, key] if folder else [key]
@@ -124,10 +124,13 @@ def _writer(out_dir: str, prefix: str, key: str, folder: str | None):
         m = np.vstack(blocks) if blocks else np.zeros((0, 0))
         sub = f"{base}/{gk[0]}" if folder else base
         fs.create_dir(sub, recursive=True)
-        name = f"{prefix}{int(gk[-1])}.p{part:05d}.npy"
+        name = f"{prefix}{int(gk[-1])}.p{part:05d}.{'npz' if variables else 'npy'}"
         tmp = f"{sub}/.{name}.{uuid.uuid4().hex}.tmp"
         buf = io.BytesIO()
-        np.save(buf, m, allow_pickle=False)
+        if variables:                                  # the rows under the first name, their row numbers under the others
+            np.savez(buf, **{v: m if v == variables[0] else np.arange(len(m), dtype="float64") for v in variables})
+        else:
+            np.save(buf, m, allow_pickle=False)
         with fs.open_output_stream(tmp) as fh:
             fh.write(buf.getvalue())
         fs.move(tmp, f"{sub}/{name}")  # a retried task replaces its own file
@@ -172,7 +175,8 @@ def _writer(out_dir: str, prefix: str, key: str, folder: str | None):
 
 
 def write_matrix_shards(rows: DataFrame, out_dir: str, prefix: str, key: str = "econ_id",
-                        num_partitions: int | None = None, folder: str | None = None) -> DataFrame:
+                        num_partitions: int | None = None, folder: str | None = None,
+                        variables: Sequence[str] = ()) -> DataFrame:
     """Land (key, values) rows as ``[<folder>/]{prefix}{key}.p{partition}.npy``
     files, one per (folder, key) and task.  The (path, key,
     n_rows) manifest is written to ``<out_dir>/_manifest`` (hidden from scans)
@@ -191,5 +195,5 @@ def write_matrix_shards(rows: DataFrame, out_dir: str, prefix: str, key: str = "
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField(key, T.LongType()),
                            T.StructField("n_rows", T.LongType())])
     manifest_path = out_dir.rstrip("/") + "/_manifest"   # "_" paths are hidden from Spark scans
-    src.mapInArrow(_writer(out_dir, prefix, key, folder), schema).write.mode("overwrite").parquet(manifest_path)
+    src.mapInArrow(_writer(out_dir, prefix, key, folder, variables), schema).write.mode("overwrite").parquet(manifest_path)
     return spark.read.parquet(manifest_path)

@@ -57,6 +57,14 @@ def sql_query(spark: SparkSession, text: str, args: dict | None = None, **frames
     return spark.sql(text, args=args or {}, **frames)
 
 
-def econ_from_path(path_col: str = "path") -> F.Column:
-    from riskloom.sources.files import file_name_of, id_from_name
-    return id_from_name(file_name_of(path_col)).cast("int")
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table is at ``path``: only a missing path or a folder
+    without data files says no, any other read error is raised."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True

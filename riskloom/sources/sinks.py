@@ -38,7 +38,7 @@ def write_parquet_chunked(df: DataFrame, path: str, target_mb: float = TARGET_FI
                           mode: str = "overwrite", partition_cols: Sequence[str] = ()) -> None:
     """Snappy Parquet where no file exceeds ~``target_mb`` of row data: the
     byte target becomes ``maxRecordsPerFile`` from the schema's row width."""
-    w = (df.write.mode(mode).option("compression", "snappy")
+    w = (df.write.mode(mode).option("compression", "snappy").option("partitionOverwriteMode", "static")
          .option("maxRecordsPerFile", rows_per_file(df.schema, target_mb)))
     if partition_cols:
         w = w.partitionBy(*partition_cols)
@@ -80,4 +80,5 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str] = ("data
     res = df.withColumn(partition_col, F.date_format(F.col(date_col), "yyyy-MM"))
     n = num_partitions or int(res.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     res = res.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
-    res.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    # a rebuild replaces the whole table, months that are gone included
+    res.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path)

@@ -18,14 +18,7 @@ from pyspark.sql import types as T
 from riskloom.operators import mutate as mu
 from riskloom.operators.windows import latest_version
 from riskloom.schemas import PD_KEYS
-
-
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+from riskloom.sources.readers import table_exists
 
 
 def upsert_versions(table: str, keys: Sequence[str] = tuple(PD_KEYS)):
@@ -36,7 +29,7 @@ def upsert_versions(table: str, keys: Sequence[str] = tuple(PD_KEYS)):
         # the key includes the version (operation_time): rows sharing it are the
         # same version, so a hash de-duplication (partial aggregation) suffices
         fresh = batch.dropDuplicates(list(keys))
-        if _table_exists(spark, table):
+        if table_exists(spark, table):
             current = mu.read_touched(spark, table, batch)            # only the batch's months
             fresh = fresh.select(*current.columns).join(current.select(*keys), list(keys), "left_anti")
         # appending while reading the table is safe: the scan's file list is

@@ -46,21 +46,6 @@ def test_flagship_entry_runs(spark):
     assert df.columns[:3] == ["CompanyID", "DTDate", "FSDate"]
 
 
-def test_broadcast_only_below_a_proven_bound(spark):
-    from riskloom.operators.joins import broadcast_if_bounded
-    big = spark.range(100000).withColumnRenamed("id", "k")
-    small = spark.range(50).withColumnRenamed("id", "k")
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # only the explicit hint may broadcast
-    try:
-        hinted = big.join(broadcast_if_bounded(small, max_rows=100), "k")
-        assert "BroadcastHashJoin" in plan(hinted)
-        refused = big.join(broadcast_if_bounded(big.select("k"), max_rows=100), "k")
-        assert "BroadcastHashJoin" not in plan(refused)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-
-
 def test_bench_headline_queries_are_registered():
     import os
     import bench

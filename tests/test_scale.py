@@ -95,3 +95,47 @@ def test_cli_pd_range_and_refresh(spark):
     cli.main(["refresh", "--table", table, "--companies", comp, "--exclusions", excl, "--out", out,
               "--as-of", "2024-01-30"])
     assert spark.read.parquet(out + "/website").count() > 0
+
+
+def test_missing_delivery_folder_fails(spark, tmp_path):
+    import datetime as dt
+
+    import pytest
+    from riskloom.plans import jobs
+    for name in ("20240115_cali_20240201", "20240117_cali_20240201"):
+        (tmp_path / name).mkdir()
+    assert jobs.folders_in_range(spark, str(tmp_path), dt.date(2024, 1, 15), dt.date(2024, 1, 15)).count() == 1
+    with pytest.raises(FileNotFoundError, match="2024-01-16"):
+        jobs.folders_in_range(spark, str(tmp_path), dt.date(2024, 1, 15), dt.date(2024, 1, 17))
+
+
+def test_unreadable_shard_fails_the_job(spark, tmp_path):
+    import numpy as np
+    import pytest
+    from riskloom.plans import jobs
+    np.save(tmp_path / "pd_1.npy", np.ones((2, 4)))
+    assert jobs.read_shards(spark, str(tmp_path), "pd_*.npy").count() == 2
+    (tmp_path / "pd_2.npy").write_bytes(b"not a matrix")
+    with pytest.raises(Exception, match="unreadable shard"):
+        jobs.read_shards(spark, str(tmp_path), "pd_*.npy").collect()
+
+
+def test_rebuilt_clustered_table_has_no_old_months(spark, tmp_path):
+    from riskloom.sources.sinks import write_clustered
+    path = str(tmp_path / "panel")
+    for dates in (("2024-01-05", "2024-02-05"), ("2024-02-06",)):
+        rows = spark.createDataFrame([(d, 1) for d in dates], "d string, company_id int").selectExpr("CAST(d AS DATE) data_date", "company_id")
+        write_clustered(rows, path)
+    assert [str(r.data_date) for r in spark.read.parquet(path).collect()] == ["2024-02-06"]
+
+
+def test_unreadable_table_is_not_taken_for_a_missing_one(spark, tmp_path):
+    import pytest
+    from riskloom.sources.readers import table_exists
+    assert not table_exists(spark, str(tmp_path / "none"))
+    (tmp_path / "empty").mkdir()
+    assert not table_exists(spark, str(tmp_path / "empty"))
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"junk junk junk junk")
+    with pytest.raises(Exception):
+        table_exists(spark, str(tmp_path / "bad"))
