@@ -4,9 +4,9 @@ A document's set holds its distinct shingles of WORDS words (A-Z lowered); with
 fewer words, the whole sequence as one.  Two documents link when
 100 * |A & B| >= PERCENT * |A | B|.  Such documents share, under any order of
 all tokens, a token of their prefixes: the first n - ceil(PERCENT * n / 100) + 1
-tokens of a set of n.  Several orders are used, each rare tokens first: by the
-logarithm of a token's count in a count sketch of all documents, then by a hash
-of its own.  Candidates share a prefix token under the first order; the other
+tokens of a set of n.  Several orders are used, each rare tokens first by a
+count sketch of all documents - the first by the count itself, the others by
+its logarithm in coarse steps - and then by a hash of its own.  Candidates share a prefix token under the first order; the other
 orders' prefixes are intersected before the pair is verified on its full sets.
 Before the sets travel at all, their histograms by leading hash bits must allow
 the overlap (an upper bound, so no link is lost).
@@ -43,7 +43,7 @@ from riskloom.llm.textops import LOWER, buffers, mix64, row_words, stretches
 
 WORDS, PERCENT = 4, 85
 #: Slots of the count sketch and number of token orders.
-SLOTS, ORDERS = 1 << 20, 3
+SLOTS, ORDERS = 1 << 22, 3
 #: Classes of a token that one salt holds, roughly.
 SALT_HOLDS = 4096
 #: Leader rounds go on while the pairs across components are more than this many for each class of a token.
@@ -118,15 +118,17 @@ def sketch(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             for _, sets in _sets(batch.column(0)):
                 if any(len(s) for s in sets):
                     total += np.bincount(_slot(np.concatenate(sets)), minlength=SLOTS)
-        used = [k for k in range(SLOTS // _BLOCK) if total[k * _BLOCK:(k + 1) * _BLOCK].any()]
-        data = [total[k * _BLOCK:(k + 1) * _BLOCK].astype("<u4").tobytes() for k in used]
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(data, pa.binary())], names=["block", "counts"])
+        for at in range(0, SLOTS, 64 * _BLOCK):
+            part = total[at:at + 64 * _BLOCK].reshape(-1, _BLOCK)
+            used = np.flatnonzero(part.any(axis=1))
+            data = [part[k].astype("<u2" if part[k].max() < 1 << 16 else "<u4").tobytes() for k in used]
+            yield pa.RecordBatch.from_arrays([pa.array(used + at // _BLOCK, pa.int32()), pa.array(data, pa.binary())], names=["block", "counts"])
 
     def add(batches):
         found: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found[block] = found.get(block, 0) + np.frombuffer(data, "<u4").astype(np.int64)
+                found[block] = found.get(block, 0) + np.frombuffer(data, f"<u{len(data) // _BLOCK}").astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([v.tobytes() for v in found.values()], pa.binary())],
                                          names=["block", "counts"])
 
@@ -138,13 +140,16 @@ def sketch(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return out
 
 
-def order_levels(counts: np.ndarray) -> np.ndarray:
-    """A byte for each slot: the logarithm of its count in fine steps, the first key of all orders."""
-    return np.minimum(255, np.round(4 * np.log2(counts + 1))).astype(np.uint8)
+def order_counts(counts: np.ndarray) -> np.ndarray:
+    """What the orders need of the sketch: counts up to 65535, two bytes a slot."""
+    return np.minimum(counts, 65535).astype(np.uint16)
 
 
 def _ranks(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
-    return (levels[_slot(tokens)].astype(np.uint64) << np.uint64(56)) | (mix64(tokens ^ _SEEDS[order]) >> np.uint64(8))
+    level = levels[_slot(tokens)]
+    if order:
+        level = np.round(4 * np.log2(level + 1.0))
+    return (level.astype(np.uint64) << np.uint64(48)) | (mix64(tokens ^ _SEEDS[order]) >> np.uint64(16))
 
 
 def prefix(tokens: np.ndarray, levels: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
@@ -232,6 +237,10 @@ def similar(a: tuple[bytes, bytes], b: tuple[bytes, bytes], percent: int = PERCE
 
 def _filtered(pairs: DataFrame, sets: DataFrame, columns: list[str], test) -> DataFrame:
     """The pairs (a, b) for which ``test`` holds of both sets' ``columns``."""
+    pairs = staged(pairs, "pairs")
+    involved = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "involved")
+    sets = sets.join(involved, "node", "left_semi")
+
     def side(name):
         return sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
@@ -317,7 +326,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     rows = staged(described(docs, id_col, text_col), "described")
     counts = sketch(docs, text_col)
-    levels = spark.sparkContext.broadcast(order_levels(counts))
+    levels = spark.sparkContext.broadcast(order_counts(counts))
     over = np.maximum(0, counts - 2 * counts.mean())
     salts = spark.sparkContext.broadcast(1 + (over // SALT_HOLDS).astype(np.int64))
 

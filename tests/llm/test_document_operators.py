@@ -202,7 +202,7 @@ def test_join_equals_brute_force(docs_of, monkeypatch, holds):
 def test_join_filters_lose_no_link():
     """Every linking pair shares a prefix token under each order."""
     rng = random.Random(9)
-    levels = np.array([rng.randrange(4) for _ in range(ngram_join.SLOTS)], np.uint8)
+    levels = np.random.default_rng(9).integers(0, 4, ngram_join.SLOTS).astype(np.uint16)
     for _ in range(300):
         n = rng.randrange(1, 120)
         x = np.unique(np.array([rng.getrandbits(64) for _ in range(n)], np.uint64))
