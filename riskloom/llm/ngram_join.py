@@ -13,13 +13,18 @@ the overlap (an upper bound, so no link is lost).
 
 No token's documents are paired with each other wholesale:
 
-* documents with equal sets are one class, combined in each task first;
+* documents with equal sets are one class, combined in each task first, and a
+  token counts only where classes of comparable size share it;
 * a token's classes are first paired with leaders only (a token that the sketch
   shows to be frequent is split over salts, whose leaders are paired in turn);
-  verified links join classes to components;
+  pairs that pass join classes to components;
 * only pairs across components can matter from then on.  Rounds with new
-  leaders go on while many such pairs remain, then all of them are verified,
-  so no link between components is lost.
+  leaders go on while many such pairs remain, then all of them are tested, for
+  the few tokens of many classes in blocks, so no link is lost.
+
+This is done twice: first with an upper bound of the overlap, from histograms
+of the sets, which need no texts; then, inside the components so found, with
+the sets of the classes in them, the only ones whose texts are read again.
 
 What the driver sees: the sketch (SLOTS counts) and numbers of rows.
 
@@ -47,7 +52,11 @@ SLOTS, ORDERS = 1 << 22, 3
 #: Classes of a token that one salt holds, roughly.
 SALT_HOLDS = 4096
 #: Leader rounds go on while the pairs across components are more than this many for each class of a token.
-PAIRS_PER_ROW, ROUNDS = 4, 6
+PAIRS_PER_ROW, ROUNDS = 4, 3
+#: Tokens of more classes are compared in blocks of about as many.
+HOLDS = 128
+#: Sets that can link have sizes whose logarithms, in millionths, are at most so far apart (with some slack for rounding).
+_NEAR = int(1e6 * np.log(100 / PERCENT)) + 10
 _BLOCK = 4096
 _SEEDS = mix64(np.arange(1, ORDERS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 
@@ -92,20 +101,22 @@ def _class(tokens: np.ndarray) -> int:
 
 
 def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, cls) for each document; cls is a 64-bit hash of its set."""
+    """(id, n_shingles, cls, bins) for each document: a 64-bit hash of its set and the set's histogram."""
     on_workers(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            n, cls = [], []
+            n, cls, bins = [], [], []
             for _, sets in _sets(batch.column(1)):
                 n += [len(s) for s in sets]
                 cls += [_class(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64())],
-                                             names=["id", "n_shingles", "cls"])
+                bins += [histogram(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(bins, pa.binary())],
+                names=["id", "n_shingles", "cls", "bins"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, n_shingles long, cls long")
+    return rows.mapInArrow(run, "id long, n_shingles long, cls long, bins binary")
 
 
 def sketch(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -188,8 +199,8 @@ def postings(docs: DataFrame, levels, salts, text_col: str = "text") -> DataFram
 
 
 def histogram(tokens: np.ndarray) -> bytes:
-    """Tokens counted by the leading bits of their hash, about a bin for each; a byte a bin."""
-    bits = min(16, max(6, int(len(tokens)).bit_length()))
+    """Tokens counted by the leading bits of their hash, a bin for one or two; a byte a bin."""
+    bits = min(16, max(5, int(len(tokens)).bit_length() - 1))
     bins = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(bins, 255).astype(np.uint8).tobytes()
 
@@ -204,19 +215,18 @@ def most_common(a: bytes, b: bytes) -> int | None:
 
 
 def full_sets(texts: DataFrame, levels) -> DataFrame:
-    """(text) -> (node, n, bins, tokens, others): a set's histogram, the sorted set, and the places in it of the other orders' prefixes."""
+    """(text) -> (node, tokens, others): the sorted set, and the places in it of the other orders' prefixes."""
     on_workers(texts.sparkSession)
 
     def run(batches):
         for batch in batches:
             for _, sets in _sets(batch.column(0)):
                 others = [np.concatenate([prefix(s, levels.value, k) for k in range(1, ORDERS)]).astype(np.uint32).tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([_class(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([histogram(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
-                     pa.array(others, pa.binary())], names=["node", "n", "bins", "tokens", "others"])
+                yield pa.RecordBatch.from_arrays([pa.array([_class(s) for s in sets], pa.int64()),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(others, pa.binary())],
+                                                 names=["node", "tokens", "others"])
 
-    return texts.mapInArrow(run, "node long, n long, bins binary, tokens binary, others binary")
+    return texts.mapInArrow(run, "node long, tokens binary, others binary")
 
 
 def may_link(n: int, bins: bytes, m: int, others: bytes, percent: int = PERCENT) -> bool:
@@ -254,9 +264,13 @@ def _filtered(pairs: DataFrame, sets: DataFrame, columns: list[str], test) -> Da
     return both.select("a", "b", *[f"{c}_{s}" for s in "ab" for c in columns]).mapInArrow(run, "a long, b long")
 
 
+def possible(pairs: DataFrame, bins: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose histograms allow a link."""
+    return _filtered(pairs, bins, ["n", "bins"], lambda x, y: may_link(*x, *y))
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: first by histograms, which are small, then by the sets themselves."""
-    pairs = _filtered(pairs, sets, ["n", "bins"], lambda x, y: may_link(*x, *y))
+    """The pairs (a, b) that link."""
     return _filtered(pairs, sets, ["tokens", "others"], similar)
 
 
@@ -309,6 +323,42 @@ def _all_pairs(still: DataFrame) -> DataFrame:
     return _pairs(out.join(rest, "token").where((F.col("own") != F.col("part")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _fits()))
 
 
+def _block_pairs(still: DataFrame, bins: DataFrame) -> DataFrame:
+    """The same for tokens of many classes: classes outside the main component
+    against all, a block of about HOLDS by a block; only pairs whose histograms
+    allow a link leave the task."""
+    rows = still.join(bins.select("node", "bins"), "node").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / HOLDS)))
+    one = F.collect_list(F.struct("node", "n", "part", F.col("part") == F.col("main"), "bins"))
+    rest = rows.groupBy("token", F.col("block").alias("to")).agg(one.alias("rest"))
+    out = rows.where("part <> main").groupBy("token", "block").agg(one.alias("out"))
+
+    def unpack(items):
+        node, n, part, main, packed = ([tuple(i.values())[k] for i in items] for k in range(5))
+        return np.array(node), np.array(n), np.array(part), np.array(main, bool), [np.frombuffer(h, np.uint8) for h in packed]
+
+    def folded(hists, width):
+        return np.stack([h.astype(np.int32).reshape(width, -1).sum(1) for h in hists])
+
+    def run(batches):
+        for batch in batches:
+            for x, y in zip(*(batch.column(k) for k in (0, 1))):
+                (a, n, own, _, g), (b, m, part, main, h) = unpack(x.as_py()), unpack(y.as_py())
+                width = min(len(i) for i in g + h)
+                full_a, full_b = (np.array([(i == 255).any() for i in k]) for k in (g, h))
+                left, right = folded(g, width), folded(h, width)
+                found = [[], []]
+                for k in range(len(a)):
+                    most = np.minimum(right, left[k]).sum(1)
+                    ok = (100 * most >= PERCENT * (n[k] + m - most)) | full_a[k] | full_b
+                    ok &= (own[k] != part) & (main | (a[k] < b)) & (100 * np.minimum(n[k], m) >= PERCENT * np.maximum(n[k], m))
+                    found[0].append(np.minimum(a[k], b[ok]))
+                    found[1].append(np.maximum(a[k], b[ok]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(f)) for f in found], names=["a", "b"])
+
+    return out.join(rest, "token").select("out", "rest").mapInArrow(run, "a long, b long").distinct()
+
+
 def _merged(parts: DataFrame, links: DataFrame, turn: int) -> DataFrame:
     """(node, part) after more links: components of the components."""
     def named(col):
@@ -321,6 +371,29 @@ def _merged(parts: DataFrame, links: DataFrame, turn: int) -> DataFrame:
     return staged(moved.unionByName(fresh), f"parts-{turn}")
 
 
+def settled(posts: DataFrame, bins: DataFrame, test) -> DataFrame:
+    """(node, part) of the classes that pairs which pass ``test`` connect, but for each component's smallest."""
+    parts = posts.sparkSession.createDataFrame([], "node long, part long")
+    parts = _merged(parts, test(star_pairs(posts)), 0)
+    for turn in range(1, ROUNDS + 2):
+        still = staged(_open(posts, parts), f"open-{turn}")
+        size = still.agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("part") != F.col("main")).cast("long") * F.col("all")).alias("pairs")).first()
+        if not size["rows"]:
+            break
+        last = turn > ROUNDS or size["pairs"] <= PAIRS_PER_ROW * size["rows"]
+        if last:
+            few, many = still.where(F.col("all") <= HOLDS), still.where(F.col("all") > HOLDS)
+            pairs = _all_pairs(few)
+            if many.limit(1).count():
+                pairs = pairs.unionByName(_block_pairs(many, bins)).distinct()
+        else:
+            pairs = _leader_pairs(still, turn)
+        parts = _merged(parts, test(pairs), turn)
+        if last:
+            break
+    return parts
+
+
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -330,30 +403,24 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     over = np.maximum(0, counts - 2 * counts.mean())
     salts = spark.sparkContext.broadcast(1 + (over // SALT_HOLDS).astype(np.int64))
 
-    # a token that only one class has links nothing
-    posts = postings(docs, levels, salts, text_col)
-    whole = Window.partitionBy("token", "salt")
-    posts = posts.withColumn("least", F.min("node").over(whole)).withColumn("most", F.max("node").over(whole))
+    # a token links nothing where no other class of comparable size has it
+    posts = postings(docs, levels, salts, text_col).withColumn("size", F.floor(F.log("n") * 1_000_000))
+    near = Window.partitionBy("token", "salt").orderBy("size").rangeBetween(-_NEAR, _NEAR)
+    posts = posts.withColumn("least", F.min("node").over(near)).withColumn("most", F.max("node").over(near))
     posts = staged(posts.where("least < most or salts > 1").select("token", "salts", "salt", "node", "n").distinct(), "postings")
-
-    # one text of each class that is left
     nodes = posts.select("node").distinct()
-    firsts = rows.join(nodes, rows["cls"] == nodes["node"], "left_semi").groupBy("cls").agg(F.min("id").alias("id")).select("id").distinct()
+    bins = staged(rows.join(nodes, rows["cls"] == nodes["node"], "left_semi")
+                  .groupBy(F.col("cls").alias("node")).agg(F.max("n_shingles").alias("n"), F.max("bins").alias("bins")), "bins")
+    maybe = settled(posts, bins, lambda pairs: possible(pairs, bins))
+
+    # the classes that may link, each token once for every component it is in, and one text of each class
+    whole = staged(maybe.unionByName(maybe.select(F.col("part").alias("node"), "part")).distinct(), "maybe")
+    posts = staged(posts.join(whole, "node").withColumn("token", F.xxhash64("token", "part")).drop("part"), "postings-in")
+    firsts = (rows.join(whole, rows["cls"] == whole["node"], "left_semi").groupBy("cls").agg(F.min("id").alias("id")).select("id").distinct())
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = own.join(firsts.hint("shuffle_hash"), "id", "left_semi").unionByName(own.where("id is null")).select("text")
     sets = staged(full_sets(texts, levels), "full")
-
-    parts = spark.createDataFrame([], "node long, part long")
-    parts = _merged(parts, verified(star_pairs(posts), sets), 0)
-    for turn in range(1, ROUNDS + 2):
-        still = staged(_open(posts, parts), f"open-{turn}")
-        size = still.agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("part") != F.col("main")).cast("long") * F.col("all")).alias("pairs")).first()
-        if not size["rows"]:
-            break
-        last = turn > ROUNDS or size["pairs"] <= PAIRS_PER_ROW * size["rows"]
-        parts = _merged(parts, verified(_all_pairs(still) if last else _leader_pairs(still, turn), sets), turn)
-        if last:
-            break
+    parts = settled(posts, bins, lambda pairs: verified(possible(pairs, bins), sets))
     return _reported(rows, parts).select(F.col("id").alias(id_col), "n_shingles", "component_id")
 
 
