@@ -29,11 +29,13 @@ def _lit(v):
 
 
 def dedupe_incoming(incoming: DataFrame, keys: Sequence[str], version: str | None = "operation_time") -> DataFrame:
-    """One incoming row per key (highest version; equal versions broken by
-    the whole row, so a batch with repeated keys dedupes deterministically)."""
-    if version and version in incoming.columns:
-        return latest_version(incoming, keys, version, tiebreak="all")
-    return latest_version(incoming, keys, version=incoming.columns[-1], tiebreak="all")
+    """One incoming row per key (highest version; equal versions broken by a
+    hash of the whole row, so a batch with repeated keys dedupes
+    deterministically by two sort columns, however wide it is)."""
+    version = version if version and version in incoming.columns else incoming.columns[-1]
+    rest = [F.col(f"`{c}`") for c in incoming.columns if c not in keys]
+    hashed = incoming.withColumn("_row_hash", F.xxhash64(*rest))
+    return latest_version(hashed, keys, version, tiebreak=("_row_hash",)).drop("_row_hash")
 
 
 def replace_all(current: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -85,7 +87,7 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
     with the same key, new keys are added."""
     keys = list(keys)
     new = dedupe_incoming(select_names(incoming, current.columns), keys, version)
-    return current.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    return current.join(incoming.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
 def history_capture(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

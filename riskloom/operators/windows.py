@@ -17,14 +17,14 @@ from riskloom.schemas import ROLLING_ROWS
 
 
 def latest_version(df: DataFrame, keys: Sequence[str] = ("data_date", "company_id"),
-                   version: str = "operation_time", tiebreak: Sequence[str] | str = ()) -> DataFrame:
+                   version: str = "operation_time", tiebreak: Sequence[str] | str = ("calibration_date",)) -> DataFrame:
     """One row per key: the highest ``version``.
 
     The versioned tables declare (key, version) unique, so the version alone
     orders them and only the key, version and downstream columns travel
     through the shuffle (column pruning stays intact).  For inputs that can
-    tie, ``tiebreak`` lists extra order columns (descending); ``"all"`` uses
-    every remaining column.
+    tie, ``tiebreak`` lists extra order columns (descending, where present; by
+    default the later calibration wins); ``"all"`` uses every remaining column.
 
     ``row_number() == 1`` lets Spark insert a partial WindowGroupLimit before
     the shuffle, so a key with very many versions is cut down map-side."""
@@ -32,7 +32,7 @@ def latest_version(df: DataFrame, keys: Sequence[str] = ("data_date", "company_i
     if tiebreak == "all":
         rest = [c for c in df.columns if c not in keys + [version]]
     else:
-        rest = [c for c in tiebreak if c != version]
+        rest = [c for c in tiebreak if c != version and c in df.columns]
     order = ", ".join(f"{q(c)} DESC NULLS LAST" for c in [version] + rest)
     rn = F.expr(f"row_number() OVER (PARTITION BY {', '.join(q(k) for k in keys)} ORDER BY {order})")
     return df.withColumn("_rn", rn).where("_rn = 1").drop("_rn")
