@@ -106,8 +106,7 @@ def excluded_companies(spark, sf_dir) -> DataFrame:
 
 def credit_events_raw(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return (li.where(F.col("l_returnflag") == "R")
-            .select(F.col("l_suppkey").alias("company_id"),
+    return (li.select(F.col("l_suppkey").alias("company_id"),
                     F.col("l_shipdate").cast("date").alias("default_date"),
                     F.col("l_linenumber").cast("bigint").alias("default_type"),
                     F.col("l_orderkey").alias("event_id"))
@@ -122,13 +121,18 @@ def event_code_mapping(spark, sf_dir) -> DataFrame:
             .distinct())
 
 
-def rating_key(spark, sf_dir) -> DataFrame:
+def rating_all(spark, sf_dir) -> DataFrame:
+    """A rating for every company and day of the data."""
     ev = table(spark, sf_dir, "events")
-    return (ev.where(F.col("user_id") % 3 != 0)
-            .groupBy(F.col("user_id").alias("company_id"), F.col("ts").cast("date").alias("data_date"))
+    return (ev.groupBy(F.col("user_id").alias("company_id"), F.col("ts").cast("date").alias("data_date"))
             .agg(F.max((F.lit(1) + F.col("event_id") % 21).cast("double")).alias("pdir")))
 
 
+def rating_key(spark, sf_dir) -> DataFrame:
+    """Ratings of the companies that have one (joins and reconciliation need some without)."""
+    return rating_all(spark, sf_dir).where(F.col("company_id") % 3 != 0)
+
+
 def users_flat(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
@@ -209,6 +213,7 @@ VIEWS = {
     "excluded_companies": excluded_companies,
     "credit_events_raw": credit_events_raw,
     "event_code_mapping": event_code_mapping,
+    "rating_all": rating_all,
     "rating_key": rating_key,
     "users_flat": users_flat,
     "dirty_text": dirty_text,
@@ -258,12 +263,17 @@ VIEW_SQL = {
     "credit_events_raw": (
         "SELECT DISTINCT l_suppkey AS company_id, CAST(l_shipdate AS DATE) AS default_date, "
         "CAST(l_linenumber AS BIGINT) AS default_type, l_orderkey AS event_id "
-        "FROM lineitem WHERE l_returnflag = 'R'"
+        "FROM lineitem"
     ),
     "event_code_mapping": (
         "SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS id, "
         "concat('ACTION_', CAST(l_linenumber AS VARCHAR)) AS action_name FROM lineitem WHERE l_linenumber < 6"
     ),
+    "rating_all": (
+        "SELECT user_id AS company_id, CAST(ts AS DATE) AS data_date, "
+        "max(CAST(1 + event_id % 21 AS DOUBLE)) AS pdir FROM events "
+        "GROUP BY user_id, CAST(ts AS DATE)"
+    ),
     "rating_key": (
         "SELECT user_id AS company_id, CAST(ts AS DATE) AS data_date, "
         "max(CAST(1 + event_id % 21 AS DOUBLE)) AS pdir FROM events WHERE user_id % 3 <> 0 "

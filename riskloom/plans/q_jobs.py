@@ -75,7 +75,7 @@ def _write_delivery(spark, d, root, products):
                                   pd60).alias("values"))
         write_matrix_shards(rows, root, "pd60h_", folder="folder")
     if "pdir" in products:
-        rk = fx.rating_key(spark, d)
+        rk = fx.rating_key(spark, d) if "pd" in products else fx.rating_all(spark, d)
         rows = rk.select(fx.econ_of().alias("econ_id"), _folder(F.col("data_date"), "P3_Pdir").alias("folder"),
                          F.array(F.col("company_id").cast("double"), *_ymd(), F.col("pdir")).alias("values"))
         write_matrix_shards(rows, root, "pdirNum_", folder="folder")
@@ -186,8 +186,8 @@ def q_job_daily_run(spark, d):
 @register("job_pd_backfill", sql(
     f"SELECT l.data_date, CAST(l.company_id % 25 + 1 AS INT) AS econ_id, l.company_id, DATE '2024-02-01' AS "
     f"calibration_date, {OP_SQL} AS operation_time, r.pdir AS PDIR, {', '.join('l.' + c for c in PD_COLS)} "
-    f"FROM ({LATEST_SQL}) l LEFT JOIN rating_key r ON l.company_id = r.company_id AND l.data_date = r.data_date "
-    "WHERE l.PDIR IS NOT NULL", "pd_raw", "rating_key"))
+    f"FROM ({LATEST_SQL}) l LEFT JOIN rating_all r ON l.company_id = r.company_id AND l.data_date = r.data_date "
+    "WHERE l.PDIR IS NOT NULL", "pd_raw", "rating_all"))
 def q_job_pd_backfill(spark, d):
     root = scratch_path(spark, "pd-history")
     lat = _latest(spark, d)
@@ -202,7 +202,7 @@ def q_job_pd_backfill(spark, d):
 
 @register("job_pdir_backfill", sql(
     "SELECT CAST(data_date AS DATE) AS data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, company_id, pdir "
-    "FROM rating_key", "rating_key"))
+    "FROM rating_all", "rating_all"))
 def q_job_pdir_backfill(spark, d):
     grids = scratch_path(spark, "rating-grids")
     rating_grid(spark, d).write.mode("overwrite").parquet(grids)
@@ -211,12 +211,12 @@ def q_job_pdir_backfill(spark, d):
 
 # ---------------------------------------------------------------- J7 PDIR2
 PDIR_CUR_SQL = ("SELECT data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, company_id, DATE '2024-02-01' AS "
-                f"calibration_date, {OLD_OP_SQL} AS operation_time, pdir FROM rating_key "
+                f"calibration_date, {OLD_OP_SQL} AS operation_time, pdir FROM rating_all "
                 "WHERE data_date < DATE '2024-01-21'")
 
 
 def _pdir_current(spark, d):
-    rk = fx.rating_key(spark, d).where(F.col("data_date") < F.lit(CUTOFF))
+    rk = fx.rating_all(spark, d).where(F.col("data_date") < F.lit(CUTOFF))
     return rk.select("data_date", fx.econ_of().alias("econ_id"), "company_id",
                      F.lit(fx.CALIBRATION).alias("calibration_date"),
                      F.lit(OLD_OP).cast("timestamp_ntz").alias("operation_time"), "pdir").transform(_pdir_schema)
@@ -224,7 +224,7 @@ def _pdir_current(spark, d):
 
 @register("job_pdir2_day", sql(
     f"{PDIR_CUR_SQL} UNION ALL SELECT data_date, CAST(company_id % 25 + 1 AS INT), company_id, DATE '2024-02-01', "
-    f"{OP_SQL}, pdir FROM rating_key WHERE data_date = DATE '2024-01-22'", "rating_key"))
+    f"{OP_SQL}, pdir FROM rating_all WHERE data_date = DATE '2024-01-22'", "rating_all"))
 def q_job_pdir2_day(spark, d):
     root = land_delivery(spark, d, ("pdir",))
     latest = scratch_path(spark, "pdir2-latest")
@@ -239,14 +239,14 @@ def q_job_pdir2_day(spark, d):
 
 REV_FROM = dt.date(2024, 1, 15)
 PDIR_REV_SQL = ("SELECT data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, company_id, DATE '2024-02-01' AS "
-                f"calibration_date, {REV_OP_SQL} AS operation_time, least(pdir + 1, 22) AS pdir FROM rating_key "
+                f"calibration_date, {REV_OP_SQL} AS operation_time, least(pdir + 1, 22) AS pdir FROM rating_all "
                 "WHERE data_date >= DATE '2024-01-15'")
 
 
 @register("job_pdir2_revision", sql(
     f"WITH cur AS ({PDIR_CUR_SQL}), rev AS ({PDIR_REV_SQL}) SELECT * FROM cur WHERE NOT EXISTS (SELECT 1 FROM rev "
     "WHERE rev.data_date = cur.data_date AND rev.company_id = cur.company_id) UNION ALL SELECT * FROM rev",
-    "rating_key"))
+    "rating_all"))
 def q_job_pdir2_revision(spark, d):
     latest = scratch_path(spark, "pdir2-latest")
     _pdir_current(spark, d).write.mode("overwrite").parquet(latest)

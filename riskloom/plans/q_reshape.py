@@ -55,7 +55,7 @@ def pdir_daily_named(spark, d):
 def rating_grid(spark, d):
     """Rating grid rows as delivered per economy: one row per date (yyyymmdd)
     with the firm ids (company_id x 1000) and their ratings, firm-sorted."""
-    rk = fx.rating_key(spark, d)
+    rk = fx.rating_all(spark, d)
     cells = rk.select(fx.econ_of().alias("econ_id"),
                       F.date_format("data_date", "yyyyMMdd").cast("double").alias("date_key"),
                       (F.col("company_id") * 1000).cast("double").alias("firm"), "pdir")
@@ -63,7 +63,7 @@ def rating_grid(spark, d):
 
 
 RATING_CELLS_SQL = ("SELECT CAST(company_id % 25 + 1 AS INT) AS econ_id, CAST(strftime(data_date, '%Y%m%d') "
-                    "AS DOUBLE) AS data_date, CAST(company_id * 1000 AS DOUBLE) AS company_id, pdir FROM rating_key")
+                    "AS DOUBLE) AS data_date, CAST(company_id * 1000 AS DOUBLE) AS company_id, pdir FROM rating_all")
 
 
 # ---------------------------------------------------------------- B1-B3
@@ -200,7 +200,7 @@ def q_apply_defaults(spark, d):
 
 
 # ---------------------------------------------------------------- B15/B16 grids
-@register("melt_matrix", sql(RATING_CELLS_SQL, "rating_key"))
+@register("melt_matrix", sql(RATING_CELLS_SQL, "rating_all"))
 def q_melt_matrix(spark, d):
     return rs.melt_grid(rating_grid(spark, d), ["econ_id", F.col("date_key").alias("data_date")], "firms", "values",
                         "company_id", "pdir").select("econ_id", "data_date", "company_id", "pdir")
@@ -217,7 +217,7 @@ def q_melt_wide(spark, d):
 @register("transpose_matrix", sql(
     "SELECT econ_id, company_id, count(*) AS n_dates, string_agg(CAST(CAST(data_date AS BIGINT) AS VARCHAR), ',' "
     "ORDER BY data_date) AS dates, string_agg(CAST(CAST(pdir AS BIGINT) AS VARCHAR), ',' ORDER BY data_date) AS ratings "
-    f"FROM ({RATING_CELLS_SQL}) c GROUP BY econ_id, company_id", "rating_key"))
+    f"FROM ({RATING_CELLS_SQL}) c GROUP BY econ_id, company_id", "rating_all"))
 def q_transpose(spark, d):
     cells = rs.melt_grid(rating_grid(spark, d), ["econ_id", "date_key"], "firms", "values", "company_id", "pdir")
     t = rs.transpose_grid(cells, ["econ_id"], "date_key", "company_id", "pdir", "dates", "ratings")
@@ -359,7 +359,7 @@ def q_prep_pdir_daily(spark, d):
 @register("prep_pdir_revision", sql(
     "SELECT CAST(strptime(CAST(CAST(data_date AS BIGINT) AS VARCHAR), '%Y%m%d') AS DATE) AS data_date, econ_id, "
     f"CAST(company_id AS BIGINT) AS company_id, DATE '2024-02-01' AS calibration_date, {OP_SQL} AS operation_time, "
-    f"pdir FROM ({RATING_CELLS_SQL}) c", "rating_key"))
+    f"pdir FROM ({RATING_CELLS_SQL}) c", "rating_all"))
 def q_prep_pdir_revision(spark, d):
     cells = rs.melt_grid(rating_grid(spark, d), ["econ_id", F.col("date_key").alias("data_date")], "firms", "values",
                          "company_id", "pdir")
@@ -368,7 +368,7 @@ def q_prep_pdir_revision(spark, d):
 
 @register("prep_pdir_historical", sql(
     "SELECT CAST(strptime(CAST(CAST(data_date AS BIGINT) AS VARCHAR), '%Y%m%d') AS DATE) AS data_date, econ_id, "
-    f"CAST(trunc(company_id / 1000) AS BIGINT) AS company_id, pdir FROM ({RATING_CELLS_SQL}) c", "rating_key"))
+    f"CAST(trunc(company_id / 1000) AS BIGINT) AS company_id, pdir FROM ({RATING_CELLS_SQL}) c", "rating_all"))
 def q_prep_pdir_historical(spark, d):
     cells = rs.melt_grid(rating_grid(spark, d), ["econ_id", F.col("date_key").alias("date")], "firms", "values",
                          "company_id", "pdir")

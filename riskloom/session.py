@@ -121,7 +121,7 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-FIXTURE_VERSION = "1"
+FIXTURE_VERSION = "2"
 
 
 def _fs_path(path: str):
