@@ -23,7 +23,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     else:
         moved = (both.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))))
-    return moved.where("u > v").distinct()
+    return moved.where("u > v")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -35,4 +35,4 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(mark) == sign:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
         sign = tuple(mark)
-        now = staged(_star(_star(now, True), False), "links")
+        now = staged(_star(_star(now, True), False).distinct(), "links")

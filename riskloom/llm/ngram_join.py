@@ -300,12 +300,20 @@ def star_pairs(posts: DataFrame) -> DataFrame:
 
 
 def _open(posts: DataFrame, parts: DataFrame) -> DataFrame:
-    """(token, node, n, part, main): postings of tokens that hold several components, with the token's most frequent one."""
+    """(token, node, n, part, main, all): postings of tokens that hold several
+    components, with the token's most frequent one and its number of postings.
+    Tokens of one salt hold a bounded number of classes, so windows do; the
+    frequent ones are counted first and joined."""
     rows = posts.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    per = rows.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k"))
+    of_token, of_part = Window.partitionBy("token"), Window.partitionBy("token", "part")
+    few = rows.where("salts = 1").withColumn("k", F.count(F.lit(1)).over(of_part))
+    few = few.withColumns({"main": F.max(F.struct("k", "part")).over(of_token)["part"], "all": F.count(F.lit(1)).over(of_token)}).where("k < all")
+    many = rows.where("salts > 1")
+    per = many.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k"))
     main = per.groupBy("token").agg(F.max_by("part", F.struct("k", "part")).alias("main"), F.count(F.lit(1)).alias("several"),
                                     F.sum("k").alias("all")).where("several > 1").drop("several")
-    return rows.join(main, "token").select("token", "node", "n", "part", "main", "all")
+    columns = ["token", "node", "n", "part", "main", "all"]
+    return few.select(columns).unionByName(many.join(main, "token").select(columns))
 
 
 def _leader_pairs(still: DataFrame, turn: int) -> DataFrame:
@@ -375,12 +383,16 @@ def settled(posts: DataFrame, bins: DataFrame, test) -> DataFrame:
     """(node, part) of the classes that pairs which pass ``test`` connect, but for each component's smallest."""
     parts = posts.sparkSession.createDataFrame([], "node long, part long")
     parts = _merged(parts, test(star_pairs(posts)), 0)
+    joined = parts.count()
     for turn in range(1, ROUNDS + 2):
         still = staged(_open(posts, parts), f"open-{turn}")
-        size = still.agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("part") != F.col("main")).cast("long") * F.col("all")).alias("pairs")).first()
+        outside = F.col("part") != F.col("main")
+        size = still.agg(F.count(F.lit(1)).alias("rows"), F.sum(outside.cast("long") * F.col("all")).alias("pairs"),
+                         F.approx_count_distinct(F.when(outside, F.col("node"))).alias("nodes")).first()
         if not size["rows"]:
             break
-        last = turn > ROUNDS or size["pairs"] <= PAIRS_PER_ROW * size["rows"]
+        # leaders are worth a round as long as the round before joined a tenth of the classes left
+        last = size["pairs"] <= PAIRS_PER_ROW * size["rows"] or turn > ROUNDS or 10 * joined < size["nodes"]
         if last:
             few, many = still.where(F.col("all") <= HOLDS), still.where(F.col("all") > HOLDS)
             pairs = _all_pairs(few)
@@ -388,7 +400,9 @@ def settled(posts: DataFrame, bins: DataFrame, test) -> DataFrame:
                 pairs = pairs.unionByName(_block_pairs(many, bins)).distinct()
         else:
             pairs = _leader_pairs(still, turn)
+        before = parts.count()
         parts = _merged(parts, test(pairs), turn)
+        joined = parts.count() - before
         if last:
             break
     return parts
