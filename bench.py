@@ -31,7 +31,13 @@ HEADLINE = [
     "dq_missing_counts",
     "join_event_enriched",
     "src_matrix_scan",
+    "sort_by_date",
+    "mut_commit_partitions",
     "job_pd_range",
+    "job_pd_day_reconcile",
+    "job_pd_backfill",
+    "job_daily_run",
+    "job_as_revision",
     "stream_ingest_latest",
 ]
 

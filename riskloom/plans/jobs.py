@@ -295,16 +295,25 @@ def load_day_state(spark: SparkSession, batch: DataFrame, latest_path: str, dail
 
 def revise_state(spark: SparkSession, batch: DataFrame, latest_path: str, history_path: str, log_path: str,
                  out_path: str, keys: Sequence[str] = ("data_date", "company_id"),
-                 daily_path: str | None = None, day=None) -> DataFrame:
+                 daily_path: str | None = None, day=None, check_duplicate: bool = True) -> DataFrame:
     """Revision of a current-state product: rows about to change go to the
     history table (I5), the batch is upserted (I4) into a new version of the
     latest table at ``out_path``, the day slice is upserted into the 1-day
-    table (C7 + I4), one log row per load key (E1) is appended."""
+    table (C7 + I4), one log row per load key (E1) is appended.  A revision
+    logged within the guard's days (I8) is not loaded again; one that broke
+    off before its log row is, and adds nothing to the history twice."""
     from riskloom.session import checkpoint_root
     checkpoint_root(spark)
+    if check_duplicate and day is not None and _exists(spark, log_path) and _exists(spark, out_path):
+        if mu.guard_revision(spark.read.parquet(log_path), day).first()[0] == 1:
+            return spark.read.parquet(out_path)
     current = spark.read.parquet(latest_path)
     batch = batch.select(*current.columns).checkpoint(eager=True)
-    sk.append(mu.history_capture(current, batch, keys), history_path)
+    replaced = mu.history_capture(current, batch, keys)
+    if _exists(spark, history_path):
+        version = [*keys, "operation_time"]
+        replaced = replaced.join(spark.read.parquet(history_path).select(*version), version, "left_anti")
+    sk.append(replaced, history_path)
     mu.upsert(current, batch, keys).write.mode("overwrite").parquet(out_path)
     if daily_path and day is not None:
         if _exists(spark, daily_path):
@@ -351,9 +360,12 @@ def revision_calibration(log: DataFrame, day) -> DataFrame:
 # --------------------------------------------------------------------------
 def as_backfill(spark: SparkSession, csv_root: str, out: str, reject_out: str,
                 calibration_date, operation_time) -> DataFrame:
-    """All AS CSV shards -> prepared -> valid rows to Parquet, rows without
-    a company or date to the reject CSV."""
-    batch = as_file_batch(spark, csv_root, calibration_date, operation_time)
+    """All AS CSV shards -> prepared, staged once -> valid rows to Parquet,
+    rows without a company or date to the reject CSV."""
+    from riskloom.session import scratch_path
+    staged = scratch_path(spark, "as-backfill-rows")
+    as_file_batch(spark, csv_root, calibration_date, operation_time).write.parquet(staged)
+    batch = spark.read.parquet(staged)
     valid, rejected = sk.split_valid(batch, {"no_company": F.col("company_id").isNotNull(),
                                              "no_date": F.col("data_date").isNotNull()})
     sk.write_parquet_chunked(valid, out)

@@ -139,3 +139,18 @@ def test_unreadable_table_is_not_taken_for_a_missing_one(spark, tmp_path):
     (tmp_path / "bad" / "part-0.parquet").write_bytes(b"junk junk junk junk")
     with pytest.raises(Exception):
         table_exists(spark, str(tmp_path / "bad"))
+
+
+def test_revision_run_twice_equals_once(spark, tmp_path):
+    import datetime as dt
+    from riskloom.plans import jobs
+    schema = "data_date date, econ_id int, company_id long, calibration_date date, operation_time timestamp_ntz, pdir double"
+    old, new = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 3)
+    day, cal = dt.date(2024, 1, 15), dt.date(2024, 2, 1)
+    latest, history, log, out = (str(tmp_path / n) for n in ("latest", "history", "log", "out"))
+    spark.createDataFrame([(day, 1, c, cal, old, 1.0) for c in range(5)], schema).write.parquet(latest)
+    batch = spark.createDataFrame([(day, 1, c, cal, new, 2.0) for c in range(3, 8)], schema)
+    for check in (True, True, False):                 # a repeat that the guard stops, and one after a lost log row
+        res = jobs.revise_state(spark, batch, latest, history, log, out, day=day, check_duplicate=check)
+        assert {r.company_id: r.pdir for r in res.collect()} == {c: 1.0 if c < 3 else 2.0 for c in range(8)}
+        assert spark.read.parquet(history).count() == 2
