@@ -82,17 +82,24 @@ def has_letter(data: np.ndarray) -> bool:
 
 
 def fit(present: np.ndarray, labels: list[str]) -> dict:
-    """Model from a presence matrix and its languages: languages in code point order, weights (SLOTS, languages)."""
+    """Model from a 0/1 presence matrix (bytes will do) and its languages:
+    languages in code point order, weights (SLOTS, languages)."""
     languages = sorted(set(labels))
     y = np.array([[1.0 if label == lang else -1.0 for lang in languages] for label in labels])
-    unit = present / np.sqrt(np.maximum(present.sum(1, keepdims=True), 1.0))
     each = max(1, LANDMARKS // len(languages))
-    marks = np.concatenate([np.flatnonzero(y[:, k] > 0)[:each] for k in range(len(languages))])
-    k_nm = (unit @ unit[marks].T).astype(np.float64)
-    k_mm = k_nm[marks]
+    chosen = np.concatenate([np.flatnonzero(y[:, k] > 0)[:each] for k in range(len(languages))])
+
+    def unit(rows: np.ndarray) -> np.ndarray:
+        rows = rows.astype(np.float32)
+        rows /= np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1.0))
+        return rows
+
+    marks = unit(present[chosen])
+    k_nm = np.concatenate([unit(present[k:k + BATCH]) @ marks.T for k in range(0, len(present), BATCH)]).astype(np.float64)
+    k_mm = k_nm[chosen]
     a = k_nm.T @ k_nm + len(labels) * RIDGE * k_mm
     a[np.diag_indices_from(a)] += 1e-8 * max(1.0, np.trace(a) / len(a))
-    return {"languages": languages, "weights": (unit[marks].T @ np.linalg.solve(a, k_nm.T @ y)).astype(np.float32)}
+    return {"languages": languages, "weights": (marks.T @ np.linalg.solve(a, k_nm.T @ y)).astype(np.float32)}
 
 
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict | None:
@@ -119,7 +126,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     found = picked.mapInArrow(packed, "lang string, n int, bits binary").orderBy("lang", "n").collect()
     if not found:
         return None
-    present = np.stack([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in found]).astype(np.float32)
+    present = np.unpackbits(np.frombuffer(b"".join(bytes(r["bits"]) for r in found), np.uint8)).reshape(len(found), -1)
     return fit(present, [r["lang"] for r in found])
 
 

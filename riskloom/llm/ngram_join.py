@@ -156,6 +156,12 @@ def order_counts(counts: np.ndarray) -> np.ndarray:
     return np.minimum(counts, 65535).astype(np.uint16)
 
 
+def salts_of(counts: np.ndarray) -> np.ndarray:
+    """Salts for the tokens of a slot, by what its count is above the common load."""
+    over = np.maximum(0, counts - 2 * int(counts.mean())) // SALT_HOLDS
+    return np.minimum(1 + over, 65535).astype(np.uint16)
+
+
 def _ranks(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
     level = levels[_slot(tokens)]
     if order:
@@ -188,7 +194,7 @@ def postings(docs: DataFrame, levels, salts, text_col: str = "text") -> DataFram
                         continue
                     seen.add(cls)
                     first = s[prefix(s, level, 0)]
-                    split = salt[_slot(first)]
+                    split = salt[_slot(first)].astype(np.int64)
                     for column, x in zip(out, (first.view(np.int64), split, cls % split, np.full(len(first), cls),
                                                np.full(len(first), len(s)))):
                         column.append(x)
@@ -414,8 +420,8 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = staged(described(docs, id_col, text_col), "described")
     counts = sketch(docs, text_col)
     levels = spark.sparkContext.broadcast(order_counts(counts))
-    over = np.maximum(0, counts - 2 * counts.mean())
-    salts = spark.sparkContext.broadcast(1 + (over // SALT_HOLDS).astype(np.int64))
+    salts = spark.sparkContext.broadcast(salts_of(counts))
+    del counts
 
     # a token links nothing where no other class of comparable size has it
     posts = postings(docs, levels, salts, text_col).withColumn("size", F.floor(F.log("n") * 1_000_000))
