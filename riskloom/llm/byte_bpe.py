@@ -14,8 +14,9 @@ Cases: a null text is encoded as empty (no ids); rows that repeat an id are
 separate rows; an empty table gives an empty result; other columns pass
 through, and columns with the names of new ones are replaced.  A text of over
 ``LONG`` characters is encoded in runs of matches, so its pieces are never all
-held at once; matches of over ``KEPT`` characters are not cached, and a cache
-beyond ``CACHED`` entries is emptied.
+held at once.  Matches of over ``KEPT`` characters are not cached; a cache of
+``CACHED`` entries becomes the old one, whose entries return when they are met
+again, so the frequent ones stay.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from riskloom.llm.common import table, with_computed
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-LONG, RUN, KEPT, CACHED = 1 << 20, 1 << 16, 64, 1_500_000
+LONG, RUN, KEPT, CACHED = 1 << 20, 1 << 16, 64, 300_000
 _NONE = 1 << 62
 
 
@@ -97,6 +98,7 @@ class Encoder(dict):
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
+        self.old: dict[str, bytes] = {}
         self.tokens: dict[int, bytes] = {rank: token for token, rank in ranks.items()}
         # white space by its Unicode property, as the tokenizer's own regex engine has it
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
@@ -105,9 +107,12 @@ class Encoder(dict):
         self.split_ascii = re.compile(plain) if r"\p" not in plain else self.split
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
         if len(piece) <= KEPT:
             if len(self) >= CACHED:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
