@@ -145,9 +145,9 @@ def sketch(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     parts = docs.select(text_col).mapInArrow(count, "block int, counts binary")
     parts = parts.repartition(min(shuffle_partitions(docs.sparkSession), SLOTS // _BLOCK), "block").mapInArrow(add, "block int, counts binary")
-    out = np.zeros(SLOTS, np.int64)
-    for row in parts.toLocalIterator():                  # SLOTS counts in all
-        out[row["block"] * _BLOCK:(row["block"] + 1) * _BLOCK] = np.frombuffer(row["counts"], np.int64)
+    out = np.zeros(SLOTS, np.uint32)
+    for row in parts.toLocalIterator():                  # SLOTS counts in all, up to 2^32 - 1
+        out[row["block"] * _BLOCK:(row["block"] + 1) * _BLOCK] = np.minimum(np.frombuffer(row["counts"], np.int64), 0xFFFFFFFF)
     return out
 
 
@@ -158,8 +158,9 @@ def order_counts(counts: np.ndarray) -> np.ndarray:
 
 def salts_of(counts: np.ndarray) -> np.ndarray:
     """Salts for the tokens of a slot, by what its count is above the common load."""
-    over = np.maximum(0, counts - 2 * int(counts.mean())) // SALT_HOLDS
-    return np.minimum(1 + over, 65535).astype(np.uint16)
+    common = np.uint32(2 * int(counts.mean()))
+    over = (np.maximum(counts, common) - common) // np.uint32(SALT_HOLDS)
+    return (1 + np.minimum(over, 65534)).astype(np.uint16)
 
 
 def _ranks(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
@@ -318,7 +319,7 @@ def _open(posts: DataFrame, parts: DataFrame) -> DataFrame:
     per = many.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k"))
     main = per.groupBy("token").agg(F.max_by("part", F.struct("k", "part")).alias("main"), F.count(F.lit(1)).alias("several"),
                                     F.sum("k").alias("all")).where("several > 1").drop("several")
-    columns = ["token", "node", "n", "part", "main", "all"]
+    columns = ["token", "salts", "node", "n", "part", "main", "all"]
     return few.select(columns).unionByName(many.join(main, "token").select(columns))
 
 
@@ -390,8 +391,10 @@ def settled(posts: DataFrame, bins: DataFrame, test) -> DataFrame:
     parts = posts.sparkSession.createDataFrame([], "node long, part long")
     parts = _merged(parts, test(star_pairs(posts)), 0)
     joined = parts.count()
+    still = posts
     for turn in range(1, ROUNDS + 2):
-        still = staged(_open(posts, parts), f"open-{turn}")
+        # a token whose classes are joined stays so: what was open before is all that can be open now
+        still = staged(_open(still.select("token", "salts", "node", "n"), parts), f"open-{turn}")
         outside = F.col("part") != F.col("main")
         size = still.agg(F.count(F.lit(1)).alias("rows"), F.sum(outside.cast("long") * F.col("all")).alias("pairs"),
                          F.approx_count_distinct(F.when(outside, F.col("node"))).alias("nodes")).first()
@@ -440,6 +443,8 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = own.join(firsts.hint("shuffle_hash"), "id", "left_semi").unionByName(own.where("id is null")).select("text")
     sets = staged(full_sets(texts, levels), "full")
+    levels.destroy()                                     # all that needs them is written
+    salts.destroy()
     parts = settled(posts, bins, lambda pairs: verified(possible(pairs, bins), sets))
     return _reported(rows, parts).select(F.col("id").alias(id_col), "n_shingles", "component_id")
 
