@@ -53,7 +53,7 @@ WIDE = {
     "phone": r"(?<![A-Za-z0-9+])[0-9(][0-9 ().-]{6,24}[0-9](?![A-Za-z0-9])",
 }
 #: A cheap test that a text can hold such a span at all.
-HINT = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]{2}", "phone": r"\+[0-9]"}
+HINT = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 WIDE_HINT = {"email": r"(?i)[\[(]at[\])]", "ip": r"[0-9](?:\[\.|\(\.| \.)", "card": "[0-9][0-9 .-]{11}", "phone": "[0-9(][0-9 ().-]{6}"}
 #: Gazetteers (fixed values): last labels of domains, first digits of card and phone numbers.
 DOMAINS = ["com", "org", "net", "edu", "gov", "int", "info", "io", "de", "fr", "es", "uk", "eu", "it", "nl", "ch", "at", "be", "us", "ca"]
