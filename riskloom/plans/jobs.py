@@ -466,9 +466,6 @@ def daily_run(spark: SparkSession, root: str, start, end, operation_time, table:
     gap = missing.select("path").orderBy("path").collect()   # a manifest: days in range x economies at most
     if gap:
         raise RuntimeError(f"missing delivery files: {[r.path for r in gap]}")
-    if _exists(spark, log_path) and spark.read.parquet(log_path).where(
-            F.col("date_int") == int(f"{_as_date(end):%Y%m%d}")).limit(1).count():
-        return spark.read.parquet(table)               # this day's run is complete
     if registry and exclusions:
         current = exclusions_load(spark, registry, start, exclusions[0], exclusions[1])
         if refresh is not None:                        # the derived tables see the exclusions just loaded

@@ -79,6 +79,29 @@ def test_daily_run_full_composition(spark):
     assert len(h) == 1 and h[0].date_int == 20240116 and h[0].source == "20240116_cali_20240201"
 
 
+def test_daily_run_of_a_day_does_not_stop_a_wider_range(spark):
+    from pyspark.sql import functions as F
+    from riskloom import fixtures as fx
+    from riskloom.plans import q_jobs
+    from tests.conftest import SF_SMALL
+    d, op = SF_SMALL, dt.datetime(2024, 2, 2, 6)
+    root, log = q_jobs.land_delivery(spark, d, ("pd", "pdir")), scratch_path(spark, "history")
+    monday, friday = dt.date(2024, 1, 15), dt.date(2024, 1, 19)
+    ratings = fx.pd_raw(spark, d).where(F.col("data_date").between(F.lit(monday), F.lit(friday)) & (F.weekday("data_date") < 5))
+    per = ratings.groupBy(fx.econ_of().alias("e")).agg(F.countDistinct("data_date").alias("n")).where("n = 5")
+    table, econs = q_jobs._pd_table(spark, d), sorted(r.e for r in per.collect())
+    loaded = lambda: {r.data_date: r["count"] for r in spark.read.parquet(table).where(
+        F.col("operation_time") == F.lit(op)).groupBy("data_date").count().collect()}
+    jobs.daily_run(spark, root, friday, friday, op, table, econs, log)
+    alone = loaded()
+    assert set(alone) == {friday}
+    jobs.daily_run(spark, root, monday, friday, op, table, econs, log)
+    whole = loaded()
+    assert set(whole) == {monday + dt.timedelta(days=k) for k in range(5)} and whole[friday] == alone[friday]
+    jobs.daily_run(spark, root, monday, friday, op, table, econs, log)
+    assert loaded() == whole and {r.date_int for r in spark.read.parquet(log).collect()} == {20240119}
+
+
 def test_cli_pd_range_and_refresh(spark):
     from riskloom import cli
     from riskloom import fixtures as fx
