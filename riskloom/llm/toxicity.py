@@ -1,33 +1,38 @@
-"""Toxicity by class-conditional Kneser-Ney language models.
-
-Each class (toxic, ordinary) has a word model from continuation counts, here
-the number N(w) of distinct texts that hold word w, so that a word repeated in
-one text weighs once.  With the class's discount D
-
-    P(w) = max(N(w) - D, 0) / N + rest * P_shared(w)
-
-where P_shared has the counts of both classes together, plus one: expressions
-that are rare in a class fall back on counts that both share.  Bigrams are
-shared, too, and scaled to the class (marginal adaptation of a bigram model):
-
-    P(w | h) = P_shared(w | h) * P(w) / P_shared(w) / Z(h)
-    Z(h)     = sum over w of P_shared(w | h) * P(w) / P_shared(w)
+"""Toxicity by class-conditional Kneser-Ney bigram models.
+
+Each class (toxic, ordinary) has a model of a word w after the word h, from
+c(h, w), the number of the class's texts that hold the bigram, so that a bigram
+repeated in one text weighs once.  With discounts D of at most 1, from the
+counts of counts (n1 / (n1 + 2 n2)), and the continuation count N(w), the
+distinct words seen before w, each interpolated with what both classes share:
+
+    P(w | h) ~ share * max(c(h, w) - D, 0) / c(h) + (1 - share) * Q(w | h)
+    Q(w | h) ~ P_shared(w | h) * P(w) / P_shared(w)
+    P(w)     ~ share * max(N(w) - D1, 0) / N + (1 - share) * P_shared(w)
+
+each divided by its sum over w.  The P_shared are the Kneser-Ney models of both
+classes together, the lower order with one more word for all that were never
+seen.  The share is E / (E + K), E being the count to expect if the class were
+like the back-off distribution: few observations say little.  The classes
+differ in size, so K is KAPPA for the toxic class and as many times more for the
+ordinary one as it has more counts: the same ratio of counts is the same
+evidence in both, and what an expression says depends on its own counts, not
+on how large the corpus is.
 
 A text's evidence is the log-likelihood ratio of the two models per bigram, each
-distinct bigram once, as in the counts.  The shared bigrams cancel but for Z, which takes out what a class's share of a
-language or topic would add to every word.  A logistic curve in the evidence,
-fitted on rows that are not counted, turns it into a score.
+distinct bigram once, as in the counts.  P_shared(w | h) cancels, so the ratio
+is a sum of a word's value, a context's value and, for bigrams that
+were learned, a value of the pair.  A logistic curve in the evidence, fitted on
+rows that are not counted, turns it into a score.
 
 Words are white-space separated after A-Z is lowered and other ASCII than
-letters and digits is blanked; a word is known by one of SLOTS hash slots, as
-the word before it by one of CONTEXTS.  The discount grows with the class: it
-is the DISCOUNT-th power of the number of toxic texts, for the ordinary class
-times its share of counts, so both classes hold a word back alike.
-
-Counting covers every labelled row of the learning split, Z every document,
-both in Spark; the models that scorers get are arrays over the slots, whose
-size the data do not change.  The curve is fitted on at most CALIBRATION rows,
-those of smallest id hash.
+letters and digits is blanked; a word is known by its 64-bit hash, the word
+before a text's first by START.  Counts and values are Spark tables that grow with
+the input, staged in the shared checkpoint folder; the texts' terms are joined to
+them.  The driver sees counts of counts only.  Values are whole numbers of
+1/UNIT, so sums do not depend on the order and reruns agree.  Counting covers
+every labelled row of the learning split; the curve is fitted on at most
+CALIBRATION rows, those of smallest id hash.
 
 Cases: a null or empty text has evidence 0 and the score that belongs to it; a
 text counts as toxic if any of its label rows says so, null labels say nothing;
@@ -39,145 +44,199 @@ its results are replaced.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import crc_mod, on_workers, table, with_computed
-from riskloom.llm.textops import buffers, row_words, stretches
-
-SLOTS, CONTEXTS, DISCOUNT, CALIBRATION = 1 << 20, 1 << 16, 0.4, 20_000
-#: Pseudo-count of the shared word distribution after every context.
-PRIOR = 5
-#: Z is summed in whole numbers of this part, so that reruns agree.
-UNIT = 1 << 12
+from riskloom.llm.common import crc_mod, on_workers, staged, table
+from riskloom.llm.textops import buffers, mix64, row_words, stretches
+
+CALIBRATION = 20_000
+#: Expected toxic observations at which a class's own counts weigh as much as the back-off distribution.
+KAPPA = 4.0
+#: Values and weights are summed in whole numbers of this part.
+UNIT = 1 << 20
+#: The same for probabilities after one context.
+FINE = 1 << 44
+#: The "word" before a text's first.
+START = 0x2545F4914F6CDD1D
 #: predicted = 1 from this score on.
 THRESHOLD = 0.3
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(128)]
+_ROW, _TURN = np.uint64(0x9E3779B97F4A7C15), 23
 
 
-def slots_of(raw: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-    """(word slots of rows lo..hi, 1 .. SLOTS - 1, each row led by slot 0; the rows' starts in them, with the end)."""
+def pair_keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The 64-bit key of a bigram, from its words' hashes."""
+    return ((h << np.uint64(_TURN)) | (h >> np.uint64(64 - _TURN))) ^ w
+
+
+def pair_key(h: Column, w: Column) -> Column:
+    """``pair_keys`` as a column."""
+    return F.shiftleft(h, _TURN).bitwiseOR(F.shiftrightunsigned(h, 64 - _TURN)).bitwiseXOR(w)
+
+
+def bigrams_of(raw: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row from lo, word before, word) of the distinct bigrams of rows lo..hi, row by row."""
     hashes, _, per_row = row_words(raw, off, lo, hi, _FOLD)
-    starts = np.concatenate(([0], np.cumsum(per_row + 1)))
-    out = np.zeros(starts[-1], np.int64)
-    inside = np.ones(starts[-1], bool)
-    inside[starts[:-1]] = False
-    out[inside] = 1 + (hashes >> np.uint64(20)).astype(np.int64) % (SLOTS - 1)
-    return out, starts
+    row = np.repeat(np.arange(len(per_row)), per_row)
+    before = np.empty_like(hashes)
+    before[1:] = hashes[:-1]
+    before[(np.cumsum(per_row) - per_row)[per_row > 0]] = START
+    _, first = np.unique(mix64(pair_keys(before, hashes) + row.astype(np.uint64) * _ROW), return_index=True)
+    first.sort()
+    return row[first], before[first], hashes[first]
 
 
-def _slot_sums(rows: DataFrame, values: list[str], slots: int, compute) -> DataFrame:
-    """slot, sums of ``values``: compute(batch) yields (slot of each addend, values as arrays); each task adds up its own."""
+def _mapped(rows: DataFrame, compute, schema: str) -> DataFrame:
+    """compute(batch, raw, off, lo, hi) as arrays of ``schema``, for the texts (column 1) of each stretch of rows."""
     on_workers(rows.sparkSession)
-    names = ["slot"] + values
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def run(batches):
-        sums = np.zeros((slots, len(values)), np.int64)
         for batch in batches:
-            for at, addends in compute(batch):
-                for k, x in enumerate(addends):
-                    sums[:, k] += np.rint(np.bincount(at, x, slots)).astype(np.int64)
-        found = np.flatnonzero(sums.any(axis=1))
-        for at in range(0, len(found), 1 << 16):
-            rows = found[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows)] + [pa.array(sums[rows, k]) for k in range(len(values))], names=names)
-
-    parts = rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
-    return parts.groupBy("slot").agg(*[F.sum(v).alias(v) for v in values])
-
-
-def _by_slot(found: DataFrame, slots: int) -> np.ndarray:
-    """A table of slot sums as an array; it has one row for each slot at most."""
-    data = found.toArrow()
-    out = np.zeros((slots, data.num_columns - 1))
-    for k in range(1, data.num_columns):
-        out[data.column(0).to_numpy(), k - 1] = data.column(k).to_numpy()
+            raw, off = buffers(batch.column(1))
+            for lo, hi in stretches(off):
+                found = compute(batch, raw, off, lo, hi)
+                for at in range(0, len(found[0]), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[at:at + (1 << 16)]) for x in found], names=names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """(toxic, text) -> h, w, t, o: texts of each class (toxic, ordinary) that hold the bigram."""
+    def compute(batch, raw, off, lo, hi):
+        row, h, w = bigrams_of(raw, off, lo, hi)
+        toxic = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), bool)[lo:hi][row]
+        _, first, of = np.unique(pair_keys(h, w), return_index=True, return_inverse=True)
+        t, every = (np.bincount(of, x, len(first)).astype(np.int64) for x in (toxic, None))
+        return h[first].view(np.int64), w[first].view(np.int64), t, every - t
+
+    parts = _mapped(rows.select(F.col("toxic").cast("boolean"), "text"), compute, "h long, w long, t long, o long")
+    return parts.groupBy("h", "w").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+
+
+def _summary(counts: DataFrame, columns: dict[str, Column]) -> dict[str, dict]:
+    """For each column of counts: total, seen (counts over 0) and the discount n1 / (n1 + 2 n2), 0.75 where that is 0 or 1."""
+    aggs = []
+    for name, c in columns.items():
+        aggs += [F.sum(c).alias(f"{name}_total"), F.count_if(c > 0).alias(f"{name}_seen"), F.count_if(c == 1).alias(f"{name}_1"), F.count_if(c == 2).alias(f"{name}_2")]
+    found = counts.agg(*aggs).first()
+    out = {}
+    for name in columns:
+        n1, n2 = found[f"{name}_1"], found[f"{name}_2"]
+        out[name] = {"total": found[f"{name}_total"] or 0, "seen": found[f"{name}_seen"], "discount": n1 / (n1 + 2 * n2) if n1 and n2 else 0.75}
     return out
 
 
-def text_counts(rows: DataFrame) -> DataFrame:
-    """(text, toxic) -> slot, toxic, ordinary: texts of each class that hold it; slot 0 has all of them."""
-    def compute(batch):
-        raw, off = buffers(batch.column(0))
-        toxic = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), bool)
-        for lo, hi in stretches(off):
-            slots, starts = slots_of(raw, off, lo, hi)
-            held = np.unique(np.repeat(np.arange(lo, hi), np.diff(starts)) * SLOTS + slots)
-            of = toxic[held // SLOTS]
-            yield held % SLOTS, (of, ~of)
+def _kept(count: Column, discount: float) -> Column:
+    return F.greatest(count - F.lit(discount), F.lit(0.0))
 
-    return _slot_sums(rows.select("text", F.col("toxic").cast("boolean")), ["toxic", "ordinary"], SLOTS, compute)
 
+def _units(value: Column) -> Column:
+    return F.round(value * UNIT).cast("long")
 
-def context_of(slots: np.ndarray) -> np.ndarray:
-    return slots & (CONTEXTS - 1)
 
+class Values:
+    """A table (key, value) of the model in Spark; equal to one with the same rows."""
 
-def context_ratios(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """slot (of the word before), n, and the sums over the words after it of the
-    classes' ratios to the shared model, in units of 1/UNIT; over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
 
-    def compute(batch):
-        raw, off = buffers(batch.column(0))
-        for lo, hi in stretches(off):
-            slots, starts = slots_of(raw, off, lo, hi)
-            last, word = context_of(slots[:-1]), slots[1:]
-            real = word > 0
-            after = shared.value[word[real]]
-            yield last[real], (np.ones(len(after)), *(np.rint(after[:, k] * UNIT) for k in (0, 1)))
+    __hash__ = None
 
-    return _slot_sums(docs.select("text"), ["n", "toxic", "ordinary"], CONTEXTS, compute)
+    def __eq__(self, other):
+        return np.bool_(self.rows.exceptAll(other.rows).isEmpty() and other.rows.exceptAll(self.rows).isEmpty())
 
 
-def fit_models(rows: DataFrame, docs: DataFrame) -> dict | None:
-    """The word's log-likelihood ratio and the context's share of it, by slot; None if a class has no rows."""
-    counts = _by_slot(text_counts(rows), SLOTS)
-    texts, counts[0] = counts[0].copy(), 0
-    total = counts.sum(0)
-    if not total.all():
+def fit_models(rows: DataFrame) -> dict | None:
+    """The values of words, contexts and pairs, and that of a word never seen; None if a class has no bigrams."""
+    pairs = staged(pair_counts(rows), "pairs")
+    t, o = F.col("t"), F.col("o")
+    s = t + o
+    of = _summary(pairs, {"t": t, "o": o, "s": s})
+    if not of["t"]["total"] or not of["o"]["total"]:
         return None
-    shared = (counts.sum(1) + 1) / (counts.sum() + SLOTS)
-    ratios = np.empty((SLOTS, 2), np.float32)
-    for k in (0, 1):
-        discount = texts[0] ** DISCOUNT * max(1.0, total[k] / total[0])
-        own = np.maximum(counts[:, k] - discount, 0) / total[k]
-        ratios[:, k] = (own + (1 - own.sum()) * shared) / shared
-    ratios = np.maximum(ratios, 1e-6)
-    after = _by_slot(context_ratios(docs, ratios), CONTEXTS)
-    z = (after[:, 1:] / UNIT + PRIOR) / (after[:, :1] + PRIOR)
-    return {"word": np.log(ratios[:, 0] / ratios[:, 1]), "context": np.log(z[:, 0] / z[:, 1]).astype(np.float32)}
-
-
-def evidence_of(model: dict, raw: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-    """(log-likelihood ratio per distinct bigram, distinct bigrams) of rows lo..hi."""
-    slots, starts = slots_of(raw, off, lo, hi)
-    row = np.repeat(np.arange(hi - lo), np.diff(starts))
-    keys = (row[1:] * CONTEXTS + context_of(slots[:-1])) * SLOTS + slots[1:]
-    keys = np.unique(keys[slots[1:] > 0])
-    row, word = keys // (CONTEXTS * SLOTS), keys % SLOTS
-    value = model["word"][word].astype(np.float64) - model["context"][keys // SLOTS % CONTEXTS]
-    n = np.bincount(row, minlength=hi - lo)
-    return np.bincount(row, value, hi - lo) / np.maximum(n, 1), n
+    words = pairs.groupBy("w").agg(F.count_if(t > 0).alias("nt"), F.count_if(o > 0).alias("no"), F.count(F.lit(1)).alias("ns"))
+    words = staged(words, "words")
+    low = _summary(words, {k: F.col(f"n{k}") for k in "tos"})
+    spare = low["s"]["discount"] * low["s"]["seen"] / (low["s"]["seen"] + 1)
+    shared = (_kept(F.col("ns"), low["s"]["discount"]) + spare) / low["s"]["total"]
+
+    def pull(counts: dict, k: str, count: Column, expected: Column) -> Column:
+        """The interpolated class model over its back-off distribution, not yet divided by the sum."""
+        kappa = KAPPA * (1.0 if k == "t" else counts["o"]["total"] / counts["t"]["total"])
+        return (_kept(count, counts[k]["discount"]) + kappa) / (expected + kappa)
+
+    def word_pull(k: str) -> Column:
+        return pull(low, k, F.col(f"n{k}"), shared * low[k]["total"])
+
+    sums = words.agg(*[F.sum(_units(shared * low["s"]["total"] * word_pull(k))).alias(k) for k in "to"]).first()
+    whole = {k: (sums[k] / UNIT + spare) / low["s"]["total"] for k in "to"}
+    ratio = {k: word_pull(k) / whole[k] for k in "to"}             # P(w) / P_shared(w)
+    unseen = math.log(whole["o"] / whole["t"])
+    word = staged(words.select(F.col("w").alias("key"), _units(F.log(ratio["t"] / ratio["o"])).alias("value")), "word-values")
+
+    full = staged(pairs.join(words.hint("merge"), "w"), "pairs-words")
+    own = _kept(s, of["s"]["discount"])
+    contexts = staged(full.groupBy("h").agg(
+        F.sum("t").alias("ct"), F.sum("o").alias("co"), F.count(F.lit(1)).alias("fs"),
+        *[F.sum(_units(own * ratio[k])).alias(f"z{k}") for k in "to"]), "contexts")
+    seen = F.col("ct") + F.col("co")
+    z = {k: (F.col(f"z{k}") / UNIT + of["s"]["discount"] * F.col("fs")) / seen for k in "to"}      # the sum of Q
+    back = {k: (own + of["s"]["discount"] * F.col("fs") * shared) / seen * ratio[k] / z[k] for k in "to"}
+    more = {k: pull(of, k, F.col(k), F.col(f"c{k}") * back[k]) for k in "to"}
+    pair = full.join(contexts.hint("merge"), "h").select(
+        "h", pair_key(F.col("h"), F.col("w")).alias("key"), _units(F.log(more["t"] / more["o"])).alias("value"),
+        *[F.round(back[k] * (more[k] - 1) * FINE).cast("long").alias(f"d{k}") for k in "to"])
+    pair = staged(pair, "pair-values")
+    beyond = pair.groupBy(F.col("h").alias("key")).agg(*[F.sum(f"d{k}").alias(f"d{k}") for k in "to"])
+    rest = {k: z[k] * (1 + F.col(f"d{k}") / FINE) for k in "to"}
+    context = contexts.withColumnRenamed("h", "key").join(beyond, "key")
+    context = staged(context.select("key", _units(F.log(rest["o"] / rest["t"])).alias("value")), "context-values")
+    return {"word": Values(word), "context": Values(context), "pair": Values(pair.select("key", "value")), "unseen": round(unseen * UNIT)}
+
+
+def terms(rows: DataFrame) -> DataFrame:
+    """(mark, text) -> key, mark, as_word, as_other: the distinct words of a text
+    with the distinct bigrams each ends and begins, and the bigrams with 0 and 1."""
+    def compute(batch, raw, off, lo, hi):
+        row, h, w = bigrams_of(raw, off, lo, hi)
+        mark = batch.column(0).to_numpy(zero_copy_only=False)[lo:hi]
+        either, at, n = np.concatenate([w, h]), np.concatenate([row, row]), len(row)
+        _, first, of = np.unique(mix64(either + at.astype(np.uint64) * _ROW), return_index=True, return_inverse=True)
+        as_word, as_other = (np.bincount(x, minlength=len(first)).astype(np.int32) for x in (of[:n], of[n:]))
+        key = np.concatenate([either[first], pair_keys(h, w)])
+        row = np.concatenate([at[first], row])
+        as_word, as_other = np.concatenate([as_word, np.zeros(n, np.int32)]), np.concatenate([as_other, np.ones(n, np.int32)])
+        order = np.argsort(row, kind="stable")           # a text's terms together: its mark packs well
+        return key[order].view(np.int64), mark[row[order]], as_word[order], as_other[order]
+
+    return _mapped(rows, compute, "key long, mark long, as_word int, as_other int")
 
 
 def evidence(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """``df`` with evidence (double) and n_bigrams (long)."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    column = df.columns.index(text_col)
-
-    def compute():
-        def step(part):
-            raw, off = buffers(part.column(column))
-            found = [evidence_of(shared.value, raw, off, lo, hi) for lo, hi in stretches(off)]
-            return [pa.array(np.concatenate([f[0] for f in found]), pa.float64()),
-                    pa.array(np.concatenate([f[1] for f in found]), pa.int64())]
-
-        return step
-
-    return with_computed(df, [("evidence", "double"), ("n_bigrams", "long")], compute)
+    """``df`` with evidence (double), the log-likelihood ratio per distinct bigram, and n_bigrams (long)."""
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("evidence", "n_bigrams")])
+    marked = df.withColumn("__mark", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    word, context, pair = (model[k].rows for k in ("word", "context", "pair"))
+    values = word.withColumnRenamed("value", "word").join(context.withColumnRenamed("value", "other"), "key", "full")
+    values = values.unionByName(pair.select("key", F.lit(None).cast("long").alias("word"), F.col("value").alias("other")))
+    each = terms(marked.select("__mark", text_col)).join(values.hint("merge"), "key", "left")
+    total = F.col("as_word") * F.coalesce("word", F.lit(model["unseen"])) + F.col("as_other") * F.coalesce("other", F.lit(0))
+    # rows alike in every column share a mark: sum and count both hold them as often as they are there
+    found = each.groupBy("mark").agg(F.sum(total).alias("__sum"), F.sum("as_word").alias("__n"))
+    rows = marked.groupBy("__mark").count().where("count > 1").withColumnRenamed("count", "__alike")
+    found = found.join(rows, found["mark"] == rows["__mark"], "left").select("mark", "__sum", "__n", "__alike")
+    n = F.coalesce("__n", F.lit(0))
+    out = marked.join(found, marked["__mark"] == found["mark"], "left")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns],
+                      F.when(n > 0, F.col("__sum") / UNIT / n).otherwise(0.0).alias("evidence"),
+                      (n / F.coalesce("__alike", F.lit(1))).cast("long").alias("n_bigrams"))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
@@ -205,7 +264,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> dict:
     """Models and curve from the rows that meet ``learn``: four fifths of them
     (by a hash of the id) are counted, the curve is fitted on the others."""
     mine = F.pmod(F.xxhash64("doc_id"), F.lit(5))
-    model = fit_models(labelled(docs, labels, learn & (mine != 0)), docs)
+    model = fit_models(labelled(docs, labels, learn & (mine != 0)))
     if model is None:
         rate = labels.where(learn).agg(F.avg("toxic")).first()[0] or 0.0
         return {"rate": float(rate)}
@@ -225,7 +284,7 @@ def score(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
         scored = df.withColumn("score", F.lit(model["rate"]))
     else:
         mean, a, b = model["curve"]
-        scored = evidence(df, {k: v for k, v in model.items() if k != "curve"}, text_col)
+        scored = evidence(df, model, text_col)
         scored = scored.withColumn("score", 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * (F.col("evidence") - F.lit(mean))))))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 

@@ -356,6 +356,50 @@ def test_toxicity_without_classes(spark, docs_of):
         assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_of_a_phrase_of_common_words(spark, docs_of):
+    """The words of the phrase are as common in ordinary texts; only the pair is toxic."""
+    rng = random.Random(5)
+    words = [f"v{k}" for k in range(60)]
+
+    def text(phrase):
+        out = [rng.choice(words) for _ in range(30)]
+        for a, b in (("go", "rot"), ("rot", "well"), ("well", "go")) if not phrase else (("go", "well"),) * 3:
+            at = rng.randrange(len(out))
+            out[at:at] = [a, b, rng.choice(words)]
+        return " ".join(out)
+
+    docs = [(k, text(k % 4 == 0)) for k in range(1200)]
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(1200)], "doc_id long, toxic int")
+    model = toxicity.train(docs_of(docs), labels, F.lit(True))
+    probe = docs_of([(1, "v1 go well v2"), (2, "v1 well go v2"), (3, "v1 go v2 well v3")])
+    got = {r.doc_id: r.evidence for r in toxicity.evidence(probe, model).collect()}
+    assert got[1] > max(got[2], got[3]) + 0.1
+
+
+def test_toxicity_of_an_expression_does_not_fade_with_the_corpus(spark, docs_of):
+    rng = random.Random(6)
+    words = [f"v{k}" for k in range(200)]
+
+    def value(n):
+        rows = [(k, " ".join(rng.choice(words) for _ in range(20)) + (" slurx" if k % 8 == 0 and k < 128 else ""), k % 8 == 0) for k in range(n)]
+        model = toxicity.fit_models(spark.createDataFrame(rows, "doc_id long, text string, toxic boolean"))
+        return {r.doc_id: r.evidence for r in toxicity.evidence(docs_of([(1, "slurx"), (2, "never")]), model).collect()}
+
+    small, large = value(1600), value(16000)
+    assert small[1] > small[2] + 0.5 and large[1] > large[2] + 0.5
+    assert abs((large[1] - large[2]) - (small[1] - small[2])) < 0.5
+
+
+def test_toxicity_keeps_every_word_and_pair_apart(spark):
+    """More words than the former 2 ** 16 contexts: each has its own counts, all equal to a plain count."""
+    rows = [(k, " ".join(f"a{k}x{j}" for j in range(200)), k % 2 == 0) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic boolean")
+    found = toxicity.pair_counts(df)
+    assert found.count() == 400 * 200 and found.select("w").distinct().count() == 400 * 200
+    assert found.select("h").distinct().count() == 400 * 199 + 1
+    assert toxicity.fit_models(df)["pair"].rows.count() == 400 * 200
+
+
 # --- personal data ---------------------------------------------------------------------------------------------------
 
 def _base_spans(text):
