@@ -15,7 +15,7 @@ separate rows; an empty table gives an empty result; other columns pass
 through, and columns with the names of new ones are replaced.  A text of over
 ``LONG`` characters is encoded in runs of matches, so its pieces are never all
 held at once.  Matches of over ``KEPT`` characters are not cached; a cache of
-``CACHED`` entries becomes the old one, whose entries return when they are met
+about ``CACHED`` bytes becomes the old one, whose entries return when they are met
 again, so the frequent ones stay.
 """
 
@@ -35,7 +35,9 @@ from pyspark.sql import DataFrame
 from riskloom.llm.common import table, with_computed
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-LONG, RUN, KEPT, CACHED = 1 << 20, 1 << 16, 64, 300_000
+LONG, RUN, KEPT, CACHED = 1 << 20, 1 << 16, 64, 36 << 20
+#: Bytes that an entry of the cache takes besides its ids: two objects and a place in the table.
+_ENTRY = 140
 _NONE = 1 << 62
 
 
@@ -99,6 +101,7 @@ class Encoder(dict):
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.old: dict[str, bytes] = {}
+        self.held = 0
         self.tokens: dict[int, bytes] = {rank: token for token, rank in ranks.items()}
         # white space by its Unicode property, as the tokenizer's own regex engine has it
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
@@ -111,10 +114,12 @@ class Encoder(dict):
         if ids is None:
             ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
         if len(piece) <= KEPT:
-            if len(self) >= CACHED:
+            if self.held >= CACHED:
                 self.old = dict(self)
                 self.clear()
+                self.held = 0
             self[piece] = ids
+            self.held += _ENTRY + len(ids) + len(piece)
         return ids
 
     def runs(self, text: str) -> Iterator[bytes]:

@@ -45,6 +45,20 @@ def crc_mod(id_col: str, m: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(m))
 
 
+def release_memory() -> None:
+    """Give back what earlier steps in a reused Python worker have freed."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):                    # another C library: nothing to trim
+        pass
+
+
 #: Rows handed to a worker function at once.
 ROWS = 512
 
@@ -63,6 +77,7 @@ def with_computed(df: DataFrame, fields: list[tuple[str, str]], compute) -> Data
 
     def run(batches):
         import pyarrow as pa
+        release_memory()
         step = compute()
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):

@@ -2,8 +2,11 @@
 
 Each step points nodes at the smallest neighbour they know (large star: the
 larger neighbours, small star: the others); the links settle into one star per
-component, led by its smallest node.  All state is a table of links in the
-shared checkpoint folder; nothing but a checksum reaches the driver.
+component, led by its smallest node.  They are settled when every node is
+either a leader or has one link.  A node with over a thousandth of all links
+(under 1000 of them) meets its least neighbour by broadcast, so no task gets all
+links of one.  All state is a table of links in the shared checkpoint folder;
+nothing but numbers of rows reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,26 +16,31 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom.llm.common import staged
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
+def _star(links: DataFrame, total: int, large: bool) -> DataFrame:
     """(u, v) with u > v -> the links after one star step, u > v again."""
     both = links if not large else links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    least = least.select("u", F.least("u", "m").alias("m"), (F.col("n") * 1000 > total).alias("hot"))
+    hot = F.broadcast(least.where("hot").drop("hot"))    # fewer than 1000 nodes (2000 with links both ways)
+    met = both.join(hot, "u").unionByName(both.join(hot, "u", "left_anti").join(least.where("not hot").drop("hot"), "u"))
     if large:
-        moved = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        moved = (both.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(least.select("u", F.col("m").alias("v"))))
+        moved = (met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))))
     return moved.where("u > v")
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether each node is either a leader (only v) or has one link (u)."""
+    ends = links.select("u", F.lit(1).alias("n")).unionByName(links.select(F.col("v").alias("u"), F.lit(1 << 32).alias("n")))
+    each = ends.groupBy("u").agg(F.sum(F.col("n").cast("decimal(38,0)")).alias("n"))
+    return each.where((F.col("n") % (1 << 32) > 1) | ((F.col("n") > (1 << 32)) & (F.col("n") % (1 << 32) > 0))).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(a, b) -> (node, component): the smallest node reachable, for every node but the smallest of each component."""
     now = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    sign = None
-    while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(mark) == sign:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        sign = tuple(mark)
-        now = staged(_star(_star(now, True), False).distinct(), "links")
+    while not _settled(now):
+        total = now.count()
+        now = staged(_star(_star(now, total, True), total, False).distinct(), "links")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -173,8 +173,12 @@ def op9_language_id(spark, sf_dir):
             .select("doc_id", (crc_mod("doc_id", HELD_OUT) == 0).alias("held_out"), "lang_pred", "score"))
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is found (``und`` goes), with the columns of ``docs``."""
+def keep_identified(docs: DataFrame, least: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` whose language is found with a score of ``least`` or
+    more (``und`` goes), with the columns of ``docs``.  Where nothing can be learnt, the rows with a letter stay."""
+    model = learn(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").alias("text"))
-    found = predict(nested, learn(docs)).where(F.col("lang_pred") != UNKNOWN)
+    found = predict(nested, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return found.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.common import on_workers, shuffle_partitions, staged, table
+from riskloom.llm.common import on_workers, shuffle_partitions, staged, table, with_computed
 from riskloom.llm.components import components
 from riskloom.llm.textops import LOWER, buffers, mix64, row_words, stretches
 
@@ -55,8 +55,6 @@ SALT_HOLDS = 4096
 PAIRS_PER_ROW, ROUNDS = 4, 3
 #: Tokens of more classes are compared in blocks of about as many.
 HOLDS = 128
-#: Sets that can link have sizes whose logarithms, in millionths, are at most so far apart (with some slack for rounding).
-_NEAR = int(1e6 * np.log(100 / PERCENT)) + 10
 _BLOCK = 4096
 _SEEDS = mix64(np.arange(1, ORDERS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 
@@ -85,11 +83,11 @@ def shingles(raw: np.ndarray, off: np.ndarray, lo: int, hi: int, words: int = WO
     return out
 
 
-def _sets(column: pa.Array):
+def _sets(column: pa.Array, words: int = WORDS):
     """(row, set) of a batch's texts, and a slice of rows at a time."""
     raw, off = buffers(column)
     for lo, hi in stretches(off):
-        yield lo, shingles(raw, off, lo, hi)
+        yield lo, shingles(raw, off, lo, hi, words)
 
 
 def _slot(tokens: np.ndarray) -> np.ndarray:
@@ -100,14 +98,14 @@ def _class(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """(id, n_shingles, cls, bins) for each document: a 64-bit hash of its set and the set's histogram."""
     on_workers(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
             n, cls, bins = [], [], []
-            for _, sets in _sets(batch.column(1)):
+            for _, sets in _sets(batch.column(1), words):
                 n += [len(s) for s in sets]
                 cls += [_class(s) for s in sets]
                 bins += [histogram(s) for s in sets]
@@ -119,14 +117,14 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return rows.mapInArrow(run, "id long, n_shingles long, cls long, bins binary")
 
 
-def sketch(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+def sketch(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> np.ndarray:
     """Count of each token slot: each task adds up its documents, blocks of slots are added up across tasks."""
     on_workers(docs.sparkSession)
 
     def count(batches):
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for _, sets in _sets(batch.column(0)):
+            for _, sets in _sets(batch.column(0), words):
                 if any(len(s) for s in sets):
                     total += np.bincount(_slot(np.concatenate(sets)), minlength=SLOTS)
         for at in range(0, SLOTS, 64 * _BLOCK):
@@ -179,7 +177,7 @@ def prefix(tokens: np.ndarray, levels: np.ndarray, order: int, percent: int = PE
     return np.argpartition(_ranks(tokens, levels, order), p - 1)[:p] if p < n else np.arange(n)
 
 
-def postings(docs: DataFrame, levels, salts, text_col: str = "text") -> DataFrame:
+def postings(docs: DataFrame, levels, salts, text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(token, salts, salt, node, n): the first order's prefix tokens of each set that a task meets first."""
     on_workers(docs.sparkSession)
     names = ["token", "salts", "salt", "node", "n"]
@@ -188,13 +186,13 @@ def postings(docs: DataFrame, levels, salts, text_col: str = "text") -> DataFram
         seen: set[int] = set()
         level, salt = levels.value, salts.value
         for batch in batches:
-            for _, sets in _sets(batch.column(0)):
+            for _, sets in _sets(batch.column(0), words):
                 out: list[list] = [[] for _ in names]
                 for s in sets:
                     if not len(s) or (cls := _class(s)) in seen:
                         continue
                     seen.add(cls)
-                    first = s[prefix(s, level, 0)]
+                    first = s[prefix(s, level, 0, percent)]
                     split = salt[_slot(first)].astype(np.int64)
                     for column, x in zip(out, (first.view(np.int64), split, cls % split, np.full(len(first), cls),
                                                np.full(len(first), len(s)))):
@@ -221,14 +219,14 @@ def most_common(a: bytes, b: bytes) -> int | None:
     return int(np.minimum(x.reshape(n, -1).sum(1), y.reshape(n, -1).sum(1)).sum())
 
 
-def full_sets(texts: DataFrame, levels) -> DataFrame:
+def full_sets(texts: DataFrame, levels, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(text) -> (node, tokens, others): the sorted set, and the places in it of the other orders' prefixes."""
     on_workers(texts.sparkSession)
 
     def run(batches):
         for batch in batches:
-            for _, sets in _sets(batch.column(0)):
-                others = [np.concatenate([prefix(s, levels.value, k) for k in range(1, ORDERS)]).astype(np.uint32).tobytes() for s in sets]
+            for _, sets in _sets(batch.column(0), words):
+                others = [np.concatenate([prefix(s, levels.value, k, percent) for k in range(1, ORDERS)]).astype(np.uint32).tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays([pa.array([_class(s) for s in sets], pa.int64()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(others, pa.binary())],
                                                  names=["node", "tokens", "others"])
@@ -271,23 +269,23 @@ def _filtered(pairs: DataFrame, sets: DataFrame, columns: list[str], test) -> Da
     return both.select("a", "b", *[f"{c}_{s}" for s in "ab" for c in columns]).mapInArrow(run, "a long, b long")
 
 
-def possible(pairs: DataFrame, bins: DataFrame) -> DataFrame:
+def possible(pairs: DataFrame, bins: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose histograms allow a link."""
-    return _filtered(pairs, bins, ["n", "bins"], lambda x, y: may_link(*x, *y))
+    return _filtered(pairs, bins, ["n", "bins"], lambda x, y: may_link(*x, *y, percent))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) that link."""
-    return _filtered(pairs, sets, ["tokens", "others"], similar)
+    return _filtered(pairs, sets, ["tokens", "others"], lambda x, y: similar(x, y, percent))
 
 
-def _fits() -> Column:
-    return 100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")
+def _fits(percent: int) -> Column:
+    return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Distinct (a, b), a < b, of rows (a, n, b, m) whose sizes allow a link."""
-    return (rows.where((F.col("a") != F.col("b")) & _fits())
+    return (rows.where((F.col("a") != F.col("b")) & _fits(percent))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -297,13 +295,13 @@ def _led(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return rows.withColumn("lead", first)
 
 
-def star_pairs(posts: DataFrame) -> DataFrame:
+def star_pairs(posts: DataFrame, percent: int) -> DataFrame:
     """First round: every class with the leader of its token and salt, those leaders with the token's."""
     posts = _led(posts.withColumn("place", F.xxhash64("node")), ["token", "salt"], "place")
     inner = posts.select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m"))
     leads = posts.where("node = lead.node and salts > 1").drop("lead")
     outer = _led(leads, ["token"], "place").select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m"))
-    return _pairs(inner.unionByName(outer))
+    return _pairs(inner.unionByName(outer), percent)
 
 
 def _open(posts: DataFrame, parts: DataFrame) -> DataFrame:
@@ -323,22 +321,22 @@ def _open(posts: DataFrame, parts: DataFrame) -> DataFrame:
     return few.select(columns).unionByName(many.join(main, "token").select(columns))
 
 
-def _leader_pairs(still: DataFrame, turn: int) -> DataFrame:
+def _leader_pairs(still: DataFrame, turn: int, percent: int) -> DataFrame:
     """Classes outside their token's main component, with a member of it picked anew for each round."""
     pick = (still.where("part = main").groupBy("token")
             .agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(turn))).alias("lead")))
     return _pairs(still.where("part <> main").join(pick, "token")
-                  .select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m")))
+                  .select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m")), percent)
 
 
-def _all_pairs(still: DataFrame) -> DataFrame:
+def _all_pairs(still: DataFrame, percent: int) -> DataFrame:
     """Every pair of a token's classes in different components: one of them is outside the main one."""
     out = still.where("part <> main").select("token", F.col("node").alias("a"), "n", F.col("part").alias("own"))
     rest = still.select("token", F.col("node").alias("b"), F.col("n").alias("m"), "part", (F.col("part") == F.col("main")).alias("in_main"))
-    return _pairs(out.join(rest, "token").where((F.col("own") != F.col("part")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _fits()))
+    return _pairs(out.join(rest, "token").where((F.col("own") != F.col("part")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _fits(percent)), percent)
 
 
-def _block_pairs(still: DataFrame, bins: DataFrame) -> DataFrame:
+def _block_pairs(still: DataFrame, bins: DataFrame, percent: int) -> DataFrame:
     """The same for tokens of many classes: classes outside the main component
     against all, a block of about HOLDS by a block; only pairs whose histograms
     allow a link leave the task."""
@@ -365,8 +363,8 @@ def _block_pairs(still: DataFrame, bins: DataFrame) -> DataFrame:
                 found = [[], []]
                 for k in range(len(a)):
                     most = np.minimum(right, left[k]).sum(1)
-                    ok = (100 * most >= PERCENT * (n[k] + m - most)) | full_a[k] | full_b
-                    ok &= (own[k] != part) & (main | (a[k] < b)) & (100 * np.minimum(n[k], m) >= PERCENT * np.maximum(n[k], m))
+                    ok = (100 * most >= percent * (n[k] + m - most)) | full_a[k] | full_b
+                    ok &= (own[k] != part) & (main | (a[k] < b)) & (100 * np.minimum(n[k], m) >= percent * np.maximum(n[k], m))
                     found[0].append(np.minimum(a[k], b[ok]))
                     found[1].append(np.maximum(a[k], b[ok]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(f)) for f in found], names=["a", "b"])
@@ -386,10 +384,10 @@ def _merged(parts: DataFrame, links: DataFrame, turn: int) -> DataFrame:
     return staged(moved.unionByName(fresh), f"parts-{turn}")
 
 
-def settled(posts: DataFrame, bins: DataFrame, test) -> DataFrame:
+def settled(posts: DataFrame, bins: DataFrame, test, percent: int = PERCENT) -> DataFrame:
     """(node, part) of the classes that pairs which pass ``test`` connect, but for each component's smallest."""
     parts = posts.sparkSession.createDataFrame([], "node long, part long")
-    parts = _merged(parts, test(star_pairs(posts)), 0)
+    parts = _merged(parts, test(star_pairs(posts, percent)), 0)
     joined = parts.count()
     still = posts
     for turn in range(1, ROUNDS + 2):
@@ -404,11 +402,11 @@ def settled(posts: DataFrame, bins: DataFrame, test) -> DataFrame:
         last = size["pairs"] <= PAIRS_PER_ROW * size["rows"] or turn > ROUNDS or 10 * joined < size["nodes"]
         if last:
             few, many = still.where(F.col("all") <= HOLDS), still.where(F.col("all") > HOLDS)
-            pairs = _all_pairs(few)
+            pairs = _all_pairs(few, percent)
             if many.limit(1).count():
-                pairs = pairs.unionByName(_block_pairs(many, bins)).distinct()
+                pairs = pairs.unionByName(_block_pairs(many, bins, percent)).distinct()
         else:
-            pairs = _leader_pairs(still, turn)
+            pairs = _leader_pairs(still, turn, percent)
         before = parts.count()
         parts = _merged(parts, test(pairs), turn)
         joined = parts.count() - before
@@ -417,24 +415,32 @@ def settled(posts: DataFrame, bins: DataFrame, test) -> DataFrame:
     return parts
 
 
-def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                      percent: int = PERCENT) -> DataFrame:
     """One row per document: id, n_shingles, component_id."""
+    return _linked(docs, id_col, text_col, words, percent).select(F.col("id").alias(id_col), "n_shingles", "component_id")
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """id, cls (of the set), n_shingles, component_id."""
     spark = docs.sparkSession
-    rows = staged(described(docs, id_col, text_col), "described")
-    counts = sketch(docs, text_col)
+    rows = staged(described(docs, id_col, text_col, words), "described")
+    counts = sketch(docs, text_col, words)
     levels = spark.sparkContext.broadcast(order_counts(counts))
     salts = spark.sparkContext.broadcast(salts_of(counts))
     del counts
 
     # a token links nothing where no other class of comparable size has it
-    posts = postings(docs, levels, salts, text_col).withColumn("size", F.floor(F.log("n") * 1_000_000))
-    near = Window.partitionBy("token", "salt").orderBy("size").rangeBetween(-_NEAR, _NEAR)
+    posts = postings(docs, levels, salts, text_col, words, percent).withColumn("size", F.floor(F.log("n") * 1_000_000))
+    # logarithms of sizes that can link, in millionths, are at most so far apart (with some slack for rounding)
+    reach = int(1e6 * np.log(100 / percent)) + 10
+    near = Window.partitionBy("token", "salt").orderBy("size").rangeBetween(-reach, reach)
     posts = posts.withColumn("least", F.min("node").over(near)).withColumn("most", F.max("node").over(near))
     posts = staged(posts.where("least < most or salts > 1").select("token", "salts", "salt", "node", "n").distinct(), "postings")
     nodes = posts.select("node").distinct()
     bins = staged(rows.join(nodes, rows["cls"] == nodes["node"], "left_semi")
                   .groupBy(F.col("cls").alias("node")).agg(F.max("n_shingles").alias("n"), F.max("bins").alias("bins")), "bins")
-    maybe = settled(posts, bins, lambda pairs: possible(pairs, bins))
+    maybe = settled(posts, bins, lambda pairs: possible(pairs, bins, percent), percent)
 
     # the classes that may link, each token once for every component it is in, and one text of each class
     whole = staged(maybe.unionByName(maybe.select(F.col("part").alias("node"), "part")).distinct(), "maybe")
@@ -442,11 +448,11 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     firsts = (rows.join(whole, rows["cls"] == whole["node"], "left_semi").groupBy("cls").agg(F.min("id").alias("id")).select("id").distinct())
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = own.join(firsts.hint("shuffle_hash"), "id", "left_semi").unionByName(own.where("id is null")).select("text")
-    sets = staged(full_sets(texts, levels), "full")
+    sets = staged(full_sets(texts, levels, words, percent), "full")
     levels.destroy()                                     # all that needs them is written
     salts.destroy()
-    parts = settled(posts, bins, lambda pairs: verified(possible(pairs, bins), sets))
-    return _reported(rows, parts).select(F.col("id").alias(id_col), "n_shingles", "component_id")
+    parts = settled(posts, bins, lambda pairs: verified(possible(pairs, bins, percent), sets, percent), percent)
+    return _reported(rows, parts)
 
 
 def _reported(rows: DataFrame, parts: DataFrame) -> DataFrame:
@@ -461,15 +467,27 @@ def _reported(rows: DataFrame, parts: DataFrame) -> DataFrame:
     warm = full.join(hot, "cls")
     cold = full.join(hot, "cls", "left_anti").join(named.where(~big).select("cls", "component_id"), "cls")
     empty = rows.where("n_shingles = 0").withColumn("component_id", F.col("id"))
-    columns = ["id", "n_shingles", "component_id"]
+    columns = ["id", "cls", "n_shingles", "component_id"]
     return cold.select(columns).unionByName(warm.select(columns)).unionByName(empty.select(columns))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that name their component, and those without an id: one of each group stays."""
-    found = linked_components(docs, id_col, text_col)
-    gone = found.where(~F.col("component_id").eqNullSafe(F.col(id_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs[id_col] == gone["gone"], "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows that name their component, and those without an id: one document
+    of each group stays.  Rows go by id and set, so a row stays that shares only the id of one that goes."""
+    found = _linked(docs, id_col, text_col, words, percent)
+    gone = found.where(~F.col("component_id").eqNullSafe(F.col("id")) & F.col("id").isNotNull()).select("id", "cls").distinct()
+    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"),
+                         F.col(text_col).alias("text"))
+
+    def compute():
+        return lambda part: [pa.array([_class(s) for _, sets in _sets(part.column(2), words) for s in sets], pa.int64())]
+
+    # only texts whose id has a row that goes are looked at again
+    ids = gone.select("id").distinct()
+    maybe = with_computed(nested.join(ids.hint("shuffle_hash"), "id", "left_semi").select("doc", "id", "text"), [("cls", "long")], compute)
+    kept = (maybe.join(gone, ["id", "cls"], "left_anti").select("doc")
+            .unionByName(nested.join(ids.hint("shuffle_hash"), "id", "left_anti").select("doc")))
+    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 def op5_ngram_jaccard(spark, sf_dir):

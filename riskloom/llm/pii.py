@@ -35,7 +35,9 @@ from riskloom.llm.common import staged, table, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 #: Private character that stands for a dot or separator inside a run.
-_IN = ""
+_IN = "\ue000"
+#: What stands for that character where a text has it itself.
+_OWN = "\ue001"
 _LOCAL, _LABEL = "A-Za-z0-9._%+-", "A-Za-z0-9-"
 #: Base patterns; for e-mail and card over text with inner dots or separators marked.
 BASE = {
@@ -69,7 +71,7 @@ BEFORE, BLOCK, ROUNDS = 24, 256, 60
 def _marked(text: Column, kind: str) -> Column:
     """The text, as long as before, with inner dots (e-mail) or separators (card) replaced."""
     inner = {"email": rf"(?<=[{_LABEL}])\.(?=[{_LABEL}])", "card": r"(?<=[0-9])[ -](?=[0-9])"}.get(kind)
-    return text if inner is None else F.regexp_replace(F.translate(text, _IN, " "), inner, _IN)
+    return text if inner is None else F.regexp_replace(F.translate(text, _IN, _OWN), inner, _IN)
 
 
 def _hits(text: Column, source: str, kind: str) -> Column:

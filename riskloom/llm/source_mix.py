@@ -7,8 +7,8 @@ drawn by Pareto order sampling: document i with inclusion probability p_i gets
 the ranking variable (u_i / (1 - u_i)) / (p_i / (1 - p_i)) with u_i from the
 MD5 of its id, and documents are taken in rising order up to the words that
 are left.  The sample's fixed size is counted in words, so a last document
-that would pass the target stays out; FILL_ROUNDS further rounds give the
-words still missing, by the same order, to documents that fit into them.
+that would pass the target stays out; further rounds give the words still
+missing, by the same order, to documents that fit into them, until none does.
 
 Scale: the order statistic is found through a histogram of the ranking
 variable (``BINS`` bins a source); only the documents of the bin with the cut
@@ -33,7 +33,8 @@ TOTAL_SHARE = 1.5
 #: No target is above this many times its source's words.
 MOST_COPIES = 2
 BINS = 4096
-FILL_ROUNDS = 3
+#: Parts of a source that meet its row of words left.
+SALTS = 16
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -76,7 +77,9 @@ def _take(pool: DataFrame, left: DataFrame) -> DataFrame:
     """Ids of rows of ``pool`` (row, stratum, size, rank) taken in rising rank
     while the stratum's words in ``left`` (stratum, words) last."""
     bins = F.floor(F.col("rank") / (1 + F.col("rank")) * BINS)
-    pool = pool.join(left, "stratum").where("size <= words").withColumn("bin", bins)
+    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    pool = pool.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(left, ["stratum", "salt"])
+    pool = pool.where("size <= words").withColumn("bin", bins)
     hist = pool.groupBy("stratum", "bin").agg(F.sum("size").alias("in_bin"), F.max("words").alias("words"))
     upto = F.sum("in_bin").over(Window.partitionBy("stratum").orderBy("bin"))
     hist = hist.withColumn("upto", upto)
@@ -106,16 +109,16 @@ def plan_mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     rows = rows.withColumn("nth", F.row_number().over(same)).withColumn("row", F.struct("id", "size", "nth", "stratum"))
     rows = staged(rows.withColumn("rank", F.when(F.col("p") > 0, pareto_rank(uniform("id"), F.col("p")))), "ranked")
     pool = rows.where("rank is not null and size > 0").select("row", "stratum", "size", "rank")
-    left = targets.where("source_size > 0").select(
-        "stratum", (F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size")).alias("words"))
-    taken = None
-    for n in range(1 + FILL_ROUNDS):
-        more = staged(_take(pool, left), f"taken-{n}")
-        taken = more if taken is None else taken.unionByName(more)
-        pool = pool.join(more, "row", "left_anti")
+    rest = F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size")
+    left = targets.where("source_size > 0").select("stratum", F.floor(rest).alias("words"))
+    taken = more = staged(_take(pool, left), "taken")
+    while not more.isEmpty():
         used = more.groupBy(F.col("row.stratum").alias("stratum")).agg(F.sum("row.size").alias("used"))
-        left = left.join(used, "stratum", "left").select(
-            "stratum", (F.col("words") - F.coalesce(F.col("used"), F.lit(0))).alias("words"))
+        # a source that took nothing has nothing left that fits
+        left = staged(left.join(used, "stratum").select("stratum", (F.col("words") - F.col("used")).alias("words")).where("words > 0"), "left")
+        pool = pool.join(more, "row", "left_anti")
+        more = staged(_take(pool, left), "taken")
+        taken = taken.unionByName(more)
     rows = rows.join(taken.withColumn("extra", F.lit(1)), "row", "left")
     copies = (F.col("whole") + F.coalesce(F.col("extra"), F.lit(0))).cast("int")
     return rows.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "nth", "source_size", "target",
@@ -141,20 +144,9 @@ def op4_source_mix(spark, sf_dir):
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def _fill_sql(n: int) -> str:
-    """Round ``n`` of the draw: the documents that fit, in rising rank, while the words last."""
-    return f"""
-left{n} AS (SELECT stratum, {"target - floor(target / source_size) * source_size" if n == 0 else f"l.words - coalesce((SELECT sum(size) FROM take{n - 1} t WHERE t.stratum = l.stratum), 0)"} AS words
-  FROM {"targets WHERE source_size > 0" if n == 0 else f"left{n - 1} l"}),
-pool{n} AS (SELECT r.row_id, r.stratum, r.size, l.words,
-    sum(r.size) OVER (PARTITION BY r.stratum ORDER BY r.rank, r.doc_id, r.size, r.nth ROWS UNBOUNDED PRECEDING) AS upto
-  FROM ranked r JOIN left{n} l USING (stratum)
-  WHERE r.size > 0 AND r.p > 0 AND r.size <= l.words{"".join(f" AND r.row_id NOT IN (SELECT row_id FROM take{k})" for k in range(n))}),
-take{n} AS MATERIALIZED (SELECT row_id, stratum, size FROM pool{n} WHERE upto <= words),"""
-
-
-OP4_SQL = f"""
-WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+#: Each source's documents one by one, in rising rank: a document is drawn if it fits into what is left.
+OP4_SQL = r"""
+WITH RECURSIVE sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 per AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS stratum
   FROM sized GROUP BY source),
 weighted AS (SELECT *, (2 * source_size)::DOUBLE AS cap,
@@ -172,8 +164,13 @@ joined AS (SELECT s.doc_id, s.source, s.size, t.stratum, t.source_size, t.target
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 ranked AS MATERIALIZED (SELECT *, ratio - floor(ratio) AS p,
     CASE WHEN ratio > floor(ratio) THEN (u / (1 - u)) * ((1 - (ratio - floor(ratio))) / (ratio - floor(ratio))) END AS rank FROM joined),
-{"".join(_fill_sql(n) for n in range(1 + FILL_ROUNDS))}
-extra AS ({" UNION ALL ".join(f"SELECT row_id FROM take{n}" for n in range(1 + FILL_ROUNDS))})
+queue AS MATERIALIZED (SELECT row_id, stratum, size, row_number() OVER (PARTITION BY stratum ORDER BY rank, doc_id, size, nth) AS k
+  FROM ranked WHERE size > 0 AND p > 0),
+walk AS (SELECT stratum, 0::BIGINT AS k, floor(target - floor(target / source_size) * source_size)::BIGINT AS words, NULL::BIGINT AS row_id, false AS fits
+  FROM targets WHERE source_size > 0
+  UNION ALL SELECT w.stratum, q.k, CASE WHEN q.size <= w.words THEN w.words - q.size ELSE w.words END, q.row_id, q.size <= w.words
+  FROM walk w JOIN queue q ON q.stratum = w.stratum AND q.k = w.k + 1),
+extra AS (SELECT row_id FROM walk WHERE fits)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
   (size * (floor(ratio) + CASE WHEN row_id IN (SELECT row_id FROM extra) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM ranked

@@ -127,6 +127,19 @@ def test_mix_uses_probabilities(docs_of):
         assert abs(share - 1.5) < 0.06
 
 
+def test_mix_fills_until_nothing_fits(docs_of):
+    """Heavy-tailed sizes: filling goes on until no document left is as small as the words left, round after round."""
+    rng = random.Random(11)
+    rows = [(k, "w " * int(1.4 ** rng.randrange(1, 24)), None, f"s{k % 4}") for k in range(240)]
+    plan = source_mix.plan_mix(docs_of(rows)).collect()
+    for s in {r.source for r in plan}:
+        mine = [r for r in plan if r.source == s]
+        left = mine[0].target - sum(r.taken for r in mine)
+        whole = int(mine[0].target // mine[0].source_size)
+        open_ones = [r.size for r in mine if r.copies == whole and r.size]
+        assert left >= 0 and (whole == 2 or all(size > left for size in open_ones)), s
+
+
 def test_mix_empty_and_wordless(docs_of):
     assert source_mix.plan_mix(docs_of([(1, "a")]).limit(0)).count() == 0
     assert source_mix.mix(docs_of([(1, "a")]).limit(0)).count() == 0
@@ -222,6 +235,25 @@ def test_join_repeated_null_and_empty(docs_of):
     assert ngram_join.linked_components(docs_of(rows).limit(0)).count() == 0
 
 
+def test_keep_one_goes_by_row(docs_of):
+    """Rows that share the id of a copy, but not its text, stay."""
+    text = " ".join(f"w{k}" for k in range(200))
+    near, other = text.replace("w150", "x"), " ".join(f"z{k}" for k in range(50))
+    rows = [(3, text), (5, near), (5, other), (6, text), (7, None), (None, near)]
+    docs = docs_of(rows).withColumns({"id": F.lit(1), "cls": F.lit(2), "doc": F.lit("d"), "n_shingles": F.lit(3)})
+    out = ngram_join.keep_one(docs, words=5, percent=80)
+    assert out.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in out.collect() if r.text) == sorted([("3", text), ("5", other), ("None", near)])
+
+
+def test_linked_by_other_words_and_percent(docs_of):
+    """The rule is an argument: 5 words and 80 % link what 4 words and 95 % do not."""
+    text = [f"w{k}" for k in range(200)]
+    rows = [(1, " ".join(text)), (2, " ".join(text[:100] + ["x"] + text[101:]))]
+    part = lambda **rule: [r.component_id for r in sorted(ngram_join.linked_components(docs_of(rows), **rule).collect())]
+    assert part(words=5, percent=80) == [1, 1] and part(words=4, percent=97) == [1, 2]
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + k, 1001 + k) for k in range(40)]
@@ -419,6 +451,7 @@ PRIVATE = ["", "no data", "mail a.b@c.de now", "a@b.c@d.e x@y.z_q@r.st", "a@b..c
            "4111 1111 1111 1111", "4111-1111-1111-1111x4111111111111111", "4111  1111 1111 1111", "4111111111111112", "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7",
            "+1 (415) 555-2671 and +49.30.123456-", "+1((((((((", "+12 3456789012345678", "\U0001f600é 1.2.3.4 \U0001f600 z@z.zz", "12.34.56.78@host.com",
            "call 415-555-2671 or (415) 555 2671", "joe (at) site (dot) com, 10[.]0[.]0[.]1", "xy@z.com", "+1 (269) 555-3296 4524000000000000",
+           "4111\ue0001111\ue0001111\ue0001111", "a\ue000b@c.de\ue000f", "4111 1111\ue0011111 1111 4111 1111-1111 1111\ue000",
            " ".join("4" + "1" * 15), "-".join("4" + "1" * 15), "pay 4 1-1 1 1 1-1 1 1 1 1-1 1 1 1 1 now"]
 
 
@@ -503,6 +536,8 @@ def test_language_cases(spark, docs_of):
     kept = language_id.keep_identified(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in rows} - {100, 101, 102}
     assert {r.lang_pred for r in language_id.predict(docs, None).collect()} == {"und"}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))          # nothing to learn: what has a letter stays
+    assert {r.doc_id for r in language_id.keep_identified(unlabelled).collect()} == {r[0] for r in rows} - {100, 101, 102}
     assert language_id.learn(docs.limit(0)) is None and language_id.predict(docs.limit(0), model).count() == 0
     single = language_id.learn(docs.where("lang = 'en'"))
     assert {r.lang_pred for r in language_id.predict(docs.where("doc_id = 1"), single).collect()} == {"en"}
