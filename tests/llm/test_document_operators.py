@@ -159,13 +159,13 @@ def test_equals_oracle(spark, name):
 
 # --- n-gram Jaccard join ---------------------------------------------------------------------------------------------
 
-def _grams(text):
+def _grams(text, n=4):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return frozenset(tuple(words[k:k + 4]) for k in range(len(words) - 3)) if len(words) >= 4 else frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[k:k + n]) for k in range(len(words) - n + 1)) if len(words) >= n else frozenset([tuple(words)] if words else [])
 
 
-def _joined(rows):
-    sets = [(i, _grams(t)) for i, t in rows]
+def _joined(rows, n=4, percent=85):
+    sets = [(i, _grams(t, n)) for i, t in rows]
     lead = {i: i for i, _ in rows}
 
     def find(x):
@@ -174,7 +174,7 @@ def _joined(rows):
         return x
     for a, (i, x) in enumerate(sets):
         for j, y in sets[:a]:
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 p, q = sorted((find(i), find(j)))
                 lead[q] = p
     return sorted((i, len(x), find(i)) for i, x in sets)
@@ -579,7 +579,7 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, real):
     for i in sorted(keep):
         last[rows[i].text] = i
     keep = sorted(last.values())
-    keep = [i for i, _, lead in _joined([(i, rows[i].text) for i in keep]) if i == lead]
+    keep = [i for i, _, lead in _joined([(i, rows[i].text) for i in keep], corpus_pipeline.WORDS, corpus_pipeline.PERCENT) if i == lead]
     sizes = collections.Counter()
     for i in keep:
         sizes[rows[i].source] += len(WORD.findall(rows[i].text))
