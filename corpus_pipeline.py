@@ -6,7 +6,8 @@ again as the next one's input.  All but the last return the columns of
 
 1. language ID - documents without a recognisable language go;
 2. exact dedup - of equal texts the largest doc_id stays;
-3. n-gram Jaccard join - of linked documents the smallest doc_id stays;
+3. n-gram Jaccard join - of linked documents (PERCENT of their shingles of WORDS
+   words in common) the smallest doc_id stays;
 4. source mix - documents are left out or repeated towards the target weights;
 5. byte-level BPE - every text as token ids, decoded again as a check.
 """
@@ -18,6 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskloom.llm import byte_bpe, exact_dedup, language_id, ngram_join, source_mix
 from riskloom.llm.common import staged, table
 
+#: Near copies share this much of their word shingles.
+WORDS, PERCENT = 5, 80
+
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.keep_identified(docs)
@@ -28,7 +32,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.keep_one(docs)
+    return ngram_join.keep_one(docs, words=WORDS, percent=PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
