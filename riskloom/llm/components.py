@@ -2,11 +2,12 @@
 
 Each step points nodes at the smallest neighbour they know (large star: the
 larger neighbours, small star: the others); the links settle into one star per
-component, led by its smallest node.  They are settled when every node is
-either a leader or has one link.  A node with over a thousandth of all links
-(under 1000 of them) meets its least neighbour by broadcast, so no task gets all
-links of one.  All state is a table of links in the shared checkpoint folder;
-nothing but numbers of rows reaches the driver.
+component, led by its smallest node: every node is a leader or has one link.
+Links meet their nodes' least neighbours by a shuffle on the node.  A node of
+more than HOT links that has over a thousandth of all (fewer than 2000 are
+such) meets its own by broadcast instead, so no task gets all links of one.
+All state is a table of links in the shared checkpoint folder; nothing but
+numbers of rows reaches the driver.
 """
 
 from __future__ import annotations
@@ -15,14 +16,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.common import staged
 
+#: Links of one node that a task may get.
+HOT = 100_000
 
-def _star(links: DataFrame, total: int, large: bool) -> DataFrame:
-    """(u, v) with u > v -> the links after one star step, u > v again."""
+
+def _star(links: DataFrame, large: bool, total: int | None) -> DataFrame:
+    """(u, v) with u > v -> the links after one star step, u > v again; with
+    ``total``, their number, nodes of over a thousandth of them are joined by broadcast."""
     both = links if not large else links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    least = least.select("u", F.least("u", "m").alias("m"), (F.col("n") * 1000 > total).alias("hot"))
-    hot = F.broadcast(least.where("hot").drop("hot"))    # fewer than 1000 nodes (2000 with links both ways)
-    met = both.join(hot, "u").unionByName(both.join(hot, "u", "left_anti").join(least.where("not hot").drop("hot"), "u"))
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m"))
+    if total is None:
+        met = both.join(least.drop("n").hint("shuffle_hash"), "u")
+    else:
+        hot = F.col("n") * 1000 > total
+        few = F.broadcast(least.where(hot).drop("n"))
+        met = both.join(few, "u").unionByName(both.join(few, "u", "left_anti").join(least.where(~hot).drop("n").hint("shuffle_hash"), "u"))
     if large:
         moved = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -30,17 +38,16 @@ def _star(links: DataFrame, total: int, large: bool) -> DataFrame:
     return moved.where("u > v")
 
 
-def _settled(links: DataFrame) -> bool:
-    """Whether each node is either a leader (only v) or has one link (u)."""
-    ends = links.select("u", F.lit(1).alias("n")).unionByName(links.select(F.col("v").alias("u"), F.lit(1 << 32).alias("n")))
-    each = ends.groupBy("u").agg(F.sum(F.col("n").cast("decimal(38,0)")).alias("n"))
-    return each.where((F.col("n") % (1 << 32) > 1) | ((F.col("n") > (1 << 32)) & (F.col("n") % (1 << 32) > 0))).isEmpty()
-
-
 def components(links: DataFrame) -> DataFrame:
     """(a, b) -> (node, component): the smallest node reachable, for every node but the smallest of each component."""
     now = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    while not _settled(now):
-        total = now.count()
-        now = staged(_star(_star(now, total, True), total, False).distinct(), "links")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    while True:
+        ends = now.select("u", F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+            now.select(F.col("v").alias("u"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+        each = ends.groupBy("u").agg(F.sum("down").alias("down"), F.sum("up").alias("up"))
+        state = each.agg(F.count_if((F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0))).alias("open"),
+                         F.sum("down").alias("total"), F.max(F.col("down") + F.col("up")).alias("most")).first()
+        if not state["open"]:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        total = state["total"] if state["most"] > HOT else None
+        now = staged(_star(_star(now, True, total), False, total).distinct(), "links")

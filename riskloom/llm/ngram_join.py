@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.common import on_workers, shuffle_partitions, staged, table, with_computed
+from riskloom.llm.common import on_workers, shuffle_partitions, shuffled_joins, staged, table, with_computed
 from riskloom.llm.components import components
 from riskloom.llm.textops import LOWER, buffers, mix64, row_words, stretches
 
@@ -423,6 +423,14 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """id, cls (of the set), n_shingles, component_id."""
+    with shuffled_joins(docs.sparkSession):
+        rows, parts = _settled_parts(docs, id_col, text_col, words, percent)
+        named = _named(rows, parts)
+    return _reported(rows, named)
+
+
+def _settled_parts(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' classes (id, n_shingles, cls, bins), and (node, part) of the classes that links join."""
     spark = docs.sparkSession
     rows = staged(described(docs, id_col, text_col, words), "described")
     counts = sketch(docs, text_col, words)
@@ -452,15 +460,19 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     levels.destroy()                                     # all that needs them is written
     salts.destroy()
     parts = settled(posts, bins, lambda pairs: verified(possible(pairs, bins, percent), sets, percent), percent)
-    return _reported(rows, parts)
+    return rows, parts
 
 
-def _reported(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """Components back on the documents; the few classes with over a thousandth of all rows by broadcast."""
+def _named(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """(cls, count, component_id) of the classes."""
     classes = (rows.where("n_shingles > 0").groupBy("cls").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("count"))
                .join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn("part", F.coalesce("part", "cls")))
     named = classes.groupBy("part").agg(F.min("first").alias("component_id"))
-    named = staged(classes.join(named, "part").select("cls", "count", "component_id"), "named")
+    return staged(classes.join(named, "part").select("cls", "count", "component_id"), "named")
+
+
+def _reported(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """Components back on the documents; the few classes with over a thousandth of all rows by broadcast."""
     big = F.col("count") * 1000 > rows.count()
     hot = F.broadcast(named.where(big).select("cls", "component_id"))      # fewer than 1000 rows
     full = rows.where("n_shingles > 0")

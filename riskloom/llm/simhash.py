@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import on_workers, shuffle_partitions, staged, table
+from riskloom.llm.common import on_workers, shuffle_partitions, shuffled_joins, staged, table
 from riskloom.llm.components import components
 from riskloom.llm.textops import LOWER, buffers
 
@@ -312,7 +312,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     holds: int = HOLDS) -> DataFrame:
     """One row per document: id, fingerprint (hex), component_id."""
     rows = staged(fingerprints(docs, id_col, text_col, words), "simhash")
-    found = components(near_links(rows.select("fp").distinct(), radius, holds))
+    with shuffled_joins(docs.sparkSession):
+        found = components(near_links(rows.select("fp").distinct(), radius, holds))
     return _named(rows, found).select(F.col("id").alias(id_col), hexed(F.col("fp")).alias("fingerprint"), "component_id")
 
 
