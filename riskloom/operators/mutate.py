@@ -8,6 +8,7 @@ writer ``commit_partitions`` then replaces only the touched partitions.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +22,7 @@ from riskloom.operators.windows import forward_fill_rating, latest_version
 from riskloom.schemas import (ACTION_DAILY, ACTION_REVISION, ALL_SENTINEL, FILL_LOOKBACK_DAYS,
                               REVISION_GUARD_DAYS)
 from riskloom.operators.aggregates import exists_flag, revision_span
-from riskloom.session import checkpoint_root
+from riskloom.session import checkpoint_root, scratch_path
 
 
 def _lit(v):
@@ -175,6 +176,17 @@ def read_touched(spark: SparkSession, path: str, batch: DataFrame, part_col: str
     return table.where(F.col(part_col).isin(months))
 
 
+def staged_by_month(df: DataFrame, name: str, part_col: str = "data_month") -> tuple[DataFrame, list[str]]:
+    """``df`` (with its month column) written once to scratch by month and read
+    back, and the months in it, taken from the folder names (bounded by the calendar)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.partitionBy(part_col).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    months = {m[1] for f in staged.inputFiles() if (m := re.search(rf"/{part_col}=([^/]+)/", f))}
+    return staged, sorted(months)
+
+
 def commit_partitions(df: DataFrame, path: str, partition_cols: Sequence[str] = ("data_month",),
                       cut_lineage: bool = True) -> None:
     """Replace only the partitions present in ``df`` (dynamic overwrite).

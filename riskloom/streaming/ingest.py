@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators import mutate as mu
@@ -25,12 +26,13 @@ def upsert_versions(table: str, keys: Sequence[str] = tuple(PD_KEYS)):
     """foreachBatch function: append the versions the table lacks."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch = mu.with_month(batch)
         # the key includes the version (operation_time): rows sharing it are the
         # same version, so a hash de-duplication (partial aggregation) suffices
-        fresh = batch.dropDuplicates(list(keys))
+        fresh = mu.with_month(batch).dropDuplicates(list(keys))
         if table_exists(spark, table):
-            current = mu.read_touched(spark, table, batch)            # only the batch's months
+            # written by month once: the batch is evaluated once, and its months are the folders' names
+            fresh, months = mu.staged_by_month(fresh, "ingest-batch")
+            current = spark.read.parquet(table).where(F.col("data_month").isin(months))
             fresh = fresh.select(*current.columns).join(current.select(*keys), list(keys), "left_anti")
         # appending while reading the table is safe: the scan's file list is
         # fixed when the batch is planned and new files commit at job end
