@@ -176,6 +176,13 @@ def read_touched(spark: SparkSession, path: str, batch: DataFrame, part_col: str
     return table.where(F.col(part_col).isin(months))
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to scratch and read back: evaluated once, and safe from a lost executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def staged_by_month(df: DataFrame, name: str, part_col: str = "data_month") -> tuple[DataFrame, list[str]]:
     """``df`` (with its month column) written once to scratch by month and read
     back, and the months in it, taken from the folder names (bounded by the calendar)."""
@@ -202,6 +209,17 @@ def commit_partitions(df: DataFrame, path: str, partition_cols: Sequence[str] =
      .partitionBy(*partition_cols).parquet(path))
 
 
+def commit_months(df: DataFrame, path: str, months: Sequence[str], part_col: str = "data_month") -> None:
+    """Replace exactly the given month partitions by the rows of ``df`` (which
+    are of these months): a month without rows any more is emptied, too."""
+    spark = df.sparkSession
+    fresh, present = staged_by_month(df, "months", part_col)      # the new state may read what it replaces
+    (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    schema = T.StructType([f for f in df.schema.fields if f.name != part_col])
+    for month in sorted(set(months) - set(present)):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{part_col}={month}")
+
+
 def truncate_table(spark: SparkSession, path: str) -> None:
     """Empty a Parquet table but keep its schema."""
     schema = spark.read.parquet(path).schema

@@ -13,10 +13,12 @@ from riskloom.functions.rating import rating_grade_sql
 from riskloom.operators import aggregates as agg
 from riskloom.operators import filters as flt
 from riskloom.operators import joins as jn
+from riskloom.operators import mutate as mu
 from riskloom.operators import windows as win
 from riskloom.plans import derived
 from riskloom.plans.catalog import AS_OF, LATEST_SQL, LOOKBACK_AS_OF, UPDATED_AT, pd_list, register
 from riskloom.schemas import DAILY_ECONOMIES, PD_COLS, WEBSITE_HORIZONS
+from riskloom.session import scratch_path
 
 
 def _latest(spark, d):
@@ -402,6 +404,33 @@ def table_website(spark, d):
 register("table_website", sql(WEBSITE_SQL, "pd_raw", "companies_mapping_info", "excluded_companies"))(table_website)
 
 
+#: The state before the changes that the incremental refresh has to find.
+_OLD_DAY = dt.date(2024, 1, 21)
+
+
+def incremental_tables(spark, d):
+    """Tables built without the versions from 21 January on, without the companies whose key
+    ends in 3, with another sector for those that end in 4, and with exclusions two days
+    later and up to an earlier day; then refreshed once with all that is given."""
+    out, table = scratch_path(spark, "derived-incremental"), scratch_path(spark, "pd-raw")
+    raw, companies, exclusions = mu.with_month(fx.pd_raw(spark, d)), fx.companies_mapping_info(spark, d), fx.excluded_companies(spark, d)
+    late = F.col("data_date") >= F.lit(_OLD_DAY)
+    raw.where(~late).write.partitionBy("data_month").parquet(table)
+    before = companies.where(F.col("company_id") % 10 != 3).withColumn(
+        "industry_sector", F.when(F.col("company_id") % 10 == 4, F.lit("OLD")).otherwise(F.col("industry_sector")))
+    derived.start_incremental(spark, table, before, exclusions.withColumn("start_date", F.date_add("start_date", 2)), out,
+                              AS_OF - dt.timedelta(days=4), UPDATED_AT)
+    raw.where(late).write.mode("append").partitionBy("data_month").parquet(table)
+    derived.refresh_incremental(spark, table, companies, exclusions, out, AS_OF, raw.where(late), UPDATED_AT)
+    return out
+
+
+register("refresh_incremental_website", sql(WEBSITE_SQL, "pd_raw", "companies_mapping_info", "excluded_companies"))(
+    lambda spark, d: spark.read.parquet(f"{incremental_tables(spark, d)}/website").drop("data_month"))
+register("refresh_incremental_panel", sql(PANEL_SQL, "pd_raw", "companies_mapping_info"))(
+    lambda spark, d: spark.read.parquet(f"{incremental_tables(spark, d)}/panel").drop("data_month"))
+
+
 @register("proj_website", sql(
     "SELECT company_id AS CompanyID, data_date AS DTDate, data_date AS FSDate, "
     + ", ".join(f"PD_{h} AS DFT{i}" for i, h in enumerate(WEBSITE_HORIZONS, 1))
