@@ -32,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--end")
     d.add_argument("--registry", help="exclusion registry sheet (CSV)")
     d.add_argument("--exclusions", nargs=2, metavar=("TABLE", "OUT"))
-    d.add_argument("--events", nargs=3, metavar=("ROOT", "TABLE", "OUT"))
+    d.add_argument("--events", nargs=2, metavar=("ROOT", "TABLE"))
 
     r = sub.add_parser("pd-range")
     r.add_argument("--root", required=True)

@@ -26,16 +26,17 @@ from riskloom.operators import joins as jn
 from riskloom.operators import mutate as mu
 from riskloom.operators import reshape as rs
 from riskloom.operators import windows as win
-from riskloom.schemas import (ACTION_DAILY, CREDIT_EVENT_KEYS, FILL_LOOKBACK_DAYS, PD_COLS, PD_KEYS,
+from riskloom.schemas import (ACTION_DAILY, AS_TABLE, CREDIT_EVENT_KEYS, FILL_LOOKBACK_DAYS, PD_COLS, PD_KEYS,
                               SIMPLE_HORIZONS, USER_BOOL_FIELDS, USER_DEFAULTS, USER_JSON_FIELDS,
                               USER_TIME_FIELDS)
 from riskloom.sources import files as fl
 from riskloom.sources import readers as rd
 from riskloom.sources import sinks as sk
-from riskloom.sources.matrix import scan_matrix
+from riskloom.sources.matrix import FOLDER_RE, scan_matrix
 from riskloom.sources.readers import table_exists
 
-FOLDER_RE = r"(\d{8}_cali_\d{8})"
+#: Partition column of the event table.
+EVENT_MONTH = "default_month"
 PD_SUB, PDIR_SUB, AS_SUB = "P2_Pd", "P3_Pdir", "P7_As"
 
 
@@ -57,7 +58,7 @@ def list_delivery_names(root: str) -> list[str]:
     fs, base = _fs_path(root)
     try:
         infos = fs.get_file_info(pafs.FileSelector(base, recursive=False))
-    except (FileNotFoundError, OSError):
+    except FileNotFoundError:                          # any other trouble with the listing is raised
         return []
     pat = re.compile(r"^\d{8}_cali_\d{8}$")
     return sorted(i.base_name for i in infos if i.type == pafs.FileType.Directory and pat.match(i.base_name))
@@ -121,8 +122,6 @@ def scan_product(spark: SparkSession, root: str, folders: DataFrame, sub: str, g
         names = rs.LAYOUTS[layout] if isinstance(layout, str) else list(layout)
         return spark.createDataFrame([], ", ".join(["folder string", "econ_id int"] + [f"`{n}` double" for n in names]))
     rows = read_shards(spark, paths, glob)
-    rows = rows.select(F.regexp_extract("path", f"/{FOLDER_RE}/", 1).alias("folder"),
-                       fl.id_from_name("file_name").cast("int").alias("econ_id"), "values")
     return rs.name_positional(rows, layout, keep=["folder", "econ_id"])
 
 
@@ -212,9 +211,11 @@ def pd_range(spark: SparkSession, root: str, start, end, operation_time, table:
     rows = rows.withColumn("PDIR", F.coalesce(F.col("PDIR"), F.lit(0.0)))
     if fill_first:
         forward_fill_table(spark, table, start)
-    rows = mu.with_month(rows)
+    # the shards are decoded once; the batch's months are the folders it was staged in
+    rows, months = mu.staged_by_month(mu.with_month(rows), "pd-range")
+    current = spark.read.parquet(table).where(F.col("data_month").isin(months))
     # insert-ignore on the version key: a run that is repeated adds nothing
-    sk.append(mu.inserted_rows(mu.read_touched(spark, table, rows), rows, PD_KEYS), table, partition_cols=["data_month"])
+    sk.append(mu.inserted_rows(current, rows, PD_KEYS), table, partition_cols=["data_month"])
     if not fill_first:
         forward_fill_table(spark, table, start)
     if refresh is not None:
@@ -248,14 +249,14 @@ def pdir_backfill(grid: DataFrame, out: str | None = None) -> DataFrame:
 
 
 def pd_backfill(spark: SparkSession, matrix_root: str, ratings: DataFrame, calibration_date, operation_time,
-                out: str, econs: DataFrame | None = None) -> DataFrame:
+                out: str, econs: DataFrame | Sequence[int] | None = None) -> DataFrame:
     """Historical PD shards (daily 64-column layout) of every economy in one
-    scan, optionally restricted to a batch of economies (semi join), rated
-    from the historical PDIR table and written as size-bounded Parquet."""
+    scan, optionally restricted to a batch of economies (the files of others
+    are not opened), rated from the historical PDIR table and written as size-bounded Parquet."""
     rows = read_shards(spark, matrix_root, "pd60h_*")
-    rows = rows.withColumn("econ_id", fl.id_from_name("file_name").cast("int"))
-    if econs is not None:
-        rows = flt.filter_ids_semi(rows, econs, "econ_id")
+    if econs is not None:                              # one id an economy
+        ids = [r[0] for r in econs.select("econ_id").distinct().collect()] if isinstance(econs, DataFrame) else list(econs)
+        rows = rows.where(F.col("econ_id").isin(ids))
     named = rs.name_positional(rows, "pd_daily", keep=["econ_id"])
     prepared = rs.prep_pd_daily(named, calibration_date, operation_time, econ_id=F.col("econ_id"))
     r = ratings.select("data_date", "company_id", F.col("pdir").alias("PDIR"))
@@ -294,27 +295,32 @@ def load_day_state(spark: SparkSession, batch: DataFrame, latest_path: str, dail
 
 
 def revise_state(spark: SparkSession, batch: DataFrame, latest_path: str, history_path: str, log_path: str,
-                 out_path: str, keys: Sequence[str] = ("data_date", "company_id"),
+                 keys: Sequence[str] = ("data_date", "company_id"),
                  daily_path: str | None = None, day=None, check_duplicate: bool = True) -> DataFrame:
-    """Revision of a current-state product: rows about to change go to the
-    history table (I5), the batch is upserted (I4) into a new version of the
-    latest table at ``out_path``, the day slice is upserted into the 1-day
-    table (C7 + I4), one log row per load key (E1) is appended.  A revision
-    logged within the guard's days (I8) is not loaded again; one that broke
-    off before its log row is, and adds nothing to the history twice."""
+    """Revision of a current-state product kept by month: rows about to change
+    go to the history table (I5), the batch is upserted (I4) into the months
+    of the latest table that it touches - no other month is read or written -,
+    the day slice is upserted into the 1-day table (C7 + I4), one log row per
+    load key (E1) is appended.  A revision logged within the guard's days (I8)
+    is not loaded again; one that broke off before its log row is, and adds
+    nothing to the history twice."""
     from riskloom.session import checkpoint_root
     checkpoint_root(spark)
-    if check_duplicate and day is not None and _exists(spark, log_path) and _exists(spark, out_path):
+    if check_duplicate and day is not None and _exists(spark, log_path):
         if mu.guard_revision(spark.read.parquet(log_path), day).first()[0] == 1:
-            return spark.read.parquet(out_path)
-    current = spark.read.parquet(latest_path)
-    batch = batch.select(*current.columns).checkpoint(eager=True)
-    replaced = mu.history_capture(current, batch, keys)
+            return spark.read.parquet(latest_path)
+    table = spark.read.parquet(latest_path)
+    plain = [c for c in table.columns if c != "data_month"]
+    batch, months = mu.staged_by_month(mu.with_month(batch.select(*plain)), "revision")
+    batch = batch.select(*plain)
+    current = table.where(F.col("data_month").isin(months)).select(*plain)
+    # a run that broke off after the commit finds its own rows: they were not replaced
+    replaced = mu.history_capture(current, batch, keys).join(batch.select(*keys, "operation_time").distinct(), [*keys, "operation_time"], "left_anti")
     if _exists(spark, history_path):
         version = [*keys, "operation_time"]
         replaced = replaced.join(spark.read.parquet(history_path).select(*version), version, "left_anti")
     sk.append(replaced, history_path)
-    mu.upsert(current, batch, keys).write.mode("overwrite").parquet(out_path)
+    mu.commit_months(mu.with_month(mu.upsert(current, batch, keys)), latest_path, months)
     if daily_path and day is not None:
         if _exists(spark, daily_path):
             d1 = spark.read.parquet(daily_path)
@@ -323,7 +329,18 @@ def revise_state(spark: SparkSession, batch: DataFrame, latest_path: str, histor
             staged = flt.filter_day(batch, day)
         staged.write.mode("overwrite").parquet(daily_path)
     sk.append(mu.operation_log_revision(batch), log_path)
-    return spark.read.parquet(out_path)
+    return spark.read.parquet(latest_path)
+
+
+def as_revision(spark: SparkSession, csv_root: str, log: DataFrame, latest_path: str, history_path: str, log_path: str,
+                day, operation_time, daily_path: str | None = None) -> DataFrame:
+    """Revision of the AS state from CSV shards: not loaded if ``log`` has a
+    revision within the guard's days (I8); its calibration is that of the first daily load on/after ``day`` (G3)."""
+    if mu.guard_revision(log, day).first()[0] == 1:
+        return spark.read.parquet(latest_path)
+    calibration = revision_calibration(log, day).first()[0]    # one scalar from the log
+    batch = mu.enforce_schema(as_file_batch(spark, csv_root, calibration, operation_time), AS_TABLE)
+    return revise_state(spark, batch, latest_path, history_path, log_path, daily_path=daily_path, day=day)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -385,36 +402,33 @@ def credit_event_rows(rows: DataFrame, layout: str) -> DataFrame:
     return clean_all(typed)
 
 
-def events_full(spark: SparkSession, root: str, table: str,
-                pattern: str = r"^CreditEvent_\d+(\.p\d+)?\.npy$") -> DataFrame:
-    """Every historical event shard -> one table (replace all), sorted."""
-    files = fl.filter_pattern(fl.list_files(spark, root), pattern)
-    paths = [r.path for r in files.select("path").collect()]  # file manifest
-    if not paths:
-        return spark.read.parquet(table) if _exists(spark, table) else None
-    rows = read_shards(spark, paths, "*")
-    events = credit_event_rows(rows, "credit_events_hist")
-    events.orderBy("default_date", "company_id", "default_type", "event_id").write.mode("overwrite").parquet(table)
+def events_full(spark: SparkSession, root: str, table: str, glob: str = "CreditEvent_*",
+                pattern: str = r"^CreditEvent_\d+(\.p\d+(-\d+)?)?\.npy$") -> DataFrame:
+    """Every historical event shard -> one table (replace all), sorted; an
+    existing table is left as it is when there is no event."""
+    rows = fl.filter_pattern(read_shards(spark, root, glob), pattern)
+    events = mu.staged(credit_event_rows(rows, "credit_events_hist"), "events-full")
+    if not (events.isEmpty() and _exists(spark, table)):
+        events.orderBy("default_date", "company_id", "default_type", "event_id").write.mode("overwrite").parquet(table)
     return spark.read.parquet(table)
 
 
-def events_daily(spark: SparkSession, root: str, start, end, table: str, out: str,
-                 min_date: dt.date | None = None) -> DataFrame:
+def events_daily(spark: SparkSession, root: str, start, end, table: str, min_date: dt.date | None = None) -> DataFrame:
     """Region event shards of the delivery folders in ``[start, end]``, every
     calendar day of it (events arrive on weekends, too) -> delete the batch's
-    keys from the table, insert the batch (I2)."""
+    keys from the table, insert the batch (I2).  The table is kept by month
+    of the default date; only the months of the batch are read and rewritten."""
     folders = delivery_folders(spark, root).where(F.col("folder_date").between(_lit(start), _lit(end)))
     paths = _paths(root, folders, "CompanyFlow")
-    current = spark.read.parquet(table)
     if paths:
         rows = read_shards(spark, paths, "NewCreditEvent_Region_*")
-        batch = credit_event_rows(rows, "credit_events_daily").distinct()
-    else:
-        batch = current.limit(0)
-    new_state = mu.delete_insert(current, batch.select(*current.columns), CREDIT_EVENT_KEYS,
-                                 min_date=min_date, date_col="default_date")
-    new_state.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+        batch = mu.with_month(credit_event_rows(rows, "credit_events_daily").distinct(), "default_date", EVENT_MONTH)
+        batch, months = mu.staged_by_month(batch, "events", EVENT_MONTH)
+        state = spark.read.parquet(table)
+        current = state.where(F.col(EVENT_MONTH).isin(months))
+        new_state = mu.delete_insert(current, batch.select(*current.columns), CREDIT_EVENT_KEYS, min_date=min_date, date_col="default_date")
+        mu.commit_months(new_state, table, months, EVENT_MONTH)
+    return spark.read.parquet(table)
 
 
 def exclusions_load(spark: SparkSession, registry: str, since, table: str, out: str,
@@ -447,7 +461,7 @@ def last_trading_day(d: dt.date) -> dt.date:
 
 def daily_run(spark: SparkSession, root: str, start, end, operation_time, table: str, econs: Sequence[int],
               log_path: str, registry: str | None = None, exclusions: tuple[str, str] | None = None,
-              events: tuple[str, str, str] | None = None,
+              events: tuple[str, str] | None = None,
               refresh: tuple[DataFrame, DataFrame, str] | None = None) -> DataFrame:
     """The daily run: completeness of every delivery in range (C9, raises on
     a gap) -> exclusions (J13) and credit events (J12) when given -> PD range
@@ -459,7 +473,8 @@ def daily_run(spark: SparkSession, root: str, start, end, operation_time, table:
         start = end
     folders = folders_in_range(spark, root, start, end)
     expected = fl.expected_manifest(folders, [("pd60h", PD_SUB)], econs)
-    present = fl.list_files(spark, root, "pd60h_*").select(
+    names = sorted(r.folder for r in folders.select("folder").collect())       # one a day
+    present = fl.list_files(spark, f"{root.rstrip('/')}/{{{','.join(names)}}}/Products/{PD_SUB}", "pd60h_*").select(
         F.regexp_extract("path", f"/{FOLDER_RE}/", 1).alias("folder"),
         fl.id_from_name("file_name").cast("int").alias("econ_id"))
     missing = fl.missing_files(expected, present, ["folder", "econ_id"])
@@ -471,7 +486,7 @@ def daily_run(spark: SparkSession, root: str, start, end, operation_time, table:
         if refresh is not None:                        # the derived tables see the exclusions just loaded
             refresh = (refresh[0], current, refresh[2])
     if events:
-        events_daily(spark, events[0], start, end, events[1], events[2])
+        events_daily(spark, events[0], start, end, events[1])
     res = pd_range(spark, root, start, end, operation_time, table, refresh=refresh)
     history = folders.where(F.col("folder_date") == _lit(_as_date(end)).cast("date")).select(
         F.substring("folder", 1, 8).cast("int").alias("date_int"), F.col("folder").alias("source"),

@@ -19,7 +19,7 @@ from riskloom.operators import windows as win
 from riskloom.plans import jobs
 from riskloom.plans.catalog import LATEST_SQL, OPERATION_TIME, register
 from riskloom.plans.q_reshape import rating_grid
-from riskloom.schemas import AS_COLS, AS_TABLE, PD_COLS, PDIR_TABLE, SIMPLE_HORIZONS
+from riskloom.schemas import AS_COLS, AS_TABLE, PD_COLS, PDIR_TABLE, SIMPLE_HORIZONS, WEBSITE_HORIZONS
 from riskloom.session import landed_fixture, scratch_path
 from riskloom.sources.matrix import write_matrix_shards
 
@@ -166,22 +166,6 @@ def q_job_pd_range(spark, d):
     return res.select("company_id", "data_date", "operation_time", "PDIR", "PD_12")
 
 
-@register("job_daily_run", sql(PD_RANGE_SQL, "pd_raw", "pd_current", "rating_key"))
-def q_job_daily_run(spark, d):
-    root = land_delivery(spark, d, ("pd", "pdir"))
-    # the economies every delivery in range must contain: those delivering on each trading day
-    # (a list bounded by the number of economies)
-    lat = _latest(spark, d).where(F.col("PDIR").isNotNull()
-                                  & F.col("data_date").between(F.lit(RANGE[0]), F.lit(RANGE[1]))
-                                  & (F.weekday("data_date") < 5))
-    per_econ = lat.groupBy(fx.econ_of().alias("econ_id")).agg(F.countDistinct("data_date").alias("n"))
-    n_days = lat.select("data_date").distinct().count()
-    econs = [r.econ_id for r in per_econ.where(F.col("n") == n_days).select("econ_id").collect()]
-    res = jobs.daily_run(spark, root, RANGE[0], RANGE[1], OPERATION_TIME, _pd_table(spark, d), sorted(econs),
-                         scratch_path(spark, "history-log"))
-    return res.select("company_id", "data_date", "operation_time", "PDIR", "PD_12")
-
-
 # ---------------------------------------------------------------- J4 / J6 backfills
 @register("job_pd_backfill", sql(
     f"SELECT l.data_date, CAST(l.company_id % 25 + 1 AS INT) AS econ_id, l.company_id, DATE '2024-02-01' AS "
@@ -228,13 +212,13 @@ def _pdir_current(spark, d):
 def q_job_pdir2_day(spark, d):
     root = land_delivery(spark, d, ("pdir",))
     latest = scratch_path(spark, "pdir2-latest")
-    _pdir_current(spark, d).write.mode("overwrite").parquet(latest)
+    mu.with_month(_pdir_current(spark, d)).write.partitionBy("data_month").parquet(latest)
     folders = jobs.folders_in_range(spark, root, NEW_DAY, NEW_DAY)
     rows = jobs.scan_product(spark, root, folders, jobs.PDIR_SUB, "pdirNum_*", "pdir_daily")
     cal = F.to_date(F.substring("folder", -8, 8), "yyyyMMdd")
     batch = rs.prep_pdir_daily(rows, cal, OPERATION_TIME, econ_id=F.col("econ_id")).transform(_pdir_schema)
     return jobs.load_day_state(spark, batch, latest, scratch_path(spark, "pdir2-1d"),
-                               scratch_path(spark, "pdir2-log"), NEW_DAY, fx.CALIBRATION, OPERATION_TIME)
+                               scratch_path(spark, "pdir2-log"), NEW_DAY, fx.CALIBRATION, OPERATION_TIME).drop("data_month")
 
 
 REV_FROM = dt.date(2024, 1, 15)
@@ -249,7 +233,7 @@ PDIR_REV_SQL = ("SELECT data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id,
     "rating_all"))
 def q_job_pdir2_revision(spark, d):
     latest = scratch_path(spark, "pdir2-latest")
-    _pdir_current(spark, d).write.mode("overwrite").parquet(latest)
+    mu.with_month(_pdir_current(spark, d)).write.partitionBy("data_month").parquet(latest)
     grid = rating_grid(spark, d)
     revised = grid.withColumn("values", F.transform("values", lambda v: F.least(v + 1, F.lit(22.0))))
     cells = rs.melt_grid(revised, ["econ_id", F.col("date_key").alias("data_date")], "firms", "values",
@@ -258,8 +242,7 @@ def q_job_pdir2_revision(spark, d):
     batch = rs.prep_pdir_revision(cells, fx.CALIBRATION, REV_OP, econ_id=F.col("econ_id"))
     batch = batch.where(F.col("data_date") >= F.lit(REV_FROM)).transform(_pdir_schema)
     return jobs.revise_state(spark, batch, latest, scratch_path(spark, "pdir2-incremental"),
-                             scratch_path(spark, "pdir2-log"), scratch_path(spark, "pdir2-latest-v2"),
-                             daily_path=scratch_path(spark, "pdir2-1d"), day=REV_FROM)
+                             scratch_path(spark, "pdir2-log"), daily_path=scratch_path(spark, "pdir2-1d"), day=REV_FROM).drop("data_month")
 
 
 # ---------------------------------------------------------------- J8 / J9 / J10 AS
@@ -284,11 +267,11 @@ def _as_current(spark, d):
 def q_job_as_day(spark, d):
     root = land_delivery(spark, d, ("as",))
     latest = scratch_path(spark, "as-latest")
-    _as_current(spark, d).write.mode("overwrite").parquet(latest)
+    mu.with_month(_as_current(spark, d)).write.partitionBy("data_month").parquet(latest)
     folders = jobs.folders_in_range(spark, root, NEW_DAY, NEW_DAY)
     batch = jobs.as_day_batch(spark, root, folders, OPERATION_TIME).transform(_as_schema)
     return jobs.load_day_state(spark, batch, latest, scratch_path(spark, "as-1d"), scratch_path(spark, "as-log"),
-                               NEW_DAY, fx.CALIBRATION, OPERATION_TIME)
+                               NEW_DAY, fx.CALIBRATION, OPERATION_TIME).drop("data_month")
 
 
 def land_as_csv(spark, d, factor=2.0, since=REV_FROM):
@@ -317,16 +300,9 @@ AS_REV_SQL = (f"SELECT data_date, CAST(company_id % 25 + 1 AS INT) AS econ_id, c
     "pd_raw", "operation_log"))
 def q_job_as_revision(spark, d):
     latest = scratch_path(spark, "as-latest")
-    _as_current(spark, d).write.mode("overwrite").parquet(latest)
-    log = fx.operation_log(spark, d)
-    guard = mu.guard_revision(log, REV_FROM)
-    if guard.first()[0] == 1:
-        return spark.read.parquet(latest)
-    cal = jobs.revision_calibration(log, REV_FROM).first()[0]  # one scalar from the log
-    batch = jobs.as_file_batch(spark, land_as_csv(spark, d), cal, REV_OP).transform(_as_schema)
-    return jobs.revise_state(spark, batch, latest, scratch_path(spark, "as-incremental"),
-                             scratch_path(spark, "as-log"), scratch_path(spark, "as-latest-v2"),
-                             daily_path=scratch_path(spark, "as-1d"), day=REV_FROM)
+    mu.with_month(_as_current(spark, d)).write.partitionBy("data_month").parquet(latest)
+    return jobs.as_revision(spark, land_as_csv(spark, d), fx.operation_log(spark, d), latest, scratch_path(spark, "as-incremental"),
+                            scratch_path(spark, "as-log"), REV_FROM, REV_OP, daily_path=scratch_path(spark, "as-1d")).drop("data_month")
 
 
 @register("job_as_backfill", sql(
@@ -382,24 +358,23 @@ EVENTS_DAILY_SQL = (
 @register("job_events_daily", sql(EVENTS_DAILY_SQL, "credit_events_raw"))
 def q_job_events_daily(spark, d):
     root, table = land_events_daily(spark, d)
-    return jobs.events_daily(spark, root, EV_FROM, EV_TO, table, scratch_path(spark, "events-table-v2"))
+    return jobs.events_daily(spark, root, EV_FROM, EV_TO, table).drop(jobs.EVENT_MONTH)
 
 
-def land_events_daily(spark, d):
-    """Monthly event deliveries (4 region shards each) and the event table
-    as loaded before mid-1996."""
+def land_events_daily(spark, d, day=None):
+    """Event deliveries (4 region shards each), in a folder a month or on the given day
+    (a column), and the event table, by month, as loaded before 1996."""
     root = scratch_path(spark, "events-delivery")
     ev = fx.credit_events_raw(spark, d)
-    folder = F.concat(F.date_format(F.trunc("default_date", "month"), "yyyyMMdd"),
-                      F.lit("_cali_20240201/Products/CompanyFlow"))
+    day = F.trunc("default_date", "month") if day is None else day
+    folder = F.concat(F.date_format(day, "yyyyMMdd"), F.lit("_cali_20240201/Products/CompanyFlow"))
     rows = ev.select((F.col("company_id") % 4 + 1).alias("region"), folder.alias("folder"),
                      _event_values(ev, daily=True).alias("values"))
     write_matrix_shards(rows, root, "NewCreditEvent_Region_", key="region", folder="folder")
     table = scratch_path(spark, "events-table")
-    (ev.where(F.col("default_date") < F.lit(dt.date(1996, 1, 1)))
-     .select("default_date", "company_id", "default_type", "event_id",
-             F.lit(None).cast("string").alias("additional_comments"))
-     .write.mode("overwrite").parquet(table))
+    old = ev.where(F.col("default_date") < F.lit(dt.date(1996, 1, 1))).select(
+        "default_date", "company_id", "default_type", "event_id", F.lit(None).cast("string").alias("additional_comments"))
+    mu.with_month(old, "default_date", jobs.EVENT_MONTH).write.partitionBy(jobs.EVENT_MONTH).parquet(table)
     return root, table
 
 
@@ -444,6 +419,69 @@ def land_exclusions(spark, d):
     return reg_path, table
 
 
+# ---------------------------------------------------------------- J14 daily run
+#: Economies that the daily run requires: three files a day, cut by company.
+RUN_ECONOMIES = (1, 2, 3)
+
+
+def land_daily_run(spark, d):
+    """A delivery of PD and rating shards for every day, cut into three economies."""
+    def build(root):
+        lat, econ = _latest(spark, d), (F.col("company_id") % 3 + 1).cast("int").alias("econ_id")
+        pd60 = F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.col("PD_60"))
+        key = F.col("company_id").cast("double")
+        write_matrix_shards(lat.select(econ, _folder(F.col("data_date"), "P2_Pd").alias("folder"), F.array(
+            key, *_ymd(), *[F.col(c) for c in PD_COLS[:-1]], pd60).alias("values")), root, "pd60h_", folder="folder")
+        write_matrix_shards(fx.rating_key(spark, d).select(econ, _folder(F.col("data_date"), "P3_Pdir").alias("folder"), F.array(
+            key, *_ymd(), F.col("pdir")).alias("values")), root, "pdirNum_", folder="folder")
+    return landed_fixture(spark, "delivery-daily-run", d, build)
+
+
+def daily_run_tables(spark, d):
+    """A run over the range with registry, credit events and refresh; an economy too many is a gap, which stops it
+    before anything is loaded.  Returns (website, exclusions, events, whether the gap was reported)."""
+    root, table = land_daily_run(spark, d), _pd_table(spark, d)
+    registry, excluded = land_exclusions(spark, d)
+    ev_root, ev_table = land_events_daily(spark, d, F.date_add(F.lit(RANGE[0]), F.col("event_id").cast("int") % 5))
+    out, new_excluded, log = (scratch_path(spark, f"daily-run-{n}") for n in ("derived", "excluded", "log"))
+    companies = fx.companies_mapping_info(spark, d)
+
+    def run(econs):
+        jobs.daily_run(spark, root, RANGE[0], RANGE[1], OPERATION_TIME, table, econs, log, registry=registry,
+                       exclusions=(excluded, new_excluded), events=(ev_root, ev_table),
+                       refresh=(companies, fx.excluded_companies(spark, d), out))
+
+    try:
+        run([*RUN_ECONOMIES, 4])
+        gap = False
+    except RuntimeError as e:
+        gap = "pd60h_4" in str(e)
+    run(RUN_ECONOMIES)
+    return spark.read.parquet(f"{out}/website"), spark.read.parquet(new_excluded), spark.read.parquet(ev_table), gap
+
+
+DAILY_RUN_SQL = (
+    f"WITH tbl AS (SELECT * FROM pd_current UNION ALL SELECT l.company_id, l.data_date, DATE '2024-02-01', {OP_SQL}, "
+    f"0.0, {', '.join('l.' + c for c in PD_COLS)} FROM ({LATEST_SQL}) l WHERE l.PDIR IS NOT NULL AND l.data_date "
+    "BETWEEN DATE '2024-01-15' AND DATE '2024-01-19'), "
+    "newest AS (SELECT company_id, data_date, max(operation_time) AS operation_time FROM tbl GROUP BY ALL), "
+    "served AS (SELECT t.*, c.region_id FROM tbl t JOIN newest USING (company_id, data_date, operation_time) "
+    "JOIN companies_mapping_info c USING (company_id)), "
+    "shut AS (SELECT company_id, start_date, coalesce(end_date, DATE '9999-12-31') AS end_date FROM excluded_companies) "
+    "SELECT company_id AS CompanyID, data_date AS DTDate, data_date AS FSDate, "
+    + ", ".join(f"PD_{h} AS DFT{i}" for i, h in enumerate(WEBSITE_HORIZONS, 1))
+    + ", region_id AS RegionFlag, 0 AS Draft, (SELECT count(*) FROM excluded_companies) AS n_exclusions, "
+    "(SELECT count(*) FROM credit_events_raw) AS n_events, true AS gap_found FROM served s "
+    "WHERE (SELECT count(*) FROM shut x WHERE x.company_id = s.company_id AND s.data_date BETWEEN x.start_date AND x.end_date) = 0")
+
+
+@register("job_daily_run", sql(DAILY_RUN_SQL, "pd_raw", "pd_current", "companies_mapping_info", "excluded_companies", "credit_events_raw"))
+def q_job_daily_run(spark, d):
+    web, excluded, events, gap = daily_run_tables(spark, d)
+    counts = excluded.agg(F.count(F.lit(1)).alias("n_exclusions")).crossJoin(events.agg(F.count(F.lit(1)).alias("n_events")))   # one row
+    return web.drop("Updated").crossJoin(counts).withColumn("gap_found", F.lit(gap))
+
+
 # ---------------------------------------------------------------- J15 users
 def _user_sql():
     from riskloom.schemas import USER_BOOL_FIELDS, USER_DEFAULTS, USER_JSON_FIELDS

@@ -252,7 +252,7 @@ def q_files_listing(spark, d):
 
 @register("files_filter", sql(ECON_SQL, "pd_raw"))
 def q_files_filter(spark, d):
-    ls = fl.filter_pattern(fl.filter_prefix(_listing(spark, d), "pdirNum_"), r"^pdirNum_\d+\.p\d+\.npy$")
+    ls = fl.filter_pattern(fl.filter_prefix(_listing(spark, d), "pdirNum_"), r"^pdirNum_\d+\.p\d+-\d+\.npy$")
     return ls.select(fl.id_from_name("file_name").alias("econ_id")).distinct()
 
 

@@ -65,16 +65,16 @@ def test_daily_run_full_composition(spark):
     reg, excl = q_jobs.land_exclusions(spark, d)
     ev_root, ev_table = q_jobs.land_events_daily(spark, d)
     log = scratch_path(spark, "history")
-    excl_out, ev_out = scratch_path(spark, "excl-v2"), scratch_path(spark, "ev-v2")
+    excl_out, ev_before = scratch_path(spark, "excl-v2"), spark.read.parquet(ev_table).count()
     derived_out = scratch_path(spark, "derived")
     res = jobs.daily_run(spark, root, dt.date(2024, 1, 16), dt.date(2024, 1, 16), dt.datetime(2024, 2, 2, 6),
                          q_jobs._pd_table(spark, d), sorted(econs), log, registry=reg, exclusions=(excl, excl_out),
-                         events=(ev_root, ev_table, ev_out),
+                         events=(ev_root, ev_table),
                          refresh=(fx.companies_mapping_info(spark, d), fx.excluded_companies(spark, d), derived_out))
     assert spark.read.parquet(derived_out + "/website").count() > 0
     assert res.where(F.col("operation_time") == F.lit(dt.datetime(2024, 2, 2, 6))).count() > 0
     assert spark.read.parquet(excl_out).where("remark = 'updated'").count() > 0
-    assert spark.read.parquet(ev_out).count() >= spark.read.parquet(ev_table).count()
+    assert spark.read.parquet(ev_table).count() >= ev_before
     h = spark.read.parquet(log).collect()
     assert len(h) == 1 and h[0].date_int == 20240116 and h[0].source == "20240116_cali_20240201"
 
@@ -170,10 +170,14 @@ def test_revision_run_twice_equals_once(spark, tmp_path):
     schema = "data_date date, econ_id int, company_id long, calibration_date date, operation_time timestamp_ntz, pdir double"
     old, new = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 3)
     day, cal = dt.date(2024, 1, 15), dt.date(2024, 2, 1)
-    latest, history, log, out = (str(tmp_path / n) for n in ("latest", "history", "log", "out"))
-    spark.createDataFrame([(day, 1, c, cal, old, 1.0) for c in range(5)], schema).write.parquet(latest)
+    latest, history, log = (str(tmp_path / n) for n in ("latest", "history", "log"))
+    rows = [(d, 1, c, cal, old, 1.0) for c in range(5) for d in (day, dt.date(2023, 11, 3))]
+    mu.with_month(spark.createDataFrame(rows, schema)).write.partitionBy("data_month").parquet(latest)
+    untouched = sorted((tmp_path / "latest" / "data_month=2023-11").iterdir())
     batch = spark.createDataFrame([(day, 1, c, cal, new, 2.0) for c in range(3, 8)], schema)
     for check in (True, True, False):                 # a repeat that the guard stops, and one after a lost log row
-        res = jobs.revise_state(spark, batch, latest, history, log, out, day=day, check_duplicate=check)
-        assert {r.company_id: r.pdir for r in res.collect()} == {c: 1.0 if c < 3 else 2.0 for c in range(8)}
+        res = jobs.revise_state(spark, batch, latest, history, log, day=day, check_duplicate=check)
+        assert {r.company_id: r.pdir for r in res.where("data_month = '2024-01'").collect()} == {c: 1.0 if c < 3 else 2.0 for c in range(8)}
         assert spark.read.parquet(history).count() == 2
+        # the other month was neither rewritten nor read into the history
+        assert sorted((tmp_path / "latest" / "data_month=2023-11").iterdir()) == untouched and res.count() == 13
