@@ -72,3 +72,22 @@ def keep_last(df: DataFrame, keys: Sequence[str] = ("company_id", "data_date"),
     deliveries of one trading day) are broken by ``tiebreak`` so reruns give
     the same row."""
     return latest_version(df, keys, order, tiebreak)
+
+
+def asof_forward(left: DataFrame, right: DataFrame, values: Sequence[str], left_date: str = "data_date", right_date: str = "data_start_date",
+                 keys: Sequence[str] = ()) -> DataFrame:
+    """Sorted forward as-of lookup: each row of ``left`` with the ``values`` of the
+    first row of ``right`` (of its ``keys``) dated on or after it, NULL if there
+    is none.  Union and one window, no pair explosion.  Of right rows on one
+    date the smallest values count.  Without ``keys`` both sides must be
+    calendar-sized (distinct dates), as one task orders them."""
+    keys, values, cols = list(keys), list(values), left.columns
+    first = right.where(F.col(right_date).isNotNull()).groupBy(*keys, F.col(right_date).alias("_date")).agg(F.min(F.struct(*values)).alias("_value"))
+    events = first.select(*keys, "_date", F.lit(1).alias("_tag"), "_value", F.lit(None).cast(left.schema).alias("_row"))
+    asked = left.select(*keys, F.col(left_date).alias("_date"), F.lit(0).alias("_tag"), F.lit(None).cast(first.schema["_value"].dataType).alias("_value"),
+                        F.struct(*[F.col(q(c)) for c in cols]).alias("_row"))
+    ahead = Window.partitionBy(*keys).orderBy(F.col("_date").asc_nulls_last(), "_tag").rowsBetween(0, Window.unboundedFollowing)
+    found = asked.unionByName(events).withColumn("_next", F.first("_value", ignorenulls=True).over(ahead))
+    next_value = F.when(F.col("_date").isNotNull(), F.col("_next"))
+    return (found.where("_tag = 0").withColumn("_next", next_value)
+            .select(*[F.col(f"_row.{q(c)}").alias(c) for c in cols], *[F.col(f"_next.{q(v)}").alias(v) for v in values]))

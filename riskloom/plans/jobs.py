@@ -338,8 +338,9 @@ def as_revision(spark: SparkSession, csv_root: str, log: DataFrame, latest_path:
     revision within the guard's days (I8); its calibration is that of the first daily load on/after ``day`` (G3)."""
     if mu.guard_revision(log, day).first()[0] == 1:
         return spark.read.parquet(latest_path)
-    calibration = revision_calibration(log, day).first()[0]    # one scalar from the log
-    batch = mu.enforce_schema(as_file_batch(spark, csv_root, calibration, operation_time), AS_TABLE)
+    rows = as_file_batch(spark, csv_root, F.lit(None).cast("date"), operation_time).drop("calibration_date")
+    found = calibration_of_dates(log, spark.range(1).select(_lit(day).cast("date").alias("day")), "day")
+    batch = mu.enforce_schema(rows.join(F.broadcast(found.drop("day"))), AS_TABLE)            # one row: the revision's day
     return revise_state(spark, batch, latest_path, history_path, log_path, daily_path=daily_path, day=day)
 
 
@@ -366,6 +367,13 @@ def as_file_batch(spark: SparkSession, csv_root: str, calibration_date, operatio
     return rs.prep_as_file(csv, calibration_date, operation_time, econ_id=econ)
 
 
+def calibration_of_dates(log: DataFrame, dates: DataFrame, date_col: str = "data_date") -> DataFrame:
+    """G3 for many revisions: (date, calibration_date) of the first daily load
+    on/after each date; both sides are calendar-sized."""
+    loads = log.where(F.col("operation_action") == ACTION_DAILY)
+    return win.asof_forward(dates.select(date_col).distinct(), loads, ["calibration_date"], date_col)
+
+
 def revision_calibration(log: DataFrame, day) -> DataFrame:
     """Calibration of the first daily load on/after ``day`` (one row)."""
     return (log.where((F.col("operation_action") == ACTION_DAILY) & (F.col("data_start_date") >= _lit(day)))

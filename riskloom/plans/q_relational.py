@@ -221,6 +221,56 @@ def q_diff_keys(spark, d):
     return jn.diff_keys_both(_latest(spark, d), fx.rating_key(spark, d))
 
 
+def _bucketed(df):
+    return df.select("company_id", "data_date", fx.econ_of().alias("econ_id"))
+
+
+@register("diff_keys_by_digest", sql(
+    "SELECT DISTINCT company_id, data_date, 'left_only' AS side FROM pd_raw p WHERE (company_id, data_date) NOT IN "
+    "(SELECT (company_id, data_date) FROM pd_current) OR (company_id % 50 = 0 AND data_date < DATE '2024-01-21') "
+    "UNION ALL SELECT company_id + 1000000, data_date, 'right_only' FROM pd_current WHERE company_id % 70 = 0",
+    "pd_raw", "pd_current"))
+def q_diff_keys_by_digest(spark, d):
+    """All keys against those before the cut-off, without some and with some more: most buckets agree."""
+    current = _bucketed(fx.pd_current(spark, d))
+    other = current.where(F.col("company_id") % 50 != 0).unionByName(
+        current.where(F.col("company_id") % 70 == 0).withColumn("company_id", F.col("company_id") + 1000000))
+    return agg.diff_keys_by_digest(_bucketed(_latest(spark, d)), other, bucket=["econ_id", "data_date"])
+
+
+@register("asof_calibration", sql(
+    "SELECT d.data_date, (SELECT arg_min(calibration_date, data_start_date) FROM operation_log o "
+    "WHERE o.data_start_date >= d.data_date AND operation_action = 'daily_insertion') AS calibration_date "
+    "FROM (SELECT DISTINCT data_date FROM pd_raw) d", "pd_raw", "operation_log"))
+def q_asof_calibration(spark, d):
+    from riskloom.plans import jobs
+    return jobs.calibration_of_dates(fx.operation_log(spark, d), fx.pd_raw(spark, d))
+
+
+@register("asof_next_rating", sql(
+    "SELECT p.company_id, p.data_date, p.operation_time, r.pdir FROM pd_raw p ASOF LEFT JOIN rating_key r "
+    "ON p.company_id = r.company_id AND p.data_date <= r.data_date", "pd_raw", "rating_key"))
+def q_asof_next_rating(spark, d):
+    """Every version with the first rating of its company on or after its day."""
+    rows = fx.pd_raw(spark, d).select("company_id", "data_date", "operation_time")
+    return win.asof_forward(rows, fx.rating_key(spark, d), ["pdir"], "data_date", "data_date", keys=["company_id"])
+
+
+NOT_LOADED_SQL = (
+    "SELECT company_id, data_date, PD_12 FROM (" + LATEST_SQL + ") l WHERE NOT EXISTS (SELECT 1 FROM pd_current c "
+    "WHERE c.company_id = l.company_id AND c.data_date = l.data_date AND c.company_id % 4 <> 0)")
+
+
+@register("anti_not_loaded_indexed", sql(NOT_LOADED_SQL, "pd_raw", "pd_current"))
+def q_anti_not_loaded_indexed(spark, d):
+    """Rows not loaded yet, by the bitmap index; part of the table is indexed by a merge after an append."""
+    from riskloom.operators import key_index as ki
+    loaded = fx.pd_current(spark, d).where(F.col("company_id") % 4 != 0)
+    index = ki.build_key_index(loaded.where(F.col("company_id") % 3 != 0))
+    index = mu.staged(ki.merge_key_index(index, loaded.where(F.col("company_id") % 3 == 0)), "key-index")
+    return ki.anti_loaded_indexed(_latest(spark, d), loaded, index).select("company_id", "data_date", "PD_12")
+
+
 @register("anti_not_loaded", sql(
     f"SELECT company_id, data_date, operation_time, PDIR FROM ({LATEST_SQL}) l WHERE NOT EXISTS "
     "(SELECT 1 FROM pd_current c WHERE c.company_id = l.company_id AND c.data_date = l.data_date)",
