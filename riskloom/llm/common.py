@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.session import scratch_path, ship_package
@@ -35,21 +32,6 @@ def on_workers(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-@contextmanager
-def shuffled_joins(spark: SparkSession) -> Iterator[None]:
-    """Within, joins without a hint shuffle both sides, however small one is: many
-    rounds over tables whose size is not bounded leave no broadcasts behind on the driver."""
-    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name in names:
-        spark.conf.set(name, "-1")
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -3,7 +3,7 @@
 Each step points nodes at the smallest neighbour they know (large star: the
 larger neighbours, small star: the others); the links settle into one star per
 component, led by its smallest node: every node is a leader or has one link.
-Links meet their nodes' least neighbours by a shuffle on the node.  A node of
+Links meet their nodes' least neighbours by a join on the node.  A node of
 more than HOT links that has over a thousandth of all (fewer than 2000 are
 such) meets its own by broadcast instead, so no task gets all links of one.
 All state is a table of links in the shared checkpoint folder; nothing but
@@ -26,11 +26,11 @@ def _star(links: DataFrame, large: bool, total: int | None) -> DataFrame:
     both = links if not large else links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m"))
     if total is None:
-        met = both.join(least.drop("n").hint("shuffle_hash"), "u")
+        met = both.join(least.drop("n"), "u")
     else:
         hot = F.col("n") * 1000 > total
         few = F.broadcast(least.where(hot).drop("n"))
-        met = both.join(few, "u").unionByName(both.join(few, "u", "left_anti").join(least.where(~hot).drop("n").hint("shuffle_hash"), "u"))
+        met = both.join(few, "u").unionByName(both.join(few, "u", "left_anti").join(least.where(~hot).drop("n"), "u"))
     if large:
         moved = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.common import on_workers, shuffle_partitions, shuffled_joins, staged, table, with_computed
+from riskloom.llm.common import on_workers, shuffle_partitions, staged, table, with_computed
 from riskloom.llm.components import components
 from riskloom.llm.textops import LOWER, buffers, mix64, row_words, stretches
 
@@ -423,10 +423,8 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """id, cls (of the set), n_shingles, component_id."""
-    with shuffled_joins(docs.sparkSession):
-        rows, parts = _settled_parts(docs, id_col, text_col, words, percent)
-        named = _named(rows, parts)
-    return _reported(rows, named)
+    rows, parts = _settled_parts(docs, id_col, text_col, words, percent)
+    return _reported(rows, _named(rows, parts))
 
 
 def _settled_parts(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
