@@ -1,4 +1,4 @@
-"""Training-data operators: ten document operators and their registered queries.
+"""Training-data operators: thirteen operators and their registered queries.
 
 Nothing outside this subpackage (and ``corpus_pipeline.py``) imports it.
 """
