@@ -117,6 +117,8 @@ def ingest_complete(spark: SparkSession, landing: str, schema: T.StructType, tab
                     max_files_per_trigger: int | None = None) -> None:
     """Process the files landed so far (``availableNow``): days that are complete enter ``table``."""
     mu.checkpoint_root(spark)
+    if not table_exists(spark, table):                   # a table without a complete day is empty, not absent
+        spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("data_month", T.StringType())])).write.mode("append").parquet(table)
     decisions = gate(arrivals(spark, landing, delay, max_files_per_trigger), expected, patience)
     q = (decisions.writeStream.foreachBatch(load_released(landing, schema, table, release_log))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
