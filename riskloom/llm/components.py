@@ -3,16 +3,18 @@
 Each step points nodes at the smallest neighbour they know (large star: the
 larger neighbours, small star: the others); the links settle into one star per
 component, led by its smallest node: every node is a leader or has one link.
-Links meet their nodes' least neighbours by a join on the node.  A node of
-more than HOT links that has over a thousandth of all (fewer than 2000 are
-such) meets its own by broadcast instead, so no task gets all links of one.
+Up to HOT links, no node can have more than that, so windows over a node's links
+do, two shuffles for both steps.  Beyond, links meet their nodes' least
+neighbours by a join on the node, and a node of more than HOT links that has
+over a thousandth of all (fewer than 2000 are such) meets its own by broadcast,
+so no task gets all links of one.
 All state is a table of links in the shared checkpoint folder; nothing but
 numbers of rows reaches the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.llm.common import staged
 
@@ -38,9 +40,34 @@ def _star(links: DataFrame, large: bool, total: int | None) -> DataFrame:
     return moved.where("u > v")
 
 
+def _stars(links: DataFrame) -> DataFrame:
+    """(u, v) with u > v -> the links after both star steps, and whether a step moved them."""
+    least = F.min("v").over(Window.partitionBy("u"))
+    both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    large = (both.withColumn("m", F.least("u", least)).where("v > u")
+             .select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") < F.col("u")).alias("moved")))
+    rows = large.repartition("u").groupBy("u", "v").agg(F.max("moved").alias("moved")).withColumn("m", least)
+    other = F.col("v") != F.col("m")
+    return rows.select(F.when(other, F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"), (other | F.col("moved")).alias("moved"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(a, b) -> (node, component): the smallest node reachable, for every node but the smallest of each component."""
     now = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    settled = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    total = now.count()
+    while 0 < total <= HOT:
+        now = staged(_stars(now), "links")
+        settled = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        state = now.agg(F.count(F.lit(1)).alias("total"), F.max("moved").alias("moved")).first()
+        if not state["moved"]:
+            return settled
+        total = state["total"]
+    return _settled_wide(now.select("u", "v")) if total else settled
+
+
+def _settled_wide(now: DataFrame) -> DataFrame:
+    """The same for links of any number."""
     while True:
         ends = now.select("u", F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
             now.select(F.col("v").alias("u"), F.lit(0).alias("down"), F.lit(1).alias("up")))

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.llm.common import on_workers, shuffle_partitions, staged, table, with_computed
-from riskloom.llm.components import components
+from riskloom.llm.components import HOT, components
 from riskloom.llm.textops import LOWER, buffers, mix64, row_words, stretches
 
 WORDS, PERCENT = 4, 85
@@ -373,7 +373,11 @@ def _block_pairs(still: DataFrame, bins: DataFrame, percent: int) -> DataFrame:
 
 
 def _merged(parts: DataFrame, links: DataFrame, turn: int) -> DataFrame:
-    """(node, part) after more links: components of the components."""
+    """(node, part) after more links: components of both, or of the components where these have many nodes."""
+    if parts.count() <= HOT:
+        own = parts.select(F.col("node").alias("a"), F.col("part").alias("b"))
+        return components(links.unionByName(own)).withColumnRenamed("component", "part")
+
     def named(col):
         return parts.select(F.col("node").alias(col), F.col("part").alias(f"part_{col}"))
     up = links.join(named("a"), "a", "left").join(named("b"), "b", "left").select(

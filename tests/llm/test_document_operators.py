@@ -254,7 +254,9 @@ def test_linked_by_other_words_and_percent(docs_of):
     assert part(words=5, percent=80) == [1, 1] and part(words=4, percent=97) == [1, 2]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot", [components.HOT, 0])
+def test_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(components, "HOT", hot)
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + k, 1001 + k) for k in range(40)]
     out = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
