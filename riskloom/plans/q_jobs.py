@@ -32,12 +32,25 @@ DAY = dt.date(2024, 1, 15)
 RANGE = (dt.date(2024, 1, 15), dt.date(2024, 1, 19))
 NEW_DAY = dt.date(2024, 1, 22)
 CUTOFF = dt.date(2024, 1, 21)
+#: What a delivered row of horizons follows from.
+VALUE_COLS = ["company_id", "data_date", "PDIR", "value"]
+
+
 def _nan():
     return F.lit(float("nan"))
 
 
 def _latest(spark, d):
-    return win.latest_version(fx.pd_raw(spark, d))
+    return fx.pd_latest(spark, d)
+
+
+def _horizons(*cols):
+    return [F.expr(fx.PD_EXPRS[c]) for c in cols]
+
+
+def _last_horizon():
+    """The last of a row's values, missing where the rating is."""
+    return F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.expr(fx.PD_EXPRS["PD_60"]))
 
 
 def _pdir_schema(df):
@@ -67,24 +80,20 @@ def land_delivery(spark, d, products=("pd", "pdir", "as")):
 
 
 def _write_delivery(spark, d, root, products):
-    lat = _latest(spark, d)
+    lat, key = fx.latest_values(spark, d), F.col("company_id").cast("double")
     if "pd" in products:
-        pd60 = F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.col("PD_60"))
-        rows = lat.select(fx.econ_of().alias("econ_id"), _folder(F.col("data_date"), "P2_Pd").alias("folder"),
-                          F.array(F.col("company_id").cast("double"), *_ymd(), *[F.col(c) for c in PD_COLS[:-1]],
-                                  pd60).alias("values"))
-        write_matrix_shards(rows, root, "pd60h_", folder="folder")
+        rows = lat.select(fx.econ_of().alias("econ_id"), _folder(F.col("data_date"), "P2_Pd").alias("folder"), *VALUE_COLS)
+        write_matrix_shards(rows, root, "pd60h_", folder="folder",
+                            values=F.array(key, *_ymd(), *_horizons(*PD_COLS[:-1]), _last_horizon()))
     if "pdir" in products:
         rk = fx.rating_key(spark, d) if "pd" in products else fx.rating_all(spark, d)
         rows = rk.select(fx.econ_of().alias("econ_id"), _folder(F.col("data_date"), "P3_Pdir").alias("folder"),
                          F.array(F.col("company_id").cast("double"), *_ymd(), F.col("pdir")).alias("values"))
         write_matrix_shards(rows, root, "pdirNum_", folder="folder")
     if "as" in products:
-        cds5 = F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.col("PD_60"))
-        rows = lat.select(fx.econ_of().alias("econ_id"), _folder(F.col("data_date"), "P7_As").alias("folder"),
-                          F.array(F.col("company_id").cast("double"), *_ymd(),
-                                  *[F.col(f"PD_{12 * i}") for i in range(1, 5)], cds5).alias("values"))
-        write_matrix_shards(rows, root, "as_", folder="folder")
+        rows = lat.select(fx.econ_of().alias("econ_id"), _folder(F.col("data_date"), "P7_As").alias("folder"), *VALUE_COLS)
+        write_matrix_shards(rows, root, "as_", folder="folder",
+                            values=F.array(key, *_ymd(), *_horizons(*[f"PD_{12 * i}" for i in range(1, 5)]), _last_horizon()))
 
 
 # ---------------------------------------------------------------- J1
@@ -174,12 +183,9 @@ def q_job_pd_range(spark, d):
     "WHERE l.PDIR IS NOT NULL", "pd_raw", "rating_all"))
 def q_job_pd_backfill(spark, d):
     root = scratch_path(spark, "pd-history")
-    lat = _latest(spark, d)
-    pd60 = F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.col("PD_60"))
-    rows = lat.select(fx.econ_of().alias("econ_id"),
-                      F.array(F.col("company_id").cast("double"), *_ymd(), *[F.col(c) for c in PD_COLS[:-1]],
-                              pd60).alias("values"))
-    write_matrix_shards(rows, root, "pd60h_")
+    rows = fx.latest_values(spark, d).select(fx.econ_of().alias("econ_id"), *VALUE_COLS)
+    write_matrix_shards(rows, root, "pd60h_", values=F.array(F.col("company_id").cast("double"), *_ymd(), *_horizons(*PD_COLS[:-1]),
+                                                             _last_horizon()))
     ratings = jobs.pdir_backfill(rating_grid(spark, d))
     return jobs.pd_backfill(spark, root, ratings, "20240201", OPERATION_TIME, scratch_path(spark, "pd-backfill"))
 
@@ -427,11 +433,10 @@ RUN_ECONOMIES = (1, 2, 3)
 def land_daily_run(spark, d):
     """A delivery of PD and rating shards for every day, cut into three economies."""
     def build(root):
-        lat, econ = _latest(spark, d), (F.col("company_id") % 3 + 1).cast("int").alias("econ_id")
-        pd60 = F.when(F.col("PDIR").isNull(), _nan()).otherwise(F.col("PD_60"))
+        lat, econ = fx.latest_values(spark, d), (F.col("company_id") % 3 + 1).cast("int").alias("econ_id")
         key = F.col("company_id").cast("double")
-        write_matrix_shards(lat.select(econ, _folder(F.col("data_date"), "P2_Pd").alias("folder"), F.array(
-            key, *_ymd(), *[F.col(c) for c in PD_COLS[:-1]], pd60).alias("values")), root, "pd60h_", folder="folder")
+        write_matrix_shards(lat.select(econ, _folder(F.col("data_date"), "P2_Pd").alias("folder"), *VALUE_COLS), root, "pd60h_",
+                            folder="folder", values=F.array(key, *_ymd(), *_horizons(*PD_COLS[:-1]), _last_horizon()))
         write_matrix_shards(fx.rating_key(spark, d).select(econ, _folder(F.col("data_date"), "P3_Pdir").alias("folder"), F.array(
             key, *_ymd(), F.col("pdir")).alias("values")), root, "pdirNum_", folder="folder")
     return landed_fixture(spark, "delivery-daily-run", d, build)

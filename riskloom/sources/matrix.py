@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition,
@@ -357,9 +357,12 @@ def scan_matrix(spark: SparkSession, root: str | Sequence[str], glob: str = "*",
 
 
 def write_matrix_shards(rows: DataFrame, out_dir: str, prefix: str, key: str = "econ_id", num_partitions: int | None = None,
-                        folder: str | None = None, variables: Sequence[str] = (), file_bytes: int = FILE_BYTES) -> DataFrame:
+                        folder: str | None = None, variables: Sequence[str] = (), file_bytes: int = FILE_BYTES,
+                        values: Column | None = None) -> DataFrame:
     """Land (key, values) rows as ``[<folder>/]{prefix}{key}.p{task}-{n}.npy``
-    files of at most about ``file_bytes``; returns (path, key, n_rows) of the files, read back."""
+    files of at most about ``file_bytes``; returns (path, key, n_rows) of the files, read back.
+    ``values`` makes a row's array from its other columns once the rows are where they are
+    written, so that arrays that follow from a few columns are neither shuffled nor sorted."""
     spark = rows.sparkSession
     name = register_source(spark)
     groups = ([folder] if folder else []) + [key]
@@ -367,7 +370,9 @@ def write_matrix_shards(rows: DataFrame, out_dir: str, prefix: str, key: str = "
     # of groups, so a group lands in one or a few files, and a hot economy is
     # split across tasks by the hash instead of landing in one.
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = rows.select(*groups, "values").repartitionByRange(n, *groups, F.xxhash64("values")).sortWithinPartitions(*groups)
+    own = ["values"] if values is None else [c for c in rows.columns if c not in groups]
+    src = rows.select(*groups, *own).repartitionByRange(n, *groups, F.xxhash64(*own)).sortWithinPartitions(*groups)
+    src = src.select(*groups, (F.col("values") if values is None else values).alias("values"))
     writer = src.write.format(name).mode("append").option("out", out_dir).option("prefix", prefix).option("key", key)
     if folder:
         writer = writer.option("folder", folder)

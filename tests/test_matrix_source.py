@@ -106,3 +106,12 @@ def test_only_accepted_attempts_are_published(tmp_path):
         np.save(folder / "x_1.p00000-0.npy", np.full((1, 1), value))
     writer.commit([mx.Written([(f"{writer.staging}/1/x_1.p00000-0.npy", "x_1.p00000-0.npy")]), None])
     assert [p.name for p in tmp_path.iterdir()] == ["x_1.p00000-0.npy"] and np.load(tmp_path / "x_1.p00000-0.npy")[0, 0] == 1.0
+
+
+def test_values_are_made_where_they_are_written(spark, tmp_path):
+    rows = spark.range(500).selectExpr("cast(id % 3 AS int) AS econ_id", "cast(id AS double) AS x")
+    made = F.array("x", F.col("x") * 2)
+    mx.write_matrix_shards(rows, f"{tmp_path}/late", "pd_", num_partitions=4, values=made)
+    mx.write_matrix_shards(rows.select("econ_id", made.alias("values")), f"{tmp_path}/early", "pd_", num_partitions=4)
+    late, early = (sorted(map(tuple, mx.scan_matrix(spark, f"{tmp_path}/{n}", "pd_*").select("econ_id", "values").collect())) for n in ("late", "early"))
+    assert late == early and len(late) == 500

@@ -53,3 +53,24 @@ def test_bench_headline_queries_are_registered():
     qs = E.queries()
     assert set(bench.HEADLINE) <= set(qs)
     assert os.path.isdir(E.SMOKE_DIR)
+
+
+def events(spark, path, rows):
+    """A folder with an events table of (event_id, ts, user_id, event_type, value)."""
+    made = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
+    made.selectExpr("event_id", "cast(ts AS timestamp_ntz) AS ts", "user_id", "event_type", "value", "'{}' AS props").write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+EVENTS = [(1, "2024-01-10 08:00:00", 7, "click", 2.0), (2, "2024-01-10 09:00:00", 7, "view", 3.0), (3, "2024-01-16 09:00:00", 7, "error", 4.0),
+          (4, "2024-01-16 10:00:00", 8, "click", 5.0), (5, "2024-01-25 10:00:00", None, "click", None)]
+
+
+def test_horizons_follow_the_choice_of_versions(spark, tmp_path):
+    d = events(spark, tmp_path, EVENTS)
+    latest = fx.pd_latest(spark, d)
+    assert "PD_60" not in plan(latest).split("Window", 1)[1]           # neither sorted nor shuffled
+    want = win.latest_version(fx.pd_raw(spark, d))
+    assert latest.columns == want.columns and sorted(latest.collect(), key=str) == sorted(want.collect(), key=str)
+    before = win.latest_version(fx.pd_raw(spark, d).where("data_date < date'2024-01-21'"))
+    assert sorted(fx.pd_current(spark, d).collect(), key=str) == sorted(before.collect(), key=str)
