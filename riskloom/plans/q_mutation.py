@@ -176,10 +176,9 @@ def q_commit_partitions(spark, d):
     path = scratch_path(spark, "pd-state")
     cur = mu.with_month(fx.pd_current(spark, d))
     cur.write.mode("overwrite").partitionBy("data_month").parquet(path)
-    table = spark.read.parquet(path)
     inc = mu.with_month(_incoming(spark, d))
-    touched = inc.select("data_month").distinct()
-    cur_touched = table.join(touched, "data_month", "left_semi")
+    # months by their names, not by a join: a month is one key, and all its rows would go to one task
+    cur_touched = mu.read_touched(spark, path, inc)
     new_state = mu.upsert(cur_touched, inc.select(*cur_touched.columns), KEYS)
     mu.commit_partitions(new_state, path)
     return spark.read.parquet(path).select(*[c for c in cur.columns])

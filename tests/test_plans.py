@@ -66,6 +66,21 @@ EVENTS = [(1, "2024-01-10 08:00:00", 7, "click", 2.0), (2, "2024-01-10 09:00:00"
           (4, "2024-01-16 10:00:00", 8, "click", 5.0), (5, "2024-01-25 10:00:00", None, "click", None)]
 
 
+def test_touched_months_are_not_one_shuffle_key(spark, tmp_path, monkeypatch):
+    from riskloom.operators import mutate as mu
+    from riskloom.plans import q_mutation as qm
+    d, seen, commit = events(spark, tmp_path, EVENTS), [], mu.commit_partitions
+    monkeypatch.setattr(mu, "commit_partitions", lambda df, path: (seen.append(plan(df)), commit(df, path)))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = qm.q_commit_partitions(spark, d).select("company_id", "PDIR", "data_month").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "hashpartitioning(data_month" not in seen[0]
+    assert sorted(map(tuple, rows), key=str) == sorted([(7, 0.0, "2024-01"), (7, None, "2024-01"), (8, 5.0, "2024-01"), (None, 6.0, "2024-01")], key=str)
+
+
 def test_horizons_follow_the_choice_of_versions(spark, tmp_path):
     d = events(spark, tmp_path, EVENTS)
     latest = fx.pd_latest(spark, d)
