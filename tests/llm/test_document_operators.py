@@ -140,6 +140,17 @@ def test_mix_fills_until_nothing_fits(docs_of):
         assert left >= 0 and (whole == 2 or all(size > left for size in open_ones)), s
 
 
+def test_mix_rounds_do_not_pile_up(docs_of, monkeypatch):
+    take, plans = source_mix._take, []
+
+    def seen(pool, left):
+        plans.append(pool._jdf.queryExecution().optimizedPlan().toString())
+        return take(pool, left)
+    monkeypatch.setattr(source_mix, "_take", seen)
+    source_mix.plan_mix(docs_of([(k, "w " * (1 + k * k % 97), None, "ab"[k % 2]) for k in range(400)])).collect()
+    assert len(plans) > 1 and not any("Join" in p for p in plans)        # each round starts from a table
+
+
 def test_mix_empty_and_wordless(docs_of):
     assert source_mix.plan_mix(docs_of([(1, "a")]).limit(0)).count() == 0
     assert source_mix.mix(docs_of([(1, "a")]).limit(0)).count() == 0
