@@ -214,8 +214,8 @@ def pd_range(spark: SparkSession, root: str, start, end, operation_time, table:
     # the shards are decoded once; the batch's months are the folders it was staged in
     rows, months = mu.staged_by_month(mu.with_month(rows), "pd-range")
     current = spark.read.parquet(table).where(F.col("data_month").isin(months))
-    # insert-ignore on the version key: a run that is repeated adds nothing
-    sk.append(mu.inserted_rows(current, rows, PD_KEYS), table, partition_cols=["data_month"])
+    # insert-ignore on the version key: a run that is repeated adds nothing; each key is in the batch once
+    sk.append(mu.absent_rows(current, rows.select(*current.columns), PD_KEYS), table, partition_cols=["data_month"])
     if not fill_first:
         forward_fill_table(spark, table, start)
     if refresh is not None:

@@ -96,7 +96,7 @@ def gate(seen: DataFrame, expected: Sequence[int], patience: dt.timedelta = dt.t
 
 def load_released(landing: str, schema: T.StructType, table: str, release_log: str, keys: Sequence[str] = tuple(PD_KEYS)):
     """foreachBatch function: the rows of the released folders into the versioned table, then the log."""
-    load = upsert_versions(table, keys)
+    load = upsert_versions(table, keys, written=True)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession

@@ -22,18 +22,23 @@ from riskloom.schemas import PD_KEYS
 from riskloom.sources.readers import table_exists
 
 
-def upsert_versions(table: str, keys: Sequence[str] = tuple(PD_KEYS)):
-    """foreachBatch function: append the versions the table lacks."""
+def upsert_versions(table: str, keys: Sequence[str] = tuple(PD_KEYS), written: bool = False):
+    """foreachBatch function: append the versions the table lacks.  A batch that
+    reads a ``written`` table is read again where another is written once."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         # the key includes the version (operation_time): rows sharing it are the
-        # same version, so a hash de-duplication (partial aggregation) suffices
-        fresh = mu.with_month(batch).dropDuplicates(list(keys))
+        # same version, and any of them will do
+        fresh = mu.with_month(batch)
         if table_exists(spark, table):
-            # written by month once: the batch is evaluated once, and its months are the folders' names
-            fresh, months = mu.staged_by_month(fresh, "ingest-batch")
+            if written:
+                months = [r[0] for r in fresh.select("data_month").distinct().collect()]       # bounded by the calendar
+            else:                                    # the batch is evaluated once, and its months are the folders' names
+                fresh, months = mu.staged_by_month(fresh, "ingest-batch")
             current = spark.read.parquet(table).where(F.col("data_month").isin(months))
-            fresh = fresh.select(*current.columns).join(current.select(*keys), list(keys), "left_anti")
+            fresh = mu.one_per_key(mu.absent_rows(current, fresh.select(*current.columns), keys), keys)
+        else:
+            fresh = fresh.dropDuplicates(list(keys))
         # appending while reading the table is safe: the scan's file list is
         # fixed when the batch is planned and new files commit at job end
         fresh.write.mode("append").partitionBy("data_month").parquet(table)

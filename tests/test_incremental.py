@@ -150,3 +150,30 @@ def test_arrivals_are_files(spark, tmp_path):
     query = seen.writeStream.format("memory").queryName("gate_arrivals").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted((r.folder, r.econ_id) for r in spark.table("gate_arrivals").collect()) == [("a", 1), ("a", 2), ("b", 1)]
+
+
+def test_keys_are_compared_on_their_own(spark, tmp_path):
+    keys = ["company_id", "operation_time"]
+    spark.createDataFrame([(1, 1, 1.0), (1, 1, 2.0), (2, 1, 3.0), (None, 1, 4.0), (None, 1, 5.0)], "company_id int, operation_time int, x double").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    one = mu.one_per_key(rows, keys)
+    assert sorted((r.company_id or 0) for r in one.collect()) == [0, 1, 2]
+    single = mu.one_per_key(rows.where("company_id = 2"), keys)
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
+    left = mu.absent_rows(rows.where("company_id = 1 OR company_id IS NULL"), rows, keys)
+    assert sorted(r.x for r in left.collect()) == [3.0, 4.0, 5.0]
+
+
+def test_written_batch_is_loaded_without_moving_whole_rows(spark, tmp_path, monkeypatch):
+    from riskloom.streaming.ingest import upsert_versions
+    schema = "company_id int, data_date date, operation_time timestamp_ntz, x double"
+    rows = spark.createDataFrame([(k, dt.date(2024, 1, 1 + k % 3), dt.datetime(2024, 1, 5), float(k)) for k in range(20)], schema)
+    rows.write.parquet(f"{tmp_path}/batch")
+    table, batch = f"{tmp_path}/table", spark.read.parquet(f"{tmp_path}/batch")
+    mu.with_month(rows.limit(0)).write.parquet(table)
+    plans, one = [], mu.one_per_key
+    monkeypatch.setattr(mu, "one_per_key", lambda r, k: (plans.append((out := one(r, k))._jdf.queryExecution().executedPlan().toString()), out)[1])
+    load = upsert_versions(table, ["company_id", "data_date", "operation_time"], written=True)
+    load(batch, 0)
+    load(batch, 1)                                                     # a replay adds nothing
+    assert spark.read.parquet(table).count() == 20 and "Exchange" not in plans[0]
