@@ -371,12 +371,11 @@ def land_events_daily(spark, d, day=None):
     """Event deliveries (4 region shards each), in a folder a month or on the given day
     (a column), and the event table, by month, as loaded before 1996."""
     root = scratch_path(spark, "events-delivery")
-    ev = fx.credit_events_raw(spark, d)
+    ev = mu.staged(fx.credit_events_raw(spark, d), "events-raw")      # range bounds, shards and table read it
     day = F.trunc("default_date", "month") if day is None else day
     folder = F.concat(F.date_format(day, "yyyyMMdd"), F.lit("_cali_20240201/Products/CompanyFlow"))
-    rows = ev.select((F.col("company_id") % 4 + 1).alias("region"), folder.alias("folder"),
-                     _event_values(ev, daily=True).alias("values"))
-    write_matrix_shards(rows, root, "NewCreditEvent_Region_", key="region", folder="folder")
+    rows = ev.select((F.col("company_id") % 4 + 1).alias("region"), folder.alias("folder"), "*")
+    write_matrix_shards(rows, root, "NewCreditEvent_Region_", key="region", folder="folder", values=_event_values(ev, daily=True))
     table = scratch_path(spark, "events-table")
     old = ev.where(F.col("default_date") < F.lit(dt.date(1996, 1, 1))).select(
         "default_date", "company_id", "default_type", "event_id", F.lit(None).cast("string").alias("additional_comments"))

@@ -265,14 +265,14 @@ class MatrixWriter(DataSourceArrowWriter):
         for rb in iterator:
             if not rb.num_rows:
                 continue
-            keys = [rb.column(c).to_pylist() for c in ([self.folder] if self.folder else []) + [self.key]]
+            keys = [rb.column(c) for c in ([self.folder] if self.folder else []) + [self.key]]
             lists = rb.column("values")
             m = lists.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(rb.num_rows, -1)
+            codes = np.stack([k.dictionary_encode().indices.fill_null(-1).to_numpy() for k in keys])
+            ends = [*(np.flatnonzero((codes[:, 1:] != codes[:, :-1]).any(0)) + 1).tolist(), rb.num_rows]
             at = 0
-            for row in range(1, rb.num_rows + 1):
-                if row < rb.num_rows and all(k[row] == k[at] for k in keys):
-                    continue
-                now = tuple(k[at] for k in keys)
+            for row in ends:                             # runs of rows of one group
+                now = tuple(k[at].as_py() for k in keys)
                 if now != group:
                     flush()
                     group, number = now, 0
