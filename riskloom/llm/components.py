@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskloom.llm.common import staged
+from riskloom.llm.common import narrowed, staged
 
 #: Links of one node that a task may get.
 HOT = 100_000
@@ -40,24 +40,27 @@ def _star(links: DataFrame, large: bool, total: int | None) -> DataFrame:
     return moved.where("u > v")
 
 
-def _stars(links: DataFrame) -> DataFrame:
-    """(u, v) with u > v -> the links after both star steps, and whether a step moved them."""
+def _stars(links: DataFrame, total: int) -> DataFrame:
+    """(u, v) with u > v, ``total`` of them -> the links after both star steps, and whether a step moved them."""
     least = F.min("v").over(Window.partitionBy("u"))
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    large = (both.withColumn("m", F.least("u", least)).where("v > u")
+    large = (narrowed(both.withColumn("m", F.least("u", least)), 2 * total).where("v > u")
              .select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") < F.col("u")).alias("moved")))
     rows = large.repartition("u").groupBy("u", "v").agg(F.max("moved").alias("moved")).withColumn("m", least)
     other = F.col("v") != F.col("m")
-    return rows.select(F.when(other, F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"), (other | F.col("moved")).alias("moved"))
+    moved = rows.select(F.when(other, F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"), (other | F.col("moved")).alias("moved"))
+    return narrowed(moved, total)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(a, b) -> (node, component): the smallest node reachable, for every node but the smallest of each component."""
-    now = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+def components(links: DataFrame, most: int | None = None) -> DataFrame:
+    """(a, b) -> (node, component): the smallest node reachable, for every node but the smallest of
+    each component.  ``most``: a bound of the number of links, if one is known."""
+    own = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    now = staged(own if most is None else narrowed(own, most), "links")
     settled = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     total = now.count()
     while 0 < total <= HOT:
-        now = staged(_stars(now), "links")
+        now = staged(_stars(now, total), "links")
         settled = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
         state = now.agg(F.count(F.lit(1)).alias("total"), F.max("moved").alias("moved")).first()
         if not state["moved"]:

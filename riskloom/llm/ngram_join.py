@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.common import on_workers, shuffle_partitions, staged, table, with_computed
+from riskloom.llm.common import narrowed, on_workers, release_memory, shuffle_partitions, staged, table, with_computed
 from riskloom.llm.components import HOT, components
 from riskloom.llm.textops import LOWER, buffers, mix64, row_words, stretches
 
@@ -55,6 +55,8 @@ SALT_HOLDS = 4096
 PAIRS_PER_ROW, ROUNDS = 4, 3
 #: Tokens of more classes are compared in blocks of about as many.
 HOLDS = 128
+#: Pairs of histograms, and rows with a text or histograms, that weigh as much as a plain row.
+LIGHT, HEAVY = 64, 16
 _BLOCK = 4096
 _SEEDS = mix64(np.arange(1, ORDERS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 
@@ -103,6 +105,7 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     on_workers(docs.sparkSession)
 
     def run(batches):
+        release_memory()
         for batch in batches:
             n, cls, bins = [], [], []
             for _, sets in _sets(batch.column(1), words):
@@ -122,6 +125,7 @@ def sketch(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> np.nd
     on_workers(docs.sparkSession)
 
     def count(batches):
+        release_memory()
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for _, sets in _sets(batch.column(0), words):
@@ -138,14 +142,15 @@ def sketch(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> np.nd
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found[block] = found.get(block, 0) + np.frombuffer(data, f"<u{len(data) // _BLOCK}").astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([v.tobytes() for v in found.values()], pa.binary())],
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()),
+                                          pa.array([np.minimum(v, 0xFFFFFFFF).astype("<u4").tobytes() for v in found.values()], pa.binary())],
                                          names=["block", "counts"])
 
     parts = docs.select(text_col).mapInArrow(count, "block int, counts binary")
     parts = parts.repartition(min(shuffle_partitions(docs.sparkSession), SLOTS // _BLOCK), "block").mapInArrow(add, "block int, counts binary")
     out = np.zeros(SLOTS, np.uint32)
-    for row in parts.toLocalIterator():                  # SLOTS counts in all, up to 2^32 - 1
-        out[row["block"] * _BLOCK:(row["block"] + 1) * _BLOCK] = np.minimum(np.frombuffer(row["counts"], np.int64), 0xFFFFFFFF)
+    for row in parts.collect():                          # SLOTS counts of 4 bytes in all, in one job
+        out[row["block"] * _BLOCK:(row["block"] + 1) * _BLOCK] = np.frombuffer(row["counts"], "<u4")
     return out
 
 
@@ -183,6 +188,7 @@ def postings(docs: DataFrame, levels, salts, text_col: str = "text", words: int
     names = ["token", "salts", "salt", "node", "n"]
 
     def run(batches):
+        release_memory()
         seen: set[int] = set()
         level, salt = levels.value, salts.value
         for batch in batches:
@@ -224,6 +230,7 @@ def full_sets(texts: DataFrame, levels, words: int = WORDS, percent: int = PERCE
     on_workers(texts.sparkSession)
 
     def run(batches):
+        release_memory()
         for batch in batches:
             for _, sets in _sets(batch.column(0), words):
                 others = [np.concatenate([prefix(s, levels.value, k, percent) for k in range(1, ORDERS)]).astype(np.uint32).tobytes() for s in sets]
@@ -253,19 +260,21 @@ def similar(a: tuple[bytes, bytes], b: tuple[bytes, bytes], percent: int = PERCE
 def _filtered(pairs: DataFrame, sets: DataFrame, columns: list[str], test) -> DataFrame:
     """The pairs (a, b) for which ``test`` holds of both sets' ``columns``."""
     pairs = staged(pairs, "pairs")
-    involved = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "involved")
+    total = pairs.count()
+    involved = staged(narrowed(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * total), "involved")
     sets = sets.join(involved, "node", "left_semi")
 
     def side(name):
         return sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def run(batches):
+        release_memory()
         for batch in batches:
             a, b, *rest = (c.to_pylist() for c in batch.columns)
             keep = [test(r[:len(columns)], r[len(columns):]) for r in zip(*rest)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(c, keep) if k], pa.int64()) for c in (a, b)], names=["a", "b"])
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = narrowed(narrowed(pairs.join(side("a"), "a"), total).join(side("b"), "b"), total)
     return both.select("a", "b", *[f"{c}_{s}" for s in "ab" for c in columns]).mapInArrow(run, "a long, b long")
 
 
@@ -284,9 +293,9 @@ def _fits(percent: int) -> Column:
 
 
 def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b), a < b, of rows (a, n, b, m) whose sizes allow a link."""
+    """(a, b), a < b, of rows (a, n, b, m) whose sizes allow a link; some repeat."""
     return (rows.where((F.col("a") != F.col("b")) & _fits(percent))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
 def _led(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -295,56 +304,58 @@ def _led(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return rows.withColumn("lead", first)
 
 
-def star_pairs(posts: DataFrame, percent: int) -> DataFrame:
+def star_pairs(posts: DataFrame, total: int, percent: int) -> DataFrame:
     """First round: every class with the leader of its token and salt, those leaders with the token's."""
-    posts = _led(posts.withColumn("place", F.xxhash64("node")), ["token", "salt"], "place")
+    posts = narrowed(_led(posts.withColumn("place", F.xxhash64("node")), ["token", "salt"], "place"), total)
     inner = posts.select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m"))
     leads = posts.where("node = lead.node and salts > 1").drop("lead")
-    outer = _led(leads, ["token"], "place").select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m"))
-    return _pairs(inner.unionByName(outer), percent)
+    outer = narrowed(_led(leads, ["token"], "place"), total).select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m"))
+    return narrowed(_pairs(inner.unionByName(outer), percent).distinct(), total)
 
 
-def _open(posts: DataFrame, parts: DataFrame) -> DataFrame:
+def _open(posts: DataFrame, total: int, parts: DataFrame) -> DataFrame:
     """(token, node, n, part, main, all): postings of tokens that hold several
     components, with the token's most frequent one and its number of postings.
     Tokens of one salt hold a bounded number of classes, so windows do; the
     frequent ones are counted first and joined."""
-    rows = posts.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    rows = narrowed(posts.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")), total)
     of_token, of_part = Window.partitionBy("token"), Window.partitionBy("token", "part")
-    few = rows.where("salts = 1").withColumn("k", F.count(F.lit(1)).over(of_part))
+    few = rows.where("salts = 1").repartition("token").withColumn("k", F.count(F.lit(1)).over(of_part))
     few = few.withColumns({"main": F.max(F.struct("k", "part")).over(of_token)["part"], "all": F.count(F.lit(1)).over(of_token)}).where("k < all")
     many = rows.where("salts > 1")
-    per = many.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k"))
+    per = narrowed(many.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k")), total)
     main = per.groupBy("token").agg(F.max_by("part", F.struct("k", "part")).alias("main"), F.count(F.lit(1)).alias("several"),
                                     F.sum("k").alias("all")).where("several > 1").drop("several")
+    main = narrowed(main, total)
     columns = ["token", "salts", "node", "n", "part", "main", "all"]
-    return few.select(columns).unionByName(many.join(main, "token").select(columns))
+    return narrowed(few.select(columns), total).unionByName(narrowed(many.join(main, "token").select(columns), total))
 
 
-def _leader_pairs(still: DataFrame, turn: int, percent: int) -> DataFrame:
+def _leader_pairs(still: DataFrame, total: int, turn: int, percent: int) -> DataFrame:
     """Classes outside their token's main component, with a member of it picked anew for each round."""
     pick = (still.where("part = main").groupBy("token")
             .agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(turn))).alias("lead")))
-    return _pairs(still.where("part <> main").join(pick, "token")
-                  .select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m")), percent)
+    met = narrowed(still.where("part <> main").join(pick, "token"), total)
+    return narrowed(_pairs(met.select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m")), percent).distinct(), total)
 
 
-def _all_pairs(still: DataFrame, percent: int) -> DataFrame:
-    """Every pair of a token's classes in different components: one of them is outside the main one."""
+def _all_pairs(still: DataFrame, most: int, percent: int) -> DataFrame:
+    """Every pair (``most`` at most) of a token's classes in different components: one of them is outside the main one."""
     out = still.where("part <> main").select("token", F.col("node").alias("a"), "n", F.col("part").alias("own"))
     rest = still.select("token", F.col("node").alias("b"), F.col("n").alias("m"), "part", (F.col("part") == F.col("main")).alias("in_main"))
-    return _pairs(out.join(rest, "token").where((F.col("own") != F.col("part")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _fits(percent)), percent)
+    met = out.join(rest, "token").where((F.col("own") != F.col("part")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _fits(percent))
+    return narrowed(_pairs(met, percent), most)
 
 
-def _block_pairs(still: DataFrame, bins: DataFrame, percent: int) -> DataFrame:
+def _block_pairs(still: DataFrame, total: int, most: int, bins: DataFrame, percent: int) -> DataFrame:
     """The same for tokens of many classes: classes outside the main component
     against all, a block of about HOLDS by a block; only pairs whose histograms
     allow a link leave the task."""
-    rows = still.join(bins.select("node", "bins"), "node").withColumn(
+    rows = narrowed(still.join(bins.select("node", "bins"), "node"), HEAVY * total).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / HOLDS)))
     one = F.collect_list(F.struct("node", "n", "part", F.col("part") == F.col("main"), "bins"))
-    rest = rows.groupBy("token", F.col("block").alias("to")).agg(one.alias("rest"))
-    out = rows.where("part <> main").groupBy("token", "block").agg(one.alias("out"))
+    rest = narrowed(rows.groupBy("token", F.col("block").alias("to")).agg(one.alias("rest")), HEAVY * total)
+    out = narrowed(rows.where("part <> main").groupBy("token", "block").agg(one.alias("out")), HEAVY * total)
 
     def unpack(items):
         node, n, part, main, packed = ([tuple(i.values())[k] for i in items] for k in range(5))
@@ -354,6 +365,7 @@ def _block_pairs(still: DataFrame, bins: DataFrame, percent: int) -> DataFrame:
         return np.stack([h.astype(np.int32).reshape(width, -1).sum(1) for h in hists])
 
     def run(batches):
+        release_memory()
         for batch in batches:
             for x, y in zip(*(batch.column(k) for k in (0, 1))):
                 (a, n, own, _, g), (b, m, part, main, h) = unpack(x.as_py()), unpack(y.as_py())
@@ -369,14 +381,16 @@ def _block_pairs(still: DataFrame, bins: DataFrame, percent: int) -> DataFrame:
                     found[1].append(np.maximum(a[k], b[ok]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(f)) for f in found], names=["a", "b"])
 
-    return out.join(rest, "token").select("out", "rest").mapInArrow(run, "a long, b long").distinct()
+    return narrowed(out.join(rest, "token").select("out", "rest"), most // LIGHT).mapInArrow(run, "a long, b long")
 
 
 def _merged(parts: DataFrame, links: DataFrame, turn: int) -> DataFrame:
     """(node, part) after more links: components of both, or of the components where these have many nodes."""
-    if parts.count() <= HOT:
+    links = staged(links, "found")
+    known, fresh = parts.count(), links.count()
+    if known <= HOT:
         own = parts.select(F.col("node").alias("a"), F.col("part").alias("b"))
-        return components(links.unionByName(own)).withColumnRenamed("component", "part")
+        return components(links.unionByName(own), known + fresh).withColumnRenamed("component", "part") if fresh else parts
 
     def named(col):
         return parts.select(F.col("node").alias(col), F.col("part").alias(f"part_{col}"))
@@ -391,26 +405,29 @@ def _merged(parts: DataFrame, links: DataFrame, turn: int) -> DataFrame:
 def settled(posts: DataFrame, bins: DataFrame, test, percent: int = PERCENT) -> DataFrame:
     """(node, part) of the classes that pairs which pass ``test`` connect, but for each component's smallest."""
     parts = posts.sparkSession.createDataFrame([], "node long, part long")
-    parts = _merged(parts, test(star_pairs(posts, percent)), 0)
+    total = posts.count()
+    parts = _merged(parts, test(star_pairs(posts, total, percent)), 0)
     joined = parts.count()
     still = posts
     for turn in range(1, ROUNDS + 2):
         # a token whose classes are joined stays so: what was open before is all that can be open now
-        still = staged(_open(still.select("token", "salts", "node", "n"), parts), f"open-{turn}")
+        still = staged(_open(still.select("token", "salts", "node", "n"), total, parts), f"open-{turn}")
         outside = F.col("part") != F.col("main")
         size = still.agg(F.count(F.lit(1)).alias("rows"), F.sum(outside.cast("long") * F.col("all")).alias("pairs"),
                          F.approx_count_distinct(F.when(outside, F.col("node"))).alias("nodes")).first()
         if not size["rows"]:
             break
+        total = size["rows"]
         # leaders are worth a round as long as the round before joined a tenth of the classes left
         last = size["pairs"] <= PAIRS_PER_ROW * size["rows"] or turn > ROUNDS or 10 * joined < size["nodes"]
         if last:
             few, many = still.where(F.col("all") <= HOLDS), still.where(F.col("all") > HOLDS)
-            pairs = _all_pairs(few, percent)
+            pairs = _all_pairs(few, size["pairs"], percent)
             if many.limit(1).count():
-                pairs = pairs.unionByName(_block_pairs(many, bins, percent)).distinct()
+                pairs = pairs.unionByName(_block_pairs(many, total, size["pairs"], bins, percent))
+            pairs = narrowed(pairs.distinct(), size["pairs"])
         else:
-            pairs = _leader_pairs(still, turn, percent)
+            pairs = _leader_pairs(still, total, turn, percent)
         before = parts.count()
         parts = _merged(parts, test(pairs), turn)
         joined = parts.count() - before
@@ -447,17 +464,19 @@ def _settled_parts(docs: DataFrame, id_col: str, text_col: str, words: int, perc
     near = Window.partitionBy("token", "salt").orderBy("size").rangeBetween(-reach, reach)
     posts = posts.withColumn("least", F.min("node").over(near)).withColumn("most", F.max("node").over(near))
     posts = staged(posts.where("least < most or salts > 1").select("token", "salts", "salt", "node", "n").distinct(), "postings")
-    nodes = posts.select("node").distinct()
-    bins = staged(rows.join(nodes, rows["cls"] == nodes["node"], "left_semi")
-                  .groupBy(F.col("cls").alias("node")).agg(F.max("n_shingles").alias("n"), F.max("bins").alias("bins")), "bins")
+    total = posts.count()
+    nodes = narrowed(posts.select("node").distinct(), total)
+    bins = rows.join(nodes, rows["cls"] == nodes["node"], "left_semi").groupBy(F.col("cls").alias("node"))
+    bins = staged(narrowed(bins.agg(F.max("n_shingles").alias("n"), F.max("bins").alias("bins")), total), "bins")
     maybe = settled(posts, bins, lambda pairs: possible(pairs, bins, percent), percent)
 
     # the classes that may link, each token once for every component it is in, and one text of each class
-    whole = staged(maybe.unionByName(maybe.select(F.col("part").alias("node"), "part")).distinct(), "maybe")
-    posts = staged(posts.join(whole, "node").withColumn("token", F.xxhash64("token", "part")).drop("part"), "postings-in")
+    most = 2 * maybe.count()
+    whole = staged(narrowed(maybe.unionByName(maybe.select(F.col("part").alias("node"), "part")).distinct(), most), "maybe")
+    posts = staged(narrowed(posts.join(whole, "node").withColumn("token", F.xxhash64("token", "part")).drop("part"), total), "postings-in")
     firsts = (rows.join(whole, rows["cls"] == whole["node"], "left_semi").groupBy("cls").agg(F.min("id").alias("id")).select("id").distinct())
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = own.join(firsts.hint("shuffle_hash"), "id", "left_semi").unionByName(own.where("id is null")).select("text")
+    texts = narrowed(own.join(firsts.hint("shuffle_hash"), "id", "left_semi"), HEAVY * most).unionByName(own.where("id is null")).select("text")
     sets = staged(full_sets(texts, levels, words, percent), "full")
     levels.destroy()                                     # all that needs them is written
     salts.destroy()

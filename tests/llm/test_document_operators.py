@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import uuid
 import zlib
 
 import duckdb
@@ -282,6 +283,38 @@ def test_components(spark, monkeypatch, hot):
         assert out.get(start, start) == min(seen)
 
 
+def _work_of(spark, call):
+    """(jobs, tasks) that ``call`` runs on 200 shuffle partitions that Spark does not coalesce."""
+    conf = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    group, tracker = uuid.uuid4().hex, spark.sparkContext.statusTracker()
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        call()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    stages = [tracker.getStageInfo(s) for s in {s for j in jobs for s in j.stageIds}]
+    return len(jobs), sum(s.numCompletedTasks for s in stages if s)
+
+
+def test_star_steps_of_few_links_run_few_tasks(spark):
+    """Before, each of the rounds ran two stages of all 200 partitions, for 40 links."""
+    links = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    assert _work_of(spark, lambda: components.components(links).count())[1] < 1200
+
+
+def test_sketch_comes_in_one_job(spark, docs_of):
+    """Before, each partition of the counts was a job of its own; the counts are those of all shingles."""
+    docs, found = docs_of(["a b c d e", "a b c d", None]).repartition(3), []
+    assert _work_of(spark, lambda: found.append(ngram_join.sketch(docs)))[0] <= 4
+    assert found[0].sum() == 3 and sorted(found[0][found[0] > 0].tolist()) == [1, 2]
+
+
 # --- fingerprints ----------------------------------------------------------------------------------------------------
 
 def test_sampling_estimates_generalised_jaccard():
