@@ -32,7 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from riskloom.llm.common import table, with_computed
+from riskloom.llm.common import KEPT as WORKER_STATE, table, with_computed
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LONG, RUN, KEPT, CACHED = 1 << 20, 1 << 16, 64, 36 << 20
@@ -135,7 +135,7 @@ class Encoder(dict):
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_encoders: dict[tuple[bytes, str], Encoder] = {}
+_encoders: dict[tuple[bytes, str], Encoder] = WORKER_STATE.setdefault("byte_bpe", {})
 
 
 def _encoder(data: bytes, pattern: str) -> Encoder:
@@ -195,7 +195,7 @@ def encode(df: DataFrame, text_col: str = "text", outputs: Iterable[str] = ("ids
 
         return step
 
-    return with_computed(df, [(o, OUTPUTS[o]) for o in outputs], compute)
+    return with_computed(df, [(o, OUTPUTS[o]) for o in outputs], compute, "byte_bpe")
 
 
 def decode(df: DataFrame, ids_col: str = "ids", out_col: str = "decoded", path: str | None = None) -> DataFrame:

@@ -308,6 +308,16 @@ def test_star_steps_of_few_links_run_few_tasks(spark):
     assert _work_of(spark, lambda: components.components(links).count())[1] < 1200
 
 
+def test_workers_drop_what_other_operators_kept():
+    """Before, a worker held the encoder and its caches through all stages that came after it."""
+    from riskloom.llm import byte_bpe, common
+    byte_bpe._encoders["k"] = common.KEPT.setdefault("other", {})["k"] = object()
+    common.release_memory("byte_bpe")
+    assert byte_bpe._encoders and not common.KEPT["other"]
+    common.release_memory()
+    assert not byte_bpe._encoders
+
+
 def test_sketch_comes_in_one_job(spark, docs_of):
     """Before, each partition of the counts was a job of its own; the counts are those of all shingles."""
     docs, found = docs_of(["a b c d e", "a b c d", None]).repartition(3), []
